@@ -19,3 +19,19 @@ def money(col) -> Column:
 def cents(col) -> Column:
     """Round a decimal expression to 2 places and present it as a double."""
     return F.round(_c(col), 2).cast("double")
+
+
+def net_amount(price="l_extendedprice", discount="l_discount") -> Column:
+    """price * (1 - discount), in cents."""
+    return F.round(money(price) * (F.lit(1) - money(discount)), 2)
+
+
+def gross_amount(price="l_extendedprice", discount="l_discount", tax="l_tax") -> Column:
+    """net * (1 + tax), in cents."""
+    return F.round(net_amount(price, discount) * (F.lit(1) + money(tax)), 2)
+
+
+# The same expressions as SQL text, for the DuckDB oracles.
+MONEY_SQL = "CAST({} AS DECIMAL(18,2))"
+NET_SQL = "ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))), 2)"
+GROSS_SQL = f"ROUND({NET_SQL} * (1 + CAST(l_tax AS DECIMAL(18,2))), 2)"
