@@ -1,3 +1,162 @@
-"""aggregates queries."""
+"""Queries for conditional aggregates, pivots, ordered lists, expense status and label spreading."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions.money import NET_SQL, cents, money, net_amount
+from ..operators.aggregates import count_when, group_status, ordered_distinct_text, sum_if
+from ..operators.pivots import dynamic_pivot, milestone_pivot, static_pivot
+from ..sources.tables import Tables
+from . import query
+
+
+@query("conditional_aggregates", sql="""
+SELECT l_returnflag, count(*) AS n_lines, count(DISTINCT l_orderkey) AS n_orders,
+       CAST(count_if(l_linestatus = 'F') AS BIGINT) AS n_closed,
+       CAST(SUM(CASE WHEN l_discount > 0.05 THEN CAST(l_extendedprice AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE)
+         AS big_discount_value,
+       count(CASE WHEN l_tax > 0 THEN 1 END) AS taxed_lines
+FROM lineitem GROUP BY l_returnflag
+""")
+def q_conditional_aggregates(spark, sf_dir):
+    """COUNT, COUNT DISTINCT, COUNTIF, conditional SUM and conditional COUNT per return flag."""
+    t = Tables(spark, sf_dir)
+    return t.lineitem.groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n_lines"),
+        F.countDistinct("l_orderkey").alias("n_orders"),
+        F.count_if(F.col("l_linestatus") == "F").alias("n_closed"),
+        sum_if(F.col("l_discount") > 0.05, money("l_extendedprice")).cast("double").alias("big_discount_value"),
+        count_when(F.col("l_tax") > 0).alias("taxed_lines"),
+    )
+
+
+# The five order priorities and their pivot column names.
+PRIORITY_COLUMNS = {"1-URGENT": "prio_1", "2-HIGH": "prio_2", "3-MEDIUM": "prio_3",
+                    "4-NOT SPECIFIED": "prio_4", "5-LOW": "prio_5"}
+_PRIO_SQL = ", ".join(f"count(*) FILTER (WHERE o.o_orderpriority = '{v}') AS {n}" for v, n in PRIORITY_COLUMNS.items())
+
+
+@query("static_pivot", sql=f"""
+SELECT c.c_mktsegment, {_PRIO_SQL}
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY c.c_mktsegment
+""")
+def q_static_pivot(spark, sf_dir):
+    """Order counts by priority (one column per listed value) per market segment."""
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_custkey", "o_orderpriority").join(
+        t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    return static_pivot(o, ["c_mktsegment"], "o_orderpriority", PRIORITY_COLUMNS)
+
+
+_SLOT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+               "l_returnflag", "l_linestatus", "l_shipdate"]
+MAX_LINES_FOR_PIVOT = 4
+
+
+def _dyn_sql(width: int) -> str:
+    slots = ", ".join(
+        f"COALESCE(max(CASE WHEN slot = {i} THEN l_partkey END), -1) AS part_{i}, "
+        f"max(CASE WHEN slot = {i} THEN l_quantity END) AS qty_{i}" for i in range(1, width + 1))
+    return f"""
+WITH n AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey HAVING count(*) <= 4),
+s AS (SELECT l.*, n.n_lines, row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {", ".join(_SLOT_ORDER)}) AS slot
+      FROM lineitem l JOIN n ON n.l_orderkey = l.l_orderkey)
+SELECT l_orderkey, n_lines, {slots} FROM s GROUP BY l_orderkey, n_lines
+"""
+
+
+@query("dynamic_pivot", sql=_dyn_sql(MAX_LINES_FOR_PIVOT))
+def q_dynamic_pivot(spark, sf_dir):
+    """Orders with at most four lines: each line's part and quantity as numbered columns;
+    the number of columns is the largest line count found in the data."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines")) \
+        .filter(F.col("n_lines") <= MAX_LINES_FOR_PIVOT)
+    small = li.join(counts, "l_orderkey")
+    return dynamic_pivot(small, ["l_orderkey", "n_lines"], _SLOT_ORDER,
+                         {"part": "l_partkey", "qty": "l_quantity"}, max_width=64, fill={"part": -1})
+
+
+# Milestone codes (event kinds) and their columns.
+MILESTONES = {"click": "first_click", "error": "first_error", "purchase": "first_purchase",
+              "signup": "first_signup", "view": "first_view"}
+_MS_SQL = ", ".join(f"strftime(min(CASE WHEN event_type = '{c}' THEN ts END), '%Y-%m-%d %H:%M:%S.%f') AS {n}"
+                    for c, n in MILESTONES.items())
+
+
+@query("milestone_pivot", sql=f"SELECT user_id, {_MS_SQL} FROM events GROUP BY user_id")
+def q_milestone_pivot(spark, sf_dir):
+    """First time each user reached each milestone."""
+    t = Tables(spark, sf_dir)
+    p = milestone_pivot(t.events, ["user_id"], "event_type", "ts", MILESTONES)
+    return p.select("user_id", *[F.date_format(n, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(n) for n in MILESTONES.values()])
+
+
+@query("ordered_text_list", sql="""
+SELECT o_custkey, string_agg(DISTINCT o_orderpriority, ', ' ORDER BY o_orderpriority) AS priorities,
+       min(o_orderpriority) AS first_priority, count(DISTINCT o_orderpriority) AS n_priorities,
+       count(*) AS n_orders
+FROM orders GROUP BY o_custkey
+""")
+def q_ordered_text_list(spark, sf_dir):
+    """Distinct priorities per customer as ordered text, first item and count."""
+    t = Tables(spark, sf_dir)
+    g = t.orders.groupBy("o_custkey").agg(
+        ordered_distinct_text("o_orderpriority").alias("priorities"),
+        F.sort_array(F.collect_set("o_orderpriority")).alias("_set"),
+        F.count(F.lit(1)).alias("n_orders"))
+    return g.select("o_custkey", "priorities", F.get("_set", 0).alias("first_priority"),
+                    F.size("_set").cast("long").alias("n_priorities"), "n_orders")
+
+
+# Accounting status of an order by its lines' posting.
+POSTING_LABELS = ("CONTABILIZADO", "NO CONTABILIZADO", "PARCIAL")
+
+
+@query("expense_mart", sql=f"""
+WITH lines AS (SELECT l_orderkey, l_linestatus, {NET_SQL} AS net, CAST(l_tax AS DECIMAL(18,2)) AS rate FROM lineitem),
+tax AS (SELECT l_orderkey, SUM(ROUND(net * rate, 2)) AS tax FROM lines GROUP BY l_orderkey),
+agg AS (SELECT l_orderkey, count(*) AS n_lines, SUM(net) AS net,
+               CASE WHEN count_if(l_linestatus = 'F') = count(*) THEN '{POSTING_LABELS[0]}'
+                    WHEN count_if(l_linestatus = 'F') = 0 THEN '{POSTING_LABELS[1]}'
+                    ELSE '{POSTING_LABELS[2]}' END AS posting_status
+        FROM lines GROUP BY l_orderkey HAVING count(*) >= 2 AND SUM(net) > 0)
+SELECT a.l_orderkey AS o_orderkey, a.n_lines, CAST(a.net AS DOUBLE) AS net, CAST(t.tax AS DOUBLE) AS tax,
+       CAST(a.net + t.tax AS DOUBLE) AS total, o.o_totalprice AS order_value, a.posting_status
+FROM agg a JOIN tax t ON t.l_orderkey = a.l_orderkey JOIN orders o ON o.o_orderkey = a.l_orderkey
+""")
+def q_expense_mart(spark, sf_dir):
+    """Per order: net, tax (from a pre-aggregated tax table joined back), total, order value
+    and posted/not posted/partial status; orders with one line or no net are dropped (HAVING)."""
+    t = Tables(spark, sf_dir)
+    lines = t.lineitem.select("l_orderkey", "l_linestatus", net_amount().alias("net"),
+                              money("l_tax").alias("rate"))
+    tax = lines.groupBy("l_orderkey").agg(F.sum(F.round(F.col("net") * F.col("rate"), 2)).alias("tax"))
+    agg = lines.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n_lines"), F.sum("net").alias("net"),
+        group_status(F.col("l_linestatus") == "F", *POSTING_LABELS).alias("posting_status"),
+    ).filter((F.col("n_lines") >= 2) & (F.col("net") > 0))
+    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").alias("order_value"))
+    out = agg.join(tax, "l_orderkey").join(o, "l_orderkey")
+    return out.select(F.col("l_orderkey").alias("o_orderkey"), "n_lines", cents("net").alias("net"),
+                      cents("tax").alias("tax"), cents(F.col("net") + F.col("tax")).alias("total"),
+                      "order_value", "posting_status")
+
+
+@query("spread_label", sql="""
+WITH j AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_brand, p.p_name
+           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey)
+SELECT l_orderkey, l_linenumber, l_partkey, p_brand, max(p_name) OVER (PARTITION BY p_brand) AS brand_label FROM j
+""")
+def q_spread_label(spark, sf_dir):
+    """``MAX(name) OVER (PARTITION BY brand)`` on every line, computed as an aggregate
+    joined back so a huge brand is combined map-side instead of sorted in one task."""
+    from ..operators.ledger import spread_label
+
+    t = Tables(spark, sf_dir)
+    j = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(
+        t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name"), "l_partkey")
+    return spread_label(j, ["p_brand"], "p_name", "brand_label").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "p_brand", "brand_label")

@@ -1,3 +1,74 @@
-"""ledger queries."""
+"""Queries for period balances (running-window form) and balances with frozen history.
+
+The oracles state the rule directly as a range join of movements to periods;
+the Spark plans use per-month sums, a generated month grid and running windows.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators.ledger import balances_with_history, period_balances
+from ..sources.tables import Tables
+from . import AS_OF_ORDERS, query
+
+# Segments whose balances restart every 1 January.
+RESTART_SEGMENTS = ("AUTOMOBILE", "BUILDING")
+_RESTART_SQL = ", ".join(f"'{s}'" for s in RESTART_SEGMENTS)
+
+_RANGE_SQL = f"""
+mv AS (SELECT c.c_mktsegment AS seg, CAST(o.o_orderdate AS DATE) AS d,
+              CASE WHEN o.o_orderstatus IN ('O', 'P') THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE 0 END AS debit,
+              CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE 0 END AS credit
+       FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+       WHERE CAST(o.o_orderdate AS DATE) <= DATE '{AS_OF_ORDERS}'),
+periods AS (SELECT CAST(g AS DATE) AS ps, CAST(g + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS pe
+            FROM generate_series((SELECT CAST(date_trunc('month', min(d)) AS DATE) FROM mv),
+                                 CAST(date_trunc('month', DATE '{AS_OF_ORDERS}') AS DATE), INTERVAL 1 MONTH) t(g)),
+j AS (SELECT mv.seg, p.ps, mv.d, mv.debit, mv.credit FROM periods p JOIN mv
+      ON mv.d <= p.pe AND mv.d >= CASE WHEN mv.seg IN ({_RESTART_SQL}) THEN make_date(year(p.ps), 1, 1)
+                                       ELSE DATE '1900-01-01' END),
+bal AS (SELECT seg AS c_mktsegment, ps,
+               ROUND(SUM(CASE WHEN d < ps THEN debit - credit ELSE 0 END), 2) AS opening,
+               ROUND(SUM(CASE WHEN d >= ps THEN debit ELSE 0 END), 2) AS debit,
+               ROUND(SUM(CASE WHEN d >= ps THEN credit ELSE 0 END), 2) AS credit,
+               ROUND(SUM(CASE WHEN d >= ps THEN debit - credit ELSE 0 END), 2) AS movement,
+               ROUND(SUM(debit - credit), 2) AS closing
+        FROM j GROUP BY seg, ps)"""
+
+_OUT_SQL = """SELECT c_mktsegment, strftime(ps, '%Y-%m') AS period, CAST(opening AS DOUBLE) AS opening,
+       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit, CAST(movement AS DOUBLE) AS movement,
+       CAST(closing AS DOUBLE) AS closing FROM bal"""
+
+
+def _movements(t):
+    o = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    zero = F.lit(0).cast("decimal(18,2)")
+    return o.select("c_mktsegment", F.to_date("o_orderdate").alias("d"),
+                    F.when(F.col("o_orderstatus").isin("O", "P"), price).otherwise(zero).alias("debit"),
+                    F.when(F.col("o_orderstatus") == "F", price).otherwise(zero).alias("credit"))
+
+
+def _present(df):
+    return df.select("c_mktsegment", F.date_format("period", "yyyy-MM").alias("period"),
+                     *[F.col(m).cast("double").alias(m) for m in ("opening", "debit", "credit", "movement", "closing")])
+
+
+@query("period_balances", sql=f"WITH {_RANGE_SQL} {_OUT_SQL}")
+def q_period_balances(spark, sf_dir):
+    """Segment x month balances; AUTOMOBILE and BUILDING restart each year."""
+    t = Tables(spark, sf_dir)
+    bal = period_balances(_movements(t), ["c_mktsegment"], "d", "debit", "credit", AS_OF_ORDERS,
+                          restart=F.col("c_mktsegment").isin(*RESTART_SEGMENTS))
+    return _present(bal)
+
+
+@query("balances_with_history", sql=f"""WITH {_RANGE_SQL} {_OUT_SQL}
+WHERE opening <> 0 OR debit <> 0 OR credit <> 0 OR movement <> 0 OR closing <> 0""")
+def q_balances_with_history(spark, sf_dir):
+    """Closed years frozen, current year recomputed, united and regrouped; zero rows dropped."""
+    t = Tables(spark, sf_dir)
+    bal = balances_with_history(_movements(t), ["c_mktsegment"], "d", "debit", "credit", AS_OF_ORDERS,
+                                restart=F.col("c_mktsegment").isin(*RESTART_SEGMENTS))
+    return _present(bal)
