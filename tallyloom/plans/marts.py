@@ -68,3 +68,84 @@ def q_receivable_aging(spark, sf_dir):
         cents("agreed").alias("agreed"), cents("paid").alias("paid"),
         "days_late", "aging_bucket", "overdue_flag",
     )
+
+
+_TERM_DAYS = 45
+
+
+@query("invoice_aging", sql=f"""
+WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) + {_TERM_DAYS} AS due FROM lineitem),
+d AS (SELECT *, date_diff('day', due, DATE '{AS_OF_ORDERS}') AS days_overdue FROM l)
+SELECT l_orderkey, l_linenumber, l_partkey, strftime(due, '%Y-%m-%d') AS due_date, days_overdue,
+       CASE WHEN days_overdue <= 30 THEN 'Menor o igual a 30 Días'
+            WHEN days_overdue > 30 AND days_overdue <= 60 THEN 'Entre 30 y 60 Días'
+            WHEN days_overdue > 60 THEN 'Mayor o igual a 60 Días' ELSE 'Otro' END AS overdue_range,
+       CAST((year(DATE '{AS_OF_ORDERS}') * 12 + month(DATE '{AS_OF_ORDERS}')) - (year(due) * 12 + month(due)) AS BIGINT)
+         AS months_since_due,
+       CAST(CASE WHEN date_trunc('month', due) = date_trunc('month', DATE '{AS_OF_ORDERS}') THEN 1 ELSE 0 END AS BIGINT)
+         AS due_this_month
+FROM d
+""")
+def q_invoice_aging(spark, sf_dir):
+    """Lines as invoices due 45 days after shipping: days overdue, overdue range, months, same-month flag."""
+    t = Tables(spark, sf_dir)
+    aged = invoice_aging(t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate"),
+                         AS_OF_ORDERS, "l_shipdate", _TERM_DAYS)
+    return aged.select("l_orderkey", "l_linenumber", "l_partkey",
+                       F.date_format("due_date", "yyyy-MM-dd").alias("due_date"), "days_overdue", "overdue_range",
+                       "months_since_due", "due_this_month")
+
+
+_ENTITY_COLS = ["c_custkey", "c_name", "c_mktsegment", "shown_order", "shown_status", "n_orders", "n_open",
+                "n_closed", "n_pending", "open_value", "closed_value", "state", "has_open", "last_order_date",
+                "ordered_this_month"]
+
+_ENTITY_SQL = f"""
+agg AS (SELECT o_custkey, count(*) AS n_orders,
+               count(CASE WHEN o_orderstatus = 'O' THEN 1 END) AS n_open,
+               count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS n_closed,
+               count(CASE WHEN o_orderstatus = 'P' THEN 1 END) AS n_pending,
+               SUM(CASE WHEN o_orderstatus = 'O' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS open_value,
+               SUM(CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE 0 END) AS closed_value,
+               max(CAST(o_orderdate AS DATE)) AS last_date
+        FROM orders GROUP BY o_custkey),
+shown AS (SELECT o_custkey, o_orderkey, o_orderstatus FROM (
+            SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END,
+                                         o_orderdate DESC, o_orderkey DESC) AS rn
+            FROM orders WHERE o_orderstatus IN ('O', 'F')) WHERE rn = 1),
+entity AS (
+  SELECT c.c_custkey, c.c_name, c.c_mktsegment, COALESCE(s.o_orderkey, -1) AS shown_order,
+         s.o_orderstatus AS shown_status, COALESCE(a.n_orders, 0) AS n_orders, COALESCE(a.n_open, 0) AS n_open,
+         COALESCE(a.n_closed, 0) AS n_closed, COALESCE(a.n_pending, 0) AS n_pending,
+         CAST(COALESCE(a.open_value, 0) AS DOUBLE) AS open_value,
+         CAST(COALESCE(a.closed_value, 0) AS DOUBLE) AS closed_value,
+         CASE WHEN a.n_open > 0 THEN 'OPEN' WHEN a.n_pending > 0 THEN 'PENDING'
+              WHEN a.n_closed > 0 THEN 'CLOSED' ELSE 'NONE' END AS state,
+         CAST(CASE WHEN s.o_orderstatus = 'O' THEN 1 ELSE 0 END AS BIGINT) AS has_open,
+         strftime(a.last_date, '%Y-%m-%d') AS last_order_date,
+         CAST(CASE WHEN date_trunc('month', a.last_date) = date_trunc('month', DATE '{AS_OF_ORDERS}') THEN 1 ELSE 0 END
+              AS BIGINT) AS ordered_this_month
+  FROM customer c LEFT JOIN agg a ON a.o_custkey = c.c_custkey LEFT JOIN shown s ON s.o_custkey = c.c_custkey)"""
+
+
+@query("entity_360", sql=f"WITH {_ENTITY_SQL} SELECT * FROM entity")
+def q_entity_360(spark, sf_dir):
+    """One row per customer: open order shown, else the last closed one; counts, values, state, flags."""
+    from ..operators.marts import entity_summary
+
+    t = Tables(spark, sf_dir)
+    return entity_summary(t.customer, t.orders, AS_OF_ORDERS).select(*_ENTITY_COLS)
+
+
+@query("mart_diff", sql=f"""
+WITH {_ENTITY_SQL}
+SELECT count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS n_diff FROM entity
+""")
+def q_mart_diff(spark, sf_dir):
+    """The entity mart derived twice (aggregate picks vs numbered rows) and compared row by row."""
+    from ..operators.marts import entity_summary, entity_summary_by_rows, mart_diff
+
+    t = Tables(spark, sf_dir)
+    a = entity_summary(t.customer, t.orders, AS_OF_ORDERS).select(*_ENTITY_COLS)
+    b = entity_summary_by_rows(t.customer, t.orders, AS_OF_ORDERS).select(*_ENTITY_COLS)
+    return mart_diff(a, b, ["c_custkey"])
