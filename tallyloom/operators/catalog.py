@@ -64,37 +64,40 @@ def pivot_labels(pairs: DataFrame, keys_cols: Sequence[str], label_names: Sequen
 
 
 def lineage_closure(edges: DataFrame, starts: DataFrame, src: str = "src", dst: str = "dst",
-                    max_depth: int = 64, checkpoint_every: int = 4) -> DataFrame:
+                    max_depth: int = 64) -> DataFrame:
     """All nodes reachable from each start node, with the first level they are reached at.
 
     Breadth-first, set-based: each round joins the frontier to the edges, drops
     (start, node) pairs already visited -- which cuts cycles -- and de-duplicates.
     Only reachability is kept, so pairs are de-duplicated per round instead of
-    carrying whole paths.  Lineage is cut with reliable checkpoints.
+    carrying whole paths.  Each round's frontier is written with a reliable
+    checkpoint (to the cluster's checkpoint folder): lineage stays one round
+    deep and a lost executor never forces earlier rounds to be recomputed.
+    A node reached by very many starts is a skewed join key; AQE's skew-join
+    split handles it (the edge side per node is small).
     """
     e = edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct()
     frontier = starts.select(F.col("start"), F.col("start").alias("node"), F.lit(0).cast("long").alias("level"))
-    visited = frontier
-    result = None
+    visited = frontier.select("start", "node")
+    steps = []
     for depth in range(1, max_depth + 1):
         step = (frontier.join(e, "node").select("start", F.col("next").alias("node"),
                                                 F.lit(depth).cast("long").alias("level"))
-                .join(visited.select("start", "node"), ["start", "node"], "left_anti")
-                .distinct())
-        if depth % checkpoint_every == 0:
-            step = step.checkpoint()
+                .join(visited, ["start", "node"], "left_anti")
+                .distinct()
+                .checkpoint(eager=True))
         if step.isEmpty():
             break
-        result = step if result is None else result.unionByName(step)
-        visited = visited.unionByName(step)
-        if depth % checkpoint_every == 0:
-            visited = visited.checkpoint()
-            result = result.checkpoint()
+        steps.append(step)
+        visited = visited.unionByName(step.select("start", "node"))
         frontier = step
     else:
         raise ValueError(f"lineage deeper than {max_depth} levels")
-    if result is None:
+    if not steps:
         return frontier.limit(0)
+    result = steps[0]
+    for s in steps[1:]:
+        result = result.unionByName(s)
     return result
 
 
@@ -139,27 +142,69 @@ def latest_event(log: DataFrame, keys: Sequence[str], order: Sequence[str], fiel
         *keys, *[F.col(f"_tl_last.{n}").alias(n) for n in fields])
 
 
-WRITE_TARGET_RE = (r"(?is)\b(?:create\s+(?:or\s+replace\s+)?(?:temp\s+|temporary\s+)?table|insert\s+into|merge"
-                   r"(?:\s+into)?|update)\s+`?([A-Za-z0-9_.\-`]+)`?")
-READ_TABLE_RE = r"(?i)\b(?:from|join)\s+`?([A-Za-z0-9_\-]+(?:\.[A-Za-z0-9_\-]+){1,2})`?"
+# Patterns that read write targets and read tables out of routine text.
+CREATE_RE = r"(?i)CREATE OR REPLACE TABLE\s+([^\s]+)"
+MERGE_RE = r"(?i)MERGE\s+([^\s]+)"
+INSERT_RE = r"(?i)INSERT INTO\s+([^\s]+)"
+READ_RE = r"(?i)\b(?:FROM|JOIN)\s+([^\s,;()]+)"
+DOTTED_NAME_RE = r"^[\w-]+(?:\.[\w-]+){1,3};?$"
+QUOTES_RE = "[`\"']"
 
 
-def _normalise_name(c: Column) -> Column:
-    """Drop quotes and a leading project part: ``proj.ds.t`` and ``ds.t`` become ``DS.T``."""
-    bare = F.regexp_replace(c, "`", "")
-    parts = F.split(bare, r"\.")
-    return F.upper(F.when(F.size(parts) >= 3, F.concat_ws(".", F.get(parts, 1), F.get(parts, 2))).otherwise(bare))
+def _split_name(full: Column):
+    """(dataset, table) of ``project.dataset.table`` or ``dataset.table``; NULLs otherwise."""
+    parts = F.split(full, r"\.")
+    n = F.size(parts)
+    dataset = F.when(n == 3, F.get(parts, 1)).when(n == 2, F.get(parts, 0))
+    table = F.when(n == 3, F.get(parts, 2)).when(n == 2, F.get(parts, 1))
+    return dataset, table
 
 
-def extract_write_target(routines: DataFrame, name_col: str = "name", ddl_col: str = "ddl",
-                         unknown: str = "SIN TABLA") -> DataFrame:
-    """First table a routine writes (CREATE TABLE / INSERT INTO / MERGE / UPDATE), normalised."""
-    target = regex_or_null(ddl_col, WRITE_TARGET_RE)
-    return routines.select(name_col, F.coalesce(_normalise_name(target), F.lit(unknown)).alias("target"))
+def extract_write_target(routines: DataFrame, name_col: str = "name", ddl_col: str = "ddl") -> DataFrame:
+    """Table a routine writes: CREATE OR REPLACE TABLE, else MERGE, else INSERT INTO; quotes dropped."""
+    def grab(pattern):
+        return F.regexp_replace(regex_or_null(ddl_col, pattern), QUOTES_RE, "")
+
+    full = F.coalesce(grab(CREATE_RE), grab(MERGE_RE), grab(INSERT_RE))
+    dataset, table = _split_name(F.col("target"))
+    return routines.select(name_col, full.alias("target")).select(
+        name_col, "target", dataset.alias("dataset"), table.alias("table"))
 
 
 def extract_read_tables(routines: DataFrame, name_col: str = "name", ddl_col: str = "ddl") -> DataFrame:
-    """Distinct tables read after FROM/JOIN in each routine's text, normalised (2- and 3-part names)."""
-    found = F.array_distinct(F.regexp_extract_all(F.col(ddl_col), F.lit(READ_TABLE_RE), 1))
-    return routines.select(name_col, F.explode(found).alias("_tl_src")) \
-        .select(name_col, _normalise_name(F.col("_tl_src")).alias("source")).distinct()
+    """Distinct tables named after FROM/JOIN in each routine's whole text.
+
+    Only dotted 2- to 4-part names are kept, which drops aliases, CTE and temp
+    table names; quotes and a trailing ``;`` are removed.
+    """
+    found = F.explode(F.regexp_extract_all(F.col(ddl_col), F.lit(READ_RE), 1)).alias("_tl_raw")
+    clean = F.regexp_replace(F.col("_tl_raw"), QUOTES_RE, "")
+    out = routines.select(name_col, found).select(name_col, clean.alias("_tl_src")) \
+        .filter(F.col("_tl_src").rlike(DOTTED_NAME_RE)) \
+        .select(name_col, F.regexp_replace("_tl_src", ";$", "").alias("source")).distinct()
+    dataset, table = _split_name(F.col("source"))
+    return out.select(name_col, "source", dataset.alias("dataset"), table.alias("table"))
+
+
+# Pattern of one label item in a table's option text.
+LABEL_ITEM_RE = r'(STRUCT\("[^"]+",\s*"[^"]+"\))'
+LABEL_KEY_RE = r'STRUCT\("([^"]+)"'
+LABEL_VALUE_RE = r',\s*"([^"]+)"\)'
+
+
+def parse_option_labels(tables: DataFrame, options: DataFrame, labels: Sequence[str],
+                        keys: Sequence[str] = ("dataset", "table")) -> DataFrame:
+    """Labels parsed out of option text and pivoted, plus the description option.
+
+    Both the labels and the description are joined to the table list, so a
+    table with a description but no labels keeps its description.
+    """
+    keys = list(keys)
+    items = options.filter(F.col("option") == "labels").select(
+        *keys, F.explode(F.regexp_extract_all(F.col("value"), F.lit(LABEL_ITEM_RE), 1)).alias("_tl_item"))
+    pairs = items.select(*keys, F.lower(regex_or_null("_tl_item", LABEL_KEY_RE)).alias("label_key"),
+                         regex_or_null("_tl_item", LABEL_VALUE_RE).alias("label_value"))
+    pivot = pairs.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("label_key") == k.lower(), F.initcap("label_value"))).alias(k) for k in labels])
+    desc = options.filter(F.col("option") == "description").groupBy(*keys).agg(F.max("value").alias("description"))
+    return tables.select(*keys).distinct().join(pivot, keys, "left").join(desc, keys, "left")

@@ -1,71 +1,62 @@
 """Row numbers without a single-task window.
 
-``ROW_NUMBER() OVER (ORDER BY ...)`` over a whole table, or over a parent that
-may hold a third of all rows, puts every row of that window into one task.
-``sequence_number`` instead range-partitions on ``(parent, order)`` so a large
-window is spread over many tasks, numbers rows inside each task, and then adds
-a per-partition offset taken from a table with one row per partition (a
-bounded size, so it is broadcast).
+``ROW_NUMBER() OVER (PARTITION BY p ORDER BY o)`` sends every row of a parent
+to one task; over a whole table (no ``p``), or for a parent holding a third
+of all rows, that task holds everything.  ``sequence_number`` therefore:
+
+1. counts rows per parent (a map-side combined aggregate over the key columns
+   only) and takes the *hot* parents above ``hot_rows`` -- at most
+   ``rows / hot_rows`` keys, so the list has a proven bound and is broadcast;
+2. numbers ordinary parents with the plain window (each window <= ``hot_rows``);
+3. numbers hot parents (and whole-table numbering) by range-partitioning on
+   ``(parent, order)`` so one parent spans many tasks; each task knows its
+   rows' positions, and a table with one row per (partition, hot parent)
+   -- bounded by partitions + hot parents, so broadcast -- supplies the count
+   of that parent's rows in earlier partitions.
+
+All steps are JVM-side DataFrame operations.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_PID, _POS, _LOCAL = "_tl_pid", "_tl_pos", "_tl_local"
+_PID, _POS = "_tl_pid", "_tl_pos"
+DEFAULT_HOT_ROWS = 1_000_000
 
 
 def _sort_cols(order: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
-def _local_numbers(parent: list[str]):
-    """Per-partition numbering inside runs of equal parent values (rows arrive sorted)."""
-
-    def run(batches):
-        last_key = None
-        last_count = 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{_LOCAL: pd.Series([], dtype="int64")})
-                continue
-            same = None
-            for c in parent:
-                s = pdf[c]
-                prev = s.shift(1)
-                eq = (s == prev) | (s.isna() & prev.isna())
-                same = eq if same is None else (same & eq)
-            same = same.to_numpy(copy=True)
-            first_key = tuple(pdf[c].iloc[0] for c in parent)
-            same[0] = last_key is not None and _keys_equal(first_key, last_key)
-            gid = (~same).cumsum()
-            local = pdf.groupby(gid).cumcount().to_numpy() + 1
-            if same[0]:
-                local[gid == 0] += last_count
-            last_key = tuple(pdf[c].iloc[-1] for c in parent)
-            last_count = int(local[-1])
-            yield pdf.assign(**{_LOCAL: local.astype("int64")})
-
-    return run
-
-
-def _keys_equal(a, b) -> bool:
-    for x, y in zip(a, b):
-        if pd.isna(x) and pd.isna(y):
-            continue
-        if pd.isna(x) or pd.isna(y) or x != y:
-            return False
-    return True
-
-
-def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None = None,
-                    out: str = "rn", partitions: int | None = None) -> DataFrame:
+def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str, partitions: int) -> DataFrame:
+    """Number rows by range partitioning on (parent, order) plus a bounded offset table."""
+    sort_cols = [F.col(p).asc_nulls_first() for p in parent] + _sort_cols(order)
+    pkey = F.struct(*[F.col(p) for p in parent]) if parent else F.struct(F.lit(0).alias("k"))
+    ranged = (
+        df.repartitionByRange(partitions, *sort_cols)
+        .sortWithinPartitions(*sort_cols)
+        .withColumn(_PID, F.spark_partition_id())
+        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
+        .withColumn("_tl_pkey", pkey)
+        # read twice (stats and numbering): keep one materialisation so both see the same partitioning
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
+    # one row per (partition, parent): first position there and row count
+    stats = ranged.groupBy(_PID, "_tl_pkey").agg(F.min(_POS).alias("_tl_first"), F.count(F.lit(1)).alias("_tl_n"))
+    before = Window.partitionBy("_tl_pkey").orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.withColumn("_tl_offset", F.coalesce(F.sum("_tl_n").over(before), F.lit(0))).drop("_tl_n")
+    numbered = ranged.join(F.broadcast(offsets), [_PID, "_tl_pkey"]).withColumn(
+        out, (F.col(_POS) - F.col("_tl_first") + 1 + F.col("_tl_offset")).cast("long"))
+    return numbered.drop(_PID, _POS, "_tl_pkey", "_tl_first", "_tl_offset")
+
+
+def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None = None, out: str = "rn",
+                    partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """1-based ``row_number`` over ``order``, restarting per ``parent`` columns.
 
     ``order`` holds column names (ascending, nulls first) or sort Columns such as
@@ -75,54 +66,34 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
     spark = df.sparkSession
     parent = list(parent or [])
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [F.col(p).asc_nulls_first() for p in parent] + _sort_cols(order)
-    ranged = (
-        df.repartitionByRange(n, *sort_cols)
-        .sortWithinPartitions(*sort_cols)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    )
-    if parent:
-        schema = T.StructType(ranged.schema.fields + [T.StructField(_LOCAL, T.LongType(), False)])
-        local = ranged.mapInPandas(_local_numbers(parent), schema)
-        pkey = F.struct(*[F.col(p) for p in parent])
-    else:
-        local = ranged.withColumn(_LOCAL, F.col(_POS) + 1)
-        pkey = F.struct(F.lit(0).alias("k"))
-    local = local.withColumn("_tl_pkey", pkey).persist(StorageLevel.MEMORY_AND_DISK)
-
-    # One row per partition: its first parent and the count of its last parent.
-    stats = local.groupBy(_PID).agg(
-        F.min(F.struct(F.col(_POS), F.col("_tl_pkey").alias("k"))).alias("first"),
-        F.max(F.struct(F.col(_POS), F.col("_tl_pkey").alias("k"), F.col(_LOCAL).alias("n"))).alias("last"),
-    )
-    by_pid = Window.orderBy(_PID)
-    by_last = Window.partitionBy(F.col("last.k")).orderBy(_PID).rowsBetween(Window.unboundedPreceding, 0)
-    offsets = (
-        stats.withColumn("cum_last", F.sum(F.col("last.n")).over(by_last))
-        .withColumn("prev_last_k", F.lag(F.col("last.k")).over(by_pid))
-        .withColumn("prev_cum", F.lag(F.col("cum_last")).over(by_pid))
-        .select(
-            F.col(_PID),
-            F.col("first.k").alias("_tl_first_k"),
-            F.when(F.col("prev_last_k").eqNullSafe(F.col("first.k")), F.col("prev_cum"))
-            .otherwise(F.lit(0)).cast("long").alias("_tl_offset"),
-        )
-    )
-    # offsets has at most `n` rows: a proven bound, so it is broadcast.
-    result = local.join(F.broadcast(offsets), _PID).withColumn(
-        out,
-        F.col(_LOCAL) + F.when(F.col("_tl_pkey").eqNullSafe(F.col("_tl_first_k")), F.col("_tl_offset")).otherwise(0),
-    )
-    return result.drop(_PID, _POS, _LOCAL, "_tl_pkey", "_tl_first_k", "_tl_offset")
+    if not parent:
+        return _range_numbered(df, [], order, out, n)
+
+    counts = df.groupBy(*parent).agg(F.count(F.lit(1)).alias("_tl_cnt"))
+    hot = counts.filter(F.col("_tl_cnt") > hot_rows).select(*parent)
+    n_hot = hot.count()
+    window = Window.partitionBy(*parent).orderBy(*_sort_cols(order))
+    if n_hot == 0:
+        return df.withColumn(out, F.row_number().over(window).cast("long"))
+    # at most rows / hot_rows keys: a proven bound, so the hot list is broadcast
+    hot_keys = [f"_tl_h{i}" for i in range(len(parent))]
+    hot_b = F.broadcast(hot.select(*[F.col(p).alias(h) for p, h in zip(parent, hot_keys)])
+                        .withColumn("_tl_hot", F.lit(True)))
+    cond = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(parent, hot_keys)]
+    tagged = df.join(hot_b, cond, "left").drop(*hot_keys)
+    cold = tagged.filter(F.col("_tl_hot").isNull()).drop("_tl_hot")
+    warm = tagged.filter(F.col("_tl_hot").isNotNull()).drop("_tl_hot")
+    cold_n = cold.withColumn(out, F.row_number().over(window).cast("long"))
+    warm_n = _range_numbered(warm, parent, order, out, n)
+    return cold_n.unionByName(warm_n)
 
 
 def running_number(df: DataFrame, order: Sequence, out: str = "rn", partitions: int | None = None) -> DataFrame:
-    """Whole-table running key ``ROW_NUMBER() OVER (ORDER BY order)`` without one-task sort."""
+    """Whole-table running key ``ROW_NUMBER() OVER (ORDER BY order)`` without a one-task sort."""
     return sequence_number(df, order, None, out, partitions)
 
 
 def sequence_in_parent(df: DataFrame, parent: Sequence[str], order: Sequence, out: str = "seq",
-                       partitions: int | None = None) -> DataFrame:
+                       partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
     """Instalment/slot number inside a parent (W3), safe when one parent is huge."""
-    return sequence_number(df, order, parent, out, partitions)
+    return sequence_number(df, order, parent, out, partitions, hot_rows)
