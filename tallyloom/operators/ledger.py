@@ -28,24 +28,24 @@ def _month(d: dt.date) -> dt.date:
     return dt.date(d.year, d.month, 1)
 
 
-def period_balances(lines: DataFrame, group: Sequence[str], date_col: str, debit_col: str, credit_col: str,
-                    as_of, restart: Column | None = None, period_col: str = "period") -> DataFrame:
-    """Monthly balances per group up to the month of ``as_of``.
-
-    ``restart`` is a predicate over group columns: where true, balances start
-    again each 1 January and a year's rows begin at its first movement.
-    """
-    group = list(group)
+def monthly_movements(lines: DataFrame, group: Sequence[str], date_col: str, debit_col: str, credit_col: str,
+                      as_of, period_col: str = "period") -> DataFrame:
+    """Debit and credit summed per (group, month) up to ``as_of`` -- the only pass over raw lines."""
     end = as_date(as_of)
-    end_month = _month(end)
-    month = F.trunc(F.col(date_col), "MM")
-    restarting = restart if restart is not None else F.lit(False)
-    monthly = (
+    return (
         lines.filter(F.col(date_col) <= F.lit(end))
-        .groupBy(*group, month.alias(period_col))
+        .groupBy(*group, F.trunc(F.col(date_col), "MM").alias(period_col))
         .agg(F.sum(debit_col).alias("debit"), F.sum(credit_col).alias("credit"))
-        .withColumn("_tl_reset", F.when(restarting, F.year(period_col)).otherwise(F.lit(0)))
     )
+
+
+def balances_from_monthly(monthly: DataFrame, group: Sequence[str], as_of, restart: Column | None = None,
+                          period_col: str = "period") -> DataFrame:
+    """Opening/debit/credit/movement/closing per (group, month) from monthly sums."""
+    group = list(group)
+    end_month = _month(as_date(as_of))
+    restarting = restart if restart is not None else F.lit(False)
+    monthly = monthly.withColumn("_tl_reset", F.when(restarting, F.year(period_col)).otherwise(F.lit(0)))
     starts = monthly.groupBy(*group, "_tl_reset").agg(F.min(period_col).alias("_tl_first"))
     grid_end = F.when(F.col("_tl_reset") > 0,
                       F.least(F.make_date(F.col("_tl_reset"), F.lit(12), F.lit(1)), F.lit(end_month))
@@ -70,6 +70,17 @@ def period_balances(lines: DataFrame, group: Sequence[str], date_col: str, debit
     )
 
 
+def period_balances(lines: DataFrame, group: Sequence[str], date_col: str, debit_col: str, credit_col: str,
+                    as_of, restart: Column | None = None, period_col: str = "period") -> DataFrame:
+    """Monthly balances per group up to the month of ``as_of``.
+
+    ``restart`` is a predicate over group columns: where true, balances start
+    again each 1 January and a year's rows begin at its first movement.
+    """
+    monthly = monthly_movements(lines, group, date_col, debit_col, credit_col, as_of, period_col)
+    return balances_from_monthly(monthly, group, as_of, restart, period_col)
+
+
 def nonzero(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
     """Keep a balance row when any of its rounded measures is non-zero (HAVING)."""
     cond = None
@@ -88,22 +99,24 @@ def balances_with_history(lines: DataFrame, group: Sequence[str], date_col: str,
       current-year period up to ``as_of``'s month (restarting groups carry nothing);
     * current: balances of this year's movements only;
     the three are united, summed per (group, period) and zero rows are dropped.
+    Raw lines are read and summed per month once; both parts start from that.
     """
     group = list(group)
     end = as_date(as_of)
     year_start = dt.date(end.year, 1, 1)
     last_closed = year_start - dt.timedelta(days=1)
     restarting = restart if restart is not None else F.lit(False)
-    history = period_balances(lines.filter(F.col(date_col) < F.lit(year_start)), group, date_col, debit_col,
-                              credit_col, last_closed, restart, period_col)
+    monthly = monthly_movements(lines, group, date_col, debit_col, credit_col, end, period_col)
+    history = balances_from_monthly(monthly.filter(F.col(period_col) < F.lit(year_start)), group, last_closed,
+                                   restart, period_col)
     last_hist = history.filter(F.col(period_col) == F.lit(_month(last_closed))).filter(~restarting)
     current_months = F.sequence(F.lit(year_start), F.lit(_month(end)), F.expr("interval 1 month"))
     zero = F.lit(0).cast(history.schema["debit"].dataType)
     carry = last_hist.select(*group, F.explode(current_months).alias(period_col),
                              F.col("closing").alias("opening"), zero.alias("debit"), zero.alias("credit"),
                              zero.alias("movement"), F.col("closing").alias("closing"))
-    current = period_balances(lines.filter(F.col(date_col) >= F.lit(year_start)), group, date_col, debit_col,
-                              credit_col, end, F.lit(True), period_col)
+    current = balances_from_monthly(monthly.filter(F.col(period_col) >= F.lit(year_start)), group, end,
+                                   F.lit(True), period_col)
     united = history.unionByName(carry).unionByName(current)
     regrouped = united.groupBy(*group, period_col).agg(*[F.sum(m).alias(m) for m in MEASURES])
     return nonzero(regrouped)

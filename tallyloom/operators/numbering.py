@@ -56,12 +56,15 @@ def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str,
 
 
 def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None = None, out: str = "rn",
-                    partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                    partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
+                    max_group_rows: int | None = None) -> DataFrame:
     """1-based ``row_number`` over ``order``, restarting per ``parent`` columns.
 
     ``order`` holds column names (ascending, nulls first) or sort Columns such as
     ``F.col('x').desc()``.  Give a total order (append unique columns) when the
     numbers themselves must be reproducible; ties get distinct numbers either way.
+    ``max_group_rows``, when the caller already knows the largest parent size,
+    skips the hot-parent count.
     """
     spark = df.sparkSession
     parent = list(parent or [])
@@ -69,10 +72,12 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
     if not parent:
         return _range_numbered(df, [], order, out, n)
 
+    window = Window.partitionBy(*parent).orderBy(*_sort_cols(order))
+    if max_group_rows is not None and max_group_rows <= hot_rows:
+        return df.withColumn(out, F.row_number().over(window).cast("long"))
     counts = df.groupBy(*parent).agg(F.count(F.lit(1)).alias("_tl_cnt"))
     hot = counts.filter(F.col("_tl_cnt") > hot_rows).select(*parent)
     n_hot = hot.count()
-    window = Window.partitionBy(*parent).orderBy(*_sort_cols(order))
     if n_hot == 0:
         return df.withColumn(out, F.row_number().over(window).cast("long"))
     # at most rows / hot_rows keys: a proven bound, so the hot list is broadcast
@@ -94,6 +99,7 @@ def running_number(df: DataFrame, order: Sequence, out: str = "rn", partitions:
 
 
 def sequence_in_parent(df: DataFrame, parent: Sequence[str], order: Sequence, out: str = "seq",
-                       partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS) -> DataFrame:
+                       partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
+                       max_group_rows: int | None = None) -> DataFrame:
     """Instalment/slot number inside a parent (W3), safe when one parent is huge."""
-    return sequence_number(df, order, parent, out, partitions, hot_rows)
+    return sequence_number(df, order, parent, out, partitions, hot_rows, max_group_rows)

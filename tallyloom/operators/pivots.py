@@ -51,7 +51,7 @@ def dynamic_pivot(df: DataFrame, group: Sequence[str], order: Sequence, attribut
     width ``n`` is the largest group size, then every slot is a conditional max.
     """
     width = pivot_width(df, group, max_width)
-    numbered = sequence_in_parent(df, group, order, out="_tl_slot")
+    numbered = sequence_in_parent(df, group, order, out="_tl_slot", max_group_rows=width)
     fill = fill or {}
     cols = []
     for i in range(1, width + 1):
