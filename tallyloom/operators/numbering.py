@@ -28,6 +28,22 @@ from pyspark.sql import functions as F
 _PID, _POS = "_tl_pid", "_tl_pos"
 DEFAULT_HOT_ROWS = 1_000_000
 
+# Frames persisted because they are read by two jobs; ``release_cached`` frees them
+# once the caller has consumed its results.
+_CACHED: list[DataFrame] = []
+
+
+def _persist(df: DataFrame) -> DataFrame:
+    out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _CACHED.append(out)
+    return out
+
+
+def release_cached() -> None:
+    """Unpersist the intermediate frames kept by earlier numbering calls."""
+    while _CACHED:
+        _CACHED.pop().unpersist()
+
 
 def _sort_cols(order: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
@@ -43,9 +59,9 @@ def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str,
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
         .withColumn("_tl_pkey", pkey)
-        # read twice (stats and numbering): keep one materialisation so both see the same partitioning
-        .persist(StorageLevel.MEMORY_AND_DISK)
     )
+    # read twice (stats and numbering): one materialisation, so both see the same partitioning
+    ranged = _persist(ranged)
     # one row per (partition, parent): first position there and row count
     stats = ranged.groupBy(_PID, "_tl_pkey").agg(F.min(_POS).alias("_tl_first"), F.count(F.lit(1)).alias("_tl_n"))
     before = Window.partitionBy("_tl_pkey").orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -75,6 +91,8 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
     window = Window.partitionBy(*parent).orderBy(*_sort_cols(order))
     if max_group_rows is not None and max_group_rows <= hot_rows:
         return df.withColumn(out, F.row_number().over(window).cast("long"))
+    # key-only count: Catalyst prunes the scan to the parent columns; the input is
+    # recomputed rather than cached (caching a wide input measured slower than re-reading it)
     counts = df.groupBy(*parent).agg(F.count(F.lit(1)).alias("_tl_cnt"))
     hot = counts.filter(F.col("_tl_cnt") > hot_rows).select(*parent)
     n_hot = hot.count()
