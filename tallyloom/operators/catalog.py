@@ -208,3 +208,52 @@ def parse_option_labels(tables: DataFrame, options: DataFrame, labels: Sequence[
         F.max(F.when(F.col("label_key") == k.lower(), F.initcap("label_value"))).alias(k) for k in labels])
     desc = options.filter(F.col("option") == "description").groupBy(*keys).agg(F.max("value").alias("description"))
     return tables.select(*keys).distinct().join(pivot, keys, "left").join(desc, keys, "left")
+
+
+def partition_cluster_profile(columns: DataFrame, keys: Sequence[str] = ("dataset", "table"),
+                              max_cluster: int = 4) -> DataFrame:
+    """Per table: column count, partitioning column and cluster columns 1..n (static pivot)."""
+    keys = list(keys)
+    part = F.col("is_partition") == "YES"
+    return columns.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_columns"),
+        F.count_if(part).alias("n_partition_columns"),
+        F.max(F.when(part, F.col("column"))).alias("partition_column"),
+        *[F.max(F.when(F.col("cluster_position") == i, F.col("column"))).alias(f"cluster_{i}")
+          for i in range(1, max_cluster + 1)],
+    )
+
+
+def data_dictionary(columns: DataFrame, descriptions: DataFrame,
+                    keys: Sequence[str] = ("dataset", "table", "column")) -> DataFrame:
+    """Column list with hand-kept descriptions (composite-key left join) and a printable key."""
+    keys = list(keys)
+    desc = descriptions.groupBy(*keys).agg(F.max("description").alias("description"))
+    sk = F.sha2(F.concat_ws("|", *[F.col(k) for k in keys]), 256)
+    return columns.join(desc, keys, "left").withColumn("sk_column", sk)
+
+
+def lineage_detail(closure: DataFrame, freshness: DataFrame, raw_prefix: str = "RAW.",
+                   node_col: str = "node", name_col: str = "table", modified_col: str = "modified") -> DataFrame:
+    """Raw ancestors of each start node with their last change; the set of ancestors is
+    also given as a sorted array (``ARRAY_AGG(DISTINCT)``), bounded by raw tables reached."""
+    raw = closure.filter(F.col(node_col).startswith(raw_prefix))
+    fresh = freshness.select(F.col(name_col).alias(node_col), F.col(modified_col).alias("source_modified"))
+    detail = raw.join(fresh, node_col, "left")
+    sets = raw.groupBy("start").agg(F.sort_array(F.collect_set(node_col)).alias("raw_sources"))
+    return detail.join(sets, "start", "left")
+
+
+def table_monitor(tables: DataFrame, detail: DataFrame, creators: DataFrame | None = None,
+                  key: str = "start") -> DataFrame:
+    """One row per table: its raw sources as ordered text, the oldest source change
+    (a NULL date counts as oldest, as in an ordered array aggregate), and its creator."""
+    oldest = detail.groupBy(key).agg(
+        F.min(F.struct(F.col("source_modified").isNotNull().alias("known"), F.col("source_modified").alias("d"),
+                       F.col("node").alias("n"))).alias("_tl_old"),
+        F.array_join(F.sort_array(F.collect_set("node")), ", ").alias("sources"))
+    out = tables.join(oldest.select(key, "sources", F.col("_tl_old.d").alias("oldest_source_change"),
+                                    F.col("_tl_old.n").alias("oldest_source")), key, "left")
+    if creators is not None:
+        out = out.join(creators, key, "left")
+    return out

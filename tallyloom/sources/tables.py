@@ -1,7 +1,8 @@
 """Reading and writing warehouse tables (Parquet), literal and empty frames, calendars.
 
 Writes never overwrite a path that is being read: ``write_replace`` writes a
-new version folder and returns it; a small pointer file names the current one.
+new version folder and returns it; a small pointer (written by Spark, so any
+file system works) names the current one.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ DRIVER_TABLES = (
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Scan one table; Catalyst pushes filters and column pruning into the Parquet reader."""
-    path = os.path.join(base, f"{name}.parquet")
-    if not os.path.exists(path) and os.path.isdir(os.path.join(base, name)):
-        path = os.path.join(base, name)
+    path = f"{base.rstrip('/')}/{name}.parquet"
+    local = "://" not in base
+    if local and not os.path.exists(path) and os.path.isdir(os.path.join(base, name)):
+        path = os.path.join(base, name)  # a table folder (e.g. written by write_replace) instead of one file
     return spark.read.parquet(path)
 
 
@@ -87,30 +89,48 @@ def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), cl
                   metadata: dict | None = None) -> str:
     """Full rebuild (``CREATE OR REPLACE TABLE AS``) into a new version folder.
 
-    Returns the version path; ``path/_CURRENT`` names it.  Readers of the
-    previous version keep working while the new one is written.
+    Returns the version path; ``path/_CURRENT`` (written by Spark, so any file
+    system works) names it.  Readers of the previous version keep working
+    while the new one is written; the pointer moves only after the data is in
+    place.  ``metadata`` (description, labels) is saved beside the data.
     """
-    version = os.path.join(path, f"v-{dt.datetime.utcnow():%Y%m%d%H%M%S}-{uuid.uuid4().hex[:8]}")
+    spark = df.sparkSession
+    stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S")
+    name = f"v-{stamp}-{uuid.uuid4().hex[:8]}"
+    version = f"{path.rstrip('/')}/{name}"
     out = cluster(df, cluster_by) if cluster_by else df
     writer = out.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
-    _write_text(os.path.join(path, "_CURRENT"), os.path.basename(version))
     if metadata:
         import json
 
-        _write_text(os.path.join(version, "_METADATA.json"), json.dumps(metadata, sort_keys=True, default=str))
+        spark.createDataFrame([(json.dumps(metadata, sort_keys=True, default=str),)], "value string") \
+            .coalesce(1).write.mode("overwrite").text(f"{version}_meta")
+    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path.rstrip('/')}/_CURRENT")
     return version
 
 
-def current_version(path: str) -> str:
-    with open(os.path.join(path, "_CURRENT")) as fh:
-        return os.path.join(path, fh.read().strip())
+def current_version(spark: SparkSession, path: str) -> str:
+    name = spark.read.text(f"{path.rstrip('/')}/_CURRENT").first()[0].strip()
+    return f"{path.rstrip('/')}/{name}"
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(current_version(path))
+    return spark.read.parquet(current_version(spark, path))
+
+
+def read_metadata_of(spark: SparkSession, version: str) -> dict:
+    import json
+
+    return json.loads(spark.read.text(f"{version}_meta").first()[0])
+
+
+def month_partition(df: DataFrame, date_col: str, out: str = "month") -> DataFrame:
+    """Partition column by month of a date (day partitions over decades make too many files)."""
+    return df.withColumn(out, F.date_format(F.col(date_col), "yyyy-MM"))
 
 
 def append_rows(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
@@ -122,11 +142,3 @@ def append_rows(df: DataFrame, path: str, schema: T.StructType | None = None) ->
             raise ValueError(f"schema drift: missing={missing} extra={extra}")
         df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
     df.write.mode("append").parquet(path)
-
-
-def _write_text(path: str, text: str) -> None:
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    tmp = path + ".tmp"
-    with open(tmp, "w") as fh:
-        fh.write(text)
-    os.replace(tmp, path)
