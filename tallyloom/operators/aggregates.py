@@ -22,11 +22,17 @@ def count_when(cond: Column) -> Column:
     return F.count(F.when(cond, F.lit(1)))
 
 
-def group_status(cond: Column, all_label: str = "ALL", none_label: str = "NONE", some_label: str = "SOME") -> Column:
-    """All / none / some rows of the group satisfy ``cond`` (compare count_if with count)."""
+def group_status(cond: Column, all_label: str = "ALL", none_label: str = "NONE", some_label: str = "SOME",
+                 none_cond: Column | None = None) -> Column:
+    """All / none / some rows of the group satisfy ``cond`` (compare count_if with count).
+
+    With ``none_cond`` the "none" label needs every row to satisfy it (e.g. all
+    flags 'N'), so rows with an unknown flag make the group "some".
+    """
     hits = F.count_if(cond)
     total = F.count(F.lit(1))
-    return F.when(hits == total, F.lit(all_label)).when(hits == 0, F.lit(none_label)).otherwise(F.lit(some_label))
+    none = (F.count_if(none_cond) == total) if none_cond is not None else (hits == 0)
+    return F.when(hits == total, F.lit(all_label)).when(none, F.lit(none_label)).otherwise(F.lit(some_label))
 
 
 def level_rollup(df: DataFrame, code_col: str, lengths: Sequence[int], measures: Sequence[str],

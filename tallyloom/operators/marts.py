@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import same_month
 from ..functions.money import money
-from .aggregates import count_when, sum_if
+from .aggregates import count_when, group_status, sum_if
 from .numbering import sequence_in_parent
 
 # Entity states, decided in this order.
@@ -86,3 +86,38 @@ def mart_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     differs = ~F.col("_a").eqNullSafe(F.col("_b"))
     return j.agg(F.count("_in_a").alias("rows_a"), F.count("_in_b").alias("rows_b"),
                  F.count_if(differs).cast("long").alias("n_diff"))
+
+
+# Accounting status of an invoice from its lines' posted flags.
+POSTED_ALL, POSTED_NONE, POSTED_SOME = "Contabilizado", "No Contabilizado", "Contabilizado Parcialmente"
+
+
+def invoice_tax(lines: DataFrame, invoice: str = "invoice", dist: str = "dist", receipt: str = "receipt",
+                applies_to: str = "applies_to", kind: str = "type", amount: str = "amount",
+                posted: str = "posted", tax_kind: str = "TAX") -> DataFrame:
+    """Per invoice: amount without tax, tax, total and posting status.
+
+    Tax lines are matched to item lines by distribution; only when no item of
+    the invoice matches that way are they matched by receipt.  Each item line
+    takes the sum of its matching tax lines (as a correlated subquery per line
+    would), from tax tables pre-aggregated per (invoice, key) and joined once.
+    """
+    items = lines.filter(F.col(kind) != tax_kind)
+    taxes = lines.filter(F.col(kind) == tax_kind)
+    by_dist = taxes.groupBy(F.col(invoice).alias("_i"), F.col(applies_to).alias("_d")) \
+        .agg(F.sum(amount).alias("_tax_d"))
+    by_rcpt = taxes.groupBy(F.col(invoice).alias("_i"), F.col(receipt).alias("_r")) \
+        .agg(F.sum(amount).alias("_tax_r"))
+    j = (items.join(by_dist, (F.col(invoice) == F.col("_i")) & (F.col(dist) == F.col("_d")), "left")
+         .drop("_i", "_d")
+         .join(by_rcpt, (F.col(invoice) == F.col("_i")) & (F.col(receipt) == F.col("_r")), "left")
+         .drop("_i", "_r"))
+    agg = j.groupBy(invoice).agg(
+        F.sum(amount).alias("net"),
+        F.sum("_tax_d").alias("_tax_d"),
+        F.sum("_tax_r").alias("_tax_r"),
+        group_status(F.col(posted) == "Y", POSTED_ALL, POSTED_NONE, POSTED_SOME,
+                     none_cond=F.col(posted) == "N").alias("posting_status"),
+    )
+    tax = F.coalesce("_tax_d", "_tax_r", F.lit(0).cast(lines.schema[amount].dataType))
+    return agg.select(invoice, "net", tax.alias("tax"), (F.col("net") + tax).alias("total"), "posting_status")

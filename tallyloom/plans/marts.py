@@ -137,9 +137,30 @@ def q_entity_360(spark, sf_dir):
     return entity_summary(t.customer, t.orders, AS_OF_ORDERS).select(*_ENTITY_COLS)
 
 
+_ENTITY_A_SQL = """
+entity_a AS (
+  SELECT e.c_custkey, e.c_name, e.c_mktsegment, COALESCE(p.pick.k, -1) AS shown_order, p.pick.s AS shown_status,
+         e.n_orders, e.n_open, e.n_closed, e.n_pending, e.open_value, e.closed_value, e.state,
+         CAST(CASE WHEN p.pick.s = 'O' THEN 1 ELSE 0 END AS BIGINT) AS has_open, e.last_order_date, e.ordered_this_month
+  FROM entity e LEFT JOIN (
+    SELECT o_custkey, max(CASE WHEN o_orderstatus IN ('O', 'F') THEN
+             struct_pack(o := CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END, d := o_orderdate, k := o_orderkey,
+                         s := o_orderstatus) END) AS pick
+    FROM orders GROUP BY o_custkey) p ON p.o_custkey = e.c_custkey)"""
+
+
 @query("mart_diff", sql=f"""
-WITH {_ENTITY_SQL}
-SELECT count(*) AS rows_a, count(*) AS rows_b, CAST(0 AS BIGINT) AS n_diff FROM entity
+WITH {_ENTITY_SQL}, {_ENTITY_A_SQL}
+SELECT count(a.c_custkey) AS rows_a, count(b.c_custkey) AS rows_b,
+       CAST(count_if(a.c_custkey IS NULL OR b.c_custkey IS NULL
+                     OR (a.c_name, a.c_mktsegment, a.shown_order, a.shown_status, a.n_orders, a.n_open, a.n_closed,
+                         a.n_pending, a.open_value, a.closed_value, a.state, a.has_open, a.last_order_date,
+                         a.ordered_this_month)
+                        IS DISTINCT FROM
+                        (b.c_name, b.c_mktsegment, b.shown_order, b.shown_status, b.n_orders, b.n_open, b.n_closed,
+                         b.n_pending, b.open_value, b.closed_value, b.state, b.has_open, b.last_order_date,
+                         b.ordered_this_month)) AS BIGINT) AS n_diff
+FROM entity_a a FULL OUTER JOIN entity b ON a.c_custkey = b.c_custkey
 """)
 def q_mart_diff(spark, sf_dir):
     """The entity mart derived twice (aggregate picks vs numbered rows) and compared row by row."""

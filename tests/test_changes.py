@@ -105,3 +105,25 @@ def test_apply_overrides_both_actions(spark):
     no_date = apply_overrides(df.withColumn("sep", F.lit(None).cast("timestamp")), ov.limit(0), "number", "sep",
                               "Ventas", "eff")
     assert {r.eff for r in no_date.collect()} == {dt.date(1900, 1, 1)}
+
+
+def test_invoice_tax_fallback_and_posting(spark):
+    from tallyloom.operators.marts import invoice_tax
+
+    D = Decimal
+    lines = spark.createDataFrame([
+        # invoice A: tax matched by distribution
+        ("A", "d1", "r1", None, "ITEM", D("100.00"), "Y"), ("A", "d2", "r1", None, "ITEM", D("50.00"), "Y"),
+        ("A", "t1", "r1", "d1", "TAX", D("19.00"), "Y"),
+        # invoice B: tax only by receipt (its applies_to matches no distribution)
+        ("B", "d3", "r9", None, "ITEM", D("10.00"), "N"), ("B", "t2", "r9", "zz", "TAX", D("1.90"), "N"),
+        # invoice C: mixed and unknown posted flags, no tax
+        ("C", "d4", "r5", None, "ITEM", D("5.00"), "Y"), ("C", "d5", "r5", None, "ITEM", D("5.00"), None),
+        ("D", "d6", "r6", None, "ITEM", D("1.00"), None),
+    ], "invoice string, dist string, receipt string, applies_to string, type string, amount decimal(18,2), "
+       "posted string")
+    got = {r.invoice: (r.net, r.tax, r.total, r.posting_status) for r in invoice_tax(lines).collect()}
+    assert got["A"] == (D("150.00"), D("19.00"), D("169.00"), "Contabilizado")
+    assert got["B"] == (D("10.00"), D("1.90"), D("11.90"), "No Contabilizado")
+    assert got["C"] == (D("10.00"), D("0.00"), D("10.00"), "Contabilizado Parcialmente")
+    assert got["D"][3] == "Contabilizado Parcialmente"  # an unknown flag is not "all N"
