@@ -62,6 +62,14 @@ def is_month_end(value) -> bool:
     return d == last_day_of_month(d)
 
 
+def local_time(ts_col, zone: str) -> Column:
+    """Wall-clock time in ``zone`` of a UTC wall-clock timestamp (TIMESTAMP_NTZ).
+
+    Independent of the session time zone.
+    """
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts_col))
+
+
 def local_day(ts_col, zone: str) -> Column:
-    """Calendar day of a UTC instant in a local zone."""
-    return F.to_date(F.from_utc_timestamp(_c(ts_col).cast("timestamp"), zone))
+    """Calendar day in ``zone`` of a UTC wall-clock timestamp."""
+    return F.to_date(local_time(ts_col, zone))

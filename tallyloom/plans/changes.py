@@ -21,7 +21,7 @@ from ..operators.dedup import latest_per_key
 from ..sources.tables import Tables, literal_rows
 from . import AS_OF_EVENTS, AS_OF_ORDERS, query
 
-_Y2001 = (dt.datetime(2001, 1, 1), dt.datetime(2002, 1, 1))
+_Y2001 = (dt.date(2001, 1, 1), dt.date(2002, 1, 1))
 
 
 def _raw_customers(t):
@@ -140,9 +140,9 @@ def q_upsert_composite_key(spark, sf_dir):
     t = Tables(spark, sf_dir)
     li = t.lineitem
     defaults = {"l_orderkey": -1, "l_linenumber": -1}
-    old = _line_version(li.filter(F.col("l_shipdate") < F.lit(dt.datetime(2000, 1, 1)))).na.fill(defaults)
+    old = _line_version(li.filter(F.col("l_shipdate") < F.lit(dt.date(2000, 1, 1)))).na.fill(defaults)
     target = latest_per_key(old, ["l_orderkey", "l_linenumber"], ["l_shipdate"])
-    source = _line_version(li.filter(F.col("l_shipdate") >= F.lit(dt.datetime(1998, 1, 1))))
+    source = _line_version(li.filter(F.col("l_shipdate") >= F.lit(dt.date(1998, 1, 1))))
     merged = scd1_upsert(target, source, ["l_orderkey", "l_linenumber"], _RUN_DATE, key_defaults=defaults,
                          dedup_order=["l_shipdate"])
     return merged.select("l_orderkey", "l_linenumber", "l_quantity", cents("l_extendedprice").alias("l_extendedprice"),
@@ -228,7 +228,7 @@ def q_replace_date_window(spark, sf_dir):
 
 
 def _segment_totals(t, upto: dt.date):
-    o = t.orders.filter(F.col("o_orderdate") < F.lit(dt.datetime.combine(upto + dt.timedelta(days=1), dt.time())))
+    o = t.orders.filter(F.col("o_orderdate") < F.lit(upto + dt.timedelta(days=1)))
     return o.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey") \
         .groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n_orders"),
                                      F.sum(money("o_totalprice")).alias("total"))

@@ -207,8 +207,8 @@ WHERE (o.o_orderstatus NOT IN ('F', 'P') OR o.o_orderstatus IS NULL)
 def q_null_safe_exclusion(spark, sf_dir):
     """Customers with their 2001 orders; excluded statuses dropped but customers without orders kept."""
     t = Tables(spark, sf_dir)
-    o = t.orders.filter((F.col("o_orderdate") >= F.lit(dt.datetime(2001, 1, 1)))
-                        & (F.col("o_orderdate") < F.lit(dt.datetime(2002, 1, 1))))
+    o = t.orders.filter((F.col("o_orderdate") >= F.lit(dt.date(2001, 1, 1)))
+                        & (F.col("o_orderdate") < F.lit(dt.date(2002, 1, 1))))
     c = t.customer.filter(F.col("c_name").like("Customer#%") & ~F.col("c_name").like("%9")
                           & ~F.col("c_mktsegment").like("%URN%"))
     j = c.join(o, F.col("o_custkey") == F.col("c_custkey"), "left")

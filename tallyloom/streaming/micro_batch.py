@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.dates import local_time
 from ..operators.changes import scd1_upsert
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_current, write_replace
@@ -54,7 +55,7 @@ def daily_counts_stream(stream: DataFrame, ts_col: str, keys: Sequence[str], zon
                         watermark: str = "2 days") -> DataFrame:
     """Rows per key and local calendar day; rows later than the watermark are dropped
     by Spark, the rest update their day's count."""
-    local = F.from_utc_timestamp(F.col(ts_col).cast("timestamp"), zone)
+    local = local_time(ts_col, zone)
     return (
         stream.withColumn("_tl_local_ts", local)
         .withWatermark("_tl_local_ts", watermark)

@@ -28,9 +28,9 @@ def test_upsert_stream_matches_batch(spark, tmp_path):
 def test_daily_counts_stream(spark, tmp_path):
     src = tmp_path / "events"
     spark.createDataFrame([("click", dt.datetime(2024, 1, 2, 3, 0)), ("click", dt.datetime(2024, 1, 2, 6, 0)),
-                           ("view", dt.datetime(2024, 1, 2, 12, 0))], "event_type string, ts timestamp") \
+                           ("view", dt.datetime(2024, 1, 2, 12, 0))], "event_type string, ts timestamp_ntz") \
         .write.parquet(str(src / "p1"))
-    stream = spark.readStream.schema("event_type string, ts timestamp").parquet(str(src / "*"))
+    stream = spark.readStream.schema("event_type string, ts timestamp_ntz").parquet(str(src / "*"))
     out = tmp_path / "out"
     q = (daily_counts_stream(stream, "ts", ["event_type"], "America/Bogota")
          .writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "ck2"))
