@@ -53,13 +53,20 @@ def upsert_stream(stream: DataFrame, target_path: str, keys: Sequence[str], run_
 
 def daily_counts_stream(stream: DataFrame, ts_col: str, keys: Sequence[str], zone: str,
                         watermark: str = "2 days") -> DataFrame:
-    """Rows per key and local calendar day; rows later than the watermark are dropped
-    by Spark, the rest update their day's count."""
-    local = local_time(ts_col, zone)
+    """Rows per key and local calendar day of a UTC wall-clock timestamp column.
+
+    The watermark needs an instant, so the local wall-clock time is re-read as
+    if it were UTC: its UTC day is the local day, and one-day windows then
+    align to local midnight.  Rows later than the watermark are dropped by
+    Spark; the rest update their day's count.
+    """
+    session_tz = stream.sparkSession.conf.get("spark.sql.session.timeZone")
+    shifted = F.convert_timezone(F.lit("UTC"), F.lit(session_tz), local_time(ts_col, zone)).cast("timestamp")
+    start_utc = F.convert_timezone(F.lit(session_tz), F.lit("UTC"), F.col("w.start").cast("timestamp_ntz"))
     return (
-        stream.withColumn("_tl_local_ts", local)
+        stream.withColumn("_tl_local_ts", shifted)
         .withWatermark("_tl_local_ts", watermark)
         .groupBy(*keys, F.window("_tl_local_ts", "1 day").alias("w"))
         .agg(F.count(F.lit(1)).alias("n_events"))
-        .select(*keys, F.to_date(F.col("w.start")).alias("day"), "n_events")
+        .select(*keys, F.to_date(start_utc).alias("day"), "n_events")
     )
