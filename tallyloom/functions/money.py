@@ -31,6 +31,17 @@ def gross_amount(price="l_extendedprice", discount="l_discount", tax="l_tax") ->
     return F.round(net_amount(price, discount) * (F.lit(1) + money(tax)), 2)
 
 
+def refund(collected, penalty) -> Column:
+    """Collected minus penalty, floored at 0; a missing amount counts as 0."""
+    diff = F.coalesce(_c(collected), F.lit(0)) - F.coalesce(_c(penalty), F.lit(0))
+    return F.greatest(diff, F.lit(0).cast(MONEY))
+
+
+def second_party(value, first_share, full=100) -> Column:
+    """The second buyer's value, hidden (NULL) when the first buyer holds the whole share."""
+    return F.when(F.coalesce(_c(first_share), F.lit(0)) < F.lit(full), _c(value))
+
+
 # The same expressions as SQL text, for the DuckDB oracles.
 MONEY_SQL = "CAST({} AS DECIMAL(18,2))"
 NET_SQL = "ROUND(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))), 2)"

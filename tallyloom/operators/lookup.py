@@ -58,3 +58,23 @@ def fallback(*cols, default=None) -> Column:
     if default is not None:
         chain.append(F.lit(default))
     return F.coalesce(*chain)
+
+
+def lookup_many(df: DataFrame, row_key: Sequence[str], code_cols: Sequence[str], lookup: DataFrame,
+                code_col: str = "code", value_col: str = "meaning", suffix: str = "_name") -> DataFrame:
+    """Label many code columns from one lookup table with a single join.
+
+    The row's codes are unpivoted to (row, slot, code), joined to the lookup
+    once and pivoted back, instead of one correlated lookup (or one join) per
+    column.  The lookup is reduced to one value per code first, so no row can
+    be multiplied.  ``row_key`` must identify a row.
+    """
+    row_key, code_cols = list(row_key), list(code_cols)
+    lk = lookup.groupBy(F.col(code_col).alias("_tl_code")).agg(F.max(value_col).alias("_tl_value"))
+    long = df.select(*row_key, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("slot"), F.col(c).cast("string").alias("code")) for c in code_cols
+    ])).alias("_tl_s")).select(*row_key, "_tl_s.slot", "_tl_s.code")
+    named = long.join(lk, F.col("code") == F.col("_tl_code"), "left")
+    wide = named.groupBy(*row_key).agg(*[
+        F.max(F.when(F.col("slot") == c, F.col("_tl_value"))).alias(f"{c}{suffix}") for c in code_cols])
+    return df.join(wide, row_key, "left")

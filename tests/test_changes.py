@@ -127,3 +127,24 @@ def test_invoice_tax_fallback_and_posting(spark):
     assert got["B"] == (D("10.00"), D("1.90"), D("11.90"), "No Contabilizado")
     assert got["C"] == (D("10.00"), D("0.00"), D("10.00"), "Contabilizado Parcialmente")
     assert got["D"][3] == "Contabilizado Parcialmente"  # an unknown flag is not "all N"
+
+
+def test_lookup_many_single_join(spark):
+    from tallyloom.operators.lookup import lookup_many
+
+    df = spark.createDataFrame([(1, "10", "20", None), (2, "20", "99", "10")], "id long, a string, b string, c string")
+    lk = spark.createDataFrame([("10", "ten"), ("20", "twenty"), ("20", "twenty")], "code string, meaning string")
+    got = rows(lookup_many(df, ["id"], ["a", "b", "c"], lk), "id", "a_name", "b_name", "c_name")
+    assert got == [(1, "ten", "twenty", None), (2, "twenty", None, "ten")]
+
+
+def test_refund_and_second_party(spark):
+    from tallyloom.functions.money import refund, second_party
+
+    D = Decimal
+    df = spark.createDataFrame([(D("100.00"), D("30.00"), 60, "b1"), (D("10.00"), D("30.00"), 100, "b2"),
+                                (None, D("5.00"), None, "b3"), (D("7.00"), None, 40, "b4")],
+                               "collected decimal(18,2), penalty decimal(18,2), share int, buyer2 string")
+    got = [(r.r, r.b) for r in df.select(refund("collected", "penalty").alias("r"),
+                                         second_party("buyer2", "share").alias("b")).collect()]
+    assert got == [(D("70.00"), "b1"), (D("0.00"), None), (D("0.00"), "b3"), (D("7.00"), "b4")]
