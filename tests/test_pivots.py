@@ -1,6 +1,5 @@
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tallyloom.operators.pivots import dynamic_pivot, milestone_pivot, pivot_width, static_pivot
 
