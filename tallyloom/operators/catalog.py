@@ -10,6 +10,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -81,11 +82,14 @@ def lineage_closure(edges: DataFrame, starts: DataFrame, src: str = "src", dst:
     visited = frontier.select("start", "node")
     steps = []
     for depth in range(1, max_depth + 1):
-        step = (frontier.join(e, "node").select("start", F.col("next").alias("node"),
-                                                F.lit(depth).cast("long").alias("level"))
-                .join(visited, ["start", "node"], "left_anti")
-                .distinct()
-                .checkpoint(eager=True))
+        fresh = (frontier.join(e, "node").select("start", F.col("next").alias("node"),
+                                                 F.lit(depth).cast("long").alias("level"))
+                 .join(visited, ["start", "node"], "left_anti")
+                 .distinct()
+                 .persist(StorageLevel.MEMORY_AND_DISK))
+        # persisted first, so the checkpoint's count and its file write compute the round once
+        step = fresh.checkpoint(eager=True)
+        fresh.unpersist()
         if step.isEmpty():
             break
         steps.append(step)
