@@ -78,3 +78,24 @@ def lookup_many(df: DataFrame, row_key: Sequence[str], code_cols: Sequence[str],
     wide = named.groupBy(*row_key).agg(*[
         F.max(F.when(F.col("slot") == c, F.col("_tl_value"))).alias(f"{c}{suffix}") for c in code_cols])
     return df.join(wide, row_key, "left")
+
+
+def star_join(fact: DataFrame, dims: Sequence[tuple], how: str = "left", check: bool = False) -> DataFrame:
+    """Join a fact to its dimensions: ``dims`` is a list of ``(dim_df, fact_keys, dim_keys)``.
+
+    Each dimension is reduced to the columns it contributes and renamed onto
+    the fact's key names, so there is one key column per join.  With
+    ``check=True`` every dimension is first verified unique on its key (a
+    one-to-many side would multiply fact rows); the check is a key-only
+    aggregate with a one-row result.
+    """
+    out = fact
+    for dim, fact_keys, dim_keys in dims:
+        fact_keys = [fact_keys] if isinstance(fact_keys, str) else list(fact_keys)
+        dim_keys = [dim_keys] if isinstance(dim_keys, str) else list(dim_keys)
+        if check:
+            check_unique(dim, dim_keys)
+        renamed = dim.select(*[F.col(d).alias(f) for d, f in zip(dim_keys, fact_keys)],
+                             *[c for c in dim.columns if c not in dim_keys])
+        out = out.join(renamed, fact_keys, how)
+    return out

@@ -12,7 +12,7 @@ from ..operators.conform import (
     conform_parties,
     union_tagged,
 )
-from ..operators.lookup import broadcast_bounded, fallback, scalar_lookup
+from ..operators.lookup import broadcast_bounded, fallback, scalar_lookup, star_join
 from ..sources.tables import Tables, literal_rows
 from . import query
 
@@ -40,12 +40,12 @@ def q_star_fact(spark, sf_dir):
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
     lines = o.join(li, li.l_orderkey == o.o_orderkey, "right").filter(F.col("o_orderkey").isNotNull())
     ps = li.groupBy("l_partkey", "l_suppkey").agg(F.count(F.lit(1)).alias("ps_lines"))
-    fact = (
-        lines.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_name"), "o_custkey", "left")
-        .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_name"), "l_partkey", "left")
-        .join(t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_name"), "l_suppkey", "left")
-        .join(ps, ["l_partkey", "l_suppkey"], "left")
-    )
+    fact = star_join(lines, [
+        (t.customer.select("c_custkey", "c_name"), "o_custkey", "c_custkey"),
+        (t.part.select("p_partkey", "p_name"), "l_partkey", "p_partkey"),
+        (t.supplier.select("s_suppkey", "s_name"), "l_suppkey", "s_suppkey"),
+        (ps, ["l_partkey", "l_suppkey"], ["l_partkey", "l_suppkey"]),
+    ])
     return fact.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "o_custkey", "c_name", "p_name",
                        "s_name", F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("order_date"),
                        net_amount().cast("double").alias("net"), "ps_lines")

@@ -148,3 +148,18 @@ def test_refund_and_second_party(spark):
     got = [(r.r, r.b) for r in df.select(refund("collected", "penalty").alias("r"),
                                          second_party("buyer2", "share").alias("b")).collect()]
     assert got == [(D("70.00"), "b1"), (D("0.00"), None), (D("0.00"), "b3"), (D("7.00"), "b4")]
+
+
+def test_star_join_fan_out_guard(spark):
+    import pytest
+
+    from tallyloom.operators.lookup import star_join
+
+    fact = spark.createDataFrame([(1, 10, 100), (2, 20, 100)], "id long, c long, p long")
+    cust = spark.createDataFrame([(10, "x"), (20, "y")], "ck long, cname string")
+    part = spark.createDataFrame([(100, "a"), (100, "b")], "pk long, pname string")  # not unique: would fan out
+    ok = star_join(fact, [(cust, "c", "ck")], check=True)
+    assert rows(ok, "id", "cname") == [(1, "x"), (2, "y")]
+    with pytest.raises(ValueError):
+        star_join(fact, [(cust, "c", "ck"), (part, "p", "pk")], check=True)
+    assert star_join(fact, [(part, "p", "pk")]).count() == 4  # unchecked: the fan-out the guard prevents
