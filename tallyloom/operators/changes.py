@@ -114,7 +114,9 @@ def replace_date_window(target: DataFrame, recomputed: DataFrame, date_col: str,
 
     Rows outside the window are kept untouched; recomputed rows outside the
     window are ignored.  The window filter is a literal range, so it reaches
-    the Parquet scan (and prunes date partitions).
+    the Parquet scan (and prunes date partitions).  For a month-partitioned
+    target, write only ``recomputed`` filtered to the window with
+    ``sources.tables.overwrite_partitions`` instead of rewriting everything.
     """
     lo, hi = lit_date(start), lit_date(end)
     d = F.to_date(F.col(date_col))

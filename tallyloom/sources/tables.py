@@ -133,6 +133,17 @@ def month_partition(df: DataFrame, date_col: str, out: str = "month") -> DataFra
     return df.withColumn(out, F.date_format(F.col(date_col), "yyyy-MM"))
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite).
+
+    For a month-partitioned fact, a rebuilt date window (``replace_date_window``)
+    rewrites just its months instead of the whole table; other partitions are
+    not read or touched.
+    """
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*partition_by).parquet(path)
+
+
 def append_rows(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
     """``INSERT INTO ... SELECT`` by column name, after checking the target schema."""
     if schema is not None:

@@ -46,3 +46,18 @@ def test_generate_calendar_size(spark):
     cal = generate_calendar(spark, "2000-01-01", "2080-12-31")
     assert cal.count() == 29586
     assert cal.agg(F.min("day"), F.max("day")).first() == (dt.date(2000, 1, 1), dt.date(2080, 12, 31))
+
+
+def test_overwrite_partitions_touches_only_window(spark, tmp_path):
+    from tallyloom.operators.changes import replace_date_window
+    from tallyloom.sources.tables import overwrite_partitions
+
+    path = str(tmp_path / "fact_m")
+    base = spark.createDataFrame([(i, dt.date(2024, m, 10), 1) for i, m in enumerate([1, 2, 3, 4])],
+                                 "k long, d date, v long")
+    overwrite_partitions(month_partition(base, "d"), path, ["month"])
+    new = spark.createDataFrame([(9, dt.date(2024, 2, 20), 5), (8, dt.date(2024, 3, 1), 6)], "k long, d date, v long")
+    window = replace_date_window(base.limit(0), new, "d", "2024-02-01", "2024-03-31")
+    overwrite_partitions(month_partition(window, "d"), path, ["month"])
+    got = rows(spark.read.parquet(path), "month", "k", "v")
+    assert got == [("2024-01", 0, 1), ("2024-02", 9, 5), ("2024-03", 8, 6), ("2024-04", 3, 1)]
