@@ -255,3 +255,27 @@ def q_code_lookup(spark, sf_dir):
     o = code_lookup(o, codes, "PRIORITY", "ES", F.col("priority_no"), "priority_label", code_cast="int")
     return o.select("o_orderkey", "status_label", "priority_label", F.col("priority_no").cast("long"),
                     decode("o_orderstatus", STATUS_DECODE, "unknown").alias("status_decode"))
+
+
+@query("multi_code_lookup", sql=f"""
+WITH codes(type, code, lang, meaning) AS (VALUES {_CODE_VALUES}),
+lk AS (SELECT type || ':' || code AS k, max(meaning) AS m FROM codes WHERE lang = 'EN' GROUP BY 1)
+SELECT o.o_orderkey, s.m AS status_code_name, p.m AS priority_code_name
+FROM orders o
+LEFT JOIN lk s ON s.k = 'STATUS:' || lower(o.o_orderstatus)
+LEFT JOIN lk p ON p.k = 'PRIORITY:' || split_part(o.o_orderpriority, '-', 1)
+""")
+def q_multi_code_lookup(spark, sf_dir):
+    """Several code columns of each order labelled from one code table in a single join
+    (instead of one lookup per column)."""
+    from ..operators.lookup import lookup_many
+
+    t = Tables(spark, sf_dir)
+    codes = literal_rows(spark, CODE_ROWS, _CODE_SCHEMA).filter(F.col("lang") == "EN").select(
+        F.concat_ws(":", "type", "code").alias("code"), "meaning")
+    o = t.orders.select(
+        "o_orderkey",
+        F.concat(F.lit("STATUS:"), F.lower("o_orderstatus")).alias("status_code"),
+        F.concat(F.lit("PRIORITY:"), F.split_part("o_orderpriority", F.lit("-"), F.lit(1))).alias("priority_code"))
+    return lookup_many(o, ["o_orderkey"], ["status_code", "priority_code"], codes).select(
+        "o_orderkey", "status_code_name", "priority_code_name")
