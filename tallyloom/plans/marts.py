@@ -170,3 +170,37 @@ def q_mart_diff(spark, sf_dir):
     a = entity_summary(t.customer, t.orders, AS_OF_ORDERS).select(*_ENTITY_COLS)
     b = entity_summary_by_rows(t.customer, t.orders, AS_OF_ORDERS).select(*_ENTITY_COLS)
     return mart_diff(a, b, ["c_custkey"])
+
+
+PENALTY_RATE = "0.10"
+
+
+@query("withdrawal_refund", sql=f"""
+WITH collected AS (SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS collected
+                   FROM lineitem WHERE l_linestatus = 'F' GROUP BY l_orderkey)
+SELECT o.o_orderkey, o.o_custkey,
+       CAST(COALESCE(c.collected, 0) AS DOUBLE) AS collected,
+       CAST(ROUND(CAST(o.o_totalprice AS DECIMAL(18,2)) * {PENALTY_RATE}, 2) AS DOUBLE) AS penalty,
+       CAST(greatest(COALESCE(c.collected, 0) - ROUND(CAST(o.o_totalprice AS DECIMAL(18,2)) * {PENALTY_RATE}, 2), 0)
+            AS DOUBLE) AS refund
+FROM orders o LEFT JOIN collected c ON c.l_orderkey = o.o_orderkey
+WHERE o.o_orderstatus = 'P'
+""")
+def q_withdrawal_refund(spark, sf_dir):
+    """Withdrawn (status P) orders: amount collected, penalty, refund floored at 0 (NULL counts as 0);
+    the collected amount is a pre-aggregated lookup joined once."""
+    from decimal import Decimal
+
+    from ..functions.money import refund
+    from ..operators.lookup import scalar_lookup
+
+    t = Tables(spark, sf_dir)
+    withdrawn = t.orders.filter(F.col("o_orderstatus") == "P").select("o_orderkey", "o_custkey", "o_totalprice")
+    closed = t.lineitem.filter(F.col("l_linestatus") == "F")
+    j = scalar_lookup(withdrawn, closed, "o_orderkey", "l_orderkey",
+                      [F.sum(money("l_extendedprice")).alias("collected")])
+    penalty = F.round(money("o_totalprice") * F.lit(Decimal(PENALTY_RATE)), 2)
+    return j.select("o_orderkey", "o_custkey",
+                    F.coalesce("collected", F.lit(0)).cast("double").alias("collected"),
+                    penalty.cast("double").alias("penalty"),
+                    refund(F.col("collected"), penalty).cast("double").alias("refund"))
