@@ -86,6 +86,8 @@ def flag_soft_deletes(raw: DataFrame, live_keys: DataFrame, key: str, flag_col:
     reduced to distinct keys (map-side) before the join, so duplicates cannot
     multiply raw rows.
     """
+    if flag_col not in raw.columns:  # first run: no row has been flagged yet
+        raw = raw.withColumn(flag_col, F.lit(None).cast("string"))
     live = live_keys.select(F.col(key)).filter(F.col(key).isNotNull()).distinct().withColumn("_tl_live", F.lit(True))
     j = raw.join(live, key, "left")
     gone = F.col(key).isNotNull() & F.col("_tl_live").isNull()

@@ -163,3 +163,11 @@ def test_star_join_fan_out_guard(spark):
     with pytest.raises(ValueError):
         star_join(fact, [(cust, "c", "ck"), (part, "p", "pk")], check=True)
     assert star_join(fact, [(part, "p", "pk")]).count() == 4  # unchecked: the fan-out the guard prevents
+
+
+def test_flag_soft_deletes_first_run_adds_flag(spark):
+    raw = spark.createDataFrame([(1, "p"), (2, "q")], "id long, payload string")
+    live = spark.createDataFrame([(1,)], "id long")
+    out = flag_soft_deletes(raw, live, "id")
+    assert out.columns == ["id", "payload", "deleted"]
+    assert rows(out, "id", "deleted") == [(1, None), (2, "1")]
