@@ -192,7 +192,7 @@ WITH parties AS (
 tagged AS (SELECT *, NULLIF(regexp_extract(name, '{_NORM_RE}', 1), '') AS norm_id FROM parties),
 best AS (SELECT norm_id, max(name) AS best_name, count(DISTINCT name) AS n_names FROM tagged GROUP BY norm_id)
 SELECT t.origin, t.id, t.name, t.norm_id, b.best_name, b.n_names
-FROM tagged t LEFT JOIN best b ON b.norm_id IS NOT DISTINCT FROM t.norm_id
+FROM tagged t LEFT JOIN best b ON b.norm_id = t.norm_id
 """)
 def q_conform_parties(spark, sf_dir):
     """Customers and suppliers as one party list; one best name per normalised number."""
