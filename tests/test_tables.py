@@ -61,3 +61,22 @@ def test_overwrite_partitions_touches_only_window(spark, tmp_path):
     overwrite_partitions(month_partition(window, "d"), path, ["month"])
     got = rows(spark.read.parquet(path), "month", "k", "v")
     assert got == [("2024-01", 0, 1), ("2024-02", 9, 5), ("2024-03", 8, 6), ("2024-04", 3, 1)]
+
+
+def test_bucketed_tables_join_without_exchange(spark, tmp_path):
+    from tallyloom.sources.tables import write_bucketed
+
+    orders = spark.range(1000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("c"))
+    lines = spark.range(3000).select((F.col("id") % 1000).alias("k"), F.col("id").alias("v"))
+    o = write_bucketed(orders, "tl_test_orders_b", ["k"], 8, str(tmp_path / "ob"))
+    li = write_bucketed(lines, "tl_test_lines_b", ["k"], 8, str(tmp_path / "lb"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = li.join(o, "k")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 3000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS tl_test_orders_b")
+        spark.sql("DROP TABLE IF EXISTS tl_test_lines_b")
