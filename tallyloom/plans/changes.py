@@ -73,12 +73,18 @@ _RUN_DATE = dt.date(2001, 8, 31)
 _FIRST_LOAD = dt.date(2001, 1, 1)
 
 
+_FIRST_LOAD_CUTOFF = dt.date(1999, 1, 1)   # customers whose first order precedes this were in the first load
+_ACTIVE_SINCE = dt.date(1998, 1, 1)        # today's extract: customers with an order since this day
+
+
 @query("scd1_upsert", sql="""
-WITH t AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
-                  DATE '2001-01-01' AS loaded_at, DATE '2001-01-01' AS updated_at
-           FROM customer WHERE c_nationkey < 20),
+WITH hist AS (SELECT o_custkey, min(o_orderdate) AS first_ts, max(o_orderdate) AS last_ts FROM orders GROUP BY 1),
+c AS (SELECT c.*, h.first_ts, h.last_ts FROM customer c JOIN hist h ON h.o_custkey = c.c_custkey),
+t AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
+             DATE '2001-01-01' AS loaded_at, DATE '2001-01-01' AS updated_at
+      FROM c WHERE first_ts < TIMESTAMP '1999-01-01'),
 s AS (SELECT c_custkey, lower(c_name) AS c_name, CAST(c_acctbal AS DECIMAL(18,2)) + 100 AS c_acctbal, c_mktsegment
-      FROM customer WHERE c_mktsegment <> 'HOUSEHOLD')
+      FROM c WHERE last_ts >= TIMESTAMP '1998-01-01')
 SELECT COALESCE(t.c_custkey, s.c_custkey) AS c_custkey,
        CASE WHEN s.c_custkey IS NOT NULL THEN s.c_name ELSE t.c_name END AS c_name,
        CAST(CASE WHEN s.c_custkey IS NOT NULL THEN s.c_acctbal ELSE t.c_acctbal END AS DOUBLE) AS c_acctbal,
@@ -90,13 +96,16 @@ SELECT COALESCE(t.c_custkey, s.c_custkey) AS c_custkey,
 FROM t FULL OUTER JOIN s ON t.c_custkey = s.c_custkey
 """)
 def q_scd1_upsert(spark, sf_dir):
-    """Dimension of customers (nations < 20) merged with a changed extract (all but HOUSEHOLD)."""
+    """Customer dimension as first loaded (customers ordering before 1999) merged with today's
+    changed extract (customers active since 1998): keep, update and insert all occur."""
     t = Tables(spark, sf_dir)
-    c = t.customer
-    target = c.filter(F.col("c_nationkey") < 20).select(
+    hist = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.min("o_orderdate").alias("first_ts"), F.max("o_orderdate").alias("last_ts"))
+    c = t.customer.join(hist, "c_custkey")
+    target = c.filter(F.col("first_ts") < F.lit(_FIRST_LOAD_CUTOFF)).select(
         "c_custkey", "c_name", money("c_acctbal").alias("c_acctbal"), "c_mktsegment",
         F.lit(_FIRST_LOAD).alias("loaded_at"), F.lit(_FIRST_LOAD).alias("updated_at"))
-    source = c.filter(F.col("c_mktsegment") != "HOUSEHOLD").select(
+    source = c.filter(F.col("last_ts") >= F.lit(_ACTIVE_SINCE)).select(
         "c_custkey", F.lower("c_name").alias("c_name"), (money("c_acctbal") + 100).alias("c_acctbal"),
         "c_mktsegment")
     merged = scd1_upsert(target, source, ["c_custkey"], _RUN_DATE,
