@@ -70,7 +70,7 @@ def entity_summary_by_rows(customers: DataFrame, orders: DataFrame, as_of) -> Da
     cand = orders.filter(F.col("o_orderstatus").isin("O", "F")).withColumn(
         "_prio", F.when(F.col("o_orderstatus") == "O", 0).otherwise(1))
     first = sequence_in_parent(cand, ["o_custkey"], ["_prio", F.col("o_orderdate").desc(), F.col("o_orderkey").desc()],
-                               out="_slot").filter(F.col("_slot") == 1)
+                               out="_slot", hot_keys_from=orders.select("o_custkey")).filter(F.col("_slot") == 1)
     shown = first.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("shown_order"),
                          F.col("o_orderstatus").alias("shown_status"))
     return _finish(customers, agg, shown, as_of)

@@ -73,14 +73,17 @@ def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str,
 
 def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None = None, out: str = "rn",
                     partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
-                    max_group_rows: int | None = None) -> DataFrame:
+                    max_group_rows: int | None = None, hot_keys_from: DataFrame | None = None) -> DataFrame:
     """1-based ``row_number`` over ``order``, restarting per ``parent`` columns.
 
     ``order`` holds column names (ascending, nulls first) or sort Columns such as
     ``F.col('x').desc()``.  Give a total order (append unique columns) when the
     numbers themselves must be reproducible; ties get distinct numbers either way.
     ``max_group_rows``, when the caller already knows the largest parent size,
-    skips the hot-parent count.
+    skips the hot-parent count.  ``hot_keys_from`` is a cheaper frame with the
+    parent columns whose per-key counts bound the input's (e.g. the base table
+    when later steps only filter or join one-to-one); keys are counted there.
+    Over-counting only routes a key to the range path; results are the same.
     """
     spark = df.sparkSession
     parent = list(parent or [])
@@ -93,7 +96,8 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
         return df.withColumn(out, F.row_number().over(window).cast("long"))
     # key-only count: Catalyst prunes the scan to the parent columns; the input is
     # recomputed rather than cached (caching a wide input measured slower than re-reading it)
-    counts = df.groupBy(*parent).agg(F.count(F.lit(1)).alias("_tl_cnt"))
+    source = hot_keys_from if hot_keys_from is not None else df
+    counts = source.groupBy(*parent).agg(F.count(F.lit(1)).alias("_tl_cnt"))
     hot = counts.filter(F.col("_tl_cnt") > hot_rows).select(*parent)
     n_hot = hot.count()
     if n_hot == 0:
@@ -118,6 +122,6 @@ def running_number(df: DataFrame, order: Sequence, out: str = "rn", partitions:
 
 def sequence_in_parent(df: DataFrame, parent: Sequence[str], order: Sequence, out: str = "seq",
                        partitions: int | None = None, hot_rows: int = DEFAULT_HOT_ROWS,
-                       max_group_rows: int | None = None) -> DataFrame:
+                       max_group_rows: int | None = None, hot_keys_from: DataFrame | None = None) -> DataFrame:
     """Instalment/slot number inside a parent (W3), safe when one parent is huge."""
-    return sequence_number(df, order, parent, out, partitions, hot_rows, max_group_rows)
+    return sequence_number(df, order, parent, out, partitions, hot_rows, max_group_rows, hot_keys_from)

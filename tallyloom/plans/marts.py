@@ -61,7 +61,9 @@ def q_receivable_aging(spark, sf_dir):
         .join(paid, "o_orderkey", "left")
     )
     aged = receivable_aging(inst, AS_OF_ORDERS, status_col="status", closed_value="F", paid_col="paid")
-    numbered = sequence_in_parent(aged, ["c_custkey"], ["due_date", "o_orderkey"], out="instalment_no")
+    # the aging only filters orders joined one-to-one, so order counts per customer bound the parents
+    numbered = sequence_in_parent(aged, ["c_custkey"], ["due_date", "o_orderkey"], out="instalment_no",
+                                  hot_keys_from=t.orders.select(F.col("o_custkey").alias("c_custkey")))
     return numbered.select(
         "o_orderkey", "c_custkey", "c_name", "instalment_no",
         F.date_format("due_date", "yyyy-MM-dd").alias("due_date"),

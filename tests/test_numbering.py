@@ -47,3 +47,11 @@ def test_running_number_empty_and_single(spark):
     assert running_number(empty, ["id"]).count() == 0
     one = spark.createDataFrame([(5,)], "id long")
     assert [r.rn for r in running_number(one, ["id"]).collect()] == [1]
+
+
+def test_hot_keys_from_upper_bound(spark):
+    df, pdf = _frame(spark)
+    bound = df.select("p").unionByName(df.select("p"))  # over-counts every key: results must not change
+    out = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq", partitions=5,
+                             hot_rows=80, hot_keys_from=bound)
+    assert {r.id: r.seq for r in out.select("id", "seq").collect()} == _expected(pdf, True)
