@@ -131,22 +131,18 @@ SELECT c.c_custkey, strftime(CAST(agg.last_ts AS DATE), '%Y-%m-%d') AS last_orde
 FROM customer c LEFT JOIN agg ON agg.o_custkey = c.c_custkey LEFT JOIN last ON last.o_custkey = c.c_custkey
 """)
 def q_lookup_scalar(spark, sf_dir):
-    """Correlated scalar subqueries (MAX, SUM, COUNT, and the latest row's value) as
-    pre-aggregated lookups joined once each."""
-    from ..operators.dedup import latest_per_key
-
+    """Correlated scalar subqueries (MAX, SUM, COUNT, and the latest row's value) as one
+    pre-aggregated lookup: every measure, including the latest row (a struct max), comes
+    from a single aggregation of orders joined once."""
     t = Tables(spark, sf_dir)
-    o = t.orders
-    c = scalar_lookup(t.customer.select("c_custkey"), o, "c_custkey", "o_custkey", [
+    c = scalar_lookup(t.customer.select("c_custkey"), t.orders, "c_custkey", "o_custkey", [
         F.max("o_orderdate").alias("last_ts"), F.sum(money("o_totalprice")).alias("total"),
-        F.count(F.lit(1)).alias("n")])
-    last = latest_per_key(o.select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority"),
-                          ["o_custkey"], ["o_orderdate", "o_orderkey"]).select(
-        F.col("o_custkey").alias("c_custkey"), F.col("o_orderpriority").alias("last_priority"))
-    c = c.join(last, "c_custkey", "left")
+        F.count(F.lit(1)).alias("n"),
+        F.max(F.struct("o_orderdate", "o_orderkey", "o_orderpriority")).alias("_last")])
     return c.select("c_custkey", F.date_format(F.to_date("last_ts"), "yyyy-MM-dd").alias("last_order_date"),
                     F.coalesce(F.col("total"), F.lit(0)).cast("double").alias("total_spent"),
-                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n_orders"), "last_priority")
+                    F.coalesce(F.col("n"), F.lit(0)).cast("long").alias("n_orders"),
+                    F.col("_last.o_orderpriority").alias("last_priority"))
 
 
 @query("fallback_enrich", sql="""
