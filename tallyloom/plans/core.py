@@ -45,10 +45,10 @@ FROM days LEFT JOIN per_day ON per_day.d = days.d
 def q_calendar_dim(spark, sf_dir):
     """Calendar over the order-date range (taken from the data) with orders per day."""
     t = Tables(spark, sf_dir)
-    o = t.orders.select(F.to_date("o_orderdate").alias("day"))
-    bounds = o.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
+    per_day = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n_orders"))
+    # the range comes from the per-day aggregate, so orders are aggregated once (the exchange is reused)
+    bounds = per_day.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     cal = calendar_attributes(calendar_between(bounds, "lo", "hi"))
-    per_day = o.groupBy("day").agg(F.count(F.lit(1)).alias("n_orders"))
     # both sides are bounded by the number of days in the range
     out = cal.join(per_day, "day", "left").withColumn("n_orders", F.coalesce("n_orders", F.lit(0)))
     return out.withColumn("day", F.date_format("day", "yyyy-MM-dd"))
