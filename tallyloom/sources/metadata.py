@@ -21,6 +21,9 @@ SCHEMAS: dict[str, T.StructType] = {
     "table_meta": _schema(("dataset", S), ("table", S), ("type", S), ("rows", L), ("bytes", L), ("modified", TS)),
     "column_meta": _schema(("dataset", S), ("table", S), ("column", S), ("position", I), ("is_partition", S),
                            ("cluster_position", I)),
+    "partition_meta": _schema(("dataset", S), ("table", S), ("partition_id", S), ("rows", L), ("bytes", L),
+                              ("modified", TS)),
+    "schemata": _schema(("dataset", S), ("description", S), ("location", S), ("created", TS)),
     "option_meta": _schema(("dataset", S), ("table", S), ("option", S), ("value", S)),
     "routines": _schema(("name", S), ("ddl", S)),
     "read_edges": _schema(("routine", S), ("target", S), ("source", S)),

@@ -54,3 +54,15 @@ def test_read_metadata_roundtrip(spark, tmp_path):
     back = read_metadata(spark, str(tmp_path / "tm"), "table_meta", fmt="json")
     assert back.schema == SCHEMAS["table_meta"] and back.count() == 1
     assert empty_metadata(spark, "routines").count() == 0
+
+
+def test_partition_sizes_profile(spark):
+    from tallyloom.operators.catalog import table_profile
+
+    parts = spark.createDataFrame([
+        ("DS", "T", "202401", 10, 5 * 1024, dt.datetime(2024, 1, 31)),
+        ("DS", "T", "202402", 20, 3 * 1024 * 1024, dt.datetime(2024, 2, 29)),
+        ("DS", "T", "__NULL__", 0, 0, None)], SCHEMAS["partition_meta"])
+    got = rows(table_profile(parts, "bytes"), "partition_id", "size_label")
+    assert got == [("202401", "5 KB"), ("202402", "3 MB"), ("__NULL__", "0 KB")]
+    assert empty_metadata(spark, "schemata").columns == ["dataset", "description", "location", "created"]
