@@ -41,3 +41,23 @@ def test_daily_counts_stream(spark, tmp_path):
     # 03:00 UTC is the previous local day in UTC-5
     assert got == [("click", dt.date(2024, 1, 1), 1), ("click", dt.date(2024, 1, 2), 1),
                    ("view", dt.date(2024, 1, 2), 1)]
+
+
+def test_upsert_stream_rerun_is_exactly_once(spark, tmp_path):
+    from tallyloom.sources.tables import current_version
+
+    target = str(tmp_path / "dim2")
+    write_replace(spark.createDataFrame([(1, "a", 10, dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1))],
+                                        "id long, name string, amount long, loaded_at timestamp, "
+                                        "updated_at timestamp"), target)
+    land = tmp_path / "landing2"
+    spark.createDataFrame([(2, "b", 20, dt.datetime(2024, 2, 1))], SCHEMA).write.parquet(str(land / "b1"))
+    ck = str(tmp_path / "ck3")
+    for _ in range(2):  # the second run finds no new files in the checkpoint's log
+        upsert_stream(spark.readStream.schema(SCHEMA).parquet(str(land / "*")), target, ["id"], "landed",
+                      checkpoint_location=ck).awaitTermination(120)
+    first = current_version(spark, target)
+    upsert_stream(spark.readStream.schema(SCHEMA).parquet(str(land / "*")), target, ["id"], "landed",
+                  checkpoint_location=ck).awaitTermination(120)
+    assert current_version(spark, target) == first
+    assert read_current(spark, target).count() == 2
