@@ -6,7 +6,8 @@ of all rows, that task holds everything.  ``sequence_number`` therefore:
 
 1. counts rows per parent (a map-side combined aggregate over the key columns
    only) and takes the *hot* parents above ``hot_rows`` -- at most
-   ``rows / hot_rows`` keys, so the list has a proven bound and is broadcast;
+   ``rows / hot_rows`` keys; the count is known on the driver, and the list is
+   broadcast only below ``MAX_BROADCAST_KEYS`` (else joined by shuffle);
 2. numbers ordinary parents with the plain window (each window <= ``hot_rows``);
 3. numbers hot parents (and whole-table numbering) by range-partitioning on
    ``(parent, order)`` so one parent spans many tasks; each task knows its
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 
 _PID, _POS = "_tl_pid", "_tl_pos"
 DEFAULT_HOT_ROWS = 1_000_000
+# Broadcast the hot-key list and the offset table only below this many hot keys
+# (the count is known on the driver); above it they are joined by shuffle.
+MAX_BROADCAST_KEYS = 200_000
 
 # Frames persisted because they are read by two jobs; ``release_cached`` frees them
 # once the caller has consumed its results.
@@ -49,8 +53,10 @@ def _sort_cols(order: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
-def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str, partitions: int) -> DataFrame:
-    """Number rows by range partitioning on (parent, order) plus a bounded offset table."""
+def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str, partitions: int,
+                    broadcast_offsets: bool = True) -> DataFrame:
+    """Number rows by range partitioning on (parent, order) plus an offset table with one
+    row per (partition, parent): at most partitions + parents in ``df``."""
     sort_cols = [F.col(p).asc_nulls_first() for p in parent] + _sort_cols(order)
     pkey = F.struct(*[F.col(p) for p in parent]) if parent else F.struct(F.lit(0).alias("k"))
     ranged = (
@@ -66,7 +72,8 @@ def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str,
     stats = ranged.groupBy(_PID, "_tl_pkey").agg(F.min(_POS).alias("_tl_first"), F.count(F.lit(1)).alias("_tl_n"))
     before = Window.partitionBy("_tl_pkey").orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_tl_offset", F.coalesce(F.sum("_tl_n").over(before), F.lit(0))).drop("_tl_n")
-    numbered = ranged.join(F.broadcast(offsets), [_PID, "_tl_pkey"]).withColumn(
+    offsets = F.broadcast(offsets) if broadcast_offsets else offsets
+    numbered = ranged.join(offsets, [_PID, "_tl_pkey"]).withColumn(
         out, (F.col(_POS) - F.col("_tl_first") + 1 + F.col("_tl_offset")).cast("long"))
     return numbered.drop(_PID, _POS, "_tl_pkey", "_tl_first", "_tl_offset")
 
@@ -102,16 +109,17 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
     n_hot = hot.count()
     if n_hot == 0:
         return df.withColumn(out, F.row_number().over(window).cast("long"))
-    # at most rows / hot_rows keys: a proven bound, so the hot list is broadcast
+    # at most rows / hot_rows keys, and counted: broadcast only below a fixed cap
+    small = n_hot <= MAX_BROADCAST_KEYS
     hot_keys = [f"_tl_h{i}" for i in range(len(parent))]
-    hot_b = F.broadcast(hot.select(*[F.col(p).alias(h) for p, h in zip(parent, hot_keys)])
-                        .withColumn("_tl_hot", F.lit(True)))
+    hot_b = hot.select(*[F.col(p).alias(h) for p, h in zip(parent, hot_keys)]).withColumn("_tl_hot", F.lit(True))
+    hot_b = F.broadcast(hot_b) if small else hot_b
     cond = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(parent, hot_keys)]
     tagged = df.join(hot_b, cond, "left").drop(*hot_keys)
     cold = tagged.filter(F.col("_tl_hot").isNull()).drop("_tl_hot")
     warm = tagged.filter(F.col("_tl_hot").isNotNull()).drop("_tl_hot")
     cold_n = cold.withColumn(out, F.row_number().over(window).cast("long"))
-    warm_n = _range_numbered(warm, parent, order, out, n)
+    warm_n = _range_numbered(warm, parent, order, out, n, broadcast_offsets=small)
     return cold_n.unionByName(warm_n)
 
 

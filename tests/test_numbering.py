@@ -55,3 +55,12 @@ def test_hot_keys_from_upper_bound(spark):
     out = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq", partitions=5,
                              hot_rows=80, hot_keys_from=bound)
     assert {r.id: r.seq for r in out.select("id", "seq").collect()} == _expected(pdf, True)
+
+
+def test_many_hot_keys_use_shuffle_joins(spark, monkeypatch):
+    import tallyloom.operators.numbering as nb
+
+    df, pdf = _frame(spark)
+    monkeypatch.setattr(nb, "MAX_BROADCAST_KEYS", 0)  # force the no-broadcast path
+    out = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq", partitions=5, hot_rows=50)
+    assert {r.id: r.seq for r in out.select("id", "seq").collect()} == _expected(pdf, True)
