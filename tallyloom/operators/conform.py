@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import decode, regex_or_null
+from .lookup import broadcast_if_small
 
 # Label for rows that match no keyword.
 UNKNOWN_MODULE = "DESCONOCIDO"
@@ -49,14 +50,14 @@ def best_keyword_match(df: DataFrame, keywords: DataFrame, key: str, text_col: s
     """Module of each row by the longest keyword contained in its text, then alphabetical.
 
     Candidates come from an equi-join on the prefix plus a ``contains`` residual
-    (never a cross join); the keyword table is a bounded literal list, so it is
-    broadcast.  Rows without a match get ``unknown`` and a NULL keyword.
+    (never a cross join); the keyword table is broadcast after a size check.
+    Rows without a match get ``unknown`` and a NULL keyword.
     """
     kw = keywords.select(F.col(kw_prefix_col).alias("_tl_prefix"), F.col(module_col).alias("_tl_module"),
                          F.explode(words_col).alias("_tl_word"))
     text = F.lower(F.col(text_col))
     cand = df.select(key, prefix_col, text_col).join(
-        F.broadcast(kw),
+        broadcast_if_small(kw),
         (F.col(prefix_col) == F.col("_tl_prefix")) & text.contains(F.lower(F.col("_tl_word"))),
     )
     best = cand.groupBy(key).agg(F.min(F.struct(

@@ -35,7 +35,7 @@ def code_lookup(df: DataFrame, lookup: DataFrame, kind: str, lang: str, key: Col
 
     The type/language filter sits on the lookup side (a constant predicate in
     ON keeps every left row); the lookup is reduced to one meaning per code so
-    it can never multiply rows.  Code tables are bounded, so they are broadcast.
+    it can never multiply rows.  It is broadcast after a size check.
     """
     code = F.col(code_col).cast(code_cast) if code_cast else F.col(code_col)
     lk = (
@@ -43,7 +43,7 @@ def code_lookup(df: DataFrame, lookup: DataFrame, kind: str, lang: str, key: Col
         .groupBy(code.alias("_tl_code"))
         .agg(F.max(meaning_col).alias(out))
     )
-    return df.join(F.broadcast(lk), key == F.col("_tl_code"), "left").drop("_tl_code")
+    return df.join(broadcast_if_small(lk), key == F.col("_tl_code"), "left").drop("_tl_code")
 
 
 def scalar_lookup(df: DataFrame, ref: DataFrame, key: str, ref_key: str, aggs: Sequence[Column]) -> DataFrame:

@@ -14,7 +14,7 @@ from ..functions.text import decode, split_count, split_nth, text_after, text_be
 from ..operators.aggregates import level_rollup
 from ..operators.calendar import DAYS_ES, MONTHS_ES, calendar_attributes
 from ..operators.dedup import latest_by_priority, latest_per_key
-from ..operators.lookup import code_lookup
+from ..operators.lookup import broadcast_bounded, code_lookup
 from ..operators.numbering import running_number, sequence_in_parent
 from ..sources.tables import Tables, calendar_between, literal_rows
 from . import query
@@ -68,7 +68,7 @@ def q_surrogate_keys(spark, sf_dir):
     """Hash surrogate keys, composite keys, and the unknown member for unmatched nations."""
     t = Tables(spark, sf_dir)
     dim_nation = t.nation.filter(F.col("n_regionkey") != 0).select("n_nationkey")
-    c = t.customer.join(F.broadcast(dim_nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = t.customer.join(broadcast_bounded(dim_nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return c.select(
         "c_custkey",
         hash_key("c_custkey").alias("sk_customer"),
