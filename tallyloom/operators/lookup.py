@@ -99,3 +99,54 @@ def star_join(fact: DataFrame, dims: Sequence[tuple], how: str = "left", check:
                              *[c for c in dim.columns if c not in dim_keys])
         out = out.join(renamed, fact_keys, how)
     return out
+
+
+def fallback_chain(df: DataFrame, chain: Sequence[tuple], out: str, default=None,
+                   source_col: str | None = None) -> DataFrame:
+    """First value found along a chain of lookups, the chain given once as data.
+
+    ``chain`` holds ``(name, lookup_df, left_key, right_key, value)``, where
+    ``value`` is a column name or a Column (a struct carries several fields at
+    once); each lookup is reduced to one value per key (``max``) so it cannot
+    multiply rows, then left-joined.  ``source_col`` names which link supplied
+    the value.
+    """
+    values, names = [], []
+    for i, (name, lookup, left_key, right_key, value_col) in enumerate(chain):
+        v = f"_tl_fb{i}"
+        value = F.col(value_col) if isinstance(value_col, str) else value_col
+        lk = lookup.groupBy(F.col(right_key).alias(f"{v}_k")).agg(F.max(value).alias(v))
+        df = df.join(lk, F.col(left_key) == F.col(f"{v}_k"), "left").drop(f"{v}_k")
+        values.append(v)
+        names.append(name)
+    out_df = df.withColumn(out, fallback(*values, default=default))
+    if source_col:
+        src = None
+        for v, name in zip(values, names):
+            cond = F.col(v).isNotNull()
+            src = F.when(cond, F.lit(name)) if src is None else src.when(cond, F.lit(name))
+        out_df = out_df.withColumn(source_col, src.otherwise(F.lit("NONE")))
+    return out_df.drop(*values)
+
+
+def master_join(sources: dict, key: str, order: dict | None = None) -> DataFrame:
+    """One master row per key from several sources (``{name: (df, key_col)}``).
+
+    The key set is the union of all sources' keys; each source is first reduced
+    to one row per key -- its newest row by ``order[name]`` when given, else
+    any deterministic max -- and its columns are prefixed with the source name.
+    """
+    from .dedup import latest_per_key
+
+    keys = None
+    for name, (df, k) in sources.items():
+        ks = df.select(F.col(k).alias(key))
+        keys = ks if keys is None else keys.unionByName(ks)
+    out = keys.filter(F.col(key).isNotNull()).distinct()
+    for name, (df, k) in sources.items():
+        renamed = df.withColumnRenamed(k, key)
+        cols = [c for c in renamed.columns if c != key]
+        by = (order or {}).get(name) or cols[:1]
+        one = latest_per_key(renamed, [key], by)
+        out = out.join(one.select(key, *[F.col(c).alias(f"{name}_{c}") for c in cols]), key, "left")
+    return out

@@ -12,7 +12,7 @@ from ..operators.conform import (
     conform_parties,
     union_tagged,
 )
-from ..operators.lookup import broadcast_bounded, fallback, scalar_lookup, star_join
+from ..operators.lookup import broadcast_bounded, fallback, fallback_chain, scalar_lookup, star_join
 from ..sources.tables import Tables, literal_rows
 from . import query
 
@@ -158,24 +158,24 @@ LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON c.c_custkey = o.o_cu
 LEFT JOIN nation n ON n.n_nationkey = COALESCE(s.s_nationkey, c.c_nationkey)
 """)
 def q_fallback_enrich(spark, sf_dir):
-    """Party of each line: live supplier, else live customer, else 'S/N' (and its nation
-    through a join on the coalesced key)."""
+    """Party of each line: live supplier, else live customer of its order, else 'S/N' -- the
+    chain is listed once, as data -- and the party's nation through a join on the coalesced key."""
     t = Tables(spark, sf_dir)
-    s = t.supplier.filter(F.col("s_acctbal") > 0).select(F.col("s_suppkey").alias("l_suppkey"), "s_name",
-                                                         "s_nationkey")
-    c = t.customer.filter(F.col("c_acctbal") > 0).select(F.col("c_custkey").alias("o_custkey"), "c_name",
-                                                         "c_nationkey")
-    o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
-    j = (t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-         .join(s, "l_suppkey", "left").join(o, "l_orderkey", "left").join(c, "o_custkey", "left"))
-    j = j.join(broadcast_bounded(t.nation.select("n_nationkey", "n_name")),
-               F.col("n_nationkey") == F.coalesce("s_nationkey", "c_nationkey"), "left")
-    return j.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-        fallback("s_name", "c_name", default="S/N").alias("party"),
-        F.when(F.col("s_name").isNotNull(), "SUPPLIER").when(F.col("c_name").isNotNull(), "CUSTOMER")
-        .otherwise("NONE").alias("party_source"),
-        fallback("n_name", default="S/N").alias("party_nation"))
+    live_s = t.supplier.filter(F.col("s_acctbal") > 0)
+    order_customer = t.orders.select("o_orderkey", "o_custkey").join(
+        t.customer.filter(F.col("c_acctbal") > 0), F.col("o_custkey") == F.col("c_custkey"))
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    party = fallback_chain(lines, [
+        ("SUPPLIER", live_s, "l_suppkey", "s_suppkey", F.struct(F.col("s_name").alias("name"),
+                                                                  F.col("s_nationkey").alias("nation"))),
+        ("CUSTOMER", order_customer, "l_orderkey", "o_orderkey", F.struct(F.col("c_name").alias("name"),
+                                                                            F.col("c_nationkey").alias("nation"))),
+    ], "_party", source_col="party_source")
+    party = party.withColumn("party", fallback(F.col("_party.name"), default="S/N"))
+    j = party.join(broadcast_bounded(t.nation.select("n_nationkey", "n_name")),
+                   F.col("n_nationkey") == F.col("_party.nation"), "left")
+    return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "party", "party_source",
+                    fallback("n_name", default="S/N").alias("party_nation"))
 
 
 _NORM_RE = "#0*([0-9]+)$"

@@ -47,3 +47,28 @@ def test_current_price_per_item(spark):
     current = latest_per_key(prices.filter(live()), ["item"], ["updated", "opportunity"], cols=["price"])
     got = rows(items.join(current, "item", "left"), "item", "price")
     assert got == [(1, Decimal("130.00")), (2, Decimal("45.00")), (3, None)]
+
+
+def test_fallback_chain_order_and_source(spark):
+    from tallyloom.operators.lookup import fallback_chain
+
+    lines = spark.createDataFrame([(1, "s1", "o1"), (2, "s9", "o2"), (3, "s9", "o9")], "id long, s string, o string")
+    payables = spark.createDataFrame([("s1", "SUP ONE"), ("s1", "SUP ONE")], "k string, name string")  # duplicate key
+    receivables = spark.createDataFrame([("o1", "CUST ONE"), ("o2", "CUST TWO")], "k string, name string")
+    out = fallback_chain(lines, [("PAYABLES", payables, "s", "k", "name"),
+                                 ("RECEIVABLES", receivables, "o", "k", "name")],
+                         "party", default="S/N", source_col="src")
+    assert rows(out, "id", "party", "src") == [(1, "SUP ONE", "PAYABLES"), (2, "CUST TWO", "RECEIVABLES"),
+                                               (3, "S/N", "NONE")]
+
+
+def test_master_join_one_row_per_key(spark):
+    from tallyloom.operators.lookup import master_join
+
+    t = dt.datetime
+    a = spark.createDataFrame([(1, "x", t(2024, 1, 1)), (1, "y", t(2024, 2, 1)), (2, "z", t(2024, 1, 1))],
+                              "opp long, step string, ts timestamp")
+    b = spark.createDataFrame([(2, "deed"), (3, "notary")], "opportunity long, doc string")
+    out = master_join({"flow": (a, "opp"), "docs": (b, "opportunity")}, "opp", order={"flow": ["ts"]})
+    got = rows(out, "opp", "flow_step", "docs_doc")
+    assert got == [(1, "y", None), (2, "z", "deed"), (3, None, "notary")]
