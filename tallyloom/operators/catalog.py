@@ -77,7 +77,8 @@ def lineage_closure(edges: DataFrame, starts: DataFrame, src: str = "src", dst:
     A node reached by very many starts is a skewed join key; AQE's skew-join
     split handles it (the edge side per node is small).
     """
-    e = edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct()
+    # the edge list is read by every round: materialise it once (reliable checkpoint)
+    e = edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct().checkpoint(eager=True)
     frontier = starts.select(F.col("start"), F.col("start").alias("node"), F.lit(0).cast("long").alias("level"))
     visited = frontier.select("start", "node")
     steps = []
