@@ -44,13 +44,19 @@ def pivot_width(df: DataFrame, group: Sequence[str], max_width: int) -> int:
 
 
 def dynamic_pivot(df: DataFrame, group: Sequence[str], order: Sequence, attributes: Mapping[str, Column | str],
-                  max_width: int = 64, fill: Mapping[str, object] | None = None) -> DataFrame:
+                  max_width: int = 64, fill: Mapping[str, object] | None = None,
+                  width: int | None = None) -> DataFrame:
     """Attributes of each group's rows as numbered columns ``<attr>_1 .. <attr>_n``.
 
     Rows are numbered inside their group by ``order`` (skew-safe numbering), the
-    width ``n`` is the largest group size, then every slot is a conditional max.
+    width ``n`` is the largest group size (computed here unless the caller
+    already holds it, e.g. from per-group counts), then every slot is a
+    conditional max.
     """
-    width = pivot_width(df, group, max_width)
+    if width is None:
+        width = pivot_width(df, group, max_width)
+    elif width > max_width:
+        raise ValueError(f"dynamic pivot would need {width} slots (> {max_width})")
     numbered = sequence_in_parent(df, group, order, out="_tl_slot", max_group_rows=width)
     fill = fill or {}
     cols = []

@@ -75,8 +75,9 @@ def q_dynamic_pivot(spark, sf_dir):
     counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines")) \
         .filter(F.col("n_lines") <= MAX_LINES_FOR_PIVOT)
     small = li.join(counts, "l_orderkey")
+    width = counts.agg(F.max("n_lines")).first()[0] or 0   # one scalar: the largest line count kept
     return dynamic_pivot(small, ["l_orderkey", "n_lines"], _SLOT_ORDER,
-                         {"part": "l_partkey", "qty": "l_quantity"}, max_width=64, fill={"part": -1})
+                         {"part": "l_partkey", "qty": "l_quantity"}, max_width=64, fill={"part": -1}, width=width)
 
 
 # Milestone codes (event kinds) and their columns.
