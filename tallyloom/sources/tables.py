@@ -86,13 +86,15 @@ def cluster(df: DataFrame, cols: Sequence[str], partitions: int | None = None) -
 
 
 def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = (),
-                  metadata: dict | None = None) -> str:
+                  metadata: dict | None = None, validate=None) -> str:
     """Full rebuild (``CREATE OR REPLACE TABLE AS``) into a new version folder.
 
     Returns the version path; ``path/_CURRENT`` (written by Spark, so any file
     system works) names it.  Readers of the previous version keep working
     while the new one is written; the pointer moves only after the data is in
-    place.  ``metadata`` (description, labels) is saved beside the data.
+    place and ``validate(written_df)`` (if given) has returned without raising,
+    e.g. a row-count or key-uniqueness check.  ``metadata`` (description,
+    labels) is saved beside the data.
     """
     spark = df.sparkSession
     stamp = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%d%H%M%S")
@@ -103,6 +105,8 @@ def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), cl
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(version)
+    if validate is not None:
+        validate(spark.read.parquet(version))  # raises: the pointer stays on the previous version
     if metadata:
         import json
 

@@ -80,3 +80,16 @@ def test_bucketed_tables_join_without_exchange(spark, tmp_path):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS tl_test_orders_b")
         spark.sql("DROP TABLE IF EXISTS tl_test_lines_b")
+
+
+def test_write_replace_validation_keeps_old_version(spark, tmp_path):
+    from tallyloom.operators.lookup import check_unique
+
+    base = str(tmp_path / "dim_v")
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    v1 = write_replace(good, base, validate=lambda d: check_unique(d, ["k"]))
+    bad = spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string")
+    with pytest.raises(ValueError):
+        write_replace(bad, base, validate=lambda d: check_unique(d, ["k"]))
+    assert current_version(spark, base) == v1
+    assert read_current(spark, base).count() == 2
