@@ -77,3 +77,18 @@ def size_label(bytes_col) -> Column:
         .when(b < mib * kib, fmt(b / kib / kib, "MB"))
         .otherwise(fmt(b / kib / kib / kib, "GB"))
     )
+
+
+def one_line(col) -> Column:
+    """Line breaks replaced by single spaces (free-text columns bound for flat files)."""
+    return F.regexp_replace(_c(col), r"[\r\n]+", " ")
+
+
+def dots_to_spaces(col) -> Column:
+    """``first.last`` user names to ``first last``."""
+    return F.regexp_replace(_c(col), r"\.", " ")
+
+
+def right(col, n: int) -> Column:
+    """Last ``n`` characters (``RIGHT``), e.g. a two-digit year."""
+    return F.right(_c(col), F.lit(n))
