@@ -35,6 +35,11 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], run_t
     * ``dedup_order`` first keeps the newest source row per key (M3); without it
       the source must already be unique on ``keys``.
     * ``loaded_col``/``updated_col`` are audit columns set from ``run_ts``.
+
+    The merge is a full outer join on the keys.  When the target is stored
+    bucketed on them (``sources.tables.write_bucketed``), Spark reads it without
+    an exchange and shuffles only the source, so a run moves the changes, not
+    the whole dimension.
     """
     keys = list(keys)
     if key_defaults:

@@ -93,3 +93,21 @@ def test_write_replace_validation_keeps_old_version(spark, tmp_path):
         write_replace(bad, base, validate=lambda d: check_unique(d, ["k"]))
     assert current_version(spark, base) == v1
     assert read_current(spark, base).count() == 2
+
+
+def test_upsert_into_bucketed_target_shuffles_only_the_source(spark, tmp_path):
+    from tallyloom.operators.changes import scd1_upsert
+    from tallyloom.sources.tables import write_bucketed
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tgt = write_bucketed(spark.range(2000).select(F.col("id").alias("k"), F.col("id").alias("v")),
+                             "tl_test_dim_b", ["k"], 8, str(tmp_path / "dimb"))
+        src = spark.range(0, 4000, 7).select(F.col("id").alias("k"), (F.col("id") * 3).alias("v"))
+        merged = scd1_upsert(tgt, src, ["k"], dt.datetime(2024, 1, 1), action_col=None)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        assert merged.count() == 2000 + len(range(2002, 4000, 7))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS tl_test_dim_b")
