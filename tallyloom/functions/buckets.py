@@ -56,6 +56,7 @@ def aging_label(days_late, closed) -> Column:
 
 
 def overdue_range(days) -> Column:
+    """Invoice overdue range: up to 30 days, 30 to 60, over 60; NULL days -> other."""
     x = _c(days)
     return (
         F.when(x <= 30, F.lit(OVERDUE_LABELS[0]))

@@ -13,6 +13,7 @@ def _c(c):
 
 
 def as_date(value) -> dt.date:
+    """A ``date`` from a date, datetime or ISO text (driver-side parameter)."""
     if isinstance(value, dt.datetime):
         return value.date()
     if isinstance(value, dt.date):
@@ -21,6 +22,7 @@ def as_date(value) -> dt.date:
 
 
 def lit_date(value) -> Column:
+    """Date literal Column for a parameter."""
     return F.lit(as_date(value))
 
 
@@ -52,12 +54,14 @@ def window_start(as_of, months_back: int = 3) -> dt.date:
 
 
 def last_day_of_month(value) -> dt.date:
+    """Last calendar day of the month of ``value``."""
     d = as_date(value)
     nxt = dt.date(d.year + (d.month == 12), d.month % 12 + 1, 1)
     return nxt - dt.timedelta(days=1)
 
 
 def is_month_end(value) -> bool:
+    """Whether ``value`` is the last day of its month."""
     d = as_date(value)
     return d == last_day_of_month(d)
 

@@ -36,6 +36,7 @@ def composite_key(*cols, sep: str | None = "|") -> Column:
 
 
 def unknown_member_key() -> Column:
+    """Surrogate key of the unknown member."""
     return F.sha2(F.lit(UNKNOWN_MEMBER_TEXT), 256)
 
 

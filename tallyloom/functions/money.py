@@ -13,6 +13,7 @@ def _c(c):
 
 
 def money(col) -> Column:
+    """Amount as ``decimal(18,2)`` (cast before any arithmetic or sum)."""
     return _c(col).cast(MONEY)
 
 

@@ -30,6 +30,7 @@ def split_nth(col, sep: str, n: int) -> Column:
 
 
 def split_count(col, sep: str) -> Column:
+    """Number of pieces after splitting on a literal separator."""
     return F.size(F.split(_c(col), _regex_quote(sep)))
 
 

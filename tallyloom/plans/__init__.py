@@ -18,6 +18,7 @@ AS_OF_EVENTS = "2024-01-31"
 
 
 def query(name: str, sql: str | None = None):
+    """Register ``fn(spark, sf_dir)`` under ``name``, with its DuckDB SQL oracle."""
     def wrap(fn):
         QUERIES[name] = fn
         if sql is not None:
@@ -28,4 +29,5 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
+    """Import every plan module so all queries are registered."""
     from . import aggregates, catalog, changes, core, joins, ledger, marts  # noqa: F401

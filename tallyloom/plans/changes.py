@@ -49,6 +49,7 @@ flagged AS (
 
 @query("soft_delete_flags", sql=f"WITH {_RAW_SQL} SELECT * FROM flagged")
 def q_soft_delete_flags(spark, sf_dir):
+    """Customers as a RAW table flagged deleted when they left the list of 2001 buyers."""
     t = Tables(spark, sf_dir)
     return flag_soft_deletes(_raw_customers(t), _live_keys(t), "c_custkey")
 
@@ -63,6 +64,7 @@ SELECT missing.n AS missing_keys, fl.n AS flagged_rows, missing.n - fl.n AS diff
 FROM missing, fl
 """)
 def q_soft_delete_reconcile(spark, sf_dir):
+    """Keys missing from the live list against rows flagged deleted, with a status."""
     t = Tables(spark, sf_dir)
     live = _live_keys(t)
     flagged = flag_soft_deletes(_raw_customers(t), live, "c_custkey")

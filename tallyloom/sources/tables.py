@@ -53,6 +53,7 @@ def literal_rows(spark: SparkSession, rows: Sequence, schema: T.StructType | str
 
 
 def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
+    """Typed zero-row table."""
     return spark.createDataFrame([], schema)
 
 
@@ -118,15 +119,18 @@ def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), cl
 
 
 def current_version(spark: SparkSession, path: str) -> str:
+    """Folder of the version ``path/_CURRENT`` names."""
     name = spark.read.text(f"{path.rstrip('/')}/_CURRENT").first()[0].strip()
     return f"{path.rstrip('/')}/{name}"
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """Read the current version of a table written by ``write_replace``."""
     return spark.read.parquet(current_version(spark, path))
 
 
 def read_metadata_of(spark: SparkSession, version: str) -> dict:
+    """Description and labels saved beside a version."""
     import json
 
     return json.loads(spark.read.text(f"{version}_meta").first()[0])
