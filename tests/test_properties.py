@@ -52,3 +52,22 @@ def test_latest_per_key_matches_pandas(spark, data):
         pick = (known if not known.empty else g).sort_values(["o", "v"], ascending=False, na_position="last").iloc[0]
         want[int(k)] = (None if pd.isna(pick.o) else int(pick.o), int(pick.v))
     assert got == want
+
+
+num_row = st.tuples(st.one_of(st.none(), st.integers(0, 3)), st.integers(0, 5))
+
+
+@SETTINGS
+@given(st.lists(num_row, min_size=1, max_size=60), st.integers(1, 30), st.integers(1, 6))
+def test_sequence_number_matches_pandas(spark, data, hot_rows, partitions):
+    from tallyloom.operators.numbering import sequence_in_parent
+
+    data = [(i, p, v) for i, (p, v) in enumerate(data)]
+    df = spark.createDataFrame(data, "id long, p long, v long")
+    out = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq",
+                             partitions=partitions, hot_rows=hot_rows)
+    got = {r.id: r.seq for r in out.collect()}
+    pdf = pd.DataFrame(data, columns=["id", "p", "v"]).sort_values(["v", "id"], ascending=[False, True])
+    pdf["_k"] = pd.to_numeric(pdf["p"]).fillna(-1)
+    want = dict(zip(pdf["id"], pdf.groupby("_k").cumcount() + 1))
+    assert got == want
