@@ -77,7 +77,9 @@ def period_balances(lines: DataFrame, group: Sequence[str], date_col: str, debit
     ``restart`` is a predicate over group columns: where true, balances start
     again each 1 January and a year's rows begin at its first movement.
     """
-    monthly = monthly_movements(lines, group, date_col, debit_col, credit_col, as_of, period_col)
+    # the monthly sums feed both the grid starts and the grid join: checkpointed once
+    # (groups x months, small) so the raw lines are read a single time
+    monthly = monthly_movements(lines, group, date_col, debit_col, credit_col, as_of, period_col).checkpoint(eager=True)
     return balances_from_monthly(monthly, group, as_of, restart, period_col)
 
 
@@ -99,14 +101,17 @@ def balances_with_history(lines: DataFrame, group: Sequence[str], date_col: str,
       current-year period up to ``as_of``'s month (restarting groups carry nothing);
     * current: balances of this year's movements only;
     the three are united, summed per (group, period) and zero rows are dropped.
-    Raw lines are read and summed per month once; both parts start from that.
+    Raw lines are read and summed per month once (checkpointed); both parts start from that.
     """
     group = list(group)
     end = as_date(as_of)
     year_start = dt.date(end.year, 1, 1)
     last_closed = year_start - dt.timedelta(days=1)
     restarting = restart if restart is not None else F.lit(False)
-    monthly = monthly_movements(lines, group, date_col, debit_col, credit_col, end, period_col)
+    # One pass over the raw lines.  The monthly table (groups x months) is small and is
+    # read by both parts, so it is written once to the checkpoint folder; otherwise each
+    # part's period filter is pushed below the aggregate and the lines are summed again.
+    monthly = monthly_movements(lines, group, date_col, debit_col, credit_col, end, period_col).checkpoint(eager=True)
     history = balances_from_monthly(monthly.filter(F.col(period_col) < F.lit(year_start)), group, last_closed,
                                    restart, period_col)
     last_hist = history.filter(F.col(period_col) == F.lit(_month(last_closed))).filter(~restarting)
