@@ -139,12 +139,15 @@ def daily_delta(counts: DataFrame, keys: Sequence[str], day_col: str, measure: s
         .withColumn("moved", F.when(F.abs(F.col("loaded")) > 0, 1).otherwise(0).cast("long"))
 
 
-def latest_event(log: DataFrame, keys: Sequence[str], order: Sequence[str], fields: dict[str, Column]) -> DataFrame:
-    """Newest log row per key with chosen (possibly nested) fields, as one aggregate."""
+def latest_event(log: DataFrame, keys: Sequence[str], order: Sequence[str], fields: dict[str, Column],
+                 extra_aggs: dict[str, Column] | None = None) -> DataFrame:
+    """Newest log row per key with chosen (possibly nested) fields, as one aggregate;
+    ``extra_aggs`` (name -> aggregate, e.g. counts and sums) are computed in the same pass."""
+    extra = extra_aggs or {}
     packed = F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
                       *[c.alias(n) for n, c in fields.items()])
-    return log.groupBy(*keys).agg(F.max(packed).alias("_tl_last")).select(
-        *keys, *[F.col(f"_tl_last.{n}").alias(n) for n in fields])
+    return log.groupBy(*keys).agg(F.max(packed).alias("_tl_last"), *[a.alias(n) for n, a in extra.items()]).select(
+        *keys, *[F.col(f"_tl_last.{n}").alias(n) for n in fields], *extra)
 
 
 # Patterns that read write targets and read tables out of routine text.

@@ -31,13 +31,13 @@ def _status_aggs():
     ]
 
 
-def _finish(customers: DataFrame, agg: DataFrame, shown: DataFrame, as_of) -> DataFrame:
+def _finish(customers: DataFrame, agg: DataFrame, as_of) -> DataFrame:
+    """``agg``: one row per customer with the status measures and the shown order."""
     state = None
     for col, label in STATES:
         cond = F.col(col) > 0
         state = F.when(cond, F.lit(label)) if state is None else state.when(cond, F.lit(label))
-    j = customers.select("c_custkey", "c_name", "c_mktsegment").join(agg, "c_custkey", "left") \
-        .join(shown, "c_custkey", "left")
+    j = customers.select("c_custkey", "c_name", "c_mktsegment").join(agg, "c_custkey", "left")
     return j.select(
         "c_custkey", "c_name", "c_mktsegment",
         F.coalesce("shown_order", F.lit(-1)).alias("shown_order"), "shown_status",
@@ -60,8 +60,10 @@ def entity_summary(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
         (st == "O").alias("is_open"), F.col("o_orderdate").alias("d"), F.col("o_orderkey").alias("k"),
         st.alias("s")))).alias("_pick")
     agg = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(*_status_aggs(), pick)
-    shown = agg.select("c_custkey", F.col("_pick.k").alias("shown_order"), F.col("_pick.s").alias("shown_status"))
-    return _finish(customers, agg.drop("_pick"), shown, as_of)
+    # one frame, one join: splitting the aggregate into two branches would let the
+    # optimizer prune them differently and aggregate the orders twice
+    agg = agg.withColumn("shown_order", F.col("_pick.k")).withColumn("shown_status", F.col("_pick.s")).drop("_pick")
+    return _finish(customers, agg, as_of)
 
 
 def entity_summary_by_rows(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
@@ -73,7 +75,7 @@ def entity_summary_by_rows(customers: DataFrame, orders: DataFrame, as_of) -> Da
                                out="_slot", hot_keys_from=orders.select("o_custkey")).filter(F.col("_slot") == 1)
     shown = first.select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("shown_order"),
                          F.col("o_orderstatus").alias("shown_status"))
-    return _finish(customers, agg, shown, as_of)
+    return _finish(customers, agg.join(shown, "c_custkey", "full_outer"), as_of)
 
 
 def mart_diff(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -87,14 +87,14 @@ def q_nested_log(spark, sf_dir):
     t = Tables(spark, sf_dir)
     log = _audit_rows(t.conversations)
     flat = log.select("conv_id", "turn", "payload", F.explode("payload.auth").alias("auth"))
-    last = latest_event(flat, ["conv_id"], ["turn"], {
+    # one aggregation: the latest record's fields and the per-conversation totals together
+    out = latest_event(flat, ["conv_id"], ["turn"], {
         "last_turn": F.col("turn"), "last_method": F.col("payload.method"),
         "last_permission": F.col("auth.permission"), "resource": F.get("payload.auth", 0).getField("resource"),
-        "user_email": F.col("payload.user.email")})
-    totals = log.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n_turns"),
-                                        F.sum("payload.stats.chars").alias("total_chars"))
-    return totals.join(last, "conv_id").select("conv_id", "n_turns", "total_chars", "last_turn", "last_method",
-                                               "last_permission", "resource", "user_email")
+        "user_email": F.col("payload.user.email")},
+        extra_aggs={"n_turns": F.count(F.lit(1)), "total_chars": F.sum("payload.stats.chars")})
+    return out.select("conv_id", "n_turns", "total_chars", "last_turn", "last_method", "last_permission",
+                      "resource", "user_email")
 
 
 _EDGES_SQL = """

@@ -45,8 +45,10 @@ FROM days LEFT JOIN per_day ON per_day.d = days.d
 def q_calendar_dim(spark, sf_dir):
     """Calendar over the order-date range (taken from the data) with orders per day."""
     t = Tables(spark, sf_dir)
-    per_day = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("n_orders"))
-    # the range comes from the per-day aggregate, so orders are aggregated once (the exchange is reused)
+    # per-day counts (one row per day, small) feed both the range and the join: written
+    # once to the checkpoint folder so the orders are aggregated a single time
+    per_day = t.orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(
+        F.count(F.lit(1)).alias("n_orders")).checkpoint(eager=True)
     bounds = per_day.agg(F.min("day").alias("lo"), F.max("day").alias("hi"))
     cal = calendar_attributes(calendar_between(bounds, "lo", "hi"))
     # both sides are bounded by the number of days in the range
