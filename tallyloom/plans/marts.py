@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.money import cents, money
+from ..functions.money import NET_SQL, cents, money, net_amount
 from ..operators.aging import invoice_aging, receivable_aging
 from ..operators.numbering import sequence_in_parent
 from ..sources.tables import Tables
@@ -206,3 +206,60 @@ def q_withdrawal_refund(spark, sf_dir):
                     F.coalesce("collected", F.lit(0)).cast("double").alias("collected"),
                     penalty.cast("double").alias("penalty"),
                     refund(F.col("collected"), penalty).cast("double").alias("refund"))
+
+
+def _invoice_lines_sql() -> str:
+    return f"""
+lines AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS invoice, CAST(l_linenumber AS VARCHAR) AS dist,
+         CAST(l_suppkey AS VARCHAR) AS receipt, NULL AS applies_to, 'ITEM' AS type, {NET_SQL} AS amount,
+         CASE l_linestatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END AS posted
+  FROM lineitem
+  UNION ALL
+  SELECT CAST(l_orderkey AS VARCHAR), NULL, CAST(l_suppkey AS VARCHAR),
+         CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber AS VARCHAR) END, 'TAX',
+         ROUND({NET_SQL} * CAST(l_tax AS DECIMAL(18,2)), 2),
+         CASE l_linestatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END
+  FROM lineitem)"""
+
+
+@query("invoice_tax_match", sql=f"""
+WITH {_invoice_lines_sql()},
+items AS (SELECT * FROM lines WHERE type <> 'TAX'),
+by_dist AS (SELECT invoice, applies_to, SUM(amount) AS t FROM lines WHERE type = 'TAX' GROUP BY 1, 2),
+by_rcpt AS (SELECT invoice, receipt, SUM(amount) AS t FROM lines WHERE type = 'TAX' GROUP BY 1, 2),
+j AS (SELECT i.invoice, i.amount, i.posted, d.t AS tax_d, r.t AS tax_r FROM items i
+      LEFT JOIN by_dist d ON d.invoice = i.invoice AND d.applies_to = i.dist
+      LEFT JOIN by_rcpt r ON r.invoice = i.invoice AND r.receipt = i.receipt),
+agg AS (SELECT invoice, SUM(amount) AS net, SUM(tax_d) AS tax_d, SUM(tax_r) AS tax_r,
+               CASE WHEN count_if(posted = 'Y') = count(*) THEN 'Contabilizado'
+                    WHEN count_if(posted = 'N') = count(*) THEN 'No Contabilizado'
+                    ELSE 'Contabilizado Parcialmente' END AS posting_status
+        FROM j GROUP BY invoice)
+SELECT invoice, CAST(net AS DOUBLE) AS net, CAST(COALESCE(tax_d, tax_r, 0) AS DOUBLE) AS tax,
+       CAST(net + COALESCE(tax_d, tax_r, 0) AS DOUBLE) AS total, posting_status
+FROM agg
+""")
+def q_invoice_tax_match(spark, sf_dir):
+    """Order lines as invoice lines (one item row and one tax row per line): tax matched to items
+    by distribution, else by receipt, summed per invoice with its posting status."""
+    from ..operators.marts import invoice_tax
+
+    t = Tables(spark, sf_dir)
+    li = t.lineitem
+    posted = F.when(F.col("l_linestatus") == "F", "Y").when(F.col("l_linestatus") == "O", "N")
+    net = net_amount()
+    items = li.select(F.col("l_orderkey").cast("string").alias("invoice"),
+                      F.col("l_linenumber").cast("string").alias("dist"),
+                      F.col("l_suppkey").cast("string").alias("receipt"),
+                      F.lit(None).cast("string").alias("applies_to"), F.lit("ITEM").alias("type"),
+                      net.alias("amount"), posted.alias("posted"))
+    taxes = li.select(F.col("l_orderkey").cast("string").alias("invoice"), F.lit(None).cast("string").alias("dist"),
+                      F.col("l_suppkey").cast("string").alias("receipt"),
+                      F.when(F.col("l_returnflag") != "R", F.col("l_linenumber").cast("string")).alias("applies_to"),
+                      F.lit("TAX").alias("type"), F.round(net * money("l_tax"), 2).alias("amount"),
+                      posted.alias("posted"))
+    lines = items.unionByName(taxes.withColumn("amount", F.col("amount").cast(items.schema["amount"].dataType)))
+    out = invoice_tax(lines)
+    return out.select("invoice", cents("net").alias("net"), cents("tax").alias("tax"), cents("total").alias("total"),
+                      "posting_status")
