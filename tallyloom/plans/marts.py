@@ -263,3 +263,58 @@ def q_invoice_tax_match(spark, sf_dir):
     out = invoice_tax(lines)
     return out.select("invoice", cents("net").alias("net"), cents("tax").alias("tax"), cents("total").alias("total"),
                       "posting_status")
+
+
+@query("order_obt", sql=f"""
+WITH newest AS (
+  SELECT l_orderkey, l_partkey AS newest_partkey, CAST(l_extendedprice AS DOUBLE) AS newest_price,
+         strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS newest_ship_date
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+                                     ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC,
+                                              l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC,
+                                              l_returnflag DESC, l_linestatus DESC) AS rn
+        FROM lineitem) WHERE rn = 1)
+SELECT o.o_orderkey, CAST(strftime(o.o_orderdate, '%Y%m%d') AS BIGINT) AS date_key,
+       'T' || quarter(o.o_orderdate) || '/' || right(CAST(year(o.o_orderdate) AS VARCHAR), 2) AS quarter_name,
+       'FY' || right(CAST(year(o.o_orderdate) AS VARCHAR), 2) AS fiscal_year,
+       c.c_name AS buyer, n.n_name AS buyer_nation, r.r_name AS buyer_region,
+       COALESCE(nw.newest_partkey, -1) AS newest_partkey, nw.newest_price, nw.newest_ship_date,
+       CAST(CASE WHEN nw.l_orderkey IS NULL THEN 0 ELSE 1 END AS BIGINT) AS has_lines
+FROM orders o
+JOIN customer c ON c.c_custkey = o.o_custkey
+JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+LEFT JOIN newest nw ON nw.l_orderkey = o.o_orderkey
+""")
+def q_order_obt(spark, sf_dir):
+    """One big table per order: calendar attributes by date key, buyer with nation and region,
+    and the newest line (latest ship date, full tie-break) of the order."""
+    from ..functions.keys import date_key
+    from ..operators.calendar import calendar_attributes
+    from ..operators.dedup import latest_per_key
+    from ..operators.lookup import broadcast_bounded
+    from ..sources.tables import calendar_between
+
+    t = Tables(spark, sf_dir)
+    o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    li = t.lineitem.select("l_orderkey", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+                           "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus")
+    newest = latest_per_key(li, ["l_orderkey"], ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey",
+                                                 "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+                                                 "l_returnflag", "l_linestatus"])
+    # calendar over the order-date range: one row per day, bounded by the range, so broadcast
+    bounds = o.agg(F.to_date(F.min("o_orderdate")).alias("lo"), F.to_date(F.max("o_orderdate")).alias("hi"))
+    cal = calendar_attributes(calendar_between(bounds, "lo", "hi")).select("date_key", "quarter_name", "fiscal_year")
+    geo = broadcast_bounded(t.nation).join(broadcast_bounded(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    buyers = t.customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("buyer"), F.col("n_name").alias("buyer_nation"),
+        F.col("r_name").alias("buyer_region"))
+    obt = (o.withColumn("date_key", date_key("o_orderdate").cast("long"))
+           .join(buyers, "o_custkey")
+           .join(F.broadcast(cal), "date_key", "left")
+           .join(newest.withColumnRenamed("l_orderkey", "o_orderkey").withColumn("_has", F.lit(1)),
+                 "o_orderkey", "left"))
+    return obt.select(
+        "o_orderkey", "date_key", "quarter_name", "fiscal_year", "buyer", "buyer_nation", "buyer_region",
+        F.coalesce("l_partkey", F.lit(-1)).alias("newest_partkey"), F.col("l_extendedprice").alias("newest_price"),
+        F.date_format(F.to_date("l_shipdate"), "yyyy-MM-dd").alias("newest_ship_date"),
+        F.col("_has").isNotNull().cast("long").alias("has_lines"))
