@@ -211,13 +211,13 @@ def q_withdrawal_refund(spark, sf_dir):
 def _invoice_lines_sql() -> str:
     return f"""
 lines AS (
-  SELECT CAST(l_orderkey AS VARCHAR) AS invoice, CAST(l_linenumber AS VARCHAR) AS dist,
-         CAST(l_suppkey AS VARCHAR) AS receipt, NULL AS applies_to, 'ITEM' AS type, {NET_SQL} AS amount,
+  SELECT l_orderkey AS invoice, CAST(l_linenumber AS BIGINT) AS dist, l_suppkey AS receipt,
+         CAST(NULL AS BIGINT) AS applies_to, 'ITEM' AS type, {NET_SQL} AS amount,
          CASE l_linestatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END AS posted
   FROM lineitem
   UNION ALL
-  SELECT CAST(l_orderkey AS VARCHAR), NULL, CAST(l_suppkey AS VARCHAR),
-         CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber AS VARCHAR) END, 'TAX',
+  SELECT l_orderkey, CAST(NULL AS BIGINT), l_suppkey,
+         CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber AS BIGINT) END, 'TAX',
          ROUND({NET_SQL} * CAST(l_tax AS DECIMAL(18,2)), 2),
          CASE l_linestatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END
   FROM lineitem)"""
@@ -249,14 +249,12 @@ def q_invoice_tax_match(spark, sf_dir):
     li = t.lineitem
     posted = F.when(F.col("l_linestatus") == "F", "Y").when(F.col("l_linestatus") == "O", "N")
     net = net_amount()
-    items = li.select(F.col("l_orderkey").cast("string").alias("invoice"),
-                      F.col("l_linenumber").cast("string").alias("dist"),
-                      F.col("l_suppkey").cast("string").alias("receipt"),
-                      F.lit(None).cast("string").alias("applies_to"), F.lit("ITEM").alias("type"),
-                      net.alias("amount"), posted.alias("posted"))
-    taxes = li.select(F.col("l_orderkey").cast("string").alias("invoice"), F.lit(None).cast("string").alias("dist"),
-                      F.col("l_suppkey").cast("string").alias("receipt"),
-                      F.when(F.col("l_returnflag") != "R", F.col("l_linenumber").cast("string")).alias("applies_to"),
+    items = li.select(F.col("l_orderkey").alias("invoice"), F.col("l_linenumber").cast("long").alias("dist"),
+                      F.col("l_suppkey").alias("receipt"), F.lit(None).cast("long").alias("applies_to"),
+                      F.lit("ITEM").alias("type"), net.alias("amount"), posted.alias("posted"))
+    taxes = li.select(F.col("l_orderkey").alias("invoice"), F.lit(None).cast("long").alias("dist"),
+                      F.col("l_suppkey").alias("receipt"),
+                      F.when(F.col("l_returnflag") != "R", F.col("l_linenumber").cast("long")).alias("applies_to"),
                       F.lit("TAX").alias("type"), F.round(net * money("l_tax"), 2).alias("amount"),
                       posted.alias("posted"))
     lines = items.unionByName(taxes.withColumn("amount", F.col("amount").cast(items.schema["amount"].dataType)))
