@@ -15,10 +15,12 @@ from .numbering import sequence_in_parent
 
 
 def static_pivot(df: DataFrame, group: Sequence[str], key: str, values: Mapping[str, str] | Sequence[str],
-                 agg: str = "count", value_col: str | None = None, fill=None) -> DataFrame:
+                 agg: str = "count", value_col: str | None = None, fill=None,
+                 extra_aggs: Mapping[str, Column] | None = None) -> DataFrame:
     """One column per listed ``key`` value.  ``values`` maps value -> output column name.
 
-    ``agg`` is ``count``, ``sum``, ``max`` or ``min`` over ``value_col``.
+    ``agg`` is ``count``, ``sum``, ``max`` or ``min`` over ``value_col``;
+    ``extra_aggs`` (name -> aggregate) are computed in the same pass.
     """
     names = values if isinstance(values, Mapping) else {v: str(v) for v in values}
     cols = []
@@ -32,6 +34,7 @@ def static_pivot(df: DataFrame, group: Sequence[str], key: str, values: Mapping[
             if fill is not None:
                 c = F.coalesce(c, F.lit(fill))
         cols.append(c.alias(name))
+    cols += [a.alias(n) for n, a in (extra_aggs or {}).items()]
     return df.groupBy(*group).agg(*cols)
 
 

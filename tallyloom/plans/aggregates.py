@@ -163,3 +163,25 @@ def q_spread_label(spark, sf_dir):
         t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name"), "l_partkey")
     return spread_label(j, ["p_brand"], "p_name", "brand_label").select(
         "l_orderkey", "l_linenumber", "l_partkey", "p_brand", "brand_label")
+
+
+# Return flags pivoted into amount columns.
+FLAG_COLUMNS = {"A": "amount_a", "N": "amount_n", "R": "amount_r"}
+_FLAG_SQL = ", ".join(f"CAST(COALESCE(SUM(CASE WHEN l_returnflag = '{f}' THEN {NET_SQL} END), 0) AS DOUBLE) AS {c}"
+                      for f, c in FLAG_COLUMNS.items())
+
+
+@query("statement_pivot", sql=f"""
+SELECT l_orderkey, {_FLAG_SQL}, strftime(CAST(max(l_shipdate) AS DATE), '%Y-%m-%d') AS last_ship_date,
+       count(*) AS n_lines
+FROM lineitem GROUP BY l_orderkey
+""")
+def q_statement_pivot(spark, sf_dir):
+    """One row per order: net amounts pivoted by return flag (0 when absent) and the last shipment."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select("l_orderkey", "l_returnflag", "l_shipdate", net_amount().alias("net"))
+    p = static_pivot(li, ["l_orderkey"], "l_returnflag", FLAG_COLUMNS, agg="sum", value_col="net", fill=0,
+                     extra_aggs={"_last": F.max("l_shipdate"), "n_lines": F.count(F.lit(1))})
+    return p.select(
+        "l_orderkey", *[F.col(c).cast("double").alias(c) for c in FLAG_COLUMNS.values()],
+        F.date_format(F.to_date("_last"), "yyyy-MM-dd").alias("last_ship_date"), "n_lines")
