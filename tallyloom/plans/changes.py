@@ -195,7 +195,8 @@ FROM t FULL OUTER JOIN s ON t.event_type = s.event_type AND t.day = s.day
 def q_daily_measure_upsert(spark, sf_dir):
     """Daily row counts per (event type, local day) merged into the stored history."""
     t = Tables(spark, sf_dir)
-    counts = _daily_counts(t)
+    # per-(type, day) counts are small and feed both sides of the merge: aggregated once
+    counts = _daily_counts(t).checkpoint(eager=True)
     stored = dt.date(2024, 1, 19)
     history = counts.filter(F.col("day") < F.lit(dt.date(2024, 1, 20))) \
         .withColumn("loaded_at", F.lit(stored)).withColumn("updated_at", F.lit(stored))
