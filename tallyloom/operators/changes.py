@@ -99,8 +99,12 @@ def flag_soft_deletes(raw: DataFrame, live_keys: DataFrame, key: str, flag_col:
     return j.withColumn(flag_col, F.when(gone, F.lit(flag_value)).otherwise(F.col(flag_col))).select(*raw.columns)
 
 
+# Reconciliation status labels (no difference / difference).
+RECONCILE_OK, RECONCILE_DIFF = "SIN DIFERENCIA", "CON DIFERENCIA"
+
+
 def reconcile_counts(raw: DataFrame, live_keys: DataFrame, key: str, flag_col: str = "deleted",
-                     ok_label: str = "SIN DIFERENCIA", diff_label: str = "CON DIFERENCIA") -> DataFrame:
+                     ok_label: str = RECONCILE_OK, diff_label: str = RECONCILE_DIFF) -> DataFrame:
     """One row: keys missing from the live list vs rows flagged deleted, with a status."""
     live = live_keys.select(key).distinct()
     missing = raw.join(live, key, "left_anti").select(F.lit("missing").alias("origin"))

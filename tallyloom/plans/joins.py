@@ -145,6 +145,10 @@ def q_lookup_scalar(spark, sf_dir):
                     F.col("_last.o_orderpriority").alias("last_priority"))
 
 
+# Label of a line whose party is found nowhere in the chain.
+NO_PARTY = "S/N"
+
+
 @query("fallback_enrich", sql="""
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
        COALESCE(s.s_name, c.c_name, 'S/N') AS party,
@@ -171,11 +175,11 @@ def q_fallback_enrich(spark, sf_dir):
         ("CUSTOMER", order_customer, "l_orderkey", "o_orderkey", F.struct(F.col("c_name").alias("name"),
                                                                             F.col("c_nationkey").alias("nation"))),
     ], "_party", source_col="party_source")
-    party = party.withColumn("party", fallback(F.col("_party.name"), default="S/N"))
+    party = party.withColumn("party", fallback(F.col("_party.name"), default=NO_PARTY))
     j = party.join(broadcast_bounded(t.nation.select("n_nationkey", "n_name")),
                    F.col("n_nationkey") == F.col("_party.nation"), "left")
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "party", "party_source",
-                    fallback("n_name", default="S/N").alias("party_nation"))
+                    fallback("n_name", default=NO_PARTY).alias("party_nation"))
 
 
 _NORM_RE = "#0*([0-9]+)$"
