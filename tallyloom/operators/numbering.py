@@ -53,14 +53,19 @@ def _sort_cols(order: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
-def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str, partitions: int,
+def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str, partitions: int | None,
                     broadcast_offsets: bool = True) -> DataFrame:
     """Number rows by range partitioning on (parent, order) plus an offset table with one
-    row per (partition, parent): at most partitions + parents in ``df``."""
+    row per (partition, parent): at most partitions + parents in ``df``.
+
+    Without an explicit ``partitions`` the range exchange is left to AQE, which may
+    merge adjacent (still ordered) ranges into right-sized partitions.
+    """
     sort_cols = [F.col(p).asc_nulls_first() for p in parent] + _sort_cols(order)
     pkey = F.struct(*[F.col(p) for p in parent]) if parent else F.struct(F.lit(0).alias("k"))
+    ranged_in = df.repartitionByRange(partitions, *sort_cols) if partitions else df.repartitionByRange(*sort_cols)
     ranged = (
-        df.repartitionByRange(partitions, *sort_cols)
+        ranged_in
         .sortWithinPartitions(*sort_cols)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
@@ -92,9 +97,8 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
     when later steps only filter or join one-to-one); keys are counted there.
     Over-counting only routes a key to the range path; results are the same.
     """
-    spark = df.sparkSession
     parent = list(parent or [])
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions  # None: spark.sql.shuffle.partitions ranges, coalescible by AQE
     if not parent:
         return _range_numbered(df, [], order, out, n)
 

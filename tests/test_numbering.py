@@ -64,3 +64,11 @@ def test_many_hot_keys_use_shuffle_joins(spark, monkeypatch):
     monkeypatch.setattr(nb, "MAX_BROADCAST_KEYS", 0)  # force the no-broadcast path
     out = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq", partitions=5, hot_rows=50)
     assert {r.id: r.seq for r in out.select("id", "seq").collect()} == _expected(pdf, True)
+
+
+def test_default_partitions_left_to_aqe(spark):
+    df, pdf = _frame(spark)
+    rn = running_number(df, [F.col("v").desc(), F.col("id").asc()], out="rn")
+    assert {r.id: r.rn for r in rn.select("id", "rn").collect()} == _expected(pdf, False)
+    seq = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq", hot_rows=50)
+    assert {r.id: r.seq for r in seq.select("id", "seq").collect()} == _expected(pdf, True)
