@@ -11,9 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
+from . import simhash, tokens
 from .shared import read
 
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -30,3 +37,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"),
                         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         "component_id")
+
+
+@query
+def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, Huffman-coded in files by ascending document, read back."""
+    found = tokens.encode_documents(read(spark, sf_dir, "documents"), tokenizer_path())
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
