@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, tokens
-from .shared import read
+from . import simhash, tokens, toxicity
+from .shared import crc_mod, read
 
 
 def tokenizer_path() -> str:
@@ -44,3 +44,13 @@ def op3_huffman_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, Huffman-coded in files by ascending document, read back."""
     found = tokens.encode_documents(read(spark, sf_dir, "documents"), tokenizer_path())
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+@query
+def op4_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text, learnt from the labelled rows that are not held out."""
+    docs, fold = read(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5)
+    model = toxicity.fit(docs, read(spark, sf_dir, "labels"), fold != 0)
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold == 0).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
