@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LIMIT = 16
+LIMIT = 16  # bits at most, so that a code that begins in one 16-bit word ends in the next
 INTERVAL = 128
 
 
@@ -62,23 +62,30 @@ class Code:
         self.window_symbol[:used] = np.repeat(symbols[order], step)
         self.window_length[:used] = np.repeat(lengths[order], step)
 
-    def encode(self, ids: np.ndarray, interval: int = INTERVAL) -> tuple[np.ndarray, bytes]:
-        """(bit offset of every ``interval``-th id, bits filled up to a whole byte)."""
+    def encode(self, runs: list[np.ndarray], interval: int = INTERVAL) -> list[tuple[bytes, bytes]]:
+        """Per run of ids (bit offset of every ``interval``-th id as uint32, bits filled up to 16)."""
+        sizes = np.array([len(r) for r in runs], np.int64)
+        ids = np.concatenate(runs) if len(runs) else np.zeros(0, np.int64)
         length, word = self.length[ids], self.word[ids]
-        end = np.cumsum(length)
-        start = end - length
-        shifted = word << (32 - length - (start & 7))  # at most limit + 7 <= 32 bits from the byte on
-        size = (int(end[-1]) + 7) // 8 if len(ids) else 0
-        total = np.zeros(size + 4)
-        for k in range(4):
-            part = (shifted >> (24 - 8 * k)) & 255
-            total += np.bincount((start >> 3) + k, weights=part, minlength=size + 4)
-        return start[::interval].astype("<u4"), total[:size].astype(np.uint8).tobytes()
+        last = np.cumsum(sizes)
+        total = np.concatenate([[0], np.cumsum(length)])
+        bits = total[last] - total[last - sizes]
+        words = -(-bits // 16)
+        first = np.cumsum(words) - words  # every run begins at a 16-bit word
+        own = total[:-1] - np.repeat(total[last - sizes], sizes)  # bit offset in its run
+        start = own + np.repeat(first, sizes) * 16
+        shifted = word << (32 - length - (start & 15))  # at most 16 + 15 bits from the word on
+        at, n = start >> 4, int(words.sum()) + 1
+        out = (np.bincount(at, weights=shifted >> 16, minlength=n + 1)
+               + np.bincount(at + 1, weights=shifted & 0xFFFF, minlength=n + 1)).astype(">u2").tobytes()
+        own = own.astype("<u4")
+        return [(own[e - s:e:interval].tobytes(), out[2 * f:2 * (f + w)])
+                for s, e, f, w in zip(sizes.tolist(), last.tolist(), first.tolist(), words.tolist(), strict=True)]
 
     def decode(self, bits: bytes, starts: np.ndarray, sizes: np.ndarray, interval: int = INTERVAL) -> np.ndarray:
         """The ids of runs of ``sizes`` ids (at most ``interval`` each) that begin at bit ``starts``, in order."""
-        data = np.frombuffer(bits + b"\0\0\0\0", np.uint8).astype(np.int64)
-        word = (data[:-3] << 24) | (data[1:-2] << 16) | (data[2:-1] << 8) | data[3:]
+        half = np.frombuffer(bits + b"\0\0\0\0", ">u2").astype(np.int64)
+        word = (half[:-1] << 16) | half[1:]
         low = (1 << self.limit) - 1
         at, out = starts.astype(np.int64), np.zeros((int(sizes.max(initial=0)), len(sizes)), np.uint32)
         lanes = np.argsort(-sizes, kind="stable")
@@ -87,7 +94,7 @@ class Code:
             if left[-1] <= step:  # lanes are in falling order of size: those that have ended leave at the back
                 live = int(np.searchsorted(-left, -step))
                 at, left = at[:live], left[:live]
-            window = (word[at >> 3] >> (32 - self.limit - (at & 7))) & low
+            window = (word[at >> 4] >> (32 - self.limit - (at & 15))) & low
             out[step, lanes[:len(at)]] = self.window_symbol[window]
             at = at + self.window_length[window]
         return out.T[np.arange(len(out)) < sizes[:, None]]

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash, tokens, toxicity
+from . import contamination, simhash, tokens, toxicity
 from .shared import crc_mod, read
 
 
@@ -54,3 +54,10 @@ def op4_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", (fold == 0).alias("held_out"), F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_cgk_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which benchmark items each document holds, within a fifth of their words as edits."""
+    found = contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.withColumnRenamed("id", "doc_id")

@@ -7,15 +7,13 @@
 
 A block decodes on its own: a header, the documents' ids and sizes, a bit offset
 for every 128 ids, and the bits.  Blocks hold whole documents and are closed at
-``block_tokens`` ids.  The tokenizer library does the encoding; a piece between
-two single spaces always is a token boundary of the byte-level vocabulary, so
-each worker keeps the ids of pieces that it has met (bounded, see PIECES).
+``block_tokens`` ids.  The tokenizer library does the encoding; each
+worker keeps the ids of words that it has met (bounded, see PIECES).
 """
 
 from __future__ import annotations
 
 import os
-import re
 import struct
 import zlib
 from array import array
@@ -30,10 +28,10 @@ from pyspark.sql import functions as F
 from .huffman import INTERVAL, Code, code_lengths
 from .shared import batches, column, materialise, shared_path
 
-PIECES = 1_000_000  # pieces of text that a worker remembers
+PIECES = 800_000  # pieces of text that a worker remembers
 LONG_PIECE = 64  # characters; longer pieces are not remembered
 END_ID = 2
-BLOCK_TOKENS = 1 << 16
+BLOCK_TOKENS = 1 << 18
 RANGE_BYTES = 64 << 20  # of plain ids in one output file
 MAGIC = b"TLH1"
 
@@ -41,7 +39,13 @@ _encoders: dict[str, PieceEncoder] = {}
 
 
 class PieceEncoder:
-    """Ids of texts as arrays of two bytes, or of four for a vocabulary over 65,536, by pieces already met."""
+    """Ids of texts as arrays of two bytes, or of four for a vocabulary over 65,536.
+
+    A text is cut before each space and line feed between two characters that are
+    no white space: the tokenizer's own word pattern always ends a word there.  So
+    does a letter before a closing mark.  The ids of words met before are kept in
+    two generations; a text with other white space is encoded as it stands.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -50,7 +54,10 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.kind = id_type(self.tokenizer.get_vocab_size())
-        self.known: dict[str, bytes] = {}
+        (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.marks = dict(zip(".,;:!?", self._plain(list(".,;:!?")), strict=True))
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     @classmethod
     def of(cls, path: str) -> PieceEncoder:
@@ -58,41 +65,83 @@ class PieceEncoder:
             _encoders[path] = cls(path)
         return _encoders[path]
 
-    def _plain(self, pieces: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.kind.char, e.ids).tobytes() for e in found]
 
+    def _joined(self, words: list[str], lead: str) -> Iterator[tuple[str, bytes]]:
+        """(word, ids of lead + word), many to a call: the line feed between two is a token of its own."""
+        width = self.kind.itemsize
+        for at in range(0, len(words), 128):
+            some = words[at:at + 128]
+            text = lead + ("\n" + lead).join(some)
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+            raw, last = ids.tobytes(), 0
+            for word, end in zip(some, [*(np.flatnonzero(ids == self.line_feed) * width).tolist(), len(raw)], strict=True):
+                yield word, raw[last:end]
+                last = end + width
+
+    def _learn(self, new: set[str]) -> dict[str, bytes]:
+        """Ids of new pieces; a piece that begins with a line feed has no space before its word, others have."""
+        bare = {p: p[:-1] for p in new if p[-1] in self.marks and p[-2:-1].isalpha() and p[-2] < "\u0250"}
+        met, wanted = {}, set()
+        for p in new:
+            word = bare.get(p, p)
+            ids = self.young.get(word) or self.old.get(word)
+            if ids:
+                met[word] = ids
+            else:
+                wanted.add(word)
+        feed = array(self.kind.char, [self.line_feed]).tobytes()
+        met.update(self._joined([w for w in wanted if w[0] != "\n"], " "))
+        met.update(("\n" + w, feed + ids) for w, ids in self._joined([w[1:] for w in wanted if w[0] == "\n"], ""))
+        met.update((p, met[word] + self.marks[p[-1]]) for p, word in bare.items())
+        return met
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        heads, rest, new = [], [], set()
+        young, old, width = self.young, self.old, self.kind.itemsize
+        rows: list[tuple] = []
+        new, whole = set(), []
         for text in texts:
-            pieces = (text or "").split(" ")
-            unmet = {p for p in pieces[1:] if p not in self.known}
-            if pieces and (_odd(pieces[0]) or any(map(_odd, unmet))):  # white space beside a space
-                pieces = _single_space.split(text or "")
-                unmet = {p for p in pieces[1:] if p not in self.known}
-            heads.append(pieces[0])
-            rest.append(pieces[1:])
-            new |= unmet
-        if len(self.known) + len(new) > PIECES:
-            self.known.clear()
-            new = {p for pieces in rest for p in pieces}
-        new = list(new)
-        met = dict(zip(new, self._plain([" " + p for p in new]), strict=True))
-        self.known.update((p, b) for p, b in met.items() if len(p) <= LONG_PIECE and not _odd(p))
-        get = lambda p: self.known[p] if p in self.known else met[p]
-        return [head + b"".join(map(get, pieces))
-                for head, pieces in zip(self._plain(heads), rest, strict=True)]
+            if not text:
+                rows.append(([], []))
+                continue
+            if " ".join(text.split()) != text.replace("\n", " "):  # white space beside white space, or other kinds
+                rows.append((None, len(whole)))
+                whole.append(text)
+                continue
+            pieces = ("\n" + text).replace("\n", " \n").split(" ")
+            del pieces[0]
+            found, gaps, k = list(map(young.get, pieces)), [], -1
+            for _ in range(found.count(None)):
+                k = found.index(None, k + 1)
+                piece = pieces[k]
+                ids = old.get(piece)
+                if ids is None:
+                    gaps.append((k, piece))
+                else:
+                    found[k] = young[piece] = ids
+            new.update([piece for _, piece in gaps])
+            rows.append((found, gaps))
+        met, plain = self._learn(new), self._plain(whole)
+        out = []
+        for found, gaps in rows:
+            if found is None:
+                out.append(plain[gaps])
+                continue
+            for k, piece in gaps:
+                found[k] = met[piece]
+            out.append(b"".join(found)[width:])  # without the line feed set before the text
+        young.update((p, b) for p, b in met.items() if len(p) <= LONG_PIECE)
+        if len(young) > PIECES // 2:
+            self.old, self.young = young, {}
+        return out
 
 
 def id_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
 
-_single_space = re.compile(r"(?<=\S) (?=\S)")
-
-
-def _odd(piece: str) -> bool:
-    return not piece or piece[0].isspace() or piece[-1].isspace()
 
 
 def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
@@ -104,8 +153,8 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
         encoder = PieceEncoder.of(tokenizer)
         end, width = np.array([end_id], encoder.kind).tobytes(), encoder.kind.itemsize
         for part in parts:
-            for at in range(0, part.num_rows, 1024):
-                rows = part.slice(at, 1024)
+            for at in range(0, part.num_rows, 128):
+                rows = part.slice(at, 128)
                 ids = [b + end for b in encoder.encode(column(rows, "text"))]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], schema=out)
@@ -121,8 +170,8 @@ def count_ids(tokens: DataFrame) -> DataFrame:
     def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for part in parts:
-            for ids in _ids(part):
-                n = np.bincount(ids)
+            for width, ids in _runs(part):
+                n = np.bincount(np.frombuffer(ids, f"<u{width}"))
                 if len(n) > len(total):
                     total = np.concatenate([total, np.zeros(len(n) - len(total), np.int64)])
                 total[:len(n)] += n
@@ -164,10 +213,13 @@ def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
 
         def coded() -> Iterator[tuple]:
             for part in rows:
-                for doc, ids in zip(column(part, "id"), _ids(part), strict=True):
-                    marks, bits = code.encode(ids)
-                    to = 0 if doc is None else int(np.searchsorted(cuts, doc, side="right"))
-                    yield to, doc, len(ids), marks.tobytes(), bits
+                docs = column(part, "id")
+                ids = list(_ids(part))
+                for at in range(0, len(docs), 128):
+                    for doc, run, (marks, bits) in zip(docs[at:at + 128], ids[at:at + 128],
+                                                       code.encode(ids[at:at + 128]), strict=True):
+                        to = 0 if doc is None else int(np.searchsorted(cuts, doc, side="right"))
+                        yield to, doc, len(run), marks, bits
 
         yield from batches(coded(), coded_schema, 512)
 
@@ -202,6 +254,13 @@ def _ids(part: pa.RecordBatch) -> Iterator[np.ndarray]:
         yield np.frombuffer(ids.as_buffer(), f"<u{width}")
 
 
+def _runs(part: pa.RecordBatch) -> Iterator[tuple[int, bytes]]:
+    """The ids of a batch joined, by their width."""
+    widths, ids = column(part, "width"), column(part, "ids")
+    for width in set(widths):
+        yield width, b"".join(i for w, i in zip(widths, ids, strict=True) if w == width)
+
+
 def _rows(parts: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
     for part in parts:
         yield from zip(*(c.to_pylist() for c in part.columns), strict=True)
