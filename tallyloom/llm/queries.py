@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, simhash, tokens, toxicity
+from . import contamination, mixing, simhash, tokens, toxicity
 from .shared import crc_mod, read
 
 
@@ -61,3 +61,10 @@ def op6_cgk_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which benchmark items each document holds, within a fifth of their words as edits."""
     found = contamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
     return found.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes, against its source's target."""
+    mix = mixing.allocate(read(spark, sf_dir, "documents")).select("doc_id", "__mix.*")
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
