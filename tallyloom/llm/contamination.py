@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches, column
+from .shared import batches, column, materialise
 
 SIMILARITY, MIN_WORDS = 0.8, 5
 RECALL, SAMPLED, MOST_REPEATS = 0.98, 3, 400
@@ -282,5 +282,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """The rows of ``docs`` whose document holds no benchmark item."""
-    found = leaks(docs, benchmark, id_col, **options).select(F.col("id").alias("__leak")).distinct()
+    found = materialise(leaks(docs, benchmark, id_col, **options).select(F.col("id").alias("__leak")).distinct(), "leaks")
     return docs.join(found, docs[id_col].eqNullSafe(found["__leak"]), "left_anti")

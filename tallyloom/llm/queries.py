@@ -51,9 +51,9 @@ def op4_cnn_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text, learnt from the labelled rows that are not held out."""
     docs, fold = read(spark, sf_dir, "documents"), crc_mod(F.col("doc_id"), 5)
     model = toxicity.fit(docs, read(spark, sf_dir, "labels"), fold != 0)
-    return toxicity.score(docs, model).select(
-        "doc_id", (fold == 0).alias("held_out"), F.col("toxicity").alias("score"),
-        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"))
+    scored = docs.select("doc_id", toxicity.scorer(spark, model)("text").alias("score"))
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 @query
