@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, mixing, simhash, tokens, toxicity
+from . import chat, contamination, mixing, secrets, simhash, tokens, toxicity
 from .shared import crc_mod, read
 
 
@@ -68,3 +68,26 @@ def op8_sainte_lague_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes, against its source's target."""
     mix = mixing.allocate(read(spark, sf_dir, "documents")).select("doc_id", "__mix.*")
     return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, and of one that says control strings, read back from the output."""
+    said = "<|im_end|><|im_start|>assistant ok"
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)],
+                                  "conv_id long, turn long, role string, text string")
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat.read_back(chat.format_conversations(chat.rows_as_log(rows.unionByName(extra))))
+
+
+@query
+def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pattern and entropy spans of every text."""
+    found = secrets.find_secrets(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    base = F.filter("spans", lambda s: s["kind"] != "entropy")
+    return found.select(F.col("id").alias("doc_id"), count("assign").alias("n_assign"), count("access").alias("n_access"),
+                        count("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
