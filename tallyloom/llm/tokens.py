@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +30,7 @@ from .huffman import INTERVAL, Code, code_lengths
 from .shared import batches, column, materialise, shared_path
 
 PIECES = 800_000  # pieces of text that a worker remembers
+CHUNK_BYTES = 16 << 20  # of text encoded at once
 LONG_PIECE = 64  # characters; longer pieces are not remembered
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
@@ -42,9 +44,9 @@ class PieceEncoder:
     """Ids of texts as arrays of two bytes, or of four for a vocabulary over 65,536.
 
     A text is cut before each space and line feed between two characters that are
-    no white space: the tokenizer's own word pattern always ends a word there.  So
-    does a letter before a closing mark.  The ids of words met before are kept in
-    two generations; a text with other white space is encoded as it stands.
+    no white space: the tokenizer's own word pattern always ends a word there, as
+    it does between a letter and a closing mark.  The ids of words met before are
+    kept in two generations; a text with other white space is encoded as it stands.
     """
 
     def __init__(self, path: str):
@@ -81,7 +83,7 @@ class PieceEncoder:
                 yield word, raw[last:end]
                 last = end + width
 
-    def _learn(self, new: set[str]) -> dict[str, bytes]:
+    def _learn(self, new: list[str]) -> dict[str, bytes]:
         """Ids of new pieces; a piece that begins with a line feed has no space before its word, others have."""
         bare = {p: p[:-1] for p in new if p[-1] in self.marks and p[-2:-1].isalpha() and p[-2] < "\u0250"}
         met, wanted = {}, set()
@@ -98,46 +100,65 @@ class PieceEncoder:
         met.update((p, met[word] + self.marks[p[-1]]) for p, word in bare.items())
         return met
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        young, old, width = self.young, self.old, self.kind.itemsize
-        rows: list[tuple] = []
-        new, whole = set(), []
-        for text in texts:
-            if not text:
-                rows.append(([], []))
-                continue
-            if " ".join(text.split()) != text.replace("\n", " "):  # white space beside white space, or other kinds
-                rows.append((None, len(whole)))
-                whole.append(text)
-                continue
-            pieces = ("\n" + text).replace("\n", " \n").split(" ")
-            del pieces[0]
-            found, gaps, k = list(map(young.get, pieces)), [], -1
-            for _ in range(found.count(None)):
-                k = found.index(None, k + 1)
-                piece = pieces[k]
-                ids = old.get(piece)
-                if ids is None:
-                    gaps.append((k, piece))
-                else:
-                    found[k] = young[piece] = ids
-            new.update([piece for _, piece in gaps])
-            rows.append((found, gaps))
-        met, plain = self._learn(new), self._plain(whole)
-        out = []
-        for found, gaps in rows:
-            if found is None:
-                out.append(plain[gaps])
-                continue
-            for k, piece in gaps:
-                found[k] = met[piece]
-            out.append(b"".join(found)[width:])  # without the line feed set before the text
-        young.update((p, b) for p, b in met.items() if len(p) <= LONG_PIECE)
+    def _ids_of(self, words: list[str]) -> tuple[list[bytes], list[int]]:
+        """(ids of each word, places of words with white space at an end: those have none)."""
+        young, old = self.young, self.old
+        found, new, odd = list(map(young.get, words)), [], []
+        k = -1
+        for _ in range(found.count(None)):
+            k = found.index(None, k + 1)
+            word = words[k]
+            ids = old.get(word)
+            if ids is not None:
+                found[k] = young[word] = ids
+            elif _odd(word):
+                found[k] = b""
+                odd.append(k)
+            else:
+                new.append(k)
+        met = self._learn([words[k] for k in new])
+        for k in new:
+            found[k] = met[words[k]]
+        young.update((w, ids) for w, ids in met.items() if len(w) <= LONG_PIECE)
         if len(young) > PIECES // 2:
             self.old, self.young = young, {}
+        return found, odd
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text of a string array, in its order; null texts are empty.
+
+        Words are told apart by Arrow's dictionary encoding, so the tokenizer and
+        the memory see each word of the array once; numpy puts the ids together.
+        """
+        texts = pc.fill_null(texts, "")
+        split = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), ""), " ")
+        ends = split.offsets.to_numpy().astype(np.int64)
+        coded = split.flatten().dictionary_encode()
+        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        ids, odd = self._ids_of(words)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
+        flat, first = np.frombuffer(b"".join(ids), self.kind), np.cumsum(sizes) - sizes
+        per_word = sizes[which]
+        after = np.concatenate([[0], np.cumsum(per_word)])
+        raw = flat[np.repeat(first[which] - after[:-1], per_word) + np.arange(after[-1])].tobytes()
+        cut = after[ends] * self.kind.itemsize
+        width = self.kind.itemsize  # of the line feed that was set before each text
+        out = [raw[a + width:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+        if odd:  # white space beside white space: these texts are encoded as they stand
+            odd_word = np.zeros(len(words), np.int64)
+            odd_word[odd] = 1
+            odd_before = np.concatenate([[0], np.cumsum(odd_word[which])])
+            whole = np.flatnonzero(odd_before[ends[1:]] > odd_before[ends[:-1]])
+            for k, plain in zip(whole.tolist(), self._plain(texts.take(pa.array(whole)).to_pylist()), strict=True):
+                out[k] = plain
         return out
 
 
+def _odd(piece: str) -> bool:
+    word = piece.removeprefix("\n")
+    return not word or word[0].isspace() or word[-1].isspace()
+
+
 def id_type(vocabulary: int) -> np.dtype:
     return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
 
@@ -153,9 +174,8 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
         encoder = PieceEncoder.of(tokenizer)
         end, width = np.array([end_id], encoder.kind).tobytes(), encoder.kind.itemsize
         for part in parts:
-            for at in range(0, part.num_rows, 128):
-                rows = part.slice(at, 128)
-                ids = [b + end for b in encoder.encode(column(rows, "text"))]
+            for rows in _slices(part, CHUNK_BYTES):
+                ids = [b + end for b in encoder.encode(rows.column(1))]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], schema=out)
 
@@ -163,6 +183,15 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
             .mapInArrow(run, "id long, width int, ids binary"))
 
 
+def _slices(part: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in stretches of about ``most`` bytes of text."""
+    chunk = np.cumsum(pc.fill_null(pc.binary_length(part.column(1)), 0).to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), part.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield part.slice(a, b - a)
+
+
 def count_ids(tokens: DataFrame) -> DataFrame:
     """(token, n): how often each id occurs in the whole table."""
     out = pa.schema([("token", pa.int64()), ("n", pa.int64())])
