@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, mixing, secrets, simhash, tokens, toxicity
+from . import chat, contamination, embeddings, mixing, secrets, simhash, tokens, toxicity
 from .shared import crc_mod, read
 
 
@@ -91,3 +91,11 @@ def op9_entropy_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), count("assign").alias("n_assign"), count("access").alias("n_access"),
                         count("hex").alias("n_hex"), F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"))
+
+
+@query
+def op10_grid_order_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links at cosine 0.9 among all vectors, one row per vector."""
+    found = embeddings.near_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
+                        (F.col("id") == F.col("component_id")).alias("kept"))
