@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, embeddings, mixing, secrets, simhash, tokens, toxicity
+from . import chat, contamination, embeddings, mixing, secrets, simhash, tokens, toxicity, webpages
 from .shared import crc_mod, read
 
 
@@ -99,3 +99,10 @@ def op10_grid_order_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_vectors(read(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
     return found.select(F.col("id").alias("vec_id"), "n_links", "component_id",
                         (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+@query
+def op7_template_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Article of every page, template deduced per host."""
+    found = webpages.extract_articles(read(spark, sf_dir, "pages"))
+    return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
