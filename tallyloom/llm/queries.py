@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, embeddings, mixing, secrets, simhash, tokens, toxicity, webpages
+from . import chat, contamination, embeddings, lm_scoring, mixing, secrets, simhash, tokens, toxicity, webpages
 from .shared import crc_mod, read
 
 
@@ -106,3 +106,12 @@ def op7_template_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Article of every page, template deduced per host."""
     found = webpages.extract_articles(read(spark, sf_dir, "pages"))
     return found.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every text, learnt from those of the six folds that are not held out."""
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    scored = lm_scoring.score_documents(read(spark, sf_dir, "documents"), ~held_out)
+    return scored.withColumnRenamed("id", "doc_id").select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
