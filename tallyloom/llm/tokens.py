@@ -29,9 +29,8 @@ from pyspark.sql import functions as F
 from .huffman import INTERVAL, Code, code_lengths
 from .shared import batches, column, materialise, shared_path
 
-PIECES = 800_000  # pieces of text that a worker remembers
-CHUNK_BYTES = 16 << 20  # of text encoded at once
-LONG_PIECE = 64  # characters; longer pieces are not remembered
+PIECES = 3_000_000  # words that a worker remembers before it starts anew
+CHUNK_BYTES = 12 << 20  # of text encoded at once
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
 RANGE_BYTES = 64 << 20  # of plain ids in one output file
@@ -45,8 +44,9 @@ class PieceEncoder:
 
     A text is cut before each space and line feed between two characters that are
     no white space: the tokenizer's own word pattern always ends a word there, as
-    it does between a letter and a closing mark.  The ids of words met before are
-    kept in two generations; a text with other white space is encoded as it stands.
+    it does between a letter and a closing mark.  Words met before are kept with
+    their ids in Arrow and numpy arrays; a text with other white space is encoded
+    as it stands.
     """
 
     def __init__(self, path: str):
@@ -58,8 +58,12 @@ class PieceEncoder:
         self.kind = id_type(self.tokenizer.get_vocab_size())
         (self.line_feed,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.marks = dict(zip(".,;:!?", self._plain(list(".,;:!?")), strict=True))
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
+        self.flat = np.zeros(0, self.kind)
 
     @classmethod
     def of(cls, path: str) -> PieceEncoder:
@@ -71,83 +75,89 @@ class PieceEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array(self.kind.char, e.ids).tobytes() for e in found]
 
-    def _joined(self, words: list[str], lead: str) -> Iterator[tuple[str, bytes]]:
-        """(word, ids of lead + word), many to a call: the line feed between two is a token of its own."""
+    def _joined(self, words: list[str], lead: str) -> Iterator[bytes]:
+        """Ids of lead + word, many to a call: the line feed between two is a token of its own."""
         width = self.kind.itemsize
         for at in range(0, len(words), 128):
-            some = words[at:at + 128]
-            text = lead + ("\n" + lead).join(some)
+            text = lead + ("\n" + lead).join(words[at:at + 128])
             ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
             raw, last = ids.tobytes(), 0
-            for word, end in zip(some, [*(np.flatnonzero(ids == self.line_feed) * width).tolist(), len(raw)], strict=True):
-                yield word, raw[last:end]
+            for end in [*(np.flatnonzero(ids == self.line_feed) * width).tolist(), len(raw)]:
+                yield raw[last:end]
                 last = end + width
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces; a piece that begins with a line feed has no space before its word, others have."""
-        bare = {p: p[:-1] for p in new if p[-1] in self.marks and p[-2:-1].isalpha() and p[-2] < "\u0250"}
-        met, wanted = {}, set()
-        for p in new:
-            word = bare.get(p, p)
-            ids = self.young.get(word) or self.old.get(word)
-            if ids:
-                met[word] = ids
-            else:
-                wanted.add(word)
+    def _learn(self, names: list[str], bare: dict[str, int]) -> dict[str, int]:
+        """Add new words, and say where each is.
+
+        ``bare``: of those that are a word and a closing mark, where the word alone
+        is, or -1.  One that begins with a line feed has no space before its letters.
+        """
+        wanted = list(dict.fromkeys(p[:-1] if p in bare else p for p in names if bare.get(p, -1) < 0))
         feed = array(self.kind.char, [self.line_feed]).tobytes()
-        met.update(self._joined([w for w in wanted if w[0] != "\n"], " "))
-        met.update(("\n" + w, feed + ids) for w, ids in self._joined([w[1:] for w in wanted if w[0] == "\n"], ""))
-        met.update((p, met[word] + self.marks[p[-1]]) for p, word in bare.items())
-        return met
-
-    def _ids_of(self, words: list[str]) -> tuple[list[bytes], list[int]]:
-        """(ids of each word, places of words with white space at an end: those have none)."""
-        young, old = self.young, self.old
-        found, new, odd = list(map(young.get, words)), [], []
-        k = -1
-        for _ in range(found.count(None)):
-            k = found.index(None, k + 1)
-            word = words[k]
-            ids = old.get(word)
-            if ids is not None:
-                found[k] = young[word] = ids
-            elif _odd(word):
-                found[k] = b""
-                odd.append(k)
-            else:
-                new.append(k)
-        met = self._learn([words[k] for k in new])
-        for k in new:
-            found[k] = met[words[k]]
-        young.update((w, ids) for w, ids in met.items() if len(w) <= LONG_PIECE)
-        if len(young) > PIECES // 2:
-            self.old, self.young = young, {}
-        return found, odd
+        spaced, lined = [w for w in wanted if w[0] != "\n"], [w for w in wanted if w[0] == "\n"]
+        met = dict(zip(spaced, self._joined(spaced, " "), strict=True))
+        met.update((w, feed + ids) for w, ids in zip(lined, self._joined([w[1:] for w in lined], ""), strict=True))
+        for p, k in bare.items():
+            word = met[p[:-1]] if k < 0 else self.flat[self.first[k]:self.first[k] + self.size[k]].tobytes()
+            met[p] = word + self.marks[p[-1]]
+        start = len(self.words)
+        size = np.fromiter(map(len, met.values()), np.int32, len(met)) // self.kind.itemsize
+        self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size, dtype=np.int64) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(met.values()), self.kind)])
+        self.words = pa.concat_arrays([self.words, pa.array(list(met), pa.string())])
+        return dict(zip(met, range(start, start + len(met)), strict=True))
+
+    def _places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each word among the known ones, whether white space stands at its end: 0 then)."""
+        if len(self.words) > PIECES:
+            self._forget()
+        # a Latin letter and a closing mark are always two tokens: the word before the mark is looked up too
+        marked = np.flatnonzero(pc.match_substring_regex(words, "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][.,;:!?]$")
+                                .to_numpy(zero_copy_only=False))
+        alone = pc.utf8_slice_codeunits(words.take(pa.array(marked)), 0, -1)
+        known = pc.fill_null(pc.index_in(pa.concat_arrays([words, alone]), value_set=self.words), -1)
+        known = known.to_numpy(zero_copy_only=False).astype(np.int64)
+        place, odd = known[:len(words)].copy(), np.zeros(len(words), bool)
+        unmet = np.flatnonzero(place < 0)
+        names = words.take(pa.array(unmet)).to_pylist()
+        is_odd = np.fromiter(map(_odd, names), bool, len(names))
+        odd[unmet[is_odd]], place[unmet[is_odd]] = True, 0
+        base = np.full(len(words), -2, np.int64)
+        base[marked] = known[len(words):]
+        bare = {p: k for p, k, o in zip(names, base[unmet].tolist(), is_odd.tolist(), strict=True) if k > -2 and not o}
+        new = [p for p, o in zip(names, is_odd.tolist(), strict=True) if not o]
+        if new:
+            at = self._learn(new, bare)
+            place[unmet[~is_odd]] = [at[p] for p in new]
+        return place, odd
 
     def encode(self, texts: pa.Array) -> list[bytes]:
         """Ids of each text of a string array, in its order; null texts are empty.
 
-        Words are told apart by Arrow's dictionary encoding, so the tokenizer and
-        the memory see each word of the array once; numpy puts the ids together.
+        Words are told apart by Arrow's dictionary encoding, so each is looked up
+        once for the array; numpy puts the ids together.
         """
         texts = pc.fill_null(texts, "")
         split = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), ""), " ")
         ends = split.offsets.to_numpy().astype(np.int64)
         coded = split.flatten().dictionary_encode()
-        words, which = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        ids, odd = self._ids_of(words)
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.kind.itemsize
-        flat, first = np.frombuffer(b"".join(ids), self.kind), np.cumsum(sizes) - sizes
-        per_word = sizes[which]
-        after = np.concatenate([[0], np.cumsum(per_word)])
-        raw = flat[np.repeat(first[which] - after[:-1], per_word) + np.arange(after[-1])].tobytes()
+        which = coded.indices.to_numpy()
+        place, odd = self._places(coded.dictionary)
+        if not len(self.words):  # nothing but white space so far
+            return self._plain(texts.to_pylist())
+        size, first = np.where(odd, 0, self.size[place]), self.first[place]
+        per_word = size[which]
+        after = np.concatenate([[0], np.cumsum(per_word, dtype=np.int64)])
+        at = np.repeat(first[which] - after[:-1], per_word)
+        at += np.arange(after[-1])
+        raw = self.flat[at].tobytes()
+        del at
         cut = after[ends] * self.kind.itemsize
         width = self.kind.itemsize  # of the line feed that was set before each text
         out = [raw[a + width:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
-        if odd:  # white space beside white space: these texts are encoded as they stand
-            odd_word = np.zeros(len(words), np.int64)
-            odd_word[odd] = 1
-            odd_before = np.concatenate([[0], np.cumsum(odd_word[which])])
+        if odd.any():  # white space beside white space: these texts are encoded as they stand
+            odd_before = np.concatenate([[0], np.cumsum(odd[which])])
             whole = np.flatnonzero(odd_before[ends[1:]] > odd_before[ends[:-1]])
             for k, plain in zip(whole.tolist(), self._plain(texts.take(pa.array(whole)).to_pylist()), strict=True):
                 out[k] = plain
