@@ -48,8 +48,3 @@ def with_unknown(sk) -> Column:
 def date_key(col) -> Column:
     """``yyyymmdd`` integer key of a date/timestamp column."""
     return F.date_format(_c(col), "yyyyMMdd").cast("int")
-
-
-def null_safe_key(col, default) -> Column:
-    """Key made non-null before a merge (NULL never matches in an upsert)."""
-    return F.coalesce(_c(col), F.lit(default))

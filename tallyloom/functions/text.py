@@ -44,12 +44,6 @@ def regex_or_null(col, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(_c(col), pattern, group), F.lit(""))
 
 
-def hierarchy_levels(col, lengths: Sequence[int], prefix: str = "level_") -> list[Column]:
-    """Prefix columns of a positional code: ``substring(code, 1, n)`` per length."""
-    c = _c(col)
-    return [F.substring(c, 1, n).alias(f"{prefix}{i + 1}") for i, n in enumerate(lengths)]
-
-
 def decode(col, mapping: Mapping, default=None) -> Column:
     """Code -> label through a literal mapping (a CASE chain, stays in codegen)."""
     c = _c(col)

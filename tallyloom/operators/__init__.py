@@ -12,11 +12,11 @@ from .changes import (
     scd1_upsert,
 )
 from .conform import best_keyword_match, classify_by_prefix, conform_parties, union_tagged
-from .dedup import distinct_rows, latest_by_priority, latest_per_key
+from .dedup import latest_by_priority, latest_per_key
 from .ledger import balances_with_history, period_balances, spread_label
 from .lookup import code_lookup, lookup_many, scalar_lookup, star_join
 from .marts import entity_summary, invoice_tax, mart_diff
-from .numbering import release_cached, running_number, sequence_in_parent, sequence_number
+from .numbering import running_number, sequence_in_parent, sequence_number
 from .pivots import dynamic_pivot, milestone_pivot, static_pivot
 
 __all__ = [name for name in dir() if not name.startswith("_")]

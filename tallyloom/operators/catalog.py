@@ -10,7 +10,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -49,61 +48,49 @@ def parse_key_values(df: DataFrame, text_col: str, pattern: str = KV_RE) -> Data
         .drop("_tl_kv")
 
 
-def label_keys(pairs: DataFrame, max_keys: int = 256) -> list[str]:
-    """Distinct label keys (a bounded list to the driver); fails loudly above ``max_keys``."""
-    keys = [r[0] for r in pairs.select("label_key").distinct().limit(max_keys + 1).collect()]
-    if len(keys) > max_keys:
-        raise ValueError(f"more than {max_keys} distinct label keys")
-    return sorted(keys)
-
-
 def pivot_labels(pairs: DataFrame, keys_cols: Sequence[str], label_names: Sequence[str],
                  prefix: str = "label_") -> DataFrame:
-    """One column per label key (last value wins when a key repeats)."""
+    """One column per named label (the greatest value wins when a key repeats); other labels stay in ``pairs``."""
     return pairs.groupBy(*keys_cols).agg(*[
         F.max(F.when(F.col("label_key") == k, F.col("label_value"))).alias(f"{prefix}{k}") for k in label_names])
 
 
-def lineage_closure(edges: DataFrame, starts: DataFrame, src: str = "src", dst: str = "dst",
-                    max_depth: int = 64) -> DataFrame:
+def _closure_of(edges: DataFrame, starts: DataFrame) -> DataFrame:
+    """(start, node, level) by breadth-first rounds until the frontier is empty.
+
+    Each round joins the frontier to the edges, drops (start, node) pairs already
+    visited -- which cuts cycles -- and de-duplicates.  A round is written with a
+    reliable checkpoint, so a lost executor never recomputes earlier rounds.
+    """
+    zero = F.lit(0).cast("long")
+    frontier = starts.select("start", F.col("start").alias("node"), zero.alias("level")).checkpoint(eager=True)
+    reached = frontier
+    depth = 0
+    while not frontier.isEmpty():
+        depth += 1
+        frontier = (frontier.join(edges, "node")
+                    .select("start", F.col("next").alias("node"), F.lit(depth).cast("long").alias("level")).distinct()
+                    .join(reached.select("start", "node"), ["start", "node"], "left_anti").checkpoint(eager=True))
+        reached = reached.unionByName(frontier)
+    return reached
+
+
+def lineage_closure(edges: DataFrame, starts: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """All nodes reachable from each start node, with the first level they are reached at.
 
-    Breadth-first, set-based: each round joins the frontier to the edges, drops
-    (start, node) pairs already visited -- which cuts cycles -- and de-duplicates.
-    Only reachability is kept, so pairs are de-duplicated per round instead of
-    carrying whole paths.  Each round's frontier is written with a reliable
-    checkpoint (to the cluster's checkpoint folder): lineage stays one round
-    deep and a lost executor never forces earlier rounds to be recomputed.
-    A node reached by very many starts is a skewed join key; AQE's skew-join
-    split handles it (the edge side per node is small).
+    The graph is closed once over its inner nodes (those that an edge leads to);
+    a start's own edges then join that closure.  So many starts over one small
+    graph -- tables over a few layers -- walk it once and not once each.  Only
+    reachability is kept, never whole paths; a start does not reach itself.
     """
-    # the edge list is read by every round: materialise it once (reliable checkpoint)
+    # the edge list is read by every round: materialised once (reliable checkpoint)
     e = edges.select(F.col(src).alias("node"), F.col(dst).alias("next")).distinct().checkpoint(eager=True)
-    frontier = starts.select(F.col("start"), F.col("start").alias("node"), F.lit(0).cast("long").alias("level"))
-    visited = frontier.select("start", "node")
-    steps = []
-    for depth in range(1, max_depth + 1):
-        fresh = (frontier.join(e, "node").select("start", F.col("next").alias("node"),
-                                                 F.lit(depth).cast("long").alias("level"))
-                 .join(visited, ["start", "node"], "left_anti")
-                 .distinct()
-                 .persist(StorageLevel.MEMORY_AND_DISK))
-        # persisted first, so the checkpoint's count and its file write compute the round once
-        step = fresh.checkpoint(eager=True)
-        fresh.unpersist()
-        if step.isEmpty():
-            break
-        steps.append(step)
-        visited = visited.unionByName(step.select("start", "node"))
-        frontier = step
-    else:
-        raise ValueError(f"lineage deeper than {max_depth} levels")
-    if not steps:
-        return frontier.limit(0)
-    result = steps[0]
-    for s in steps[1:]:
-        result = result.unionByName(s)
-    return result
+    inner = e.select(F.col("next").alias("start")).distinct()
+    closed = _closure_of(e.join(inner, e["node"] == inner["start"], "left_semi"), inner)
+    first = starts.select("start").distinct().join(e.withColumnRenamed("node", "start"), "start")
+    through = first.join(closed.select(F.col("start").alias("next"), "node", "level"), "next")
+    return through.filter(~F.col("node").eqNullSafe(F.col("start"))).groupBy("start", "node").agg(
+        (F.min("level") + 1).alias("level"))
 
 
 def table_profile(tables: DataFrame, bytes_col: str, modified_col: str | None = None, as_of=None) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, is_month_end, lit_date
 from .dedup import latest_per_key
+from .lookup import check_unique
 
 
 def _key_cond(left: DataFrame, right: DataFrame, keys: Sequence[str], null_safe: bool) -> Column:
@@ -33,7 +34,8 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], run_t
     * ``key_defaults`` replaces NULL keys on both sides before matching (M2);
       otherwise NULL keys never match unless ``null_safe``.
     * ``dedup_order`` first keeps the newest source row per key (M3); without it
-      the source must already be unique on ``keys``.
+      a source that repeats a key is refused (one key-only aggregate), because
+      the join would write the key more than once.
     * ``loaded_col``/``updated_col`` are audit columns set from ``run_ts``.
 
     The merge is a full outer join on the keys.  When the target is stored
@@ -50,6 +52,8 @@ def scd1_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], run_t
                                  for c in source.columns])
     if dedup_order:
         source = latest_per_key(source, keys, dedup_order)
+    else:
+        check_unique(source if null_safe else source.dropna(subset=keys), keys)
     data_cols = [c for c in target.columns if c not in keys and c not in (loaded_col, updated_col)]
     update_cols = list(update_cols) if update_cols is not None else [c for c in data_cols if c in source.columns]
     insert_cols = list(insert_cols) if insert_cols is not None else [c for c in data_cols if c in source.columns]
@@ -126,8 +130,7 @@ def replace_date_window(target: DataFrame, recomputed: DataFrame, date_col: str,
     Rows outside the window are kept untouched; recomputed rows outside the
     window are ignored.  The window filter is a literal range, so it reaches
     the Parquet scan (and prunes date partitions).  For a month-partitioned
-    target, write only ``recomputed`` filtered to the window with
-    ``sources.tables.overwrite_partitions`` instead of rewriting everything.
+    target, ``sources.tables.replace_months`` rewrites just the window's months.
     """
     lo, hi = lit_date(start), lit_date(end)
     d = F.to_date(F.col(date_col))
@@ -137,14 +140,19 @@ def replace_date_window(target: DataFrame, recomputed: DataFrame, date_col: str,
 
 
 def month_end_snapshot(history: DataFrame, current: DataFrame, as_of, stamp_col: str = "snapshot_date") -> DataFrame:
-    """Append a copy of ``current`` stamped ``as_of`` only when ``as_of`` is a month end."""
+    """Append a copy of ``current`` stamped ``as_of`` only when ``as_of`` is a month end.
+
+    A stamp that ``history`` already holds is replaced, so a second run of the
+    same day leaves one copy.
+    """
     if not is_month_end(as_of):
         return history
     stamped = current.withColumn(stamp_col, F.lit(as_date(as_of)))
     missing = [c for c in history.columns if c not in stamped.columns]
     if missing:
         raise ValueError(f"snapshot source lacks columns {missing}")
-    return history.unionByName(stamped.select(*history.columns))
+    earlier = history.filter(~F.to_date(F.col(stamp_col)).eqNullSafe(F.lit(as_date(as_of))))
+    return earlier.unionByName(stamped.select(*history.columns))
 
 
 def apply_overrides(df: DataFrame, overrides: DataFrame, key: str, date_col: str | None, action: str,

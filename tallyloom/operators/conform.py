@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import decode, regex_or_null
-from .lookup import broadcast_if_small
 
 # Label for rows that match no keyword.
 UNKNOWN_MODULE = "DESCONOCIDO"
@@ -29,12 +28,16 @@ def conform_parties(parties: DataFrame, name_col: str, norm_id: Column, norm_col
 
     The label table is an aggregate (combined map-side, so one id holding a
     third of all rows is reduced before the shuffle) and is joined back on
-    the computed key.
+    the computed key.  Parties without an id match nothing and never enter the
+    join, so they do not meet in one task.
     """
     tagged = parties.withColumn(norm_col, norm_id)
-    best = tagged.groupBy(norm_col).agg(F.max(name_col).alias(best_col),
+    best = tagged.filter(F.col(norm_col).isNotNull()).groupBy(norm_col).agg(F.max(name_col).alias(best_col),
                                         F.countDistinct(name_col).alias(count_col))
-    return tagged.join(best, norm_col, "left")
+    known = tagged.filter(F.col(norm_col).isNotNull()).join(best, norm_col, "left").select(*tagged.columns, best_col, count_col)
+    rest = tagged.filter(F.col(norm_col).isNull()).select(
+        "*", F.lit(None).cast(best.schema[best_col].dataType).alias(best_col), F.lit(None).cast("long").alias(count_col))
+    return known.unionByName(rest)
 
 
 def classify_by_prefix(df: DataFrame, text_col: str, pattern: str, mapping: Mapping[str, str],
@@ -50,14 +53,15 @@ def best_keyword_match(df: DataFrame, keywords: DataFrame, key: str, text_col: s
     """Module of each row by the longest keyword contained in its text, then alphabetical.
 
     Candidates come from an equi-join on the prefix plus a ``contains`` residual
-    (never a cross join); the keyword table is broadcast after a size check.
+    (never a cross join); the planner broadcasts the
+    keyword table if it is small.
     Rows without a match get ``unknown`` and a NULL keyword.
     """
     kw = keywords.select(F.col(kw_prefix_col).alias("_tl_prefix"), F.col(module_col).alias("_tl_module"),
                          F.explode(words_col).alias("_tl_word"))
     text = F.lower(F.col(text_col))
     cand = df.select(key, prefix_col, text_col).join(
-        broadcast_if_small(kw),
+        kw,
         (F.col(prefix_col) == F.col("_tl_prefix")) & text.contains(F.lower(F.col("_tl_word"))),
     )
     best = cand.groupBy(key).agg(F.min(F.struct(

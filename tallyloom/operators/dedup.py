@@ -1,8 +1,9 @@
 """One row per key: latest/first per key, by priority, plain de-duplication.
 
 ``latest_per_key`` is an aggregate (``max``/``min`` of a struct whose leading
-fields are the order columns), not a window: the hash aggregate combines rows
-map-side, so a key holding a third of all rows is reduced inside every task
+fields are the order columns), not a window.  Spark runs a maximum over a struct
+as a sort aggregate: each task sorts its own rows and combines them before the
+shuffle, so a key holding a third of all rows is reduced inside every task
 before the shuffle and never lands whole in one task.
 """
 
@@ -50,8 +51,3 @@ def latest_by_priority(df: DataFrame, keys: Sequence[str], kind_col: str, priori
     ranked = df.filter(F.col(kind_col).isin(list(priorities))).withColumn("_tl_rank", rank)
     out = latest_per_key(ranked, keys, ["_tl_rank", *order], True, cols + ["_tl_rank"])
     return out.drop("_tl_rank")
-
-
-def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """GROUP BY used only to de-duplicate (A14/P4)."""
-    return df.select(*(cols or df.columns)).distinct()

@@ -92,39 +92,44 @@ def nonzero(df: DataFrame, measures: Sequence[str] = MEASURES) -> DataFrame:
     return df.filter(cond)
 
 
-def balances_with_history(lines: DataFrame, group: Sequence[str], date_col: str, debit_col: str, credit_col: str,
-                          as_of, restart: Column | None = None, period_col: str = "period") -> DataFrame:
-    """Current-year balances re-aggregated with frozen closed-year history.
-
-    * history: balances of closed years (movements before 1 January of ``as_of``'s year);
-    * carry: each accumulating group's closing at the last closed period, spread over every
-      current-year period up to ``as_of``'s month (restarting groups carry nothing);
-    * current: balances of this year's movements only;
-    the three are united, summed per (group, period) and zero rows are dropped.
-    Raw lines are read and summed per month once (checkpointed); both parts start from that.
+def split_history(df: DataFrame, date_col: str, as_of) -> tuple[DataFrame, DataFrame]:
+    """(closed, current): rows before 1 January of ``as_of``'s year, and from then on.
+
+    Both cuts are literal ranges on the column as it is stored, so they reach the
+    scan; rows without a date belong to neither.
+    """
+    year_start = F.lit(dt.date(as_date(as_of).year, 1, 1))
+    return df.filter(F.col(date_col) < year_start), df.filter(F.col(date_col) >= year_start)
+
+
+def balances_with_history(current: DataFrame, history: DataFrame, group: Sequence[str], date_col: str, debit_col: str,
+                          credit_col: str, as_of, restart: Column | None = None, period_col: str = "period") -> DataFrame:
+    """Balances of all periods from the current year's movements and the frozen balances of closed years.
+
+    * ``history``: stored balances (group, period, measures) up to last December, as
+      ``period_balances`` gave them when the years were closed; never recomputed;
+    * carry: each accumulating group's closing at last December, spread over every
+      period of this year up to ``as_of``'s month (restarting groups carry nothing);
+    * ``current``: this year's movements only; earlier ones are ignored.
+    The three are united, summed per (group, period), and zero rows are dropped.
     """
     group = list(group)
     end = as_date(as_of)
     year_start = dt.date(end.year, 1, 1)
     last_closed = year_start - dt.timedelta(days=1)
     restarting = restart if restart is not None else F.lit(False)
-    # One pass over the raw lines.  The monthly table (groups x months) is small and is
-    # read by both parts, so it is written once to the checkpoint folder; otherwise each
-    # part's period filter is pushed below the aggregate and the lines are summed again.
-    monthly = monthly_movements(lines, group, date_col, debit_col, credit_col, end, period_col).checkpoint(eager=True)
-    history = balances_from_monthly(monthly.filter(F.col(period_col) < F.lit(year_start)), group, last_closed,
-                                   restart, period_col)
+    history = history.select(*group, period_col, *MEASURES).filter(F.col(period_col) < F.lit(year_start))
+    monthly = monthly_movements(current.filter(F.col(date_col) >= F.lit(year_start)), group, date_col, debit_col,
+                                credit_col, end, period_col).checkpoint(eager=True)
+    moved = balances_from_monthly(monthly, group, end, F.lit(True), period_col)
     last_hist = history.filter(F.col(period_col) == F.lit(_month(last_closed))).filter(~restarting)
-    current_months = F.sequence(F.lit(year_start), F.lit(_month(end)), F.expr("interval 1 month"))
+    months = F.sequence(F.lit(year_start), F.lit(_month(end)), F.expr("interval 1 month"))
     zero = F.lit(0).cast(history.schema["debit"].dataType)
-    carry = last_hist.select(*group, F.explode(current_months).alias(period_col),
-                             F.col("closing").alias("opening"), zero.alias("debit"), zero.alias("credit"),
-                             zero.alias("movement"), F.col("closing").alias("closing"))
-    current = balances_from_monthly(monthly.filter(F.col(period_col) >= F.lit(year_start)), group, end,
-                                   F.lit(True), period_col)
-    united = history.unionByName(carry).unionByName(current)
-    regrouped = united.groupBy(*group, period_col).agg(*[F.sum(m).alias(m) for m in MEASURES])
-    return nonzero(regrouped)
+    carry = last_hist.select(*group, F.explode(months).alias(period_col), F.col("closing").alias("opening"),
+                             zero.alias("debit"), zero.alias("credit"), zero.alias("movement"),
+                             F.col("closing").alias("closing"))
+    united = history.unionByName(carry).unionByName(moved)
+    return nonzero(united.groupBy(*group, period_col).agg(*[F.sum(m).alias(m) for m in MEASURES]))
 
 
 def spread_label(df: DataFrame, group: Sequence[str], col: str, out: str, fn=F.max) -> DataFrame:

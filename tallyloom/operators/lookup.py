@@ -1,4 +1,4 @@
-"""Lookups: code tables, bounded broadcasts, pre-aggregated scalar lookups, fallbacks."""
+"""Lookups: code tables, pre-aggregated scalar lookups, fallbacks.  No join here is forced to a broadcast."""
 
 from __future__ import annotations
 
@@ -8,19 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def broadcast_bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a frame whose size is fixed by parameters, not by data
-    (literal code lists, keyword lists, calendars, period tables, per-partition stats)."""
-    return F.broadcast(df)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 200_000) -> DataFrame:
-    """Broadcast only after checking the row count; larger frames are left to the
-    planner (sort-merge join, or AQE's runtime broadcast when it turns out small)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def check_unique(df: DataFrame, keys: Sequence[str]) -> None:
     """Raise when ``keys`` repeat (guard against fan-out before a one-to-one join)."""
     dup = df.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()
@@ -35,7 +22,7 @@ def code_lookup(df: DataFrame, lookup: DataFrame, kind: str, lang: str, key: Col
 
     The type/language filter sits on the lookup side (a constant predicate in
     ON keeps every left row); the lookup is reduced to one meaning per code so
-    it can never multiply rows.  It is broadcast after a size check.
+    it can never multiply rows.  The planner broadcasts it when its bytes are under the session's threshold.
     """
     code = F.col(code_col).cast(code_cast) if code_cast else F.col(code_col)
     lk = (
@@ -43,7 +30,7 @@ def code_lookup(df: DataFrame, lookup: DataFrame, kind: str, lang: str, key: Col
         .groupBy(code.alias("_tl_code"))
         .agg(F.max(meaning_col).alias(out))
     )
-    return df.join(broadcast_if_small(lk), key == F.col("_tl_code"), "left").drop("_tl_code")
+    return df.join(lk, key == F.col("_tl_code"), "left").drop("_tl_code")
 
 
 def scalar_lookup(df: DataFrame, ref: DataFrame, key: str, ref_key: str, aggs: Sequence[Column]) -> DataFrame:
@@ -60,24 +47,19 @@ def fallback(*cols, default=None) -> Column:
     return F.coalesce(*chain)
 
 
-def lookup_many(df: DataFrame, row_key: Sequence[str], code_cols: Sequence[str], lookup: DataFrame,
-                code_col: str = "code", value_col: str = "meaning", suffix: str = "_name") -> DataFrame:
-    """Label many code columns from one lookup table with a single join.
+def lookup_many(df: DataFrame, code_cols: Sequence[str], lookup: DataFrame, code_col: str = "code",
+                value_col: str = "meaning", suffix: str = "_name") -> DataFrame:
+    """Label many code columns from one lookup table, one left join per column.
 
-    The row's codes are unpivoted to (row, slot, code), joined to the lookup
-    once and pivoted back, instead of one correlated lookup (or one join) per
-    column.  The lookup is reduced to one value per code first, so no row can
-    be multiplied.  ``row_key`` must identify a row.
+    The lookup is reduced to one value per code first, so no row can be
+    multiplied.  A code table is small: the planner broadcasts it and the rows
+    are not shuffled at all.
     """
-    row_key, code_cols = list(row_key), list(code_cols)
     lk = lookup.groupBy(F.col(code_col).alias("_tl_code")).agg(F.max(value_col).alias("_tl_value"))
-    long = df.select(*row_key, F.explode(F.array(*[
-        F.struct(F.lit(c).alias("slot"), F.col(c).cast("string").alias("code")) for c in code_cols
-    ])).alias("_tl_s")).select(*row_key, "_tl_s.slot", "_tl_s.code")
-    named = long.join(lk, F.col("code") == F.col("_tl_code"), "left")
-    wide = named.groupBy(*row_key).agg(*[
-        F.max(F.when(F.col("slot") == c, F.col("_tl_value"))).alias(f"{c}{suffix}") for c in code_cols])
-    return df.join(wide, row_key, "left")
+    for c in code_cols:
+        one = lk.select(F.col("_tl_code").alias(f"_tl_{c}"), F.col("_tl_value").alias(f"{c}{suffix}"))
+        df = df.join(one, F.col(c).cast("string") == F.col(f"_tl_{c}"), "left").drop(f"_tl_{c}")
+    return df
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple], how: str = "left", check: bool = False) -> DataFrame:

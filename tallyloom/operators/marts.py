@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import same_month
 from ..functions.money import money
-from .aggregates import count_when, group_status, sum_if
+from .aggregates import count_when, sum_if
 from .numbering import sequence_in_parent
 
 # Entity states, decided in this order.
@@ -100,26 +100,34 @@ def invoice_tax(lines: DataFrame, invoice: str = "invoice", dist: str = "dist",
     """Per invoice: amount without tax, tax, total and posting status.
 
     Tax lines are matched to item lines by distribution; only when no item of
-    the invoice matches that way are they matched by receipt.  Each item line
-    takes the sum of its matching tax lines (as a correlated subquery per line
-    would), from tax tables pre-aggregated per (invoice, key) and joined once.
+    the invoice matches that way are they matched by receipt.  A distribution
+    (or, where taxes go by receipt, a receipt) that several items of an invoice
+    share would take the same tax more than once, so it fails the query.  Items
+    and taxes meet in one aggregate per (invoice, key); nothing is joined per line.
     """
-    items = lines.filter(F.col(kind) != tax_kind)
-    taxes = lines.filter(F.col(kind) == tax_kind)
-    by_dist = taxes.groupBy(F.col(invoice).alias("_i"), F.col(applies_to).alias("_d")) \
-        .agg(F.sum(amount).alias("_tax_d"))
-    by_rcpt = taxes.groupBy(F.col(invoice).alias("_i"), F.col(receipt).alias("_r")) \
-        .agg(F.sum(amount).alias("_tax_r"))
-    j = (items.join(by_dist, (F.col(invoice) == F.col("_i")) & (F.col(dist) == F.col("_d")), "left")
-         .drop("_i", "_d")
-         .join(by_rcpt, (F.col(invoice) == F.col("_i")) & (F.col(receipt) == F.col("_r")), "left")
-         .drop("_i", "_r"))
-    agg = j.groupBy(invoice).agg(
-        F.sum(amount).alias("net"),
-        F.sum("_tax_d").alias("_tax_d"),
-        F.sum("_tax_r").alias("_tax_r"),
-        group_status(F.col(posted) == "Y", POSTED_ALL, POSTED_NONE, POSTED_SOME,
-                     none_cond=F.col(posted) == "N").alias("posting_status"),
-    )
-    tax = F.coalesce("_tax_d", "_tax_r", F.lit(0).cast(lines.schema[amount].dataType))
-    return agg.select(invoice, "net", tax.alias("tax"), (F.col("net") + tax).alias("total"), "posting_status")
+    is_tax = F.col(kind) == tax_kind
+    hit = F.col("_key").isNotNull() & (F.col("_items") > 0) & F.col("_tax").isNotNull()
+    measures = [F.count(F.when(~is_tax, 1)).alias("_items"), F.sum(F.when(is_tax, F.col(amount))).alias("_tax")]
+    # per invoice: the tax that found an item, and whether some of it found more than one
+    found = lambda x: [F.sum(F.when(hit, F.col("_tax"))).alias(f"_tax_{x}"),
+                       F.max(hit & (F.col("_items") > 1)).alias(f"_shared_{x}")]
+    by_dist = lines.groupBy(invoice, F.when(is_tax, F.col(applies_to)).otherwise(F.col(dist)).alias("_key")).agg(
+        *measures, F.sum(F.when(~is_tax, F.col(amount))).alias("_net"),
+        F.count(F.when(~is_tax & (F.col(posted) == "Y"), 1)).alias("_y"),
+        F.count(F.when(~is_tax & (F.col(posted) == "N"), 1)).alias("_n"))
+    agg = by_dist.groupBy(invoice).agg(
+        F.sum("_net").alias("net"), *found("d"), F.sum("_items").alias("_items"), F.sum("_y").alias("_y"),
+        F.sum("_n").alias("_n")).filter(F.col("_items") > 0)
+    by_receipt = lines.groupBy(invoice, F.col(receipt).alias("_key")).agg(*measures).groupBy(
+        F.col(invoice).alias("_i")).agg(*found("r"))
+    j = agg.join(by_receipt, F.col(invoice) == F.col("_i"), "left")
+    shared = F.when(F.col("_tax_d").isNotNull(), F.col("_shared_d")).otherwise(F.col("_shared_r"))
+    by = F.when(F.col("_tax_d").isNotNull(), F.lit("distribution")).otherwise(F.lit("receipt"))
+    text = F.concat(F.lit("items share a "), by, F.lit(" that tax applies to, invoice "), F.col(invoice).cast("string"))
+    kind_of_sum = agg.schema["net"].dataType
+    zero = F.lit(0).cast(lines.schema[amount].dataType)
+    tax = F.when(shared, F.raise_error(text).cast(kind_of_sum)).otherwise(F.coalesce("_tax_d", "_tax_r", zero))
+    status = F.when(F.col("_y") == F.col("_items"), POSTED_ALL).when(F.col("_n") == F.col("_items"), POSTED_NONE) \
+        .otherwise(POSTED_SOME)
+    return j.withColumn("tax", tax).select(invoice, "net", "tax", (F.col("net") + F.col("tax")).alias("total"),
+                                           status.alias("posting_status"))

@@ -6,14 +6,15 @@ of all rows, that task holds everything.  ``sequence_number`` therefore:
 
 1. counts rows per parent (a map-side combined aggregate over the key columns
    only) and takes the *hot* parents above ``hot_rows`` -- at most
-   ``rows / hot_rows`` keys; the count is known on the driver, and the list is
-   broadcast only below ``MAX_BROADCAST_KEYS`` (else joined by shuffle);
+   ``rows / hot_rows`` keys; the planner broadcasts the list if it is small;
 2. numbers ordinary parents with the plain window (each window <= ``hot_rows``);
 3. numbers hot parents (and whole-table numbering) by range-partitioning on
    ``(parent, order)`` so one parent spans many tasks; each task knows its
    rows' positions, and a table with one row per (partition, hot parent)
-   -- bounded by partitions + hot parents, so broadcast -- supplies the count
-   of that parent's rows in earlier partitions.
+   supplies the count of that parent's rows in earlier partitions.
+
+Both ways number by the same total order, so a parent's size changes the plan
+and never the numbers: ``order`` must end in columns that tell rows apart.
 
 All steps are JVM-side DataFrame operations.
 """
@@ -22,39 +23,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _PID, _POS = "_tl_pid", "_tl_pos"
 DEFAULT_HOT_ROWS = 1_000_000
-# Broadcast the hot-key list and the offset table only below this many hot keys
-# (the count is known on the driver); above it they are joined by shuffle.
-MAX_BROADCAST_KEYS = 200_000
-
-# Frames persisted because they are read by two jobs; ``release_cached`` frees them
-# once the caller has consumed its results.
-_CACHED: list[DataFrame] = []
-
-
-def _persist(df: DataFrame) -> DataFrame:
-    out = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _CACHED.append(out)
-    return out
-
-
-def release_cached() -> None:
-    """Unpersist the intermediate frames kept by earlier numbering calls."""
-    while _CACHED:
-        _CACHED.pop().unpersist()
 
 
 def _sort_cols(order: Sequence) -> list[Column]:
     return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
 
 
-def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str, partitions: int | None,
-                    broadcast_offsets: bool = True) -> DataFrame:
+def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str, partitions: int | None) -> DataFrame:
     """Number rows by range partitioning on (parent, order) plus an offset table with one
     row per (partition, parent): at most partitions + parents in ``df``.
 
@@ -71,13 +51,13 @@ def _range_numbered(df: DataFrame, parent: list[str], order: Sequence, out: str,
         .withColumn(_POS, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
         .withColumn("_tl_pkey", pkey)
     )
-    # read twice (stats and numbering): one materialisation, so both see the same partitioning
-    ranged = _persist(ranged)
+    # read twice (stats and numbering): written once to the shared checkpoint folder, so both see
+    # the same positions and a lost executor loses nothing
+    ranged = ranged.checkpoint(eager=True)
     # one row per (partition, parent): first position there and row count
     stats = ranged.groupBy(_PID, "_tl_pkey").agg(F.min(_POS).alias("_tl_first"), F.count(F.lit(1)).alias("_tl_n"))
     before = Window.partitionBy("_tl_pkey").orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = stats.withColumn("_tl_offset", F.coalesce(F.sum("_tl_n").over(before), F.lit(0))).drop("_tl_n")
-    offsets = F.broadcast(offsets) if broadcast_offsets else offsets
     numbered = ranged.join(offsets, [_PID, "_tl_pkey"]).withColumn(
         out, (F.col(_POS) - F.col("_tl_first") + 1 + F.col("_tl_offset")).cast("long"))
     return numbered.drop(_PID, _POS, "_tl_pkey", "_tl_first", "_tl_offset")
@@ -89,8 +69,8 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
     """1-based ``row_number`` over ``order``, restarting per ``parent`` columns.
 
     ``order`` holds column names (ascending, nulls first) or sort Columns such as
-    ``F.col('x').desc()``.  Give a total order (append unique columns) when the
-    numbers themselves must be reproducible; ties get distinct numbers either way.
+    ``F.col('x').desc()``; it must be a total order of a parent's rows (append
+    unique columns).  Rows equal in every order column are interchangeable.
     ``max_group_rows``, when the caller already knows the largest parent size,
     skips the hot-parent count.  ``hot_keys_from`` is a cheaper frame with the
     parent columns whose per-key counts bound the input's (e.g. the base table
@@ -113,17 +93,14 @@ def sequence_number(df: DataFrame, order: Sequence, parent: Sequence[str] | None
     n_hot = hot.count()
     if n_hot == 0:
         return df.withColumn(out, F.row_number().over(window).cast("long"))
-    # at most rows / hot_rows keys, and counted: broadcast only below a fixed cap
-    small = n_hot <= MAX_BROADCAST_KEYS
     hot_keys = [f"_tl_h{i}" for i in range(len(parent))]
     hot_b = hot.select(*[F.col(p).alias(h) for p, h in zip(parent, hot_keys)]).withColumn("_tl_hot", F.lit(True))
-    hot_b = F.broadcast(hot_b) if small else hot_b
     cond = [F.col(p).eqNullSafe(F.col(h)) for p, h in zip(parent, hot_keys)]
     tagged = df.join(hot_b, cond, "left").drop(*hot_keys)
     cold = tagged.filter(F.col("_tl_hot").isNull()).drop("_tl_hot")
     warm = tagged.filter(F.col("_tl_hot").isNotNull()).drop("_tl_hot")
     cold_n = cold.withColumn(out, F.row_number().over(window).cast("long"))
-    warm_n = _range_numbered(warm, parent, order, out, n, broadcast_offsets=small)
+    warm_n = _range_numbered(warm, parent, order, out, n)
     return cold_n.unionByName(warm_n)
 
 

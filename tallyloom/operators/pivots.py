@@ -38,31 +38,27 @@ def static_pivot(df: DataFrame, group: Sequence[str], key: str, values: Mapping[
     return df.groupBy(*group).agg(*cols)
 
 
-def pivot_width(df: DataFrame, group: Sequence[str], max_width: int) -> int:
-    """Largest group size (one scalar to the driver); fails loudly above ``max_width``."""
-    width = df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0
-    if width > max_width:
-        raise ValueError(f"dynamic pivot would need {width} slots (> {max_width})")
-    return int(width)
+def pivot_width(df: DataFrame, group: Sequence[str]) -> int:
+    """Largest group size (one scalar to the driver)."""
+    return int(df.groupBy(*group).count().agg(F.max("count")).first()[0] or 0)
 
 
 def dynamic_pivot(df: DataFrame, group: Sequence[str], order: Sequence, attributes: Mapping[str, Column | str],
-                  max_width: int = 64, fill: Mapping[str, object] | None = None,
-                  width: int | None = None) -> DataFrame:
+                  fill: Mapping[str, object] | None = None, width: int | None = None,
+                  count_as: str | None = None) -> DataFrame:
     """Attributes of each group's rows as numbered columns ``<attr>_1 .. <attr>_n``.
 
     Rows are numbered inside their group by ``order`` (skew-safe numbering), the
     width ``n`` is the largest group size (computed here unless the caller
-    already holds it, e.g. from per-group counts), then every slot is a
-    conditional max.
+    already holds it), then every slot is a conditional max; ``count_as`` adds
+    the group's size.  The width follows the data without a cap: for groups of
+    very many rows keep the numbered rows (``sequence_in_parent``) instead.
     """
     if width is None:
-        width = pivot_width(df, group, max_width)
-    elif width > max_width:
-        raise ValueError(f"dynamic pivot would need {width} slots (> {max_width})")
+        width = pivot_width(df, group)
     numbered = sequence_in_parent(df, group, order, out="_tl_slot", max_group_rows=width)
     fill = fill or {}
-    cols = []
+    cols = [F.max("_tl_slot").alias(count_as)] if count_as else []
     for i in range(1, width + 1):
         for name, expr in attributes.items():
             e = F.col(expr) if isinstance(expr, str) else expr

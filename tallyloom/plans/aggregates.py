@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.money import NET_SQL, cents, money, net_amount
+from ..functions.money import NET_SQL, cents, money, net_amount, rate
 from ..operators.aggregates import count_when, group_status, ordered_distinct_text, sum_if
-from ..operators.pivots import dynamic_pivot, milestone_pivot, static_pivot
+from ..operators.pivots import dynamic_pivot, milestone_pivot, pivot_width, static_pivot
 from ..sources.tables import Tables
 from . import query
 
@@ -51,33 +51,28 @@ def q_static_pivot(spark, sf_dir):
 
 _SLOT_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                "l_returnflag", "l_linestatus", "l_shipdate"]
-MAX_LINES_FOR_PIVOT = 4
 
 
-def _dyn_sql(width: int) -> str:
-    slots = ", ".join(
-        f"COALESCE(max(CASE WHEN slot = {i} THEN l_partkey END), -1) AS part_{i}, "
-        f"max(CASE WHEN slot = {i} THEN l_quantity END) AS qty_{i}" for i in range(1, width + 1))
-    return f"""
-WITH n AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY l_orderkey HAVING count(*) <= 4),
-s AS (SELECT l.*, n.n_lines, row_number() OVER (PARTITION BY l.l_orderkey ORDER BY {", ".join(_SLOT_ORDER)}) AS slot
-      FROM lineitem l JOIN n ON n.l_orderkey = l.l_orderkey)
-SELECT l_orderkey, n_lines, {slots} FROM s GROUP BY l_orderkey, n_lines
-"""
-
-
-@query("dynamic_pivot", sql=_dyn_sql(MAX_LINES_FOR_PIVOT))
+@query("dynamic_pivot", sql=f"""
+WITH s AS (SELECT l_orderkey, l_partkey, CAST(l_quantity AS DECIMAL(18,2)) AS qty,
+                  row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(_SLOT_ORDER)}) AS slot FROM lineitem)
+SELECT l_orderkey, count(*) AS n_lines, max(CASE WHEN slot = 1 THEN l_partkey END) AS part_1,
+       string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY slot) AS parts,
+       string_agg(CAST(qty AS VARCHAR), ',' ORDER BY slot) AS quantities
+FROM s GROUP BY l_orderkey
+""")
 def q_dynamic_pivot(spark, sf_dir):
-    """Orders with at most four lines: each line's part and quantity as numbered columns;
-    the number of columns is the largest line count found in the data."""
+    """Every order: each line's part and quantity as numbered columns, as many as the largest
+    order has lines; shown as the lists of the numbered columns, which do not depend on the width."""
     t = Tables(spark, sf_dir)
     li = t.lineitem
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines")) \
-        .filter(F.col("n_lines") <= MAX_LINES_FOR_PIVOT)
-    small = li.join(counts, "l_orderkey")
-    width = counts.agg(F.max("n_lines")).first()[0] or 0   # one scalar: the largest line count kept
-    return dynamic_pivot(small, ["l_orderkey", "n_lines"], _SLOT_ORDER,
-                         {"part": "l_partkey", "qty": "l_quantity"}, max_width=64, fill={"part": -1}, width=width)
+    width = pivot_width(li, ["l_orderkey"])
+    wide = dynamic_pivot(li, ["l_orderkey"], _SLOT_ORDER,
+                         {"part": "l_partkey", "qty": money("l_quantity")}, width=width, count_as="n_lines")
+    slots = range(1, width + 1)
+    return wide.select("l_orderkey", "n_lines", *(["part_1"] if width else [F.lit(None).cast("long").alias("part_1")]),
+                       F.concat_ws(",", *[F.col(f"part_{i}") for i in slots]).alias("parts"),
+                       F.concat_ws(",", *[F.col(f"qty_{i}") for i in slots]).alias("quantities"))
 
 
 # Milestone codes (event kinds) and their columns.
@@ -117,30 +112,30 @@ POSTING_LABELS = ("CONTABILIZADO", "NO CONTABILIZADO", "PARCIAL")
 
 
 @query("expense_mart", sql=f"""
-WITH lines AS (SELECT l_orderkey, l_linestatus, {NET_SQL} AS net, CAST(l_tax AS DECIMAL(18,2)) AS rate FROM lineitem),
+WITH lines AS (SELECT l_orderkey, l_linestatus, {NET_SQL} AS net, CAST(l_tax AS DECIMAL(7,4)) AS rate FROM lineitem),
 tax AS (SELECT l_orderkey, SUM(ROUND(net * rate, 2)) AS tax FROM lines GROUP BY l_orderkey),
 agg AS (SELECT l_orderkey, count(*) AS n_lines, SUM(net) AS net,
                CASE WHEN count_if(l_linestatus = 'F') = count(*) THEN '{POSTING_LABELS[0]}'
                     WHEN count_if(l_linestatus = 'F') = 0 THEN '{POSTING_LABELS[1]}'
                     ELSE '{POSTING_LABELS[2]}' END AS posting_status
-        FROM lines GROUP BY l_orderkey HAVING count(*) >= 2 AND SUM(net) > 0)
+        FROM lines GROUP BY l_orderkey)
 SELECT a.l_orderkey AS o_orderkey, a.n_lines, CAST(a.net AS DOUBLE) AS net, CAST(t.tax AS DOUBLE) AS tax,
        CAST(a.net + t.tax AS DOUBLE) AS total, o.o_totalprice AS order_value, a.posting_status
 FROM agg a JOIN tax t ON t.l_orderkey = a.l_orderkey JOIN orders o ON o.o_orderkey = a.l_orderkey
+WHERE a.net + t.tax <> 0
 """)
 def q_expense_mart(spark, sf_dir):
-    """Per order: net, tax, total, order value and posted/not posted/partial status;
-    orders with one line or no net are dropped (HAVING)."""
+    """Per order: net, tax, total, order value and posted/not posted/partial status; a total of 0 is left out (HAVING)."""
     t = Tables(spark, sf_dir)
     lines = t.lineitem.select("l_orderkey", "l_linestatus", net_amount().alias("net"),
-                              money("l_tax").alias("rate"))
+                              rate("l_tax").alias("rate"))
     # net, tax and posting status in one pass (the tax lookup of the source system
     # becomes a second measure of the same aggregate, not a self-join)
     agg = lines.groupBy("l_orderkey").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("net").alias("net"),
         F.sum(F.round(F.col("net") * F.col("rate"), 2)).alias("tax"),
         group_status(F.col("l_linestatus") == "F", *POSTING_LABELS).alias("posting_status"),
-    ).filter((F.col("n_lines") >= 2) & (F.col("net") > 0))
+    ).filter(F.col("net") + F.col("tax") != 0)
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_totalprice").alias("order_value"))
     out = agg.join(o, "l_orderkey")
     return out.select(F.col("l_orderkey").alias("o_orderkey"), "n_lines", cents("net").alias("net"),
@@ -154,14 +149,15 @@ WITH j AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, p.p_brand, p.p_name
 SELECT l_orderkey, l_linenumber, l_partkey, p_brand, max(p_name) OVER (PARTITION BY p_brand) AS brand_label FROM j
 """)
 def q_spread_label(spark, sf_dir):
-    """``MAX(name) OVER (PARTITION BY brand)`` on every line, computed as an aggregate
-    joined back so a huge brand is combined map-side instead of sorted in one task."""
+    """``MAX(name) OVER (PARTITION BY brand)`` on every line: the parts that occur on a line are
+    labelled by brand (one row per part), and lines take the label by their part key."""
     from ..operators.ledger import spread_label
 
     t = Tables(spark, sf_dir)
-    j = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(
-        t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name"), "l_partkey")
-    return spread_label(j, ["p_brand"], "p_name", "brand_label").select(
+    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_name").join(
+        t.lineitem.select("l_partkey"), "l_partkey", "left_semi")
+    labelled = spread_label(parts, ["p_brand"], "p_name", "brand_label").select("l_partkey", "p_brand", "brand_label")
+    return t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey").join(labelled, "l_partkey").select(
         "l_orderkey", "l_linenumber", "l_partkey", "p_brand", "brand_label")
 
 

@@ -11,7 +11,6 @@ from ..operators.catalog import (
     daily_delta,
     extract_links,
     job_cost,
-    label_keys,
     latest_event,
     lineage_closure,
     parse_key_values,
@@ -49,11 +48,10 @@ SELECT event_id, event_type, max(CASE WHEN k = 'k' THEN v END) AS label_k FROM k
 
 @query("parse_labels", sql=_labels_sql())
 def q_parse_labels(spark, sf_dir):
-    """Key/value labels parsed from free text by regex and pivoted (keys found in the data)."""
+    """Key/value labels parsed from free text by regex, the named ones pivoted."""
     t = Tables(spark, sf_dir)
     pairs = parse_key_values(t.events.select("event_id", "event_type", "props"), "props")
-    keys = label_keys(pairs)
-    return pivot_labels(pairs, ["event_id", "event_type"], keys)
+    return pivot_labels(pairs, ["event_id", "event_type"], ["k"])
 
 
 def _audit_rows(conversations):

@@ -81,10 +81,10 @@ _ACTIVE_SINCE = dt.date(1998, 1, 1)        # today's extract: customers with an
 
 @query("scd1_upsert", sql="""
 WITH hist AS (SELECT o_custkey, min(o_orderdate) AS first_ts, max(o_orderdate) AS last_ts FROM orders GROUP BY 1),
-c AS (SELECT c.*, h.first_ts, h.last_ts FROM customer c JOIN hist h ON h.o_custkey = c.c_custkey),
+c AS (SELECT c.*, h.first_ts, h.last_ts FROM customer c LEFT JOIN hist h ON h.o_custkey = c.c_custkey),
 t AS (SELECT c_custkey, c_name, CAST(c_acctbal AS DECIMAL(18,2)) AS c_acctbal, c_mktsegment,
              DATE '2001-01-01' AS loaded_at, DATE '2001-01-01' AS updated_at
-      FROM c WHERE first_ts < TIMESTAMP '1999-01-01'),
+      FROM c WHERE first_ts < TIMESTAMP '1999-01-01' OR first_ts IS NULL),
 s AS (SELECT c_custkey, lower(c_name) AS c_name, CAST(c_acctbal AS DECIMAL(18,2)) + 100 AS c_acctbal, c_mktsegment
       FROM c WHERE last_ts >= TIMESTAMP '1998-01-01')
 SELECT COALESCE(t.c_custkey, s.c_custkey) AS c_custkey,
@@ -98,13 +98,13 @@ SELECT COALESCE(t.c_custkey, s.c_custkey) AS c_custkey,
 FROM t FULL OUTER JOIN s ON t.c_custkey = s.c_custkey
 """)
 def q_scd1_upsert(spark, sf_dir):
-    """Customer dimension as first loaded (customers ordering before 1999) merged with today's
-    changed extract (customers active since 1998): keep, update and insert all occur."""
+    """Customer dimension as first loaded (customers ordering before 1999, or never) merged with
+    today's changed extract (customers active since 1998): keep, update and insert all occur."""
     t = Tables(spark, sf_dir)
     hist = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.min("o_orderdate").alias("first_ts"), F.max("o_orderdate").alias("last_ts"))
-    c = t.customer.join(hist, "c_custkey")
-    target = c.filter(F.col("first_ts") < F.lit(_FIRST_LOAD_CUTOFF)).select(
+    c = t.customer.join(hist, "c_custkey", "left")
+    target = c.filter((F.col("first_ts") < F.lit(_FIRST_LOAD_CUTOFF)) | F.col("first_ts").isNull()).select(
         "c_custkey", "c_name", money("c_acctbal").alias("c_acctbal"), "c_mktsegment",
         F.lit(_FIRST_LOAD).alias("loaded_at"), F.lit(_FIRST_LOAD).alias("updated_at"))
     source = c.filter(F.col("last_ts") >= F.lit(_ACTIVE_SINCE)).select(
@@ -213,7 +213,7 @@ def q_daily_measure_upsert(spark, sf_dir):
 WITH fact AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS order_date,
                      CAST(o_totalprice AS DECIMAL(18,2)) AS total FROM orders),
 lines AS (SELECT l_orderkey, SUM({GROSS_SQL}) AS total FROM lineitem GROUP BY l_orderkey),
-recomputed AS (SELECT f.o_orderkey, f.order_date, l.total FROM fact f JOIN lines l ON l.l_orderkey = f.o_orderkey
+recomputed AS (SELECT f.o_orderkey, f.order_date, COALESCE(l.total, 0) AS total FROM fact f LEFT JOIN lines l ON l.l_orderkey = f.o_orderkey
                WHERE f.order_date BETWEEN DATE '2001-05-01' AND DATE '{AS_OF_ORDERS}')
 SELECT o_orderkey, strftime(order_date, '%Y-%m-%d') AS order_date, CAST(total AS DOUBLE) AS total,
        CAST(0 AS BIGINT) AS recomputed
@@ -222,15 +222,15 @@ UNION ALL
 SELECT o_orderkey, strftime(order_date, '%Y-%m-%d'), CAST(total AS DOUBLE), CAST(1 AS BIGINT) FROM recomputed
 """)
 def q_replace_date_window(spark, sf_dir):
-    """Order fact whose last three months (plus the current one) are rebuilt from the lines."""
+    """Order fact whose last three months (plus the current one) are rebuilt from the lines; an order without lines has total 0."""
     t = Tables(spark, sf_dir)
     start = window_start(AS_OF_ORDERS, 3)
     fact = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("order_date"),
                            money("o_totalprice").alias("total"))
     in_window = fact.filter(F.col("order_date").between(F.lit(start), F.lit(dt.date.fromisoformat(AS_OF_ORDERS))))
     lines = t.lineitem.groupBy("l_orderkey").agg(F.sum(gross_amount()).alias("total"))
-    recomputed = in_window.drop("total").join(lines.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey") \
-        .select("o_orderkey", "order_date", F.col("total").cast("decimal(38,2)").alias("total"))
+    recomputed = in_window.drop("total").join(lines.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left") \
+        .select("o_orderkey", "order_date", F.coalesce("total", F.lit(0)).cast("decimal(38,2)").alias("total"))
     fact = fact.select("o_orderkey", "order_date", F.col("total").cast("decimal(38,2)").alias("total"))
     tagged_old = fact.withColumn("recomputed", F.lit(0).cast("long"))
     tagged_new = recomputed.withColumn("recomputed", F.lit(1).cast("long"))

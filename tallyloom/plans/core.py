@@ -14,7 +14,7 @@ from ..functions.text import decode, split_count, split_nth, text_after, text_be
 from ..operators.aggregates import level_rollup
 from ..operators.calendar import DAYS_ES, MONTHS_ES, calendar_attributes
 from ..operators.dedup import latest_by_priority, latest_per_key
-from ..operators.lookup import broadcast_bounded, code_lookup
+from ..operators.lookup import code_lookup
 from ..operators.numbering import running_number, sequence_in_parent
 from ..sources.tables import Tables, calendar_between, literal_rows
 from . import query
@@ -70,7 +70,7 @@ def q_surrogate_keys(spark, sf_dir):
     """Hash surrogate keys, composite keys, and the unknown member for unmatched nations."""
     t = Tables(spark, sf_dir)
     dim_nation = t.nation.filter(F.col("n_regionkey") != 0).select("n_nationkey")
-    c = t.customer.join(broadcast_bounded(dim_nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    c = t.customer.join(dim_nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     return c.select(
         "c_custkey",
         hash_key("c_custkey").alias("sk_customer"),
@@ -268,8 +268,7 @@ LEFT JOIN lk s ON s.k = 'STATUS:' || lower(o.o_orderstatus)
 LEFT JOIN lk p ON p.k = 'PRIORITY:' || split_part(o.o_orderpriority, '-', 1)
 """)
 def q_multi_code_lookup(spark, sf_dir):
-    """Several code columns of each order labelled from one code table in a single join
-    (instead of one lookup per column)."""
+    """Several code columns of each order labelled from one code table, without a shuffle of the orders."""
     from ..operators.lookup import lookup_many
 
     t = Tables(spark, sf_dir)
@@ -279,5 +278,5 @@ def q_multi_code_lookup(spark, sf_dir):
         "o_orderkey",
         F.concat(F.lit("STATUS:"), F.lower("o_orderstatus")).alias("status_code"),
         F.concat(F.lit("PRIORITY:"), F.split_part("o_orderpriority", F.lit("-"), F.lit(1))).alias("priority_code"))
-    return lookup_many(o, ["o_orderkey"], ["status_code", "priority_code"], codes).select(
+    return lookup_many(o, ["status_code", "priority_code"], codes).select(
         "o_orderkey", "status_code_name", "priority_code_name")

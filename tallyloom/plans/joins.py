@@ -12,7 +12,7 @@ from ..operators.conform import (
     conform_parties,
     union_tagged,
 )
-from ..operators.lookup import broadcast_bounded, fallback, fallback_chain, scalar_lookup, star_join
+from ..operators.lookup import fallback, fallback_chain, scalar_lookup, star_join
 from ..sources.tables import Tables, literal_rows
 from . import query
 
@@ -76,8 +76,7 @@ def q_role_playing_dims(spark, sf_dir):
     from pyspark.sql import Window
 
     t = Tables(spark, sf_dir)
-    # nation/region are fixed-cardinality reference dimensions (25 and 5 rows at every scale)
-    nation, region = broadcast_bounded(t.nation), broadcast_bounded(t.region)
+    nation, region = t.nation, t.region
 
     def nation_role(prefix):
         return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
@@ -113,7 +112,7 @@ FROM customer c JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON
 def q_snowflake_mart(spark, sf_dir):
     """Customer flattened through nation to region (snowflake chain)."""
     t = Tables(spark, sf_dir)
-    geo = broadcast_bounded(t.nation).join(broadcast_bounded(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     c = t.customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey"))
     return c.select("c_custkey", "c_name", "c_mktsegment", "c_acctbal", "n_name", "r_name",
                     F.sha2(F.col("c_custkey").cast("string"), 256).alias("sk_customer"))
@@ -176,8 +175,7 @@ def q_fallback_enrich(spark, sf_dir):
                                                                             F.col("c_nationkey").alias("nation"))),
     ], "_party", source_col="party_source")
     party = party.withColumn("party", fallback(F.col("_party.name"), default=NO_PARTY))
-    j = party.join(broadcast_bounded(t.nation.select("n_nationkey", "n_name")),
-                   F.col("n_nationkey") == F.col("_party.nation"), "left")
+    j = party.join(t.nation.select("n_nationkey", "n_name"), F.col("n_nationkey") == F.col("_party.nation"), "left")
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "party", "party_source",
                     fallback("n_name", default=NO_PARTY).alias("party_nation"))
 

@@ -6,9 +6,12 @@ the Spark plans use per-month sums, a generated month grid and running windows.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
-from ..operators.ledger import balances_with_history, period_balances
+from ..functions.money import money
+from ..operators.ledger import MEASURES, balances_with_history, period_balances, split_history
 from ..sources.tables import Tables
 from . import AS_OF_ORDERS, query
 
@@ -64,11 +67,59 @@ def q_period_balances(spark, sf_dir):
     return _present(bal)
 
 
-@query("balances_with_history", sql=f"""WITH {_RANGE_SQL} {_OUT_SQL}
-WHERE opening <> 0 OR debit <> 0 OR credit <> 0 OR movement <> 0 OR closing <> 0""")
+# Accounts of the two-part query: a buyer's nation and the order status.  F orders settle at once
+# (debit and credit), P orders start again every year, so months without movement come to zero.
+_YEAR_START = dt.date(2001, 1, 1)
+_ACCOUNT_SQL = f"""
+mv AS (SELECT c.c_nationkey, o.o_orderstatus, CAST(o.o_orderdate AS DATE) AS d,
+              CAST(o.o_totalprice AS DECIMAL(18,2)) AS debit,
+              CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE 0 END AS credit
+       FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+       WHERE CAST(o.o_orderdate AS DATE) <= DATE '{AS_OF_ORDERS}'),
+periods AS (SELECT CAST(g AS DATE) AS ps, CAST(g + INTERVAL 1 MONTH - INTERVAL 1 DAY AS DATE) AS pe
+            FROM generate_series((SELECT CAST(date_trunc('month', min(d)) AS DATE) FROM mv),
+                                 CAST(date_trunc('month', DATE '{AS_OF_ORDERS}') AS DATE), INTERVAL 1 MONTH) t(g)),
+j AS (SELECT mv.*, p.ps, p.ps >= DATE '2001-01-01' AS is_current FROM periods p JOIN mv ON mv.d <= p.pe
+      AND CASE WHEN p.ps >= DATE '2001-01-01' THEN mv.d >= DATE '2001-01-01'
+               WHEN mv.o_orderstatus = 'P' THEN mv.d >= make_date(year(p.ps), 1, 1) ELSE TRUE END),
+part AS (SELECT c_nationkey, o_orderstatus, ps, SUM(CASE WHEN d < ps THEN debit - credit ELSE 0 END) AS opening,
+                SUM(CASE WHEN d >= ps THEN debit ELSE 0 END) AS debit,
+                SUM(CASE WHEN d >= ps THEN credit ELSE 0 END) AS credit,
+                SUM(CASE WHEN d >= ps THEN debit - credit ELSE 0 END) AS movement, SUM(debit - credit) AS closing
+         FROM j GROUP BY ALL),
+carry AS (SELECT h.c_nationkey, h.o_orderstatus, p.ps, h.closing AS opening, 0 AS debit, 0 AS credit, 0 AS movement,
+                 h.closing AS closing
+          FROM part h JOIN periods p ON p.ps >= DATE '2001-01-01'
+          WHERE h.ps = DATE '2000-12-01' AND h.o_orderstatus <> 'P'),
+bal AS (SELECT c_nationkey, o_orderstatus, ps, SUM(opening) AS opening, SUM(debit) AS debit, SUM(credit) AS credit,
+               SUM(movement) AS movement, SUM(closing) AS closing
+        FROM (SELECT c_nationkey, o_orderstatus, ps, opening, debit, credit, movement, closing FROM part
+              UNION ALL SELECT * FROM carry) GROUP BY ALL)"""
+
+
+def _accounts(orders, customer):
+    """Movements of an order frame already cut by its stored date."""
+    price = money("o_totalprice")
+    o = orders.select("o_custkey", "o_orderstatus", "o_orderdate", price.alias("debit"),
+                      F.when(F.col("o_orderstatus") == "F", price).otherwise(F.lit(0).cast("decimal(18,2)")).alias("credit"))
+    c = customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    return o.join(c, "o_custkey").withColumn("d", F.to_date("o_orderdate"))
+
+
+@query("balances_with_history", sql=f"""WITH {_ACCOUNT_SQL}
+SELECT c_nationkey, o_orderstatus, strftime(ps, '%Y-%m') AS period, CAST(opening AS DOUBLE) AS opening,
+       CAST(debit AS DOUBLE) AS debit, CAST(credit AS DOUBLE) AS credit, CAST(movement AS DOUBLE) AS movement,
+       CAST(closing AS DOUBLE) AS closing
+FROM bal WHERE opening <> 0 OR debit <> 0 OR credit <> 0 OR movement <> 0 OR closing <> 0""")
 def q_balances_with_history(spark, sf_dir):
-    """Closed years frozen, current year recomputed, united and regrouped; zero rows dropped."""
+    """Closed years frozen once, the current year's orders added to them; zero rows dropped."""
     t = Tables(spark, sf_dir)
-    bal = balances_with_history(_movements(t), ["c_mktsegment"], "d", "debit", "credit", AS_OF_ORDERS,
-                                restart=F.col("c_mktsegment").isin(*RESTART_SEGMENTS))
-    return _present(bal)
+    group, restart = ["c_nationkey", "o_orderstatus"], F.col("o_orderstatus") == "P"
+    closed, current = split_history(t.orders, "o_orderdate", AS_OF_ORDERS)
+    last_closed = _YEAR_START - dt.timedelta(days=1)
+    # what the year-end run stored; the checkpoint stands for that table
+    history = period_balances(_accounts(closed, t.customer), group, "d", "debit", "credit", last_closed,
+                              restart).checkpoint(eager=True)
+    bal = balances_with_history(_accounts(current, t.customer), history, group, "d", "debit", "credit", AS_OF_ORDERS, restart)
+    return bal.select(*group, F.date_format("period", "yyyy-MM").alias("period"),
+                      *[F.col(m).cast("double").alias(m) for m in MEASURES])

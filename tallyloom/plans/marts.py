@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.money import NET_SQL, cents, money, net_amount
+from ..functions.money import NET_SQL, cents, money, net_amount, rate
 from ..operators.aging import invoice_aging, receivable_aging
 from ..operators.numbering import sequence_in_parent
 from ..sources.tables import Tables
@@ -208,19 +208,24 @@ def q_withdrawal_refund(spark, sf_dir):
                     refund(F.col("collected"), penalty).cast("double").alias("refund"))
 
 
+_LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+               "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
 def _invoice_lines_sql() -> str:
     return f"""
-lines AS (
-  SELECT l_orderkey AS invoice, CAST(l_linenumber AS BIGINT) AS dist, l_suppkey AS receipt,
-         CAST(NULL AS BIGINT) AS applies_to, 'ITEM' AS type, {NET_SQL} AS amount,
+numbered AS (
+  SELECT l_orderkey AS invoice, row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(_LINE_ORDER)}) AS no,
+         l_suppkey, {NET_SQL} AS net, ROUND({NET_SQL} * CAST(l_tax AS DECIMAL(7,4)), 2) AS tax,
+         max(CASE WHEN l_returnflag <> 'R' THEN 1 ELSE 0 END) OVER (PARTITION BY l_orderkey) AS by_dist,
          CASE l_linestatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END AS posted
-  FROM lineitem
+  FROM lineitem),
+lines AS (
+  SELECT invoice, no AS dist, l_suppkey * 1000 + no AS receipt, CAST(NULL AS BIGINT) AS applies_to, 'ITEM' AS type,
+         net AS amount, posted FROM numbered
   UNION ALL
-  SELECT l_orderkey, CAST(NULL AS BIGINT), l_suppkey,
-         CASE WHEN l_returnflag <> 'R' THEN CAST(l_linenumber AS BIGINT) END, 'TAX',
-         ROUND({NET_SQL} * CAST(l_tax AS DECIMAL(18,2)), 2),
-         CASE l_linestatus WHEN 'F' THEN 'Y' WHEN 'O' THEN 'N' END
-  FROM lineitem)"""
+  SELECT invoice, CAST(NULL AS BIGINT), l_suppkey * 1000 + no, CASE WHEN by_dist = 1 THEN no END, 'TAX', tax, posted
+  FROM numbered)"""
 
 
 @query("invoice_tax_match", sql=f"""
@@ -241,23 +246,26 @@ SELECT invoice, CAST(net AS DOUBLE) AS net, CAST(COALESCE(tax_d, tax_r, 0) AS DO
 FROM agg
 """)
 def q_invoice_tax_match(spark, sf_dir):
-    """Order lines as invoice lines (one item row and one tax row per line): tax matched to items
-    by distribution, else by receipt, summed per invoice with its posting status."""
+    """Order lines as invoice lines (one item row and one tax row per line): tax matched to items by
+    distribution, on invoices of returned lines only by receipt, with the invoice's posting status.
+    A line's place in its order is its distribution, as (order, line number) repeats."""
     from ..operators.marts import invoice_tax
 
     t = Tables(spark, sf_dir)
-    li = t.lineitem
-    posted = F.when(F.col("l_linestatus") == "F", "Y").when(F.col("l_linestatus") == "O", "N")
+    numbered = sequence_in_parent(t.lineitem.drop("l_comment"), ["l_orderkey"], _LINE_ORDER, out="no")
+    flags = t.lineitem.groupBy("l_orderkey").agg(F.max(F.col("l_returnflag") != "R").alias("by_dist"))
+    numbered = numbered.join(flags, "l_orderkey")
     net = net_amount()
-    items = li.select(F.col("l_orderkey").alias("invoice"), F.col("l_linenumber").cast("long").alias("dist"),
-                      F.col("l_suppkey").alias("receipt"), F.lit(None).cast("long").alias("applies_to"),
-                      F.lit("ITEM").alias("type"), net.alias("amount"), posted.alias("posted"))
-    taxes = li.select(F.col("l_orderkey").alias("invoice"), F.lit(None).cast("long").alias("dist"),
-                      F.col("l_suppkey").alias("receipt"),
-                      F.when(F.col("l_returnflag") != "R", F.col("l_linenumber").cast("long")).alias("applies_to"),
-                      F.lit("TAX").alias("type"), F.round(net * money("l_tax"), 2).alias("amount"),
-                      posted.alias("posted"))
-    lines = items.unionByName(taxes.withColumn("amount", F.col("amount").cast(items.schema["amount"].dataType)))
+    receipt = F.col("l_suppkey") * 1000 + F.col("no")
+    none = F.lit(None).cast("long")
+    rows = F.explode(F.array(
+        F.struct(F.col("no").alias("dist"), none.alias("applies_to"), F.lit("ITEM").alias("type"),
+                 net.cast("decimal(38,2)").alias("amount")),
+        F.struct(none.alias("dist"), F.when(F.col("by_dist"), F.col("no")).alias("applies_to"), F.lit("TAX").alias("type"),
+                 F.round(net * rate("l_tax"), 2).cast("decimal(38,2)").alias("amount"))))
+    posted = F.when(F.col("l_linestatus") == "F", "Y").when(F.col("l_linestatus") == "O", "N")
+    lines = numbered.select(F.col("l_orderkey").alias("invoice"), receipt.alias("receipt"), posted.alias("posted"),
+                            rows.alias("r")).select("invoice", "receipt", "posted", "r.*")
     out = invoice_tax(lines)
     return out.select("invoice", cents("net").alias("net"), cents("tax").alias("tax"), cents("total").alias("total"),
                       "posting_status")
@@ -289,7 +297,6 @@ def q_order_obt(spark, sf_dir):
     from ..functions.keys import date_key
     from ..operators.calendar import calendar_attributes
     from ..operators.dedup import latest_per_key
-    from ..operators.lookup import broadcast_bounded
     from ..sources.tables import calendar_between
 
     t = Tables(spark, sf_dir)
@@ -299,16 +306,16 @@ def q_order_obt(spark, sf_dir):
     newest = latest_per_key(li, ["l_orderkey"], ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey",
                                                  "l_quantity", "l_extendedprice", "l_discount", "l_tax",
                                                  "l_returnflag", "l_linestatus"])
-    # calendar over the order-date range: one row per day, bounded by the range, so broadcast
+    # calendar over the order-date range, one row per day: its length is the data's, so no hint
     bounds = o.agg(F.to_date(F.min("o_orderdate")).alias("lo"), F.to_date(F.max("o_orderdate")).alias("hi"))
     cal = calendar_attributes(calendar_between(bounds, "lo", "hi")).select("date_key", "quarter_name", "fiscal_year")
-    geo = broadcast_bounded(t.nation).join(broadcast_bounded(t.region), F.col("n_regionkey") == F.col("r_regionkey"))
+    geo = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     buyers = t.customer.join(geo, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("c_custkey").alias("o_custkey"), F.col("c_name").alias("buyer"), F.col("n_name").alias("buyer_nation"),
         F.col("r_name").alias("buyer_region"))
     obt = (o.withColumn("date_key", date_key("o_orderdate").cast("long"))
            .join(buyers, "o_custkey")
-           .join(F.broadcast(cal), "date_key", "left")
+           .join(cal, "date_key", "left")
            .join(newest.withColumnRenamed("l_orderkey", "o_orderkey").withColumn("_has", F.lit(1)),
                  "o_orderkey", "left"))
     return obt.select(

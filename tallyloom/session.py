@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -25,7 +26,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -37,7 +39,9 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Return the checkpoint folder the cluster names; set one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when nothing is configured (local tests) a fresh folder is made.
+    is.  Where nothing is configured a fresh folder is made on a local master
+    only: on a cluster every executor would write to a disk of its own, so that
+    is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -47,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not fallback and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     path = fallback or tempfile.mkdtemp(prefix="tallyloom-ckpt-", dir="/tmp")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()

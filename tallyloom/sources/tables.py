@@ -12,6 +12,7 @@ import os
 import uuid
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -90,11 +91,13 @@ def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), cl
                   metadata: dict | None = None, validate=None) -> str:
     """Full rebuild (``CREATE OR REPLACE TABLE AS``) into a new version folder.
 
-    Returns the version path; ``path/_CURRENT`` (written by Spark, so any file
-    system works) names it.  Readers of the previous version keep working
-    while the new one is written; the pointer moves only after the data is in
-    place and ``validate(written_df)`` (if given) has returned without raising,
-    e.g. a row-count or key-uniqueness check.  ``metadata`` (description,
+    Returns the version path; a numbered pointer under ``path/_CURRENT`` (written
+    by Spark, so any file system works) names it, and the highest complete one
+    counts.  Readers of the previous version keep working while the new one is
+    written; the pointer is added only after the data is in place and
+    ``validate(written_df)`` (if given) has returned without raising, e.g. a
+    row-count or key-uniqueness check.  Two writers at once may take the same
+    number; then the later version name counts.  ``metadata`` (description,
     labels) is saved beside the data.
     """
     spark = df.sparkSession
@@ -113,15 +116,32 @@ def write_replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), cl
 
         spark.createDataFrame([(json.dumps(metadata, sort_keys=True, default=str),)], "value string") \
             .coalesce(1).write.mode("overwrite").text(f"{version}_meta")
-    spark.createDataFrame([(name,)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path.rstrip('/')}/_CURRENT")
+    _point_to(spark, path, name)
     return version
 
 
+def _pointers(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, version) of every complete pointer; an unfinished write has no part file yet."""
+    try:
+        rows = spark.read.text(f"{path.rstrip('/')}/_CURRENT/*").collect()
+    except AnalysisException:  # no pointer so far
+        return []
+    return sorted((int(n), name) for n, name in (r[0].split(" ", 1) for r in rows))
+
+
+def _point_to(spark: SparkSession, path: str, name: str) -> None:
+    """Add a pointer with the next number; none is ever changed, so a failed write leaves the last one standing."""
+    number = max([n for n, _ in _pointers(spark, path)], default=0) + 1
+    spark.createDataFrame([(f"{number} {name}",)], "value string").coalesce(1).write.text(
+        f"{path.rstrip('/')}/_CURRENT/{number:08d}-{uuid.uuid4().hex[:8]}")
+
+
 def current_version(spark: SparkSession, path: str) -> str:
-    """Folder of the version ``path/_CURRENT`` names."""
-    name = spark.read.text(f"{path.rstrip('/')}/_CURRENT").first()[0].strip()
-    return f"{path.rstrip('/')}/{name}"
+    """Folder of the version that the highest complete pointer names."""
+    found = _pointers(spark, path)
+    if not found:
+        raise FileNotFoundError(f"{path} has no current version")
+    return f"{path.rstrip('/')}/{found[-1][1]}"
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
@@ -158,20 +178,52 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int,
 def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace only the partitions present in ``df`` (dynamic partition overwrite).
 
-    For a month-partitioned fact, a rebuilt date window (``replace_date_window``)
-    rewrites just its months instead of the whole table; other partitions are
-    not read or touched.
+    Partitions that ``df`` has no row for stay as they are; to rebuild a date
+    window use ``replace_months``, which also clears what became empty.
     """
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(*partition_by).parquet(path)
 
 
+def replace_months(recomputed: DataFrame, path: str, date_col: str, start, end, month_col: str = "month") -> None:
+    """Rebuild the window ``start..end`` of a table stored by ``month_partition``.
+
+    Only the window's months are read and written.  Rows of a partly covered
+    month outside the window are kept, rows of ``recomputed`` outside it are
+    ignored, and a month that is left without rows is removed.
+    """
+    spark, lo, hi = recomputed.sparkSession, _d(start), _d(end)
+    months, m = [], lo.replace(day=1)
+    while m <= hi:
+        months.append(m.strftime("%Y-%m"))
+        m = (m.replace(day=28) + dt.timedelta(days=4)).replace(day=1)
+    inside = F.to_date(F.col(date_col)).between(F.lit(lo), F.lit(hi))
+    stored = spark.read.parquet(path)
+    stored = stored.withColumn(month_col, F.col(month_col).cast("string")).filter(F.col(month_col).isin(months))
+    new = month_partition(recomputed.filter(inside), date_col, month_col).select(*stored.columns)
+    # written once before the path it comes from is overwritten
+    rows = stored.filter(~F.coalesce(inside, F.lit(False))).unionByName(new).checkpoint(eager=True)
+    overwrite_partitions(rows, path, [month_col])
+    left = {r[0] for r in rows.select(month_col).distinct().collect()}  # a month list at most
+    files = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for month in months:
+        if month not in left:
+            folder = files.Path(f"{path.rstrip('/')}/{month_col}={month}")
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def append_rows(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:
-    """``INSERT INTO ... SELECT`` by column name, after checking the target schema."""
-    if schema is not None:
-        missing = [f.name for f in schema.fields if f.name not in df.columns]
-        extra = [c for c in df.columns if c not in schema.fieldNames()]
-        if missing or extra:
-            raise ValueError(f"schema drift: missing={missing} extra={extra}")
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    df.write.mode("append").parquet(path)
+    """``INSERT INTO ... SELECT`` by column name, after checking the target's schema.
+
+    The schema is read from the target unless given; a first write has none to check.
+    """
+    if schema is None:
+        try:
+            schema = df.sparkSession.read.parquet(path).schema
+        except AnalysisException:
+            schema = df.schema
+    missing = [f.name for f in schema.fields if f.name not in df.columns]
+    extra = [c for c in df.columns if c not in schema.fieldNames()]
+    if missing or extra:
+        raise ValueError(f"schema drift: missing={missing} extra={extra}")
+    df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]).write.mode("append").parquet(path)

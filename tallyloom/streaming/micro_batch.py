@@ -3,7 +3,8 @@
 * ``upsert_stream`` - each micro-batch is merged into the current version of a
   target table with ``scd1_upsert`` and written as a new version
   (``write_replace``), so a failed batch never leaves a half-written target;
-  Spark's checkpoint makes the batches exactly-once.
+  a batch may run again after a failure (at least once): the merge then gives the
+  same rows.  Each batch rewrites the target, and old versions stay until removed.
 * ``daily_counts_stream`` - rows per (key, local day) with a watermark, the
   streaming form of the daily measure that ``daily_measure_upsert`` merges.
 """

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyloom.operators.changes import (
@@ -134,7 +135,7 @@ def test_lookup_many_single_join(spark):
 
     df = spark.createDataFrame([(1, "10", "20", None), (2, "20", "99", "10")], "id long, a string, b string, c string")
     lk = spark.createDataFrame([("10", "ten"), ("20", "twenty"), ("20", "twenty")], "code string, meaning string")
-    got = rows(lookup_many(df, ["id"], ["a", "b", "c"], lk), "id", "a_name", "b_name", "c_name")
+    got = rows(lookup_many(df, ["a", "b", "c"], lk), "id", "a_name", "b_name", "c_name")
     assert got == [(1, "ten", "twenty", None), (2, "twenty", None, "ten")]
 
 
@@ -171,3 +172,30 @@ def test_flag_soft_deletes_first_run_adds_flag(spark):
     out = flag_soft_deletes(raw, live, "id")
     assert out.columns == ["id", "payload", "deleted"]
     assert rows(out, "id", "deleted") == [(1, None), (2, "1")]
+
+
+def test_upsert_refuses_repeated_source_keys(spark):
+    target = spark.createDataFrame([(1, "a")], "k long, v string")
+    source = spark.createDataFrame([(1, "b"), (1, "c")], "k long, v string")
+    with pytest.raises(ValueError, match="not unique"):
+        scd1_upsert(target, source, ["k"], "2024-01-01")
+    nulls = spark.createDataFrame([(None, "b"), (None, "c")], "k long, v string")  # null keys match nothing: both are inserted
+    assert scd1_upsert(target, nulls, ["k"], "2024-01-01").count() == 3
+
+
+def test_three_part_key_upsert(spark):
+    schema = "d string, t string, c string, text string"
+    target = spark.createDataFrame([("a", "b", "c", "old"), ("a", "b", "x", "kept")], schema)
+    source = spark.createDataFrame([("a", "b", "c", "new"), ("a", "z", "c", "added")], schema)
+    got = scd1_upsert(target, source, ["d", "t", "c"], "2024-01-01")
+    assert rows(got, "d", "t", "c", "text", "_action") == [
+        ("a", "b", "c", "new", "update"), ("a", "b", "x", "kept", "keep"), ("a", "z", "c", "added", "insert")]
+
+
+def test_snapshot_of_one_day_stays_one_copy(spark):
+    current = spark.createDataFrame([("s", 1)], "seg string, n long")
+    empty = spark.createDataFrame([], "seg string, n long, snapshot_date date")
+    once = month_end_snapshot(empty, current, "2024-01-31")
+    twice = month_end_snapshot(once, current, "2024-01-31")
+    assert twice.count() == 1
+    assert month_end_snapshot(twice, current, "2024-02-29").count() == 2

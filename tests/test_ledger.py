@@ -4,7 +4,7 @@ from decimal import Decimal
 import pandas as pd
 from pyspark.sql import functions as F
 
-from tallyloom.operators.ledger import balances_with_history, nonzero, period_balances, spread_label
+from tallyloom.operators.ledger import balances_with_history, nonzero, period_balances, split_history, spread_label
 
 from conftest import rows
 
@@ -66,8 +66,21 @@ def test_closing_equals_next_opening(spark):
 def test_history_union_equals_full_computation(spark):
     lines = _lines(spark)
     full = nonzero(period_balances(lines, ["account"], "d", "debit", "credit", "2023-04-30", restart()))
-    hist = balances_with_history(lines, ["account"], "d", "debit", "credit", "2023-04-30", restart())
-    assert rows(full) == rows(hist)
+    closed, current = split_history(lines, "d", "2023-04-30")
+    assert closed.count() + current.count() == lines.count()
+    history = period_balances(closed, ["account"], "d", "debit", "credit", "2022-12-31", restart())
+    both = balances_with_history(current, history, ["account"], "d", "debit", "credit", "2023-04-30", restart())
+    assert rows(full) == rows(both)
+    # movements of closed years among the current ones are not counted twice
+    again = balances_with_history(lines, history, ["account"], "d", "debit", "credit", "2023-04-30", restart())
+    assert rows(full) == rows(again)
+
+
+def test_current_year_cut_reaches_the_scan(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    _, current = split_history(orders, "o_orderdate", "2001-08-31")
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan
 
 
 def test_spread_label(spark):

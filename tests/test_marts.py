@@ -1,9 +1,11 @@
 import datetime as dt
+from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators.lookup import broadcast_if_small
-from tallyloom.operators.marts import entity_summary, entity_summary_by_rows, mart_diff
+from tallyloom.functions.money import net_amount, rate
+from tallyloom.operators.marts import entity_summary, entity_summary_by_rows, invoice_tax, mart_diff
 
 from conftest import rows
 
@@ -44,16 +46,37 @@ def test_two_derivations_agree(spark):
     assert rows(mart_diff(a, changed, ["c_custkey"]), "n_diff") == [(1,)]
 
 
-def test_broadcast_if_small_both_ways(spark):
-    small = spark.range(10)
-    big = spark.range(100)
-    big_side = spark.range(1000).withColumnRenamed("id", "k")
-    j1 = big_side.join(broadcast_if_small(small, max_rows=50), F.col("k") == F.col("id"))
-    j2 = big_side.join(broadcast_if_small(big, max_rows=50), F.col("k") == F.col("id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in j1._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in j2._jdf.queryExecution().executedPlan().toString()
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert j1.count() == 10 and j2.count() == 100
+_INVOICE = "invoice long, dist long, receipt long, applies_to long, type string, amount decimal(18,2), posted string"
+
+
+def test_tax_allotted_equals_tax_booked(spark):
+    lines = spark.createDataFrame([
+        (1, 1, 10, None, "ITEM", Decimal(100), "Y"), (1, 2, 11, None, "ITEM", Decimal(50), "N"),
+        (1, None, 10, 1, "TAX", Decimal(19), "Y"), (1, None, 11, 2, "TAX", Decimal(9), "Y"),
+        (2, 1, 20, None, "ITEM", Decimal(10), "Y"), (2, None, 20, None, "TAX", Decimal(2), "Y"),
+        (3, 1, 30, None, "ITEM", Decimal(7), "N"), (4, None, 40, 1, "TAX", Decimal(5), "Y")], _INVOICE)
+    got = invoice_tax(lines)
+    assert rows(got, "invoice", "net", "tax", "posting_status") == [
+        (1, Decimal(150), Decimal(28), "Contabilizado Parcialmente"), (2, Decimal(10), Decimal(2), "Contabilizado"),
+        (3, Decimal(7), Decimal(0), "No Contabilizado")]
+
+
+def test_shared_distribution_is_refused(spark):
+    lines = spark.createDataFrame([
+        (1, 1, 10, None, "ITEM", Decimal(100), "Y"), (1, 1, 11, None, "ITEM", Decimal(50), "Y"),
+        (1, None, 10, 1, "TAX", Decimal(19), "Y")], _INVOICE)
+    with pytest.raises(Exception, match="distribution"):
+        invoice_tax(lines).collect()
+
+
+def test_registered_invoices_allot_all_tax(spark):
+    from tallyloom import plans
+
+    plans.load_all()
+    base = "/root/testdata/sf0.001"
+    allotted = plans.QUERIES["invoice_tax_match"](spark, base).agg(F.sum("tax")).first()[0]
+    booked = spark.read.parquet(f"{base}/lineitem.parquet").agg(
+        F.sum(F.round(net_amount() * rate("l_tax"), 2))).first()[0]
+    assert round(allotted, 2) == float(booked)
+
+

@@ -57,13 +57,11 @@ def test_hot_keys_from_upper_bound(spark):
     assert {r.id: r.seq for r in out.select("id", "seq").collect()} == _expected(pdf, True)
 
 
-def test_many_hot_keys_use_shuffle_joins(spark, monkeypatch):
-    import tallyloom.operators.numbering as nb
-
+def test_numbers_do_not_depend_on_the_way(spark):
     df, pdf = _frame(spark)
-    monkeypatch.setattr(nb, "MAX_BROADCAST_KEYS", 0)  # force the no-broadcast path
-    out = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq", partitions=5, hot_rows=50)
-    assert {r.id: r.seq for r in out.select("id", "seq").collect()} == _expected(pdf, True)
+    for hot_rows in (1, 50, 10**6):  # every parent hot, some, none
+        out = sequence_in_parent(df, ["p"], [F.col("v").desc(), F.col("id").asc()], out="seq", partitions=5, hot_rows=hot_rows)
+        assert {r.id: r.seq for r in out.select("id", "seq").collect()} == _expected(pdf, True)
 
 
 def test_default_partitions_left_to_aqe(spark):

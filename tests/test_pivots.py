@@ -16,14 +16,13 @@ def test_static_pivot_and_unpivot_roundtrip(spark):
 
 def test_dynamic_pivot_width_from_data(spark):
     df = spark.createDataFrame([(1, 1, "x"), (1, 2, "y"), (2, 1, "z")], "opp long, pos long, item string")
-    assert pivot_width(df, ["opp"], 10) == 2
+    assert pivot_width(df, ["opp"]) == 2
     p = dynamic_pivot(df, ["opp"], ["pos"], {"item": "item"})
     assert rows(p, "opp", "item_1", "item_2") == [(1, "x", "y"), (2, "z", None)]
-    try:
-        dynamic_pivot(df, ["opp"], ["pos"], {"item": "item"}, max_width=1)
-        raise AssertionError("width cap not enforced")
-    except ValueError:
-        pass
+    counted = dynamic_pivot(df, ["opp"], ["pos"], {"item": "item"}, count_as="n")
+    assert rows(counted, "opp", "n") == [(1, 2), (2, 1)]
+    wide = spark.range(100).selectExpr("0L AS opp", "id AS pos")
+    assert len(dynamic_pivot(wide, ["opp"], ["pos"], {"item": "pos"}).columns) == 101
 
 
 def test_milestone_pivot_repeated_and_unknown(spark):

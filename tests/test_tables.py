@@ -111,3 +111,39 @@ def test_upsert_into_bucketed_target_shuffles_only_the_source(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.sql("DROP TABLE IF EXISTS tl_test_dim_b")
+
+
+def test_replace_months_clears_emptied_and_keeps_partial(spark, tmp_path):
+    from tallyloom.sources.tables import month_partition, overwrite_partitions, replace_months
+
+    path = str(tmp_path / "fact")
+    base = spark.createDataFrame([(1, "2024-01-10"), (2, "2024-02-05"), (3, "2024-02-25"), (4, "2024-03-03"),
+                                  (5, "2024-04-01")], "id long, d string").selectExpr("id", "to_date(d) AS d")
+    overwrite_partitions(month_partition(base, "d"), path, ["month"])
+    new = spark.createDataFrame([(9, "2024-02-20"), (8, "2024-01-01")], "id long, d string").selectExpr("id", "to_date(d) AS d")
+    replace_months(new, path, "d", "2024-02-10", "2024-03-31")
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [1, 2, 5, 9]
+
+
+def test_pointer_survives_a_failed_write(spark, tmp_path):
+    import os
+
+    from tallyloom.sources.tables import read_current, write_replace
+
+    path = str(tmp_path / "t")
+    write_replace(spark.range(2), path)
+    os.makedirs(f"{path}/_CURRENT/00000002-broken/_temporary/0")  # a writer that died before it finished
+    assert read_current(spark, path).count() == 2
+    write_replace(spark.range(5), path)
+    assert read_current(spark, path).count() == 5
+
+
+def test_append_checks_the_targets_schema(spark, tmp_path):
+    from tallyloom.sources.tables import append_rows, empty_table
+
+    path = str(tmp_path / "a")
+    append_rows(empty_table(spark, "id long, n int"), path)
+    append_rows(spark.range(3).selectExpr("1 AS n", "id"), path)
+    with pytest.raises(ValueError, match="schema drift"):
+        append_rows(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
