@@ -12,10 +12,12 @@ import os
 import uuid
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 DRIVER_TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
@@ -49,8 +51,12 @@ class Tables:
 
 
 def literal_rows(spark: SparkSession, rows: Sequence, schema: T.StructType | str) -> DataFrame:
-    """Hand-kept rows (``INSERT ... VALUES``)."""
-    return spark.createDataFrame(list(rows), schema)
+    """Hand-kept rows (``INSERT ... VALUES``) as a local relation: the planner knows that it is small."""
+    parsed = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    columns = zip(*rows, strict=True) if rows else [[] for _ in parsed]
+    table = pa.table([pa.array(c, to_arrow_type(f.dataType)) for c, f in zip(columns, parsed, strict=True)],
+                     names=parsed.names)
+    return spark.createDataFrame(table, parsed)
 
 
 def empty_table(spark: SparkSession, schema: T.StructType | str) -> DataFrame:
