@@ -33,7 +33,7 @@ from .shared import materialise
 HEAD_WORDS, TAIL_CLASSES = 960, 64
 KNOWN_WORDS = 1 << 18
 START_TEXTS, START_WORDS, START_EPOCHS = 1000, 20_000, 2
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 8 << 20
 END = ""  # no word is empty
 
 
