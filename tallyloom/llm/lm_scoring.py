@@ -265,7 +265,7 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, mode
 
 
 def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, learnt, n_tokens, n_known, train_tokens, base_score, score): one row per row of ``docs``.
+    """(id, n_tokens, n_known, base_score, score, train_tokens): one row per row of ``docs``.
 
     Rows that pass ``learn`` are the training texts.  Null and empty texts are one
     end token.  Without training texts every token is unknown and the model uniform.

@@ -46,7 +46,7 @@ class CharClass:
 
 CLASSES = (
     CharClass(re.compile(r"[0-9A-Fa-f]+"), 20, 2.9, 4),
-    CharClass(re.compile(r"[A-Za-z0-9]+"), 20, 3.7, 3),
+    CharClass(re.compile(r"[A-Za-z0-9]+"), 20, 3.7, 2),
     CharClass(re.compile(r"[A-Za-z0-9+/_=-]+"), 24, 4.0, 3),
 )
 ALLOWED = (
