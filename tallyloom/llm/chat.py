@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import batches, materialise
+from .shared import batches, frugal, materialise
 
 START, END = "<|im_start|>", "<|im_end|>"
 SEGMENT_CHARS = 1 << 20
@@ -127,7 +127,7 @@ def format_messages(messages: DataFrame, loss_role: str = "assistant", segment_c
 
     order = ["conv_id", "turn", "part"]
     return (messages.select(*order, "role", "text").repartitionByRange(*order).sortWithinPartitions(*order)
-            .mapInArrow(run, "conv_id long, turn long, part int, text string, loss array<struct<start:long,end:long>>"))
+            .mapInArrow(frugal(run), "conv_id long, turn long, part int, text string, loss array<struct<start:long,end:long>>"))
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
 
     return (formatted.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "part")
             .select("conv_id", "text", "loss").mapInArrow(
-                run, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
+                frugal(run), "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
                      "formatted_chars long"))
 
 

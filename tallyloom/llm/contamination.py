@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import batches, column, materialise
+from .shared import batches, column, frugal, materialise
 
 SIMILARITY, MIN_WORDS = 0.8, 5
 RECALL, SAMPLED, MOST_REPEATS = 0.98, 3, 400
@@ -275,7 +275,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
             yield from batches(rows(), out)
 
-        found = found.unionAll(texts.mapInArrow(run, schema))
+        found = found.unionAll(texts.mapInArrow(frugal(run), schema))
     return (found.groupBy("id", "item_id").agg(F.min(F.struct("edits", "first_word")).alias("best"))
             .select("id", "item_id", "best.edits", "best.first_word"))
 

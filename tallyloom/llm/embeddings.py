@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import batches, materialise
+from .shared import batches, frugal, materialise
 
 COSINE = 0.9
 AXES, BLOCK, INNER, FAN = 8, 4096, 512, 8
@@ -75,7 +75,7 @@ def classes(vectors: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame
 
     rows = vectors.where(can_link(id_col, vector_col)).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
-    rows = rows.mapInArrow(run, "id long, vector binary").withColumn("key", F.unhex(F.md5("vector")))
+    rows = rows.mapInArrow(frugal(run), "id long, vector binary").withColumn("key", F.unhex(F.md5("vector")))
     rows = materialise(rows, "vectors")
     groups = rows.groupBy("key").agg(F.min("id").alias("least"), F.count("*").alias("n"), F.first("vector").alias("vector"))
     return rows.select("id", "key"), materialise(groups, "vector-classes")
@@ -96,7 +96,7 @@ def principal_axes(groups: DataFrame, kind: str, dim: int, axes: int = AXES) ->
             total[dim] += x.sum(0)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(total.size), pa.int32()), pa.array(total.ravel())], schema=out)
 
-    sums = groups.select("vector").mapInArrow(run, "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
+    sums = groups.select("vector").mapInArrow(frugal(run), "at int, value double").groupBy("at").agg(F.sum("value").alias("value"))
     flat = np.zeros((dim + 1) * dim)
     for r in sums.collect():
         flat[r.at] = r.value
@@ -151,10 +151,10 @@ def grid_blocks(groups: DataFrame, kind: str, dim: int, lead: np.ndarray, eps: f
         yield from batches(packed(), block_schema, 4)
 
     ordered = (groups.select("key", "n", "vector")
-               .mapInArrow(cells, "cell array<int>, key binary, n long, vector binary")
+               .mapInArrow(frugal(cells), "cell array<int>, key binary, n long, vector binary")
                .repartitionByRange("cell", "key").sortWithinPartitions("cell", "key"))
     made = materialise(ordered.select("key", "n", "vector").mapInArrow(
-        blocks, "part int, n int, low array<double>, high array<double>, keys binary, counts binary, "
+        frugal(blocks), "part int, n int, low array<double>, high array<double>, keys binary, counts binary, "
                 "vectors array<binary>"), "grid-blocks")
     numbers = made.select("part", "n").withColumn(
         "block", F.row_number().over(Window.orderBy("part", "n")) - 1)  # one small row per block
@@ -266,7 +266,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     paired = pairs.join(side("a"), "a").join(side("b"), "b").select(
         "a", "b", "keys_a", "counts_a", "vectors_a", "keys_b", "counts_b",
         F.when(F.col("a") != F.col("b"), F.col("vectors_b")).alias("vectors_b"))
-    found = materialise(paired.mapInArrow(run, "key binary, links long, root binary"), "vector-links")
+    found = materialise(paired.mapInArrow(frugal(run), "key binary, links long, root binary"), "vector-links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     roots = connected_components(found, "key", "root").select(F.col("node").alias("key"), "root")
     named = groups.select("key", "least", "n").join(counts, "key", "left").join(roots, "key", "left").withColumn(

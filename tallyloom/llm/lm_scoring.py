@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .logbilinear import CONTEXT, LogBilinear, train
-from .shared import materialise
+from .shared import frugal, materialise
 
 HEAD_WORDS, TAIL_CLASSES = 960, 64
 KNOWN_WORDS = 1 << 18
@@ -122,7 +122,7 @@ def count_words(texts: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [words.cast(pa.string()), pa.array(np.bincount(which, minlength=len(words)))], schema=out)
 
-    return (texts.select("text").mapInArrow(run, "word string, n long").where("n > 0")
+    return (texts.select("text").mapInArrow(frugal(run), "word string, n long").where("n > 0")
             .groupBy("word").agg(F.sum("n").alias("c")))
 
 
@@ -152,7 +152,7 @@ def build_vocabulary(counts: DataFrame, known_words: int = KNOWN_WORDS) -> Vocab
                 pa.array(np.bincount(k, minlength=TAIL_CLASSES))], schema=out)
 
     tail_tokens, tail_words = np.zeros(TAIL_CLASSES, np.int64), np.zeros(TAIL_CLASSES, np.int64)
-    for r in counts.mapInArrow(run, "class int, n long, v long").groupBy("class").agg(F.sum("n"), F.sum("v")).collect():
+    for r in counts.mapInArrow(frugal(run), "class int, n long, v long").groupBy("class").agg(F.sum("n"), F.sum("v")).collect():
         tail_tokens[r[0]], tail_words[r[0]] = r[1], r[2]
     return Vocabulary(words, frequent["c"].to_numpy(np.int64), tail_tokens, tail_words, int(totals[0] or 0), int(totals[1]))
 
@@ -173,7 +173,7 @@ def train_model(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
                 fits = [(a, b) for a, b in zip(first.tolist(), ends.tolist(), strict=True) if b - a <= START_WORDS]
                 yield pa.RecordBatch.from_arrays([pa.array([of[a:b].tobytes() for a, b in fits], pa.binary())], schema=coded)
 
-    sample = texts.where("start").select("text").mapInArrow(code, "classes binary").collect()
+    sample = texts.where("start").select("text").mapInArrow(frugal(code), "classes binary").collect()
     runs = [np.frombuffer(r, "<i4").astype(np.int64) for r in sorted(bytes(x.classes) for x in sample)]
     model = LogBilinear.start(unigram)
     if runs:
@@ -195,7 +195,7 @@ def train_model(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen),
                                               pa.array(np.full(len(flat), float(seen)))], schema=out)
 
-    mean = (texts.select("text").mapInArrow(go_on, "at int, value double, weight double")
+    mean = (texts.select("text").mapInArrow(frugal(go_on), "at int, value double, weight double")
             .groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas())
     if not len(mean):
         return model
@@ -253,7 +253,7 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, mode
                         pa.nulls(m, pa.float64())], schema=out)
                 number += rows.num_rows
 
-    rows = materialise(docs.select("id", "text").mapInArrow(run, schema), "lm-scores")
+    rows = materialise(docs.select("id", "text").mapInArrow(frugal(run), schema), "lm-scores")
     log_c = F.log10(F.col("c") + 1.0)
     rare = (rows.where("word is not null").select("row", "word", "n").join(counts, "word")
             .groupBy("row").agg(F.sum("n").alias("more"), F.sum(F.col("n") * log_c).alias("log_c")))

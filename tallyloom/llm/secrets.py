@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import column
+from .shared import column, frugal
 
 KINDS = ("assign", "access", "hex", "entropy")
 
@@ -139,4 +139,4 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.list_(span))], schema=out)
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, spans array<struct<kind:string,start:long,end:long>>"))
+            .mapInArrow(frugal(run), "id long, spans array<struct<kind:string,start:long,end:long>>"))

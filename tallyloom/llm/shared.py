@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,6 +45,30 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))
 
 
+def frugal(run: Callable) -> Callable:
+    """``run`` for mapInArrow, giving memory back: Python workers stay for later stages.
+
+    Freed Arrow buffers go back to the system after every batch that it returns,
+    freed heap pages when it ends.
+    """
+    def stream(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            for batch in run(parts):
+                yield batch
+                pa.default_memory_pool().release_unused()
+        finally:
+            give_back()
+
+    return stream
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def batches(rows: Iterable[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Arrow batches of at most ``size`` rows from an iterator of tuples."""
     chunk: list[tuple] = []

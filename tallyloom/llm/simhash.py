@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import ascii_words, column, materialise
+from .shared import ascii_words, column, frugal, materialise
 
 LOW_BITS = 0x5555555555555555
 
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(marks.view(np.int64))], schema=out)
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, fingerprint long"))
+            .mapInArrow(frugal(run), "id long, fingerprint long"))
 
 
 def unary_cell(x: Column) -> Column:

@@ -27,10 +27,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .huffman import INTERVAL, Code, code_lengths
-from .shared import batches, column, materialise, shared_path
+from .shared import batches, column, frugal, materialise, shared_path
 
-PIECES = 3_000_000  # words that a worker remembers before it starts anew
-CHUNK_BYTES = 12 << 20  # of text encoded at once
+PIECES = 1_200_000  # words that a worker remembers before it starts anew
+CHUNK_BYTES = 6 << 20  # of text encoded at once
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
 RANGE_BYTES = 64 << 20  # of plain ids in one output file
@@ -190,7 +190,7 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
                     [rows.column(0), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], schema=out)
 
     return (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-            .mapInArrow(run, "id long, width int, ids binary"))
+            .mapInArrow(frugal(run), "id long, width int, ids binary"))
 
 
 def _slices(part: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
@@ -217,7 +217,7 @@ def count_ids(tokens: DataFrame) -> DataFrame:
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], schema=out)
 
-    return (tokens.select("width", "ids").mapInArrow(run, "token long, n long")
+    return (tokens.select("width", "ids").mapInArrow(frugal(run), "token long, n long")
             .groupBy("token").agg(F.sum("n").alias("n")))
 
 
@@ -281,9 +281,9 @@ def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
 
         yield from batches(blocks(), block_schema, 16)
 
-    (tokens.select("id", "width", "ids").mapInArrow(encode, "part int, id long, n long, marks binary, bits binary")
+    (tokens.select("id", "width", "ids").mapInArrow(frugal(encode), "part int, id long, n long, marks binary, bits binary")
      .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "id", F.xxhash64("bits"))
-     .mapInArrow(assemble, "part int, block long, first_id long, n_tokens long, data binary")
+     .mapInArrow(frugal(assemble), "part int, block long, first_id long, n_tokens long, data binary")
      .write.option("compression", "none").parquet(path))
     return TokenFiles(path, symbols, lengths)
 
@@ -361,7 +361,7 @@ def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
         yield from batches(docs(), out)
 
     docs = blocks.select("part", "block", "data").mapInArrow(
-        run, "part int, block long, id long, own_start long, n_tokens long, ids_crc32 long")
+        frugal(run), "part int, block long, id long, own_start long, n_tokens long, ids_crc32 long")
     in_part = Window.partitionBy("part").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("part_tokens")).withColumn(
         "part_start", F.coalesce(F.sum("part_tokens").over(

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import batches, materialise
+from .shared import batches, frugal, materialise
 
 LEAST_PAGES, LEAST_TOKENS, LEAST_SHARE = 5, 3, 0.5
 
@@ -209,7 +209,7 @@ def _map_pages(pages: DataFrame, schema: str, out: pa.Schema, rows_of) -> DataFr
 
         yield from batches(rows(), out)
 
-    return pages.mapInArrow(run, schema)
+    return pages.mapInArrow(frugal(run), schema)
 
 
 def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_tokens: int = LEAST_TOKENS,
