@@ -137,54 +137,68 @@ def latest_event(log: DataFrame, keys: Sequence[str], order: Sequence[str], fiel
         *keys, *[F.col(f"_tl_last.{n}").alias(n) for n in fields], *extra)
 
 
-# Patterns that read write targets and read tables out of routine text.
-CREATE_RE = r"(?i)CREATE OR REPLACE TABLE\s+([^\s]+)"
-MERGE_RE = r"(?i)MERGE\s+([^\s]+)"
-INSERT_RE = r"(?i)INSERT INTO\s+([^\s]+)"
-READ_RE = r"(?i)\b(?:FROM|JOIN)\s+([^\s,;()]+)"
-DOTTED_NAME_RE = r"^[\w-]+(?:\.[\w-]+){1,3};?$"
-QUOTES_RE = "[`\"']"
+# A table name in routine text: parts joined by dots, each bare or in back quotes, or the whole name
+# in quotes.  Comments are taken out first, so that neither statements nor names in them count.
+_COMMENT = r"(?s)--[^\n]*|/\*.*?\*/"
+_PART = r"(?:`[^`]+`|[\w$-]+)"
+_NAME = rf"({_PART}(?:\s*\.\s*{_PART})*)"
+# Ways to write a table, the one that counts first when a routine has several.
+_WRITES = (rf"(?i)\bCREATE\s+(?:OR\s+REPLACE\s+)?TABLE\s+(?:IF\s+NOT\s+EXISTS\s+)?{_NAME}",
+           rf"(?i)\bMERGE\s+(?:INTO\s+)?{_NAME}",
+           rf"(?i)\bINSERT\s+(?:INTO\s+)?{_NAME}")
+_READS = rf"(?i)\b(?:FROM|JOIN)\s+{_NAME}"
 
 
-def _split_name(full: Column):
-    """(dataset, table) of ``project.dataset.table`` or ``dataset.table``; NULLs otherwise."""
-    parts = F.split(full, r"\.")
-    n = F.size(parts)
-    dataset = F.when(n == 3, F.get(parts, 1)).when(n == 2, F.get(parts, 0))
-    table = F.when(n == 3, F.get(parts, 2)).when(n == 2, F.get(parts, 1))
-    return dataset, table
+def _without_comments(ddl: str) -> Column:
+    return F.regexp_replace(F.col(ddl), _COMMENT, " ")
 
 
-def extract_write_target(routines: DataFrame, name_col: str = "name", ddl_col: str = "ddl") -> DataFrame:
-    """Table a routine writes: CREATE OR REPLACE TABLE, else MERGE, else INSERT INTO; quotes dropped."""
-    def grab(pattern):
-        return F.regexp_replace(regex_or_null(ddl_col, pattern), QUOTES_RE, "")
+def _name_parts(name: Column) -> Column:
+    """The parts of a name, quotes and blanks dropped; a name quoted as a whole has its dots inside."""
+    return F.split(F.regexp_replace(name, r"[`\s]", ""), r"\.")
 
-    full = F.coalesce(grab(CREATE_RE), grab(MERGE_RE), grab(INSERT_RE))
-    dataset, table = _split_name(F.col("target"))
-    return routines.select(name_col, full.alias("target")).select(
-        name_col, "target", dataset.alias("dataset"), table.alias("table"))
 
+def _dataset_and_table(parts: Column) -> tuple[Column, Column]:
+    """The last two parts, so ``project.dataset.table`` and ``dataset.table`` are the same; NULL for one part."""
+    long_enough = F.size(parts) >= 2
+    return (F.when(long_enough, F.get(parts, F.size(parts) - 2)), F.when(long_enough, F.get(parts, F.size(parts) - 1)))
 
-def extract_read_tables(routines: DataFrame, name_col: str = "name", ddl_col: str = "ddl") -> DataFrame:
-    """Distinct tables named after FROM/JOIN in each routine's whole text.
 
-    Only dotted 2- to 4-part names are kept, which drops aliases, CTE and temp
-    table names; quotes and a trailing ``;`` are removed.
+def extract_write_target(routines: DataFrame, name_col: str = "name", ddl_col: str = "ddl") -> DataFrame:
+    """(name, target, dataset, table) a routine writes: CREATE TABLE, else MERGE, else INSERT; comments do not count."""
+    text = _without_comments(ddl_col)
+    found = F.coalesce(*[regex_or_null(text, pattern) for pattern in _WRITES])
+    dataset, table = _dataset_and_table(F.col("_tl_parts"))
+    return routines.select(name_col, _name_parts(found).alias("_tl_parts")).select(
+        name_col, F.concat_ws(".", "_tl_parts").alias("_tl_full"), "_tl_parts",
+        dataset.alias("dataset"), table.alias("table")).select(
+        name_col, F.when(F.col("_tl_parts").isNotNull(), F.col("_tl_full")).alias("target"), "dataset", "table")
+
+
+def extract_read_tables(routines: DataFrame, datasets: DataFrame, name_col: str = "name", ddl_col: str = "ddl",
+                        dataset_col: str = "dataset") -> DataFrame:
+    """Distinct (name, dataset, table) named after FROM or JOIN in each routine's whole text.
+
+    Names are reduced to dataset and table before they are compared, and only
+    those of a known dataset stay (a semi join): columns, aliases, CTEs and
+    temporary tables have none.
     """
-    found = F.explode(F.regexp_extract_all(F.col(ddl_col), F.lit(READ_RE), 1)).alias("_tl_raw")
-    clean = F.regexp_replace(F.col("_tl_raw"), QUOTES_RE, "")
-    out = routines.select(name_col, found).select(name_col, clean.alias("_tl_src")) \
-        .filter(F.col("_tl_src").rlike(DOTTED_NAME_RE)) \
-        .select(name_col, F.regexp_replace("_tl_src", ";$", "").alias("source")).distinct()
-    dataset, table = _split_name(F.col("source"))
-    return out.select(name_col, "source", dataset.alias("dataset"), table.alias("table"))
+    names = F.explode(F.regexp_extract_all(_without_comments(ddl_col), F.lit(_READS), 1))
+    dataset, table = _dataset_and_table(F.col("_tl_parts"))
+    found = routines.select(name_col, names.alias("_tl_name")).select(name_col, _name_parts(F.col("_tl_name")).alias("_tl_parts"))
+    found = found.select(name_col, dataset.alias("dataset"), table.alias("table")).filter("dataset is not null").distinct()
+    known = datasets.select(F.col(dataset_col).alias("dataset")).distinct()
+    return found.join(known, "dataset", "left_semi").select(name_col, "dataset", "table")
+
+
+# One label of an option text: two quoted values in a STRUCT.
+_LABEL = r'STRUCT\(\s*"([^"]+)"\s*,\s*"([^"]*)"\s*\)'
 
 
-# Pattern of one label item in a table's option text.
-LABEL_ITEM_RE = r'(STRUCT\("[^"]+",\s*"[^"]+"\))'
-LABEL_KEY_RE = r'STRUCT\("([^"]+)"'
-LABEL_VALUE_RE = r',\s*"([^"]+)"\)'
+def capitalise(col: Column) -> Column:
+    """First letter of every word in upper case, the rest in lower; any mark but an apostrophe ends a word."""
+    words = F.split(F.lower(col), r"(?<=[^\p{L}\p{N}'])")
+    return F.array_join(F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2)))), "")
 
 
 def parse_option_labels(tables: DataFrame, options: DataFrame, labels: Sequence[str],
@@ -195,19 +209,22 @@ def parse_option_labels(tables: DataFrame, options: DataFrame, labels: Sequence[
     table with a description but no labels keeps its description.
     """
     keys = list(keys)
-    items = options.filter(F.col("option") == "labels").select(
-        *keys, F.explode(F.regexp_extract_all(F.col("value"), F.lit(LABEL_ITEM_RE), 1)).alias("_tl_item"))
-    pairs = items.select(*keys, F.lower(regex_or_null("_tl_item", LABEL_KEY_RE)).alias("label_key"),
-                         regex_or_null("_tl_item", LABEL_VALUE_RE).alias("label_value"))
+    value = F.col("value")
+    pairs = options.filter(F.col("option") == "labels").select(*keys, F.explode(F.arrays_zip(
+        F.regexp_extract_all(value, F.lit(_LABEL), 1).alias("k"), F.regexp_extract_all(value, F.lit(_LABEL), 2).alias("v")))
+        .alias("_tl_p")).select(*keys, F.lower("_tl_p.k").alias("label_key"), capitalise(F.col("_tl_p.v")).alias("label_value"))
     pivot = pairs.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("label_key") == k.lower(), F.initcap("label_value"))).alias(k) for k in labels])
+        F.max(F.when(F.col("label_key") == k.lower(), F.col("label_value"))).alias(k) for k in labels])
     desc = options.filter(F.col("option") == "description").groupBy(*keys).agg(F.max("value").alias("description"))
     return tables.select(*keys).distinct().join(pivot, keys, "left").join(desc, keys, "left")
 
 
 def partition_cluster_profile(columns: DataFrame, keys: Sequence[str] = ("dataset", "table"),
                               max_cluster: int = 4) -> DataFrame:
-    """Per table: column count, partitioning column and cluster columns 1..n (static pivot)."""
+    """Per table: column count, partitioning column and cluster columns 1..``max_cluster`` (static pivot).
+
+    A table has four cluster columns at most, so the default shows them all.
+    """
     keys = list(keys)
     part = F.col("is_partition") == "YES"
     return columns.groupBy(*keys).agg(
@@ -230,13 +247,23 @@ def data_dictionary(columns: DataFrame, descriptions: DataFrame,
 
 def lineage_detail(closure: DataFrame, freshness: DataFrame, raw_prefix: str = "RAW.",
                    node_col: str = "node", name_col: str = "table", modified_col: str = "modified") -> DataFrame:
-    """Raw ancestors of each start node with their last change; the set of ancestors is
-    also given as a sorted array (``ARRAY_AGG(DISTINCT)``), bounded by raw tables reached."""
+    """One row per start node and raw ancestor, with the ancestor's last change.
+
+    The list of all ancestors belongs to the table, see ``table_monitor``.
+    """
     raw = closure.filter(F.col(node_col).startswith(raw_prefix))
     fresh = freshness.select(F.col(name_col).alias(node_col), F.col(modified_col).alias("source_modified"))
-    detail = raw.join(fresh, node_col, "left")
-    sets = raw.groupBy("start").agg(F.sort_array(F.collect_set(node_col)).alias("raw_sources"))
-    return detail.join(sets, "start", "left")
+    return raw.join(fresh, node_col, "left")
+
+
+def column_profile(columns: DataFrame, keys: Sequence[str] = ("dataset", "table")) -> DataFrame:
+    """Columns in order of position with their table's number of columns and place among them.
+
+    The count is an aggregate joined back: a window would need a table's rows in one task.
+    """
+    keys = list(keys)
+    n = columns.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_columns"), F.max("position").alias("last_position"))
+    return columns.join(n, keys).withColumn("is_last", (F.col("position") == F.col("last_position")).cast("long"))
 
 
 def table_monitor(tables: DataFrame, detail: DataFrame, creators: DataFrame | None = None,

@@ -34,7 +34,8 @@ def test_routine_targets_and_reads(spark):
     assert tgt["r_merge"] == ("DIM.T_TWO", "DIM", "T_TWO")              # 2-part
     assert tgt["r_insert"] == ("MART.T_THREE", "MART", "T_THREE")
     assert tgt["r_none"] == (None, None, None)                          # no target
-    reads = rows(extract_read_tables(r), "name", "dataset", "table")
+    known = spark.createDataFrame([("RAW",), ("MART",), ("STAGING",)], "dataset string")
+    reads = rows(extract_read_tables(r, known), "name", "dataset", "table")
     assert reads == [("r_create", "RAW", "SRC_A"), ("r_create", "RAW", "SRC_B"),
                      ("r_insert", "MART", "T_ONE"), ("r_merge", "STAGING", "KEYS")]
 
@@ -131,3 +132,35 @@ def test_audit_log_reductions(spark):
     costs = [(r.seconds, r.cost) for r in job_cost(jobs, "s", "e", "billed").collect()]
     assert (0.0, None) in costs  # no billed bytes, no cost
     assert (1.23, 6.25) in costs
+
+
+def test_routine_text_details(spark):
+    r = spark.createDataFrame([
+        ("commented", "--CREATE OR REPLACE TABLE A.OLD AS\nMERGE INTO `p`.`B`.`NEW` t USING (SELECT EXTRACT(YEAR FROM t.fecha)\n"
+                      "FROM prj.RAW.X /* JOIN RAW.NO */ JOIN RAW.X x JOIN `prj.RAW.Y` y ON 1=1) s"),
+        ("spaced", "create table if not exists p . D . T as select 1 from cte"),
+    ], "name string, ddl string")
+    got = {x.name: (x.target, x.dataset, x.table) for x in extract_write_target(r).collect()}
+    assert got == {"commented": ("p.B.NEW", "B", "NEW"), "spaced": ("p.D.T", "D", "T")}
+    known = spark.createDataFrame([("RAW",)], "dataset string")
+    assert rows(extract_read_tables(r, known), "name", "dataset", "table") == [("commented", "RAW", "X"), ("commented", "RAW", "Y")]
+
+
+def test_capitalise_after_every_mark(spark):
+    from tallyloom.operators.catalog import capitalise
+
+    got = spark.createDataFrame([("gobierno_datos",), ("a-b c.D",), ("o'neil",), ("",), ("ÉTÉ été",)], "v string")
+    assert [r.c for r in got.select(capitalise(F.col("v")).alias("c")).collect()] == [
+        "Gobierno_Datos", "A-B C.D", "O'neil", "", "Été Été"]
+
+
+def test_deep_chain_and_column_profile(spark):
+    from tallyloom.operators.catalog import column_profile
+
+    edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(80)], "src string, dst string")
+    got = lineage_closure(edges, spark.createDataFrame([("n0",), ("n79",)], "start string"))
+    assert got.filter("start = 'n0'").agg(F.max("level")).first()[0] == 80 and got.filter("start = 'n79'").count() == 1
+    cols = spark.createDataFrame([("D", "T", "a", 1), ("D", "T", "b", 2), ("D", "U", "c", 1)],
+                                 "dataset string, table string, column string, position int")
+    assert rows(column_profile(cols), "table", "column", "n_columns", "is_last") == [
+        ("T", "a", 2, 0), ("T", "b", 2, 1), ("U", "c", 1, 1)]
