@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .logbilinear import CONTEXT, LogBilinear, train
-from .shared import frugal, materialise
+from .shared import arrow_rows, frugal, materialise
 
 HEAD_WORDS, TAIL_CLASSES = 960, 64
 KNOWN_WORDS = 1 << 18
@@ -271,6 +271,11 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     end token.  Without training texts every token is unknown and the model uniform.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), learn.alias("learnt"))
+    with arrow_rows(docs.sparkSession, 2500):
+        return _learn_and_score(rows)
+
+
+def _learn_and_score(rows: DataFrame) -> DataFrame:
     texts = rows.where("learnt")
     counts = materialise(count_words(texts), "word-counts")
     vocabulary = build_vocabulary(counts)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .huffman import INTERVAL, Code, code_lengths
-from .shared import batches, column, frugal, materialise, shared_path
+from .shared import arrow_rows, batches, column, frugal, materialise, shared_path
 
 PIECES = 1_200_000  # words that a worker remembers before it starts anew
 CHUNK_BYTES = 6 << 20  # of text encoded at once
@@ -378,6 +378,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     Null and empty texts hold the end id alone; a null id comes before all others.
     """
     spark = docs.sparkSession
-    tokens = materialise(token_ids(docs, tokenizer, id_col, text_col), "token-ids")
-    files = write_token_files(spark, tokens, shared_path(spark, "token-files"))
+    with arrow_rows(spark, 2000):
+        tokens = materialise(token_ids(docs, tokenizer, id_col, text_col), "token-ids")
+        files = write_token_files(spark, tokens, shared_path(spark, "token-files"))
     return read_token_files(spark, files)
