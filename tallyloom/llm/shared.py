@@ -61,14 +61,18 @@ def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
 def frugal(run: Callable) -> Callable:
     """``run`` for mapInArrow, giving memory back: Python workers stay for later stages.
 
-    Freed Arrow buffers go back to the system after every batch that it returns,
+    Freed Arrow buffers go back to the system after every 16 MB that it returns,
     freed heap pages when it ends.
     """
     def stream(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        returned = 0
         try:
             for batch in run(parts):
+                returned += batch.nbytes
                 yield batch
-                pa.default_memory_pool().release_unused()
+                if returned > 16 << 20:
+                    pa.default_memory_pool().release_unused()
+                    returned = 0
         finally:
             give_back()
 

@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from .huffman import INTERVAL, Code, code_lengths
 from .shared import arrow_rows, batches, column, frugal, materialise, shared_path
 
-PIECES = 1_200_000  # words that a worker remembers before it starts anew
-CHUNK_BYTES = 6 << 20  # of text encoded at once
+PIECES = 2_500_000  # words that a worker remembers before it starts anew
+CHUNK_BYTES = 8 << 20  # of text encoded at once
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
 RANGE_BYTES = 64 << 20  # of plain ids in one output file
@@ -62,6 +62,7 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.words = pa.array([], pa.string())
+        self.hashes, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int32)  # sorted hashes, and whose they are
         self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.flat = np.zeros(0, self.kind)
 
@@ -105,9 +106,28 @@ class PieceEncoder:
         self.first = np.concatenate([self.first, len(self.flat) + np.cumsum(size, dtype=np.int64) - size])
         self.size = np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(met.values()), self.kind)])
-        self.words = pa.concat_arrays([self.words, pa.array(list(met), pa.string())])
+        added = pa.array(list(met), pa.string())
+        hashes = _hashes(added)
+        order = np.argsort(hashes, kind="stable")
+        to = np.searchsorted(self.hashes, hashes[order])
+        self.hashes = np.insert(self.hashes, to, hashes[order])
+        self.at = np.insert(self.at, to, (start + order).astype(np.int32))
+        self.words = pa.concat_arrays([self.words, added])
         return dict(zip(met, range(start, start + len(met)), strict=True))
 
+    def _look_up(self, words: pa.Array) -> np.ndarray:
+        """Place of each word among the known ones or -1: found by its hash, then compared as it is."""
+        place = np.full(len(words), -1, np.int64)
+        if not len(self.hashes) or not len(words):
+            return place
+        hashes = _hashes(words)
+        near = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        hit = np.flatnonzero(self.hashes[near] == hashes)
+        at = self.at[near[hit]]
+        same = pc.equal(words.take(pa.array(hit)), self.words.take(pa.array(at))).to_numpy(zero_copy_only=False)
+        place[hit[same]] = at[same]
+        return place
+
     def _places(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(place of each word among the known ones, whether white space stands at its end: 0 then)."""
         if len(self.words) > PIECES:
@@ -116,15 +136,13 @@ class PieceEncoder:
         marked = np.flatnonzero(pc.match_substring_regex(words, "[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f][.,;:!?]$")
                                 .to_numpy(zero_copy_only=False))
         alone = pc.utf8_slice_codeunits(words.take(pa.array(marked)), 0, -1)
-        known = pc.fill_null(pc.index_in(pa.concat_arrays([words, alone]), value_set=self.words), -1)
-        known = known.to_numpy(zero_copy_only=False).astype(np.int64)
-        place, odd = known[:len(words)].copy(), np.zeros(len(words), bool)
+        place, odd = self._look_up(words), np.zeros(len(words), bool)
         unmet = np.flatnonzero(place < 0)
         names = words.take(pa.array(unmet)).to_pylist()
         is_odd = np.fromiter(map(_odd, names), bool, len(names))
         odd[unmet[is_odd]], place[unmet[is_odd]] = True, 0
         base = np.full(len(words), -2, np.int64)
-        base[marked] = known[len(words):]
+        base[marked] = self._look_up(alone)
         bare = {p: k for p, k, o in zip(names, base[unmet].tolist(), is_odd.tolist(), strict=True) if k > -2 and not o}
         new = [p for p, o in zip(names, is_odd.tolist(), strict=True) if not o]
         if new:
@@ -164,6 +182,21 @@ class PieceEncoder:
         return out
 
 
+_factor = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
+
+
+def _hashes(words: pa.Array) -> np.ndarray:
+    """A 64-bit hash of each word's bytes and their places; equal words have equal ones."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    start, size = offsets[:-1] - offsets[0], np.diff(offsets)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64)
+    data += np.uint64(1)
+    data *= _factor[(np.arange(len(data)) - np.repeat(start, size)) & 255]
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data, dtype=np.uint64)])
+    found = (total[start + size] - total[start]) * np.uint64(0x9E3779B97F4A7C15)
+    return found ^ (found >> np.uint64(32))
+
+
 def _odd(piece: str) -> bool:
     word = piece.removeprefix("\n")
     return not word or word[0].isspace() or word[-1].isspace()
@@ -378,7 +411,7 @@ def encode_documents(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
     Null and empty texts hold the end id alone; a null id comes before all others.
     """
     spark = docs.sparkSession
-    with arrow_rows(spark, 2000):
+    with arrow_rows(spark, 2500):
         tokens = materialise(token_ids(docs, tokenizer, id_col, text_col), "token-ids")
         files = write_token_files(spark, tokens, shared_path(spark, "token-files"))
     return read_token_files(spark, files)
