@@ -192,6 +192,8 @@ def article_blocks(page: Page, template: set[int]) -> list[str]:
     for b in blocks:
         own[b.path.rpartition("/")[0]] += len(b.text) - min(b.linked, len(b.text))
     slot = max(own, key=lambda p: (own[p], -len(p), p))
+    while (outer := slot.rpartition("/")[0]) and own[outer] >= own[slot] / 5:  # a list among paragraphs, say
+        slot = outer
     return [b.text for b in blocks if b.path == slot or b.path.startswith(slot + "/")]
 
 

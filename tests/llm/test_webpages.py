@@ -33,6 +33,13 @@ def test_without_article_the_fullest_slot_and_the_template():
     assert text_of(page.format("long text " * 9), constant) == ["News", ("long text " * 9).strip()]
 
 
+def test_a_long_list_keeps_its_paragraphs():
+    items = "".join(f"<li>a rather long list item {i}</li>" for i in range(20))
+    html = f"<body><div class=top><p>Hello</p></div><div id=c><p>{'before ' * 20}</p><ul>{items}</ul><p>{'after ' * 10}</p></div></body>"
+    got = text_of(html)
+    assert got[0].startswith("before") and got[-1].startswith("after") and len(got) == 22
+
+
 def page(i, host="h.org", body=None):
     return (i, f"https://{host}/p{i}", "<body><div class=x1><p>Same line everywhere</p><p>Another constant</p><p>Third constant</p></div>"
             f"<div class=x2>{body or ''.join(f'<p>own text {i} {k} and more of it</p>' for k in range(1 + i % 3))}</div></body>")
