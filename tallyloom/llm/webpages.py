@@ -2,10 +2,13 @@
 
 Tokens are a page's elements, told apart by their path, and its text blocks.
 
-1. Per host, a token's occurrence vector (how often it stands on each page) is
-   condensed to a set hash: an XOR over pages of hash(page, count).  Tokens of
-   one vector form an equivalence class; classes of at least ``LEAST_TOKENS``
-   tokens on at least ``LEAST_PAGES`` pages and half of the host's are frequent.
+1. Pages of a host with the same text but for what markup tells apart are copies
+   and count as one page.  A token's occurrence vector (how often it stands on each
+   page) is condensed to a set hash: an XOR over pages of hash(page, count).  Tokens
+   of one vector form an equivalence class.  Its tokens are frequent on at least
+   ``LEAST_PAGES`` pages and half of those of their layout, which are the pages with
+   anything at the token's place: its path, or for text the article or main it is in.
+   Classes of at least ``LEAST_TOKENS`` frequent tokens remain.
 2. A class is valid if its tokens come in one order on every page and its spans
    nest with those of the other classes.  The valid classes are the template.
 3. What is no template is in slots.  A page's article is its ``article`` element,
@@ -15,7 +18,6 @@ Tokens are a page's elements, told apart by their path, and its text blocks.
    adverts, forms, comments, scripts and styles go by what their markup says.
 
 Vectors and classes are grouped aggregations; no host's pages are ever gathered.
-A host's template has at most twice the tokens of its mean page.
 """
 
 from __future__ import annotations
@@ -76,6 +78,7 @@ class Block:
 @dataclass
 class Page:
     tokens: list[int] = field(default_factory=list)  # elements and blocks in page order
+    places: list[int] = field(default_factory=list)  # where each token stands
     blocks: list[Block] = field(default_factory=list)
 
 
@@ -115,6 +118,7 @@ def parse(html: str | None) -> Page:
             _, path, aside, region = stack[-1]
             page.blocks.append(Block(path, text, linked, aside, region))
             page.tokens.append(token("text", path, text))
+            page.places.append(token("place", path if aside or not region else "", f"text {region}"))
         linked = 0
 
     at, end = 0, len(html)
@@ -164,6 +168,7 @@ def parse(html: str | None) -> Page:
             region = 2 if name == "article" else max(region, 1 if name == "main" or attributes.get("role") == "main" else 0)
         if name in BLOCKS:
             page.tokens.append(token("element", path))
+            page.places.append(token("place", path.rpartition("/")[0], "element"))
         if name in RAW:
             shut = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, at)
             at = shut.end() if shut else end
@@ -218,31 +223,39 @@ def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_tok
                      least_share: float = LEAST_SHARE) -> DataFrame:
     """(host, tokens array<long>): the tokens of each host's valid classes.
 
-    ``pages`` has (page, host, html) with a number for each row in ``page``.
-    Hosts without a valid class do not appear; pages without host have no template.
+    ``pages`` has (host, html).  Pages of one host with the same unmarked text count
+    once.  Hosts without a valid class do not appear; pages without host have no
+    template.
     """
-    hosted = pages.where("host <> ''").select("page", "host", "html")
-
-    def occurrences(page: int, host: str, html: str | None) -> Iterator[tuple]:
-        for t, n in Counter(parse(html).tokens).items():
-            yield host, t, page, n
-
-    seen = _map_pages(hosted, "host string, token long, page long, n int", pa.schema(
-        [("host", pa.string()), ("token", pa.int64()), ("page", pa.int64()), ("n", pa.int32())]), occurrences)
-    vectors = seen.groupBy("host", "token").agg(
-        F.count("*").alias("pages"), F.sum("n").alias("times"), F.expr("bit_xor(xxhash64(page, n))").alias("vector"))
-    host_pages = hosted.groupBy("host").agg(F.count("*").alias("host_pages"))
-    frequent = vectors.where(F.col("pages") >= least_pages).join(host_pages, "host").where(
-        F.col("pages") >= F.col("host_pages") * least_share)
+    hosted = pages.where("host <> ''").select("host", "html")
+
+    def contents(host: str, html: str | None) -> Iterator[tuple]:
+        page = parse(html)
+        own = "\0".join(b.text for b in page.blocks if not b.aside)
+        yield host, xxhash.xxh64_intdigest(own) - (1 << 63), page.tokens, page.places
+
+    distinct = materialise(
+        _map_pages(hosted, "host string, content long, tokens array<long>, places array<long>", pa.schema(
+            [("host", pa.string()), ("content", pa.int64()), ("tokens", pa.list_(pa.int64())), ("places", pa.list_(pa.int64()))]), contents)
+        .groupBy("host", "content").agg(F.min(F.struct("tokens", "places")).alias("p"))
+        .select("host", "content", "p.tokens", "p.places"), "page-contents")
+    seen = (distinct.select("host", "content", F.explode(F.arrays_zip("tokens", "places")).alias("t"))
+            .groupBy("host", "content", F.col("t.tokens").alias("token"), F.col("t.places").alias("place")).agg(F.count("*").alias("n")))
+    vectors = seen.groupBy("host", "token", "place").agg(
+        F.count("*").alias("pages"), F.sum("n").alias("times"), F.expr("bit_xor(xxhash64(content, n))").alias("vector"))
+    place_pages = (distinct.select("host", F.explode(F.array_distinct("places")).alias("place"))
+                   .groupBy("host", "place").agg(F.count("*").alias("place_pages")))
+    frequent = vectors.where(F.col("pages") >= least_pages).join(place_pages, ["host", "place"]).where(
+        F.col("pages") >= F.col("place_pages") * least_share)
     group = Window.partitionBy("host", "vector", "pages", "times")
     frequent = materialise(
         frequent.withColumn("size", F.count("*").over(group)).where(F.col("size") >= least_tokens)
         .groupBy("host").agg(F.collect_list(F.struct("token", F.col("vector").alias("class"))).alias("classes")), "page-classes")
 
-    def orders(page: int, host: str, html: str | None, classes: list[dict]) -> Iterator[tuple]:
+    def orders(host: str, tokens: list[int], classes: list[dict]) -> Iterator[tuple]:
         of = {c["token"]: c["class"] for c in classes}
         places: dict[int, list[tuple[int, int]]] = {}
-        for i, t in enumerate(parse(html).tokens):
+        for i, t in enumerate(tokens):
             if t in of:
                 places.setdefault(of[t], []).append((i, t))
         spans = sorted((p[0][0], -p[-1][0], c) for c, p in places.items())
@@ -261,7 +274,7 @@ def deduce_templates(pages: DataFrame, least_pages: int = LEAST_PAGES, least_tok
             regular = len(sequence) % unit == 0 and sequence == once * (len(sequence) // unit)
             yield host, c, xxhash.xxh64_intdigest(str(once)) - (1 << 63), regular and c not in crossed
 
-    joined = hosted.join(frequent, "host").select("page", "host", "html", "classes")
+    joined = distinct.join(frequent, "host").select("host", "tokens", "classes")
     checked = _map_pages(joined, "host string, class long, sequence long, fits boolean", pa.schema(
         [("host", pa.string()), ("class", pa.int64()), ("sequence", pa.int64()), ("fits", pa.bool_())]), orders)
     valid = checked.groupBy("host", "class").agg(
@@ -275,12 +288,11 @@ def extract_articles(pages: DataFrame, id_col: str = "page_id", url_col: str = "
     """(id, url, text): the article's blocks, joined by a line feed; empty if there is none.
 
     One row per row of ``pages``.  A null html counts as empty, a null url as a
-    page without host; repeated rows are pages of their own, so they count for
-    the template as often as they come.
+    page without host; repeated rows and copies count once for the template.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     rows = rows.withColumn("host", host_of(F.col("url")))
-    templates = deduce_templates(rows.select(F.coalesce("id", F.lit(-1)).alias("page"), "host", "html"))
+    templates = deduce_templates(rows)
 
     def texts(page: int, url: str | None, html: str | None, tokens: list[int] | None) -> Iterator[tuple]:
         yield page, url, "\n".join(article_blocks(parse(html), set(tokens or ())))

@@ -79,3 +79,19 @@ def test_edge_rows(spark):
     assert w.extract_articles(pages.limit(0)).count() == 0
     big = "<article>" + "<p>word </p>" * 20_000
     assert len(text_of(big)) == 20_000
+
+
+def test_copies_count_once_and_layouts_apart(spark):
+    plain = "<body><div class=x1><p>{}</p><p>{}</p><p>{}</p></div><div class=x2><p>{}</p></div></body>"
+    copies = [(i, "http://c.org/", plain.format("One", "Two", "Three", "the body of the copied page")) for i in range(9)]
+    others = [(20 + i, "http://c.org/", plain.format(f"a{i}", f"b{i}", f"c{i}", f"the own body of page {i}")) for i in range(6)]
+    layouts = [(100 + i, "http://l.org/", f"<body><div class=m{i % 3}><p>Notice {i % 3}</p><p>Line {i % 3}</p><p>Rule {i % 3}</p></div>"
+                f"<div class=b{i % 3}><p>Own words of page {i}, and more of them</p></div></body>") for i in range(24)]
+    pages = spark.createDataFrame(copies + others + layouts, "page_id long, url string, html string")
+    got = {r.id: r.text for r in w.extract_articles(pages).collect()}
+    assert all("the body of the copied page" in got[i] for i in range(9))
+    assert all(got[100 + i] == f"Own words of page {i}, and more of them" for i in range(24))
+    known = {r.host: set(r.tokens) for r in w.deduce_templates(pages.selectExpr("'l.org' AS host", "html").where("page_id >= 100")).collect()}
+    for i in range(3):
+        notices = {w.token("text", b.path, b.text) for b in w.parse(layouts[i][2]).blocks if "Own" not in b.text}
+        assert notices <= known["l.org"]
