@@ -11,11 +11,12 @@ Tokens are a page's elements, told apart by their path, and its text blocks.
    Classes of at least ``LEAST_TOKENS`` frequent tokens remain.
 2. A class is valid if its tokens come in one order on every page and its spans
    nest with those of the other classes.  The valid classes are the template.
-3. What is no template is in slots.  A page's article is its ``article`` element,
-   else ``main``, else the slot with most text outside links; blocks that are
-   template text on their host are left out, except inside an ``article``, where
-   pages may be copies of each other.  Menus, headers, footers, sidebars, notices,
-   adverts, forms, comments, scripts and styles go by what their markup says.
+3. What is no template is in slots, also inside an ``article``; template text is
+   left out everywhere.  A page's article is in its ``article`` element, else
+   ``main``, if these hold enough text next to the fullest slot, else in the slot
+   with most text outside links.  Hosts without a template go by the elements alone.
+   Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
+   and styles go by what their markup says.
 
 Vectors and classes are grouped aggregations; no host's pages are ever gathered.
 """
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from .shared import batches, frugal, materialise
 
 LEAST_PAGES, LEAST_TOKENS, LEAST_SHARE = 5, 3, 0.5
+ENOUGH = 0.2  # of the fullest slot's text outside links
 
 # Elements of HTML by how they are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -184,24 +186,27 @@ def parse(html: str | None) -> Page:
 
 def article_blocks(page: Page, template: set[int]) -> list[str]:
     """Text of the page's article, block by block; ``template`` are its host's template tokens."""
-    blocks = [b for b in page.blocks if not b.aside]
-    if any(b.region == 2 for b in blocks):
-        return [b.text for b in blocks if b.region == 2]
-    if any(b.region == 1 for b in blocks):
-        blocks = [b for b in blocks if b.region == 1]
-        return [b.text for b in blocks if token("text", b.path, b.text) not in template]
-    blocks = [b for b in blocks if token("text", b.path, b.text) not in template]
+    blocks = [b for b in page.blocks if not b.aside and token("text", b.path, b.text) not in template]
     if not blocks:
         return []
     own: Counter = Counter()
     for b in blocks:
-        own[b.path.rpartition("/")[0]] += len(b.text) - min(b.linked, len(b.text))
+        own[_slot(b)] += len(b.text) - min(b.linked, len(b.text))
+    enough = max(own.values()) * ENOUGH
+    for region in (2, 1):  # the markup bounds the article where it agrees with the slots, or there is no template
+        marked = [b for b in blocks if b.region >= region]
+        if marked and (not template or max(own[_slot(b)] for b in marked) >= enough):
+            return [b.text for b in marked]
     slot = max(own, key=lambda p: (own[p], -len(p), p))
-    while (outer := slot.rpartition("/")[0]) and own[outer] >= own[slot] / 5:  # a list among paragraphs, say
+    while (outer := slot.rpartition("/")[0]) and own[outer] >= own[slot] * ENOUGH:  # a list among paragraphs, say
         slot = outer
     return [b.text for b in blocks if b.path == slot or b.path.startswith(slot + "/")]
 
 
+def _slot(b: Block) -> str:
+    return b.path.rpartition("/")[0]
+
+
 def host_of(url: Column) -> Column:
     """Lower-case host of a URL, empty if it has none."""
     return F.lower(F.coalesce(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#\s]*)", 1), F.lit("")))

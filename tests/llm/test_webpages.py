@@ -95,3 +95,14 @@ def test_copies_count_once_and_layouts_apart(spark):
     for i in range(3):
         notices = {w.token("text", b.path, b.text) for b in w.parse(layouts[i][2]).blocks if "Own" not in b.text}
         assert notices <= known["l.org"]
+
+
+def test_the_template_decides_inside_and_against_an_article(spark):
+    inside = [(i, "http://i.org/", f"<body><article><p>Follow our site</p><p>Own words of page {i}</p><p>Written by us</p>"
+               "<p>All rights kept</p></article></body>") for i in range(8)]
+    cards = [(100 + i, "http://k.org/", "<body><div class=x1><p>Same line</p><p>Other line</p><p>Third line</p></div><div id=c>"
+              f"<p>{f'long body of page {i} ' * 20}</p></div><article class=card><p>Teaser {i}</p></article></body>") for i in range(8)]
+    pages = spark.createDataFrame(inside + cards, "page_id long, url string, html string")
+    got = {r.id: r.text for r in w.extract_articles(pages).collect()}
+    assert all(got[i] == f"Own words of page {i}" for i in range(8))
+    assert all(f"long body of page {i}" in got[100 + i] and "line" not in got[100 + i] for i in range(8))
