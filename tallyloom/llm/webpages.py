@@ -13,8 +13,10 @@ Tokens are a page's elements, told apart by their path, and its text blocks.
    nest with those of the other classes.  The valid classes are the template.
 3. What is no template is in slots, also inside an ``article``; template text is
    left out everywhere.  A page's article is in its ``article`` element, else
-   ``main``, if these hold enough text next to the fullest slot, else in the slot
-   with most text outside links.  Hosts without a template go by the elements alone.
+   ``main``, if these hold enough text next to the fullest slot.  Else it is all
+   slots of the least container of those with enough text outside links, and the
+   slots beside it that are not mostly links.  Hosts without a template go by the
+   elements alone, else by the least container and an ``h1`` beside it.
    Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
    and styles go by what their markup says.
 
@@ -197,10 +199,30 @@ def article_blocks(page: Page, template: set[int]) -> list[str]:
         marked = [b for b in blocks if b.region >= region]
         if marked and (not template or max(own[_slot(b)] for b in marked) >= enough):
             return [b.text for b in marked]
-    slot = max(own, key=lambda p: (own[p], -len(p), p))
-    while (outer := slot.rpartition("/")[0]) and own[outer] >= own[slot] * ENOUGH:  # a list among paragraphs, say
-        slot = outer
-    return [b.text for b in blocks if b.path == slot or b.path.startswith(slot + "/")]
+    linked: Counter = Counter()
+    for b in blocks:
+        linked[_slot(b)] += min(b.linked, len(b.text))
+    region = _least_container([p for p in own if own[p] >= enough and own[p]])
+    inside = [b.path == region or b.path.startswith(region + "/") for b in blocks]
+    if template:  # what is left outside is no boilerplate; lists of links are menus
+        return [b.text for b, near in zip(blocks, inside, strict=True) if near or own[_slot(b)] > linked[_slot(b)]]
+    titled = any(near and "h1" in _names(b.path) for b, near in zip(blocks, inside, strict=True))
+    return [b.text for b, near in zip(blocks, inside, strict=True) if near or not titled and "h1" in _names(b.path)]
+
+
+def _least_container(paths: list[str]) -> str:
+    """Longest path that all ``paths`` lie in; empty for none."""
+    split = [p.split("/") for p in paths] or [[""]]
+    shared = 0
+    for names in zip(*split, strict=False):
+        if len(set(names)) > 1:
+            break
+        shared += 1
+    return "/".join(split[0][:shared])
+
+
+def _names(path: str) -> set[str]:
+    return {name.partition(".")[0] for name in path.split("/")}
 
 
 def _slot(b: Block) -> str:

@@ -106,3 +106,17 @@ def test_the_template_decides_inside_and_against_an_article(spark):
     got = {r.id: r.text for r in w.extract_articles(pages).collect()}
     assert all(got[i] == f"Own words of page {i}" for i in range(8))
     assert all(f"long body of page {i}" in got[100 + i] and "line" not in got[100 + i] for i in range(8))
+
+
+def test_an_article_in_several_containers(spark):
+    parts = [f"section {k} of the text " * 4 for k in range(3)]
+    split = "".join(f"<div id=s{k}><p>{t}</p></div>" for k, t in enumerate(parts))
+    assert text_of(f"<body><div id=c>{split}</div><div class=top><p>Hello</p></div></body>") == [t.strip() for t in parts]
+    titled = "<body><div class=t1><h1>Title</h1></div><div class=b1><p>{}</p></div><div class=x1><p>Hello</p></div></body>"
+    assert text_of(titled.format(parts[0])) == ["Title", parts[0].strip()]
+    line = "<div class=k1><p>Same line</p><p>Other line</p><p>Third line</p></div>"
+    rows = [(i, "http://s.org/", f"<body>{line}<div class=t1><h2>Title {i}</h2></div><div class=b1><p>{f'body of {i} ' * 30}</p></div>"
+             f"<div class=e1><p>Short end {i}</p></div><div class=l1><p><a href=x>Go to {i}</a></p></div></body>") for i in range(8)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in w.extract_articles(pages).collect():
+        assert r.text.split("\n") == [f"Title {r.id}", (f"body of {r.id} " * 30).strip(), f"Short end {r.id}"]
