@@ -18,7 +18,8 @@ Tokens are a page's elements, told apart by their path, and its text blocks.
    slots beside it that are not mostly links.  Hosts without a template go by the
    elements alone, else by the least container and an ``h1`` beside it.
    Menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts
-   and styles go by what their markup says.
+   and styles go by what their markup says; inside an ``article``, where a part of
+   a class or id says so, only if they are template text too or mostly links.
 
 Vectors and classes are grouped aggregations; no host's pages are ever gathered.
 """
@@ -43,7 +44,8 @@ ENOUGH = 0.2  # of the fullest slot's text outside links
 
 # Elements of HTML by how they are treated.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe svg math canvas object".split())
+RAW = frozenset("script style textarea title template iframe annotation annotation-xml desc metadata".split())
+SPACED = frozenset("text object canvas noscript".split())
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre "
                    "section summary table tbody td tfoot th thead tr ul".split())
@@ -51,7 +53,7 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 SCOPES = frozenset("ul ol dl table article section div main body td th li blockquote aside nav header footer form".split())
 # Markup that is not the article, by element, role, and word of a class or id.
-ASIDE_TAGS = frozenset("head nav footer aside form button select menu dialog label fieldset".split()) | RAW
+ASIDE_TAGS = frozenset("head nav footer aside form button select menu dialog".split()) | RAW
 ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar "
                         "toolbar".split())
 ASIDE_WORDS = frozenset(
@@ -62,6 +64,8 @@ ASIDE_WORDS = frozenset(
 HEAD_WORDS = frozenset({"header", "topbar"})
 OWN_WORDS = frozenset("article post entry story".split())
 LAYOUT_WORDS = frozenset("has with no without".split())
+FILLERS = frozenset("list box section area container wrapper button buttons link links post posts block bar slot left right top "
+                    "bottom media icon icons inner outer item items".split())
 
 _tag = re.compile(
     r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^<>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?][^>]*>""",
@@ -77,6 +81,7 @@ class Block:
     linked: int  # characters inside links
     aside: bool
     region: int  # 2 inside an article, 1 inside main, else 0
+    doubt: int = 0  # number of the element, inside an article, whose label only partly tells that it is none
 
 
 @dataclass
@@ -90,27 +95,34 @@ def token(kind: str, path: str, text: str = "") -> int:
     return xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}") - (1 << 63)
 
 
-def _is_aside(name: str, attributes: dict[str, str], in_article: bool) -> bool:
+def _is_aside(name: str, attributes: dict[str, str], in_article: bool) -> bool | None:
+    """Whether an element is told not to be the article; None if a part of its label says so inside an article."""
     if name in ASIDE_TAGS or (name == "header" and not in_article):
         return True
     if "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in ASIDE_ROLES:
         return True
     if name in ("html", "body", "main"):
         return False
+    told: bool | None = False
     for value in (attributes.get("class", ""), attributes.get("id", "")):
         for label in value.split():
             words = {w.lower() for w in _words.findall(label)}
             if words & LAYOUT_WORDS:
                 continue
-            if words & ASIDE_WORDS or (words & HEAD_WORDS and not words & OWN_WORDS and not in_article):
+            if words & ASIDE_WORDS:
+                if not in_article or all(w in ASIDE_WORDS or w in FILLERS or w.isdigit() for w in words):
+                    return True
+                told = None
+            elif words & HEAD_WORDS and not words & OWN_WORDS and not in_article:
                 return True
-    return False
+    return told
 
 
 def parse(html: str | None) -> Page:
     """Blocks and tokens of a page; missing end tags are made up for, stray ones ignored."""
     html, page = html or "", Page()
-    stack: list[tuple] = [("", "", False, 0)]  # name, path, aside, region
+    stack: list[tuple] = [("", "", False, 0, 0)]  # name, path, aside, region, doubt
+    doubts = 0
     held: list[str] = []
     linked = links = 0
 
@@ -119,8 +131,8 @@ def parse(html: str | None) -> Page:
         text = " ".join(unescape("".join(held)).split())
         held.clear()
         if text:
-            _, path, aside, region = stack[-1]
-            page.blocks.append(Block(path, text, linked, aside, region))
+            _, path, aside, region, doubt = stack[-1]
+            page.blocks.append(Block(path, text, linked, aside, region, doubt))
             page.tokens.append(token("text", path, text))
             page.places.append(token("place", path if aside or not region else "", f"text {region}"))
         linked = 0
@@ -164,16 +176,24 @@ def parse(html: str | None) -> Page:
                 if stack[depth][0] in SCOPES:
                     break
         attributes = {k.lower(): (a or b or c) for k, a, b, c in _attribute.findall(raw)} if raw.strip(" /") else {}
-        _, path, aside, region = stack[-1]
+        _, path, aside, region, doubt = stack[-1]
         label = (attributes.get("class") or attributes.get("id") or "").split()
         path = f"{path}/{name}" + (f".{label[0]}" if label else "")
-        aside = aside or _is_aside(name, attributes, region == 2)
+        told = _is_aside(name, attributes, region == 2)
+        if told is None and not doubt:
+            doubts += 1
+            doubt = doubts
+        aside = aside or bool(told)
         if not aside:
             region = 2 if name == "article" else max(region, 1 if name == "main" or attributes.get("role") == "main" else 0)
         if name in BLOCKS:
             page.tokens.append(token("element", path))
             page.places.append(token("place", path.rpartition("/")[0], "element"))
-        if name in RAW:
+        if name in SPACED:
+            held.append(" ")
+        if name in RAW or name == "noscript" and region != 2:
+            if raw.endswith("/") and any(s[0] in ("svg", "math") for s in stack):
+                continue
             shut = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, at)
             at = shut.end() if shut else end
             continue
@@ -181,14 +201,19 @@ def parse(html: str | None) -> Page:
             continue
         if name == "a":
             links = 1
-        stack.append((name, path, aside, region))
+        stack.append((name, path, aside, region, doubt))
     flush()
     return page
 
 
 def article_blocks(page: Page, template: set[int]) -> list[str]:
     """Text of the page's article, block by block; ``template`` are its host's template tokens."""
-    blocks = [b for b in page.blocks if not b.aside and token("text", b.path, b.text) not in template]
+    size, linked = Counter(), Counter()
+    for b in page.blocks:
+        size[b.doubt] += len(b.text)
+        linked[b.doubt] += min(b.linked, len(b.text))
+    blocks = [b for b in page.blocks if not b.aside and not (b.doubt and linked[b.doubt] * 2 >= size[b.doubt])
+              and token("text", b.path, b.text) not in template]
     if not blocks:
         return []
     own: Counter = Counter()
@@ -199,7 +224,7 @@ def article_blocks(page: Page, template: set[int]) -> list[str]:
         marked = [b for b in blocks if b.region >= region]
         if marked and (not template or max(own[_slot(b)] for b in marked) >= enough):
             return [b.text for b in marked]
-    linked: Counter = Counter()
+    linked.clear()
     for b in blocks:
         linked[_slot(b)] += min(b.linked, len(b.text))
     region = _least_container([p for p in own if own[p] >= enough and own[p]])

@@ -120,3 +120,14 @@ def test_an_article_in_several_containers(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     for r in w.extract_articles(pages).collect():
         assert r.text.split("\n") == [f"Title {r.id}", (f"body of {r.id} " * 30).strip(), f"Short end {r.id}"]
+
+
+def test_text_inside_an_article_stays():
+    html = ("<body><article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math> hold</p>"
+            "<section id=related-work><h2>Related work</h2><p>Others did.</p></section><p>A <span class=share-price>12 EUR</span> share</p>"
+            "<div class=alert-levels><p>Red</p></div><div class=comment-on-results><p>Good.</p></div>"
+            "<fieldset><legend>Note</legend><label>Kept</label></fieldset><form><label>Mail</label></form>"
+            "<svg><title/><text>Axis</text><path d=x /></svg><desc>drawn</desc><object data=x>Fallback</object>"
+            "<div class='read-related-more'><a href=x>Other page</a></div><div class='comments-list'><p>first!</p></div></article></body>")
+    assert text_of(html) == ["Let x = 2 hold".replace(" = ", "="), "Related work", "Others did.", "A 12 EUR share", "Red", "Good.",
+                             "Note", "Kept", "Axis Fallback"]
