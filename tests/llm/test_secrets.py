@@ -70,3 +70,29 @@ def test_table(spark):
     got = sorted(((r.id, [tuple(x) for x in r.spans]) for r in s.find_secrets(docs).collect()), key=str)
     assert got == sorted([(1, []), (2, []), (2, []), (3, [("assign", 1_000_000, 1_000_015)]), (None, [("assign", 0, 13)])], key=str)
     assert s.find_secrets(docs.limit(0)).count() == 0
+
+
+def test_keys_with_few_digits_or_none():
+    rng = random.Random(4)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+    def share(alphabet, size):
+        keys = ["".join(rng.choices(alphabet, k=size)) for _ in range(300)]
+        return sum(any(k == "entropy" for k, _, _ in s.secret_spans(f"use {key} now")) for key in keys) / 300
+
+    assert share(letters + "0123456789", 20) >= 0.95 and share(letters + "0123456789", 24) >= 0.97
+    assert share(letters, 20) >= 0.85 and share(letters, 24) >= 0.9 and share(letters, 40) >= 0.97
+    assert share(letters[26:], 40) >= 0.9
+    for harmless in ("internationalisationsbestrebungen", "getApplicationContextFromRequestHandler", "docs/2024/01/a-long-title-of-an-article",
+                     "Rechtsschutzversicherungsgesellschaften", "SOME_LONG_CONSTANT_NAME_OF_A_THING", "/usr/lib/python3/dist-packages/numpy"):
+        assert s.secret_spans(f"see {harmless} here") == [], harmless
+
+
+def test_rest_of_a_string_beside_a_pattern():
+    hex_part = "0a1b2c3d4e5f60718293a4b5"
+    for left, right in (("Xk9QzLm2RtVw8YpNs4", "Hj7GuTq5WzKx3MvPyR"), ("", "Xk9QzLm2RtVw8YpNs4Hj7GuTq5WzKx3MvPyR")):
+        got = s.secret_spans(f"see {left}{hex_part}{right} here")
+        covered = {i for _, a, b in got for i in range(a, b)}
+        assert [k for k, _, _ in got].count("hex") == 1 and len(covered) >= 58
+        spans = sorted((a, b) for _, a, b in got)
+        assert all(x[1] <= y[0] for x, y in zip(spans[:-1], spans[1:], strict=True))
