@@ -3,7 +3,9 @@
 A document holds an item of ``m`` words if some run of its words is within
 ``floor((1 - similarity) * m)`` word insertions, deletions and replacements of
 it.  Words are runs of letters and digits, lower-cased, so case, punctuation and
-layout do not matter.
+layout do not matter; in scripts written without spaces every character is one.
+Items of fewer than ``MIN_WORDS`` words allow no edits and are looked up exactly,
+word by word in a tree; the others go the way below.
 
 1. Windows as long as an item start at every word.  A window with more words
    that no item of its length has than edits allowed cannot match (a matching
@@ -40,11 +42,19 @@ SIMILARITY, MIN_WORDS = 0.8, 5
 RECALL, SAMPLED, MOST_REPEATS = 0.98, 3, 400
 BLOCK_WORDS, CHUNK_WORDS = 200_000, 400_000
 FOREIGN, GAP = 0, -1
+# Thai, Lao, Burmese, Khmer, Japanese and Chinese, written without spaces.
+SPACELESS = ("\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+             "\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff")
 _word = re.compile(r"[^\W_]+")
+_spaceless = re.compile(f"[{SPACELESS}]")
+_word_or_character = re.compile(rf"[^\W_{SPACELESS}]+|(?=[^\W_])[{SPACELESS}]")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _word.findall((text or "").lower())
+    text = (text or "").lower()
+    if text.isascii() or not _spaceless.search(text):
+        return _word.findall(text)
+    return _word_or_character.findall(text)
 
 
 def edits_allowed(m: np.ndarray | int, similarity: float):
@@ -215,6 +225,60 @@ class ItemIndex:
         return rows
 
 
+class ExactItems:
+    """Items found word for word only, as a tree of their words."""
+
+    def __init__(self, items: list[tuple[int, list[str]]]):
+        self.known: dict[str, int] = {}
+        edges: dict[tuple[int, int], int] = {}
+        self.held: dict[int, list[int]] = {}  # ids of the items that end at a node
+        for i, words in items:
+            node = 0
+            for w in words:
+                node = edges.setdefault((node, self.known.setdefault(w, len(self.known) + 1)), len(edges) + 1)
+            self.held.setdefault(node, []).append(i)
+        self.base, self.nodes = len(self.known) + 1, len(edges) + 1
+        keys = np.array([a * self.base + w for a, w in edges], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.to = keys[order], np.array(list(edges.values()), np.int64)[order]
+        self.longest = max(len(words) for _, words in items)
+        self.last = np.zeros(self.nodes, bool)
+        self.last[list(self.held)] = True
+
+    def find(self, texts: list[list[str]]) -> list[tuple[int, int, int, int]]:
+        """(text, item, 0, first word) of the first place of each item in each text."""
+        get = self.known.get
+        flat, first = _lay_out([np.array([get(w, FOREIGN) for w in ws], np.int64) for ws in texts], 1, self.longest)
+        at, node = np.flatnonzero(flat > 0), 0
+        rows = []
+        for depth in range(self.longest):
+            word = flat[at + depth]
+            key = node * self.base + word
+            edge = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            on = np.flatnonzero((word > 0) & (self.keys[edge] == key))
+            at, node = at[on], self.to[edge[on]]
+            ends = np.flatnonzero(self.last[node])
+            text = np.searchsorted(first, at[ends], side="right") - 1
+            pair, once = np.unique(text * self.nodes + node[ends], return_index=True)  # at is ascending
+            rows += [(k // self.nodes, i, 0, w) for k, w in zip(
+                pair.tolist(), (at[ends] - first[text])[once].tolist(), strict=True) for i in self.held[k % self.nodes]]
+        return rows
+
+
+class BlockIndex:
+    """The items of a block: the short ones exactly, the others within their edits."""
+
+    def __init__(self, items: list[tuple[int, list[str]]], similarity: float = SIMILARITY, recall: float = RECALL,
+                 min_words: int = MIN_WORDS):
+        exact = [x for x in items if len(x[1]) < min_words or not edits_allowed(len(x[1]), similarity)]
+        edited = [x for x in items if len(x[1]) >= min_words and edits_allowed(len(x[1]), similarity)]
+        self.parts = ([ExactItems(exact)] if exact else []) + ([ItemIndex(edited, similarity, recall)] if edited else [])
+        self.gap = max(getattr(p, "gap", 1) for p in self.parts)
+
+    def find(self, texts: list[list[str]]) -> list[tuple[int, int, int, int]]:
+        return [row for p in self.parts for row in p.find(texts)]
+
+
 def _lay_out(texts: list[np.ndarray], gap: int, tail: int) -> tuple[np.ndarray, np.ndarray]:
     """All words with a gap behind each text and more of it at the end, and where each text begins."""
     sizes = np.array([len(t) + gap for t in texts], np.int64)
@@ -228,9 +292,10 @@ def _lay_out(texts: list[np.ndarray], gap: int, tail: int) -> tuple[np.ndarray,
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, min_words: int,
                 block_words: int = BLOCK_WORDS) -> Iterator[list[tuple[int, list[str]]]]:
     """The items in blocks, dealt by a hash of their id; items under ``min_words`` words or without id are left out."""
+    run = rf"[{SPACELESS}]|((?![{SPACELESS}])[\p{{L}}\p{{N}}])+"
     items = benchmark.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    total = items.agg(F.sum(F.regexp_count("text", F.lit(r"[\p{L}\p{N}]+")))).first()[0] or 0
+    total = items.agg(F.sum(F.regexp_count("text", F.lit(run)))).first()[0] or 0
     blocks = max(1, -(-total // block_words))
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b).collect()
@@ -244,15 +309,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
           min_words: int = MIN_WORDS, recall: float = RECALL) -> DataFrame:
     """(id, item_id, edits, first_word): one row per document id and benchmark item that it holds.
 
-    Null and empty texts hold nothing.  Rows that repeat an id count as one
+    Items of fewer than ``min_words`` words are held word for word only; those without
+    a word are in no document.  Null and empty texts hold nothing.  Rows that repeat an id count as one
     document, rows without an id as one document of id null.
     """
     schema = "id long, item_id long, edits int, first_word long"
     out = pa.schema([("id", pa.int64()), ("item_id", pa.int64()), ("edits", pa.int32()), ("first_word", pa.int64())])
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = docs.sparkSession.createDataFrame([], schema)
-    for block in item_blocks(benchmark, item_id_col, item_text_col, min_words):
-        sent = docs.sparkSession.sparkContext.broadcast(ItemIndex(block, similarity, recall))
+    for block in item_blocks(benchmark, item_id_col, item_text_col, 1):
+        sent = docs.sparkSession.sparkContext.broadcast(BlockIndex(block, similarity, recall, min_words))
 
         def run(parts: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = sent.value
@@ -262,7 +328,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 for part in parts:
                     for doc, text in zip(column(part, "id"), column(part, "text"), strict=True):
                         words = words_of(text)
-                        if len(words) < min_words * similarity:
+                        if not words:
                             continue
                         ids.append(doc)
                         held.append(words)

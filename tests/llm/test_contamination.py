@@ -92,3 +92,23 @@ def test_edge_rows(spark):
     empty = bench.limit(0)
     assert cn.leaks(docs, empty).count() == 0 and cn.without_leaks(docs, empty).count() == docs.count()
     assert cn.leaks(docs.limit(0), bench).count() == 0
+
+
+def test_short_items_and_text_without_spaces(spark):
+    chinese = "\u4eca\u5929\u5929\u6c14\u5f88\u597d\u6211\u4eec\u53bb\u516c\u56ed\u6563\u6b65"
+    docs = spark.createDataFrame([(1, "so Two, words! here two words"), (2, "two other words"), (3, f"abc{chinese}\u3002"), (4, chinese[:6]),
+                                  (5, chinese[:5] + "\u4e0d" + chinese[6:]), (6, "yes")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "two words"), (2, "Two words."), (3, chinese), (4, "yes"), (5, "!!"), (6, "here two words")],
+                                  "item_id long, text string")
+    got = {tuple(r) for r in cn.leaks(docs, bench).collect()}
+    assert got == {(1, 1, 0, 1), (1, 2, 0, 1), (1, 6, 0, 3), (3, 3, 0, 1), (5, 3, 1, 0), (6, 4, 0, 0)}
+    assert sorted(r.doc_id for r in cn.without_leaks(docs, bench).collect()) == [2, 4]
+
+
+def test_short_items_against_a_plain_search():
+    rng = random.Random(8)
+    items = [(i, [rng.choice("abcde") for _ in range(rng.randrange(1, 5))]) for i in range(60)]
+    texts = [[rng.choice("abcdefg") for _ in range(rng.randrange(0, 25))] for _ in range(200)]
+    want = {(t, i): min(k for k in range(len(ws)) if ws[k:k + len(item)] == item) for t, ws in enumerate(texts) for i, item in items
+            if any(ws[k:k + len(item)] == item for k in range(len(ws)))}
+    assert {(t, i): w for t, i, _, w in cn.ExactItems(items).find(texts)} == want
