@@ -11,7 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, contamination, embeddings, lm_scoring, mixing, secrets, simhash, tokens, toxicity, webpages
+from . import (
+    bpe,
+    chat,
+    contamination,
+    divergence,
+    embeddings,
+    lm_scoring,
+    mixing,
+    secrets,
+    simhash,
+    tokens,
+    toxicity,
+    webpages,
+    whitening,
+)
 from .shared import crc_mod, read
 
 
@@ -115,3 +129,62 @@ def op2_log_bilinear_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm_scoring.score_documents(read(spark, sf_dir, "documents"), ~held_out)
     return scored.withColumnRenamed("id", "doc_id").select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def op11_merge_queue_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text by byte-pair merges, decoded again."""
+    coded = bpe.encode_texts(read(spark, sf_dir, "documents"), tokenizer_path())
+    back = bpe.decode_ids(coded, tokenizer_path())
+    digest = lambda text: F.sha2(text, 256)
+    return back.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"),
+                       digest(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+                       digest("text").alias("decoded_sha256"))
+
+
+@query
+def op12_chunk_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word use of every source against its language and its siblings."""
+    return divergence.divergence(read(spark, sf_dir, "documents"))
+
+
+ORACLE["op12_chunk_divergence"] = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT doc_id, lang, source, unnest(terms) AS term FROM d),
+kept AS (SELECT lang, term FROM words GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+ln AS (SELECT lang, term, sum(n) AS n FROM n GROUP BY lang, term),
+v AS (SELECT lang, count(*) AS v, sum(n) AS total FROM ln GROUP BY lang),
+t AS (SELECT g.lang, g.source, coalesce(v.v, 0)::HUGEINT AS v, coalesce(v.total, 0)::HUGEINT AS lang_total,
+             (SELECT coalesce(sum(n.n), 0) FROM n WHERE n.lang = g.lang AND n.source = g.source)::HUGEINT AS total
+      FROM groups g LEFT JOIN v USING (lang)),
+p AS (SELECT t.lang, t.source, ln.term, coalesce(n.n, 0) AS n,
+             1 + (1000000000::HUGEINT * (coalesce(n.n, 0) + 1)) // (t.total + t.v) AS p,
+             1 + (1000000000::HUGEINT * (ln.n + 1)) // (t.lang_total + t.v) AS q
+      FROM t JOIN ln USING (lang) LEFT JOIN n ON n.lang = t.lang AND n.source = t.source AND n.term = ln.term),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+         FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+         GROUP BY a.lang, a.source, b.source),
+pair AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+         FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+         LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q)) // q AS value FROM p WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+           FROM (SELECT * FROM pair UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+
+@query
+def op13_bit_sliced_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first eight whitened components of all, one row per vector and component."""
+    found = whitening.whiten(read(spark, sf_dir, "embeddings"), 8)
+    return (found.select("id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")))
+            .select(F.col("id").alias("vec_id"), (F.col("pos") + 1).alias("component"), "n",
+                    F.col("deviation").cast("long").alias("deviation"), "col.whitened", "col.explained", "identity_error"))

@@ -7,7 +7,9 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -106,3 +108,12 @@ def _batch(chunk: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
+
+
+def text_slices(part: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in stretches of about ``most`` bytes of text, its second column."""
+    chunk = np.cumsum(pc.fill_null(pc.binary_length(part.column(1)), 0).to_numpy(zero_copy_only=False)) // most
+    cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), part.num_rows]
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        if b > a:
+            yield part.slice(a, b - a)

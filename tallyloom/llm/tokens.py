@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .huffman import INTERVAL, Code, code_lengths
-from .shared import arrow_rows, batches, column, frugal, materialise, shared_path
+from .shared import arrow_rows, batches, column, frugal, materialise, shared_path, text_slices
 
 PIECES = 2_500_000  # words that a worker remembers before it starts anew
 CHUNK_BYTES = 8 << 20  # of text encoded at once
@@ -217,7 +217,7 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
         encoder = PieceEncoder.of(tokenizer)
         end, width = np.array([end_id], encoder.kind).tobytes(), encoder.kind.itemsize
         for part in parts:
-            for rows in _slices(part, CHUNK_BYTES):
+            for rows in text_slices(part, CHUNK_BYTES):
                 ids = [b + end for b in encoder.encode(rows.column(1))]
                 yield pa.RecordBatch.from_arrays(
                     [rows.column(0), pa.array([width] * len(ids), pa.int32()), pa.array(ids, pa.binary())], schema=out)
@@ -226,15 +226,6 @@ def token_ids(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col:
             .mapInArrow(frugal(run), "id long, width int, ids binary"))
 
 
-def _slices(part: pa.RecordBatch, most: int) -> Iterator[pa.RecordBatch]:
-    """The rows of a batch in stretches of about ``most`` bytes of text."""
-    chunk = np.cumsum(pc.fill_null(pc.binary_length(part.column(1)), 0).to_numpy(zero_copy_only=False)) // most
-    cuts = [0, *(np.flatnonzero(np.diff(chunk)) + 1).tolist(), part.num_rows]
-    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
-        if b > a:
-            yield part.slice(a, b - a)
-
-
 def count_ids(tokens: DataFrame) -> DataFrame:
     """(token, n): how often each id occurs in the whole table."""
     out = pa.schema([("token", pa.int64()), ("n", pa.int64())])
