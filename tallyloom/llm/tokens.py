@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .huffman import INTERVAL, Code, code_lengths
-from .shared import arrow_rows, batches, column, frugal, materialise, shared_path, text_slices
+from .shared import arrow_rows, batches, column, frugal, materialise, shared_path, string_hashes, text_slices
 
 PIECES = 2_500_000  # words that a worker remembers before it starts anew
 CHUNK_BYTES = 8 << 20  # of text encoded at once
@@ -107,7 +107,7 @@ class PieceEncoder:
         self.size = np.concatenate([self.size, size])
         self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(met.values()), self.kind)])
         added = pa.array(list(met), pa.string())
-        hashes = _hashes(added)
+        hashes = string_hashes(added)
         order = np.argsort(hashes, kind="stable")
         to = np.searchsorted(self.hashes, hashes[order])
         self.hashes = np.insert(self.hashes, to, hashes[order])
@@ -120,7 +120,7 @@ class PieceEncoder:
         place = np.full(len(words), -1, np.int64)
         if not len(self.hashes) or not len(words):
             return place
-        hashes = _hashes(words)
+        hashes = string_hashes(words)
         near = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         hit = np.flatnonzero(self.hashes[near] == hashes)
         at = self.at[near[hit]]
@@ -182,21 +182,6 @@ class PieceEncoder:
         return out
 
 
-_factor = np.random.default_rng(1).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-
-
-def _hashes(words: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each word's bytes and their places; equal words have equal ones."""
-    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
-    start, size = offsets[:-1] - offsets[0], np.diff(offsets)
-    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]].astype(np.uint64)
-    data += np.uint64(1)
-    data *= _factor[(np.arange(len(data)) - np.repeat(start, size)) & 255]
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data, dtype=np.uint64)])
-    found = (total[start + size] - total[start]) * np.uint64(0x9E3779B97F4A7C15)
-    return found ^ (found >> np.uint64(32))
-
-
 def _odd(piece: str) -> bool:
     word = piece.removeprefix("\n")
     return not word or word[0].isspace() or word[-1].isspace()
