@@ -137,6 +137,32 @@ def latest_event(log: DataFrame, keys: Sequence[str], order: Sequence[str], fiel
         *keys, *[F.col(f"_tl_last.{n}").alias(n) for n in fields], *extra)
 
 
+def latest_of_kinds(log: DataFrame, key: Column, kinds: dict[str, dict[str, Column]], order: Sequence[str]) -> DataFrame:
+    """Per key the newest event of each kind with that event's own fields, and the best of them.
+
+    ``kinds`` lists, best kind first, each kind's fields: columns of the nested log
+    that are NULL in rows of other kinds.  ``order`` names the fields that tell the
+    newest (the first one is known in every event of its kind); ties go to the
+    greatest remaining fields.  Returns the key, a struct per kind, ``best`` (the
+    newest event of the first kind that has one, with its ``kind``), and
+    ``n_events``.  All picks are maximums of structs in one aggregate over the log,
+    combined map-side, so a resource with most of the events is no one task's work.
+    """
+    rank, events = list(kinds), []
+    for i, (kind, fields) in enumerate(kinds.items()):
+        rest = [f for f in fields if f not in order]
+        there = fields[order[0]].isNotNull()
+        events.append(F.when(there, F.struct(F.lit(-i).alias("_rank"), *[fields[f].alias(f) for f in [*order, *rest]])))
+    packed = log.select(key, *[e.alias(f"_tl_{k}") for k, e in zip(rank, events, strict=True)])
+    name = packed.columns[0]
+    picked = packed.withColumn("_tl_best", F.coalesce(*[F.col(f"_tl_{k}") for k in rank]))
+    return picked.groupBy(name).agg(
+        *[F.max(f"_tl_{k}").alias(k) for k in rank], F.max("_tl_best").alias("_tl_best"), F.count("_tl_best").alias("n_events")).select(
+        name, *rank, F.struct(F.when(F.col("_tl_best").isNotNull(), F.element_at(
+            F.array(*map(F.lit, rank)), 1 - F.col("_tl_best._rank"))).alias("kind"),
+                              *[F.col(f"_tl_best.{f}").alias(f) for f in next(iter(kinds.values()))]).alias("best"), "n_events")
+
+
 # A table name in routine text: parts joined by dots, each bare or in back quotes, or the whole name
 # in quotes.  Comments are taken out first, so that neither statements nor names in them count.
 _COMMENT = r"(?s)--[^\n]*|/\*.*?\*/"

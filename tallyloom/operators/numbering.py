@@ -17,15 +17,21 @@ Both ways number by the same total order, so a parent's size changes the plan
 and never the numbers: ``order`` must end in columns that tell rows apart.
 
 All steps are JVM-side DataFrame operations.
+
+A running number is a fact of one run: rows added before a row change it.
+``stable_keys`` keeps numbers in a key map instead.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import append_rows
+
 _PID, _POS = "_tl_pid", "_tl_pos"
 DEFAULT_HOT_ROWS = 1_000_000
 
@@ -114,3 +120,31 @@ def sequence_in_parent(df: DataFrame, parent: Sequence[str], order: Sequence, ou
                        max_group_rows: int | None = None, hot_keys_from: DataFrame | None = None) -> DataFrame:
     """Instalment/slot number inside a parent (W3), safe when one parent is huge."""
     return sequence_number(df, order, parent, out, partitions, hot_rows, max_group_rows, hot_keys_from)
+
+
+def stable_keys(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str], order: Sequence | None = None,
+                out: str = "id") -> DataFrame:
+    """``rows`` with a surrogate number per business key that later runs keep.
+
+    The key map at ``path`` holds (keys, ``out``).  Keys not in it get the numbers
+    above its highest, in ``order`` (columns of ``rows``; a key's least value counts,
+    then the key itself), and are appended; known keys keep theirs, whatever rows
+    come, go or move.  NULL is a key value like any other.  Only unseen keys are
+    sorted, over many tasks.  A failed run appends nothing; one writer at a time.
+    """
+    keys = list(keys)
+    order = [o for o in (order or []) if o not in keys]
+    try:
+        known = spark.read.parquet(path)
+        highest = known.agg(F.max(out)).first()[0] or 0
+    except AnalysisException:  # first run
+        known, highest = None, 0
+    fresh = rows.groupBy(*keys).agg(*[F.min(o).alias(o) for o in order], F.count(F.lit(1)).alias("_tl_n"))
+    if known is not None:
+        fresh = fresh.join(known.select(*[F.col(k).alias(f"_tl_{k}") for k in keys]),
+                           [F.col(k).eqNullSafe(F.col(f"_tl_{k}")) for k in keys], "left_anti")
+    numbered = running_number(fresh, [*order, *keys], out)
+    added = numbered.select(*keys, (F.col(out) + F.lit(highest)).alias(out))
+    append_rows(added, path)
+    named = spark.read.parquet(path).select(*[F.col(k).alias(f"_tl_{k}") for k in keys], out)
+    return rows.join(named, [F.col(k).eqNullSafe(F.col(f"_tl_{k}")) for k in keys]).drop(*[f"_tl_{k}" for k in keys])

@@ -30,4 +30,17 @@ def query(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every plan module so all queries are registered."""
-    from . import aggregates, catalog, changes, core, joins, ledger, marts, metadata, opportunity  # noqa: F401
+    from . import (  # noqa: F401
+        aggregates,
+        catalog,
+        changes,
+        core,
+        joins,
+        ledger,
+        marts,
+        metadata,
+        opportunity,
+        property,
+        targets,
+        texts,
+    )

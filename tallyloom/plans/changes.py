@@ -298,9 +298,8 @@ def q_literal_override_rows(spark, sf_dir):
     t = Tables(spark, sf_dir)
     ov = literal_rows(spark, OVERRIDE_ROWS, _OVERRIDE_SCHEMA).withColumn("new_date", F.to_date("new_date"))
     o = t.orders.select("o_orderkey", "o_orderdate", F.col("o_orderkey").cast("string").alias("number"))
-    # the override list is literal (bounded), so both lookups are broadcast
-    o = apply_overrides(o, F.broadcast(ov), "number", "o_orderdate", "Ventas", "sale_date", flag_out="_sale_ov")
-    o = apply_overrides(o, F.broadcast(ov), "number", None, "Desistimiento", "withdrawal_date", flag_out="_wd_ov")
+    o = apply_overrides(o, ov, "number", "o_orderdate", "Ventas", "sale_date", flag_out="_sale_ov")
+    o = apply_overrides(o, ov, "number", None, "Desistimiento", "withdrawal_date", flag_out="_wd_ov")
     return o.select(
         "o_orderkey", F.date_format(F.to_date("o_orderdate"), "yyyy-MM-dd").alias("order_date"),
         F.date_format("sale_date", "yyyy-MM-dd").alias("sale_date"),

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ..functions.money import money
 from ..operators.ledger import MEASURES, balances_with_history, period_balances, split_history
-from ..sources.tables import Tables
+from ..operators.periods import PERIOD_SCHEMA, period_balances_any, week_period_rows
+from ..sources.tables import Tables, literal_rows
 from . import AS_OF_ORDERS, query
 
 # Segments whose balances restart every 1 January.
@@ -123,3 +124,36 @@ def q_balances_with_history(spark, sf_dir):
     bal = balances_with_history(_accounts(current, t.customer), history, group, "d", "debit", "credit", AS_OF_ORDERS, restart)
     return bal.select(*group, F.date_format("period", "yyyy-MM").alias("period"),
                       *[F.col(m).cast("double").alias(m) for m in MEASURES])
+
+
+# Fiscal years of 4-4-5 weeks from the first Monday of February, each with an adjustment day, and
+# the day from which accumulating accounts are kept.
+FISCAL_PERIODS = week_period_rows("1995-02-06", 7, adjustment=True)
+FLOOR = "1996-02-05"
+_PERIOD_VALUES = ", ".join(f"('{n}', DATE '{s}', DATE '{e}', DATE '{y}')" for n, s, e, y in FISCAL_PERIODS)
+
+
+@query("period_balances_any", sql=f"""
+WITH mv AS (SELECT c.c_nationkey, o.o_orderstatus, CAST(o.o_orderdate AS DATE) AS d,
+                   CAST(o.o_totalprice AS DECIMAL(18,2)) AS debit,
+                   CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE 0 END AS credit
+            FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+            WHERE CAST(o.o_orderdate AS DATE) BETWEEN DATE '{FLOOR}' AND DATE '{AS_OF_ORDERS}'),
+p(period, ps, pe, ys) AS (SELECT * FROM (VALUES {_PERIOD_VALUES}) v(a, b, c, d)
+                          WHERE b >= DATE '{FLOOR}' AND c <= DATE '{AS_OF_ORDERS}')
+SELECT c_nationkey, o_orderstatus, period,
+       CAST(SUM(CASE WHEN d < ps THEN debit - credit ELSE 0 END) AS DOUBLE) AS opening,
+       CAST(SUM(CASE WHEN d >= ps THEN debit ELSE 0 END) AS DOUBLE) AS debit,
+       CAST(SUM(CASE WHEN d >= ps THEN credit ELSE 0 END) AS DOUBLE) AS credit,
+       CAST(SUM(CASE WHEN d >= ps THEN debit - credit ELSE 0 END) AS DOUBLE) AS movement,
+       CAST(SUM(debit - credit) AS DOUBLE) AS closing
+FROM mv JOIN p ON mv.d <= p.pe AND (o_orderstatus <> 'P' OR mv.d >= p.ys)
+GROUP BY c_nationkey, o_orderstatus, period
+""")
+def q_period_balances_any(spark, sf_dir):
+    """Balances per nation and status over 4-4-5 fiscal periods with adjustment days; P orders restart each fiscal year."""
+    t = Tables(spark, sf_dir)
+    periods = literal_rows(spark, FISCAL_PERIODS, PERIOD_SCHEMA)
+    bal = period_balances_any(_accounts(t.orders, t.customer), periods, ["c_nationkey", "o_orderstatus"], "d", "debit", "credit",
+                              AS_OF_ORDERS, F.col("o_orderstatus") == "P", FLOOR)
+    return bal.select("c_nationkey", "o_orderstatus", "period", *[F.col(m).cast("double").alias(m) for m in MEASURES])

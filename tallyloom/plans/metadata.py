@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hash_key
@@ -18,7 +19,7 @@ from ..operators.catalog import (
     data_dictionary,
     extract_read_tables,
     extract_write_target,
-    latest_event,
+    latest_of_kinds,
     lineage_closure,
     lineage_detail,
     parse_option_labels,
@@ -169,18 +170,25 @@ cols AS (SELECT p_type AS dataset, p_brand AS "table", p_name AS "column", min(p
 @query("column_profile", sql=f"""
 WITH {_COLUMNS_SQL}, n AS (SELECT dataset, "table", count(*) AS n_columns, max(position) AS last_position,
   count(CASE WHEN size > 45 THEN 1 END) AS n_partition_columns, max(CASE WHEN size > 45 THEN "column" END) AS partition_column
-  FROM cols GROUP BY 1, 2)
+  FROM cols GROUP BY 1, 2),
+placed AS (SELECT *, row_number() OVER (PARTITION BY dataset, "table" ORDER BY position) AS place FROM cols WHERE size BETWEEN 36 AND 45),
+k AS (SELECT dataset, "table", max(CASE WHEN place = 1 THEN "column" END) AS cluster_1, max(CASE WHEN place = 2 THEN "column" END) AS cluster_2,
+             max(CASE WHEN place = 3 THEN "column" END) AS cluster_3, max(CASE WHEN place = 4 THEN "column" END) AS cluster_4
+      FROM placed GROUP BY 1, 2)
 SELECT c.dataset, c."table", c."column", n.n_columns, CAST(CASE WHEN c.position = n.last_position THEN 1 ELSE 0 END AS BIGINT)
-         AS is_last, n.n_partition_columns, n.partition_column
-FROM cols c JOIN n ON n.dataset = c.dataset AND n."table" = c."table"
+         AS is_last, n.n_partition_columns, n.partition_column, k.cluster_1, k.cluster_2, k.cluster_3, k.cluster_4
+FROM cols c LEFT JOIN k ON k.dataset = c.dataset AND k."table" = c."table" JOIN n ON n.dataset = c.dataset AND n."table" = c."table"
 """)
 def q_column_profile(spark, sf_dir):
-    """Column list with each table's number of columns and its partition column."""
-    cols = _columns(Tables(spark, sf_dir)).withColumn("is_partition", F.when(F.col("size") > 45, "YES").otherwise("NO")) \
-        .withColumn("cluster_position", F.lit(None).cast("int"))
-    parts = partition_cluster_profile(cols).select("dataset", "table", "n_partition_columns", "partition_column")
+    """Column list with each table's number of columns, its partition column and its first four cluster columns."""
+    cols = _columns(Tables(spark, sf_dir)).withColumn("is_partition", F.when(F.col("size") > 45, "YES").otherwise("NO"))
+    in_order = Window.partitionBy("dataset", "table").orderBy("position")  # one row per column of a table
+    placed = cols.filter(F.col("size").between(36, 45)).withColumn("cluster_position", F.row_number().over(in_order))
+    cols = cols.filter(~F.col("size").between(36, 45)).withColumn("cluster_position", F.lit(None).cast("int")).unionByName(placed)
+    clusters = [f"cluster_{i}" for i in range(1, 5)]
+    parts = partition_cluster_profile(cols).select("dataset", "table", "n_partition_columns", "partition_column", *clusters)
     return column_profile(cols).join(parts, ["dataset", "table"]).select(
-        "dataset", "table", "column", "n_columns", "is_last", "n_partition_columns", "partition_column")
+        "dataset", "table", "column", "n_columns", "is_last", "n_partition_columns", "partition_column", *clusters)
 
 
 @query("description_upsert", sql=f"""
@@ -236,25 +244,34 @@ def q_segment_suppliers(spark, sf_dir):
     return c.join(t.supplier.select("s_name", F.col("s_nationkey").alias("nk")).distinct(), "nk").select("c_mktsegment", "s_name").distinct()
 
 
-# Conversation roles as kinds of audit event.
+# Conversation roles as kinds of audit event, the kind that tells a creator first.
 AUDIT_KINDS = {"system": "created", "user": "changed", "assistant": "read"}
-_KIND_SQL = ", ".join(f"CAST(COALESCE(max(CASE WHEN role = '{r}' THEN turn END), -1) AS BIGINT) AS {k}_turn, "
-                      f"CAST(COALESCE(SUM(CASE WHEN role = '{r}' THEN length(text) END), 0) AS BIGINT) AS {k}_chars"
-                      for r, k in AUDIT_KINDS.items())
-
-
-@query("audit_reduction", sql=f"SELECT conv_id, {_KIND_SQL}, count(*) AS n_events FROM conversations GROUP BY conv_id")
+_KIND_COLUMNS = ", ".join(f"CAST(COALESCE(max(CASE WHEN kind = '{k}' AND rn = 1 THEN turn END), -1) AS BIGINT) AS {k}_turn, "
+                          f"CAST(COALESCE(max(CASE WHEN kind = '{k}' AND rn = 1 THEN length(text) END), -1) AS BIGINT) AS {k}_chars"
+                          for k in AUDIT_KINDS.values())
+_KIND_CASE = " ".join(f"WHEN '{r}' THEN {i}" for i, r in enumerate(AUDIT_KINDS))
+_KIND_NAME = " ".join(f"WHEN '{r}' THEN '{k}'" for r, k in AUDIT_KINDS.items())
+
+
+@query("audit_reduction", sql=f"""
+WITH e AS (SELECT conv_id, turn, text, CASE role {_KIND_CASE} END AS priority, CASE role {_KIND_NAME} END AS kind FROM conversations),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id, kind ORDER BY turn DESC, length(text) DESC) AS rn,
+             row_number() OVER (PARTITION BY conv_id ORDER BY priority, turn DESC, length(text) DESC) AS best FROM e WHERE kind IS NOT NULL)
+SELECT conv_id, {_KIND_COLUMNS}, max(CASE WHEN best = 1 THEN kind END) AS creator_kind,
+       CAST(max(CASE WHEN best = 1 THEN turn END) AS BIGINT) AS creator_turn,
+       max(CASE WHEN best = 1 THEN sha256(text) END) AS creator_text, count(*) AS n_events
+FROM n GROUP BY conv_id
+""")
 def q_audit_reduction(spark, sf_dir):
-    """One nested log of three event kinds reduced to the last event of each kind per resource."""
+    """One nested log of three event kinds: the newest event of each kind per resource, and the creator by kind, then time."""
     t = Tables(spark, sf_dir)
-    c = t.conversations
-    empty = F.lit(None).cast("struct<turn:bigint,chars:bigint>")
-    event = F.struct(F.col("turn").cast("long").alias("turn"), F.length("text").cast("long").alias("chars"))
-    log = c.select(F.struct(F.struct(F.col("conv_id").alias("id")).alias("resource"), F.struct(*[
+    event = F.struct(F.col("turn").cast("long").alias("turn"), F.col("text"))
+    empty = F.lit(None).cast("struct<turn:bigint,text:string>")
+    log = t.conversations.select(F.struct(F.struct(F.col("conv_id").alias("id")).alias("resource"), F.struct(*[
         F.when(F.col("role") == r, event).otherwise(empty).alias(k) for r, k in AUDIT_KINDS.items()]).alias("event")).alias("payload"))
-    flat = log.select(F.col("payload.resource.id").alias("conv_id"), *[
-        F.col(f"payload.event.{k}.{x}").alias(f"{k}_{x}") for k in AUDIT_KINDS.values() for x in ("turn", "chars")])
-    last = latest_event(flat, ["conv_id"], [], {}, extra_aggs={
-        **{f"{k}_turn": F.coalesce(F.max(f"{k}_turn"), F.lit(-1)) for k in AUDIT_KINDS.values()},
-        **{f"{k}_chars": F.coalesce(F.sum(f"{k}_chars"), F.lit(0)) for k in AUDIT_KINDS.values()}, "n_events": F.count(F.lit(1))})
-    return last.select("conv_id", *[f"{k}_{x}" for k in AUDIT_KINDS.values() for x in ("turn", "chars")], "n_events")
+    last = latest_of_kinds(log, F.col("payload.resource.id").alias("conv_id"), {
+        k: {"turn": F.col(f"payload.event.{k}.turn"), "chars": F.length(f"payload.event.{k}.text").cast("long"),
+            "text": F.sha2(F.col(f"payload.event.{k}.text"), 256)} for k in AUDIT_KINDS.values()}, order=["turn", "chars"])
+    return last.select("conv_id", *[F.coalesce(F.col(f"{k}.{x}"), F.lit(-1)).alias(f"{k}_{x}") for k in AUDIT_KINDS.values() for x in ("turn", "chars")],
+                       F.col("best.kind").alias("creator_kind"), F.col("best.turn").alias("creator_turn"),
+                       F.col("best.text").alias("creator_text"), "n_events")

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -211,11 +211,17 @@ def replace_months(recomputed: DataFrame, path: str, date_col: str, start, end,
     rows = stored.filter(~F.coalesce(inside, F.lit(False))).unionByName(new).checkpoint(eager=True)
     overwrite_partitions(rows, path, [month_col])
     left = {r[0] for r in rows.select(month_col).distinct().collect()}  # a month list at most
-    files = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for month in months:
-        if month not in left:
-            folder = files.Path(f"{path.rstrip('/')}/{month_col}={month}")
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    remove_partitions(spark, path, [Row(**{month_col: m}) for m in months if m not in left])
+
+
+def remove_partitions(spark: SparkSession, path: str, parts: Sequence[Row]) -> None:
+    """Delete partition folders by their values; NULL is the reader's default partition, marks are escaped as the writer does."""
+    jvm = spark.sparkContext._jvm
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for part in parts:
+        names = [escape(k, None if v is None else str(v)) for k, v in part.asDict().items()]
+        folder = jvm.org.apache.hadoop.fs.Path("/".join([path.rstrip("/"), *names]))
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def append_rows(df: DataFrame, path: str, schema: T.StructType | None = None) -> None:

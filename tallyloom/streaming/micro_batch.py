@@ -5,6 +5,8 @@
   (``write_replace``), so a failed batch never leaves a half-written target;
   a batch may run again after a failure (at least once): the merge then gives the
   same rows.  Each batch rewrites the target, and old versions stay until removed.
+* ``upsert_partitions_stream`` - the same for a target partitioned by columns of
+  its key: a batch reads and rewrites only the partitions that its keys are in.
 * ``daily_counts_stream`` - rows per (key, local day) with a watermark, the
   streaming form of the daily measure that ``daily_measure_upsert`` merges.
 """
@@ -19,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.dates import local_time
 from ..operators.changes import scd1_upsert
+from ..operators.merge import upsert_partitions
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_current, write_replace
 
@@ -52,6 +55,28 @@ def upsert_stream(stream: DataFrame, target_path: str, keys: Sequence[str], run_
     return writer.start()
 
 
+def upsert_partitions_stream(stream: DataFrame, target_path: str, keys: Sequence[str], partition_by: Sequence[str],
+                             run_ts_col: str, dedup_order: Sequence[str] | None = None, fixed: bool | None = None,
+                             name: str = "upsert-partitions", checkpoint_location: str | None = None,
+                             available_now: bool = True) -> StreamingQuery:
+    """Merge every micro-batch into the partitioned table at ``target_path`` with ``merge.upsert_partitions``.
+
+    A batch that runs again after a failure gives the same rows.  See there for ``fixed``.
+    """
+    spark = stream.sparkSession
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        run_ts = batch.agg(F.max(run_ts_col)).first()[0]
+        upsert_partitions(batch.sparkSession, target_path, batch.drop(run_ts_col), keys, partition_by, run_ts, dedup_order, fixed)
+
+    writer = stream.writeStream.foreachBatch(merge).option(
+        "checkpointLocation", _checkpoint(spark, name, checkpoint_location))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
 def daily_counts_stream(stream: DataFrame, ts_col: str, keys: Sequence[str], zone: str,
                         watermark: str = "2 days") -> DataFrame:
     """Rows per key and local calendar day of a UTC wall-clock timestamp column.

@@ -164,3 +164,17 @@ def test_deep_chain_and_column_profile(spark):
                                  "dataset string, table string, column string, position int")
     assert rows(column_profile(cols), "table", "column", "n_columns", "is_last") == [
         ("T", "a", 2, 0), ("T", "b", 2, 1), ("U", "c", 1, 1)]
+
+
+def test_latest_of_kinds(spark):
+    """Newest event of each kind with its own fields, and the creator by kind first, then time."""
+    from tallyloom.operators.catalog import latest_of_kinds
+
+    schema = "res string, ins struct<ts:int,who:string>, job struct<ts:int,who:string>"
+    log = spark.createDataFrame([("t", None, (9, "late")), ("t", (1, "first"), None), ("t", (2, "a"), None), ("t", (2, "b"), None),
+                                 ("u", None, (3, "job")), ("v", None, None), ("w", (None, "no time"), None), (None, (4, "x"), None)], schema)
+    kinds = {"ins": {"ts": F.col("ins.ts"), "who": F.col("ins.who")}, "job": {"ts": F.col("job.ts"), "who": F.col("job.who")}}
+    got = latest_of_kinds(log, F.col("res").alias("res"), kinds, ["ts"]).select(
+        "res", "ins.who", F.col("job.who").alias("job"), "best.kind", F.col("best.who").alias("creator"), "n_events")
+    assert rows(got) == sorted([("t", "b", "late", "ins", "b", 4), ("u", None, "job", "job", "job", 1), ("v", None, None, None, None, 0),
+                                ("w", None, None, None, None, 0), (None, "x", None, "ins", "x", 1)], key=repr)

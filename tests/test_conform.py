@@ -72,3 +72,36 @@ def test_master_join_one_row_per_key(spark):
     out = master_join({"flow": (a, "opp"), "docs": (b, "opportunity")}, "opp", order={"flow": ["ts"]})
     got = rows(out, "opp", "flow_step", "docs_doc")
     assert got == [(1, "y", None), (2, "z", "deed"), (3, None, "notary")]
+
+
+def test_indexed_keyword_match_equals_the_plain_one(spark):
+    import random
+
+    from tallyloom.operators.conform import best_keyword_match, indexed_keyword_match
+
+    r = random.Random(3)
+    word = lambda n: "".join(r.choice("abAB_é") for _ in range(n))
+    texts = [(k, word(r.randrange(25)), r.choice(["p", "q", None])) for k in range(300)] + [(900, None, "p"), (901, "", "p"), (902, "x", "z")]
+    kw = [("p", f"m{k}", [word(r.randrange(1, 7)) for _ in range(3)]) for k in range(60)] + [("q", "q1", ["", "ab", None]), ("q", "q0", ["AB"])]
+    df = spark.createDataFrame(texts, "id int, t string, pre string")
+    words = spark.createDataFrame(kw, "prefix string, module string, words array<string>")
+    args = ("id", "t", "pre")
+    want = rows(best_keyword_match(df, words, *args), "id", "module", "keyword")
+    assert rows(indexed_keyword_match(df, words, *args), "id", "module", "keyword") == want
+    assert len({w[2] for w in want}) > 20
+    none = words.filter("false")
+    assert rows(indexed_keyword_match(df, none, *args), "id", "module") == sorted([(t[0], "DESCONOCIDO") for t in texts], key=repr)
+
+
+def test_indexed_keyword_match_with_a_long_list(spark):
+    """100,000 words under one prefix: a text meets the few words whose rarest part it holds."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.operators.conform import indexed_keyword_match
+
+    kw = spark.range(100_000).select(F.lit("p").alias("prefix"), F.concat(F.lit("m"), F.col("id")).alias("module"),
+                                     F.array(F.substring(F.sha2(F.col("id").cast("string"), 256), 1, 12)).alias("words"))
+    df = spark.range(2000).select("id", F.lit("p").alias("pre"), F.concat(
+        F.lit("tbl_"), F.substring(F.sha2((F.col("id") * 50).cast("string"), 256), 1, 12), F.lit("_x")).alias("t"))
+    got = indexed_keyword_match(df, kw, "id", "t", "pre")
+    assert rows(got.select("id", "module"), "id", "module") == sorted([(k, f"m{50 * k}") for k in range(2000)], key=repr)

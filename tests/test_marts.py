@@ -80,3 +80,32 @@ def test_registered_invoices_allot_all_tax(spark):
     assert round(allotted, 2) == float(booked)
 
 
+
+
+def test_shown_sale(spark):
+    from tallyloom.operators.property import shown_sale
+
+    D = dt.date
+    sales = [("a", 1, D(2024, 1, 1), "2", "N"), ("a", 2, D(2024, 3, 1), "3", "Y"), ("a", 3, D(2024, 2, 1), "5", "N"),
+             ("b", 4, D(2024, 1, 1), "4", "Y"), ("b", 5, D(2024, 1, 1), "4", "Y"), ("b", 6, D(2024, 9, 1), "1", "N"),
+             ("c", 7, D(2024, 1, 1), "1", "N"), ("d", 8, D(2024, 1, 1), None, "N"), ("e", 9, None, "2", "N"), ("e", 10, D(2023, 1, 1), "2", "N")]
+    got = shown_sale(spark.createDataFrame(sales, "item string, sale int, sale_date date, stage string, withdrawn string"))
+    assert rows(got, "item", "live_sale", "withdrawn_sale", "shown_sale", "n_withdrawn", "last_withdrawn", "n_optioned") == [
+        ("a", 3, 2, 3, 1, D(2024, 3, 1), 3),
+        ("b", None, 5, 5, 2, D(2024, 1, 1), 3),  # the visit does not count as sold; a tie goes to the greater key
+        ("e", 10, None, 10, 0, None, None)]
+
+
+def test_purchase_fact_keeps_headers_without_lines(spark):
+    from tallyloom.operators.property import purchase_fact
+
+    df = spark.createDataFrame
+    fact = purchase_fact(
+        df([(1, "v", "30"), (2, "w", None)], "header int, vendor string, terms string"),
+        df([(1, 10, 5.0), (1, 11, 6.0)], "header int, line int, amount double"),
+        df([(1, 10, "d1"), (1, 10, "d2")], "header int, line int, distribution string"),
+        df([("d1", "r1"), ("d1", "r2")], "distribution string, receipt string"),
+        df([(1, 11, "q")], "header int, line int, request string"), df([("30", 30)], "terms string, due int"))
+    assert rows(fact, "header", "line", "distribution", "receipt", "request", "due") == sorted([
+        (1, 10, "d1", "r1", None, 30), (1, 10, "d1", "r2", None, 30), (1, 10, "d2", None, None, 30),
+        (1, 11, None, None, "q", 30), (2, None, None, None, None, None)], key=repr)

@@ -38,7 +38,7 @@ def test_no_forced_broadcast(spark):
     """With the size threshold off nothing is broadcast: no join is forced by a hint."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for name in ("snowflake_mart", "role_playing_dims", "fallback_enrich", "order_obt", "code_lookup"):
+        for name in sorted(LIBRARY):
             assert "BroadcastExchange" not in _initial(entry.queries()[name](spark, SF)), name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -61,3 +61,19 @@ def test_upsert_stream_rerun_is_exactly_once(spark, tmp_path):
                   checkpoint_location=ck).awaitTermination(120)
     assert current_version(spark, target) == first
     assert read_current(spark, target).count() == 2
+
+
+def test_upsert_partitions_stream(spark, tmp_path):
+    from tallyloom.streaming.micro_batch import upsert_partitions_stream
+
+    schema = "id long, region string, name string, landed timestamp"
+    land, target = tmp_path / "landing", str(tmp_path / "dim")
+    stream = spark.readStream.schema(schema).parquet(str(land / "*"))
+    t1, t2 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
+    for batch in ([(1, "a", "x", t1), (2, "b", "y", t1)], [(2, "b", "y2", t2), (3, "b", "z", t2)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.parquet(str(land / f"b{batch[0][0]}"))
+        q = upsert_partitions_stream(stream, target, ["id"], ["region"], "landed", checkpoint_location=str(tmp_path / "ck"))
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert rows(spark.read.parquet(target), "id", "region", "name", "loaded_at", "updated_at") == [
+        (1, "a", "x", t1, t1), (2, "b", "y2", t1, t2), (3, "b", "z", t2, t2)]
