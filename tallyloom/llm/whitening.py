@@ -49,12 +49,14 @@ class Whitening:
 
 def whole_vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
                   scale: int = SCALE, shift: int = SHIFT) -> DataFrame:
-    """(id, x array<long>) of the rows whose vector has finite entries only."""
+    """(id, x array<long>) of the rows whose vector has finite entries only; one too large for a long fails the query."""
     v = F.col("v")
     finite = F.forall(v, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
+    fits = lambda c: F.when(F.abs(c * F.lit(float(scale))) < F.lit(2.0 ** 62), c).otherwise(
+        F.raise_error(F.lit("a vector's entry is too large for a long")).cast("double"))
     return (rows.select(F.col(id_col).alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
             .where((F.size(v) > 0) & finite)
-            .select("id", F.transform(v, lambda c: F.floor(c * F.lit(float(scale))) + F.lit(shift)).alias("x")))
+            .select("id", F.transform(v, lambda c: F.floor(fits(c) * F.lit(float(scale))) + F.lit(shift)).alias("x")))
 
 
 def fit(vectors: DataFrame, components: int | None = None) -> Whitening | None:

@@ -15,6 +15,7 @@ from tallyloom.llm.shared import read
 from tallyloom.llm.tokens import PieceEncoder
 from test_chat import digest
 from test_contamination import leaks_of
+from test_divergence import plain as plain_divergence
 from test_embeddings import by_all_pairs
 from test_mixing import targets_of
 from test_secrets import by_rule
@@ -128,3 +129,48 @@ def test_op10(spark):
     got = run(spark, "op10_grid_order_near_vectors")
     assert sorted(((r.vec_id, r.n_links, r.component_id) for r in got), key=str) == by_all_pairs(rows)
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
+
+
+def test_op11(spark, texts):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path())
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = []
+    for d, t in texts.items():
+        ids = library.encode(t, add_special_tokens=False).ids
+        want.append((d, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids, skip_special_tokens=False))))
+    assert sorted(map(tuple, run(spark, "op11_merge_queue_bpe"))) == sorted(want)
+
+
+def test_op12(spark):
+    import duckdb
+
+    from tallyloom.llm.queries import ORACLE
+
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in read(spark, SF, "documents").collect()]
+    got = sorted(tuple(r) for r in run(spark, "op12_chunk_divergence"))
+    assert got == plain_divergence(rows)
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    cols = "lang, source, part, item, value, rank"
+    assert sorted(con.execute(f"SELECT {cols} FROM ({ORACLE['op12_chunk_divergence']})").fetchall()) == got
+
+
+def test_op13(spark):
+    rows = [(r.vec_id, r.embedding) for r in read(spark, SF, "embeddings").collect()]
+    keep = [(i, v) for i, v in rows if v is not None and all(c is not None and np.isfinite(c) for c in v)]
+    x = np.floor(1024 * np.array([v for _, v in keep], np.float64)).astype(np.int64) + 100_000
+    n, s = len(x), x.sum(0)
+    e, u = np.linalg.eigh(np.cov(x.T, bias=True))
+    order = np.argsort(e)[::-1][:8]
+    want = (x - s / n) @ u[:, order] / np.sqrt(e[order])
+    got = {(r.vec_id, r.component): r for r in run(spark, "op13_bit_sliced_whitening")}
+    assert set(got) == {(i, c) for i, _ in keep for c in range(1, 9)}
+    sign = [1 if got[keep[0][0], c + 1].whitened * want[0, c] > 0 else -1 for c in range(8)]
+    for k, (i, _) in enumerate(keep):
+        for c in range(8):
+            r = got[i, c + 1]
+            assert (r.n, r.deviation) == (n, ((n * x[k] - s) ** 2).sum())
+            assert r.whitened * sign[c] == pytest.approx(want[k, c], abs=1e-8)
+            assert r.explained == pytest.approx(e[order][c] / e.sum(), rel=1e-9) and r.identity_error < 1e-9
