@@ -13,6 +13,7 @@ suppressed.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from math import inf, log2
@@ -122,13 +123,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _rests(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """The parts of a stretch that no span of ``base`` covers."""
-    for s, _, e in base:  # by start
-        if e > start and s < end:
-            if s > start:
-                yield start, s
-            start = max(start, e)
+def _covered(base: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans of ``base`` (by start) cover together."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s, _, e in base:
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
+
+
+def _rests(start: int, end: int, starts: list[int], ends: list[int]) -> Iterator[tuple[int, int]]:
+    """The parts of a stretch outside the covered ones; only those that touch it are looked at."""
+    for k in range(bisect_right(ends, start), len(starts)):
+        if starts[k] >= end:
+            break
+        if starts[k] > start:
+            yield start, starts[k]
+        start = ends[k]
     if start < end:
         yield start, end
 
@@ -140,8 +155,9 @@ def entropy_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int
     needs.
     """
     found = []
+    starts, ends = _covered(base)
     for m in CANDIDATE.finditer(text):
-        for first, last in _rests(m.start(), m.end(), base):
+        for first, last in _rests(m.start(), m.end(), starts, ends):
             if last - first < LEAST_REST:
                 continue
             at = first if last - first >= WIDEST else max(m.start(), min(first, m.end() - WIDEST, first - (WIDEST - last + first) // 2))

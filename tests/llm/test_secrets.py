@@ -96,3 +96,25 @@ def test_rest_of_a_string_beside_a_pattern():
         assert [k for k, _, _ in got].count("hex") == 1 and len(covered) >= 58
         spans = sorted((a, b) for _, a, b in got)
         assert all(x[1] <= y[0] for x, y in zip(spans[:-1], spans[1:], strict=True))
+
+
+def test_rests_are_what_no_span_covers():
+    rng = random.Random(8)
+    for _ in range(500):
+        base = sorted((a, rng.randrange(3), a + rng.randrange(1, 12)) for a in (rng.randrange(60) for _ in range(rng.randrange(8))))
+        first = rng.randrange(50)
+        last = first + rng.randrange(1, 30)
+        free = [i for i in range(first, last) if not any(a <= i < e for a, _, e in base)]
+        told = list(s._rests(first, last, *s._covered(base)))
+        assert [i for a, e in told for i in range(a, e)] == free
+        assert all(a < e for a, e in told) and all(x[1] < y[0] for x, y in zip(told, told[1:]))
+
+
+def test_very_many_spans_in_one_text():
+    import time
+
+    text = " ".join(f"{k:032x}" for k in range(200_000)) + " " + "kZ9vQ2mX7bN4pL8wT3rY6uH1"
+    began = time.time()
+    found = s.secret_spans(text)
+    assert sum(k == "hex" for k, _, _ in found) == 200_000 and found[-1][0] == "entropy"
+    assert time.time() - began < 60  # linear: a few seconds
