@@ -38,6 +38,13 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def plain_names(df: DataFrame, *named: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with its columns renamed c0, c1, ..., and the new names of ``named``: no helper column can clash with them."""
+    plain = [f"c{k}" for k in range(len(df.columns))]
+    places = {c.lower(): n for c, n in zip(df.columns, plain, strict=True)}
+    return df.toDF(*plain), [places[c.lower()] for c in named]
+
+
 def ascii_words(text: str | None) -> list[bytes]:
     """Words of ``text`` as UTF-8, A-Z lower-cased; bytes.split() parts at 0x20 and 0x09-0x0D only."""
     return text.encode("utf-8").lower().split() if text else []

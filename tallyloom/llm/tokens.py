@@ -18,7 +18,6 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -230,19 +229,12 @@ def count_ids(tokens: DataFrame) -> DataFrame:
             .groupBy("token").agg(F.sum("n").alias("n")))
 
 
-@dataclass
-class TokenFiles:
-    """Where the blocks lie, and the code that they are written in."""
-
-    path: str
-    symbols: np.ndarray
-    lengths: np.ndarray
-
-
 def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
-                      block_tokens: int = BLOCK_TOKENS) -> TokenFiles:
-    """Write ``tokens`` (id, ids) as Huffman-coded blocks under ``path``, ids ascending, nulls first.
+                      block_tokens: int = BLOCK_TOKENS) -> str:
+    """Write ``tokens`` (id, ids) as Huffman-coded blocks under ``path``, ids ascending, nulls first; returns ``path``.
 
+    ``path/blocks`` holds the blocks and ``path/code`` the length of every token's
+    code, from which a canonical code follows: the files are read by their path alone.
     Rows that repeat an id stand side by side, ordered by a hash of their ids.
     The code table reaches the driver: one row per id of the vocabulary at most.
     """
@@ -293,8 +285,17 @@ def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
     (tokens.select("id", "width", "ids").mapInArrow(frugal(encode), "part int, id long, n long, marks binary, bits binary")
      .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "id", F.xxhash64("bits"))
      .mapInArrow(frugal(assemble), "part int, block long, first_id long, n_tokens long, data binary")
-     .write.option("compression", "none").parquet(path))
-    return TokenFiles(path, symbols, lengths)
+     .write.option("compression", "none").parquet(f"{path}/blocks"))
+    # the code comes last: a folder without it is a write that did not end
+    code_rows = pa.table([pa.array(symbols, pa.int64()), pa.array(lengths, pa.int32())], names=["token", "length"])
+    spark.createDataFrame(code_rows).coalesce(1).write.parquet(f"{path}/code")
+    return path
+
+
+def read_code(spark: SparkSession, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """(tokens, code lengths) of the files at ``path``: one row per id of the vocabulary at most."""
+    table = spark.read.schema("token long, length int").parquet(f"{path}/code").orderBy("token").toPandas()
+    return table["token"].to_numpy(np.int64), table["length"].to_numpy(np.int64)
 
 
 def _ids(part: pa.RecordBatch) -> Iterator[np.ndarray]:
@@ -345,14 +346,14 @@ def unpack_block(data: bytes, code: Code) -> tuple[list[int | None], np.ndarray,
     return [None if m else int(i) for i, m in zip(ids, missing, strict=True)], sizes, tokens
 
 
-def read_token_files(spark: SparkSession, files: TokenFiles) -> DataFrame:
-    """(id, start, n_tokens, ids_crc32) per document, decoded from the files.
+def read_token_files(spark: SparkSession, path: str) -> DataFrame:
+    """(id, start, n_tokens, ids_crc32) per document, decoded from the files that ``write_token_files`` left at ``path``.
 
     ``start`` counts the ids of all documents before it: within a part they are
     summed while reading, the parts by their blocks' sizes (one row per part).
     """
-    blocks = spark.read.parquet(files.path)
-    symbols, lengths = files.symbols, files.lengths
+    blocks = spark.read.schema("part int, block long, first_id long, n_tokens long, data binary").parquet(f"{path}/blocks")
+    symbols, lengths = read_code(spark, path)
     out = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("id", pa.int64()), ("own_start", pa.int64()),
                      ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
 

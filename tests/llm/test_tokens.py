@@ -1,6 +1,7 @@
 """Huffman codes and token files: optimality, exact round trips, edge rows."""
 
 import heapq
+import os
 import zlib
 
 import numpy as np
@@ -12,6 +13,7 @@ from tallyloom.llm.huffman import Code, code_lengths
 
 public = pytest.importorskip("public_tokenizers")
 PATH = public.path("byte_bpe_50k.json")
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 ODD = ["", " ", "\n", "a  b", " a", "a ", "a\n\nb", "a \nb", "a\n b", "a\tb", "x y z", "don't can't. it's!",
        "\nabc def.", "abc\n", "<|endoftext|> a", "héllo, wörld. a,b c,. .. , x", "a.\nB c", "漢字。 x", "1, 2. 3"]
 
@@ -96,3 +98,18 @@ def test_one_long_text(spark):
     text = "lorem ipsum dolor " * 60_000
     docs = spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string")
     assert sorted(tuple(r) for r in tokens.encode_documents(docs, PATH).collect()) == expected([(1, text), (2, "x")])
+
+
+def test_files_are_read_by_their_path_alone(spark, tmp_path):
+    """Another process, with nothing but the path, reads the files back."""
+    import subprocess
+    import sys
+
+    rows = [(i, t) for i, t in enumerate(ODD)]
+    ids = tokens.token_ids(spark.createDataFrame(rows, "doc_id long, text string"), PATH)
+    path = tokens.write_token_files(spark, ids, str(tmp_path / "files"))
+    code = ("from pyspark.sql import SparkSession; from tallyloom.llm import tokens; "
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate(); "
+            f"print('GOT', sorted(map(tuple, tokens.read_token_files(s, {path!r}).collect())))")
+    said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT, timeout=300).stdout
+    assert said.split("GOT ")[1].strip() == str(expected(rows))
