@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import WORD, materialise
+from .shared import WORD, materialise, plain_names
 
 WEIGHTS = (5, 2, 1)
 SHARE, MOST = 1.5, 2.0
@@ -108,14 +108,22 @@ def _shard_quotas(rows: pd.DataFrame) -> pd.DataFrame:
 
 def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
              weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: float = MOST,
-             block_words: int = BLOCK_WORDS, shard_docs: int = SHARD_DOCS, seed: int = SEED) -> DataFrame:
-    """``docs`` with a column ``__mix``: size, source_size, target, taken, and what is taken.
+             block_words: int = BLOCK_WORDS, shard_docs: int = SHARD_DOCS, seed: int = SEED, mix_col: str = "__mix") -> DataFrame:
+    """``docs`` with a column ``mix_col``: size, source_size, target, taken, and what is taken.
 
     ``whole`` is how often the whole document is taken; besides, its words
     ``[from1, to1)`` and ``[from2, to2)`` are.  A null text has size 0, a null
     source is a source of its own, behind all others.  Repeated rows are dealt one
-    by one.  No document is taken more than ``most`` times its size.
+    by one.  No document is taken more than ``most`` times its size.  Other columns
+    may have any names but ``mix_col``.
     """
+    plain, (id_col, text_col, source_col) = plain_names(docs, id_col, text_col, source_col)
+    mixed = _allocated(plain, id_col, text_col, source_col, weights, share, most, block_words, shard_docs, seed)
+    return mixed.toDF(*docs.columns, mix_col)
+
+
+def _allocated(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: tuple[int, ...], share: float,
+               most: float, block_words: int, shard_docs: int, seed: int) -> DataFrame:
     key = F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed))
     row = docs.select(*docs.columns, F.col(source_col).cast("string").alias("__source"),
                       word_count(F.col(text_col)).alias("__size"), key.alias("__key"))
@@ -152,7 +160,7 @@ def allocate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     mix = F.struct(size.alias("size"), F.col("__source_size").alias("source_size"), F.col("__target").alias("target"),
                    (F.col("__whole") * size + pieces).alias("taken"), F.col("__whole").alias("whole"),
                    from1.alias("from1"), to1.alias("to1"), zero.alias("from2"), to2.alias("to2"))
-    return placed.select(*(F.col(f"`{c}`") for c in docs.columns), mix.alias("__mix"))
+    return placed.select(*docs.columns, mix.alias("__mix"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -162,18 +170,20 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Where only some words of a document are taken, that row's text is those words
     with single spaces between, and ``n_chars``, if there is such a column, its length.
     """
+    names = docs.columns
+    plain, (id_col, text_col, source_col) = plain_names(docs, id_col, text_col, source_col)
     mix = F.col("__mix")
     piece = lambda a, b: F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"))
     whole = F.array_repeat(piece(F.lit(0), mix["size"]), mix["whole"].cast("int"))
     cut = F.filter(F.array(piece(mix["from1"], mix["to1"]), piece(mix["from2"], mix["to2"])), lambda p: p["a"] < p["b"])
-    rows = (allocate(docs, id_col, text_col, source_col, **options).where(mix["taken"] > 0)
+    rows = (allocate(plain, id_col, text_col, source_col, **options).where(mix["taken"] > 0)
             .withColumn("__piece", F.explode(F.concat(whole, cut))))
     a, b = F.col("__piece.a"), F.col("__piece.b")
     part = (a > 0) | (b < mix["size"])
     words = F.slice(F.regexp_extract_all(text_col, F.lit(WORD), F.lit(0)), (a + 1).cast("int"), (b - a).cast("int"))
     rows = rows.withColumn("__part", part).withColumn(
         text_col, F.when(F.col("__part"), F.array_join(words, " ")).otherwise(F.col(text_col)))
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        rows = rows.withColumn("n_chars", F.when(F.col("__part"), F.length(text_col).cast(kind)).otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    if "n_chars" in names:
+        n = plain.columns[names.index("n_chars")]
+        rows = rows.withColumn(n, F.when(F.col("__part"), F.length(text_col).cast(plain.schema[n].dataType)).otherwise(F.col(n)))
+    return rows.select(*plain.columns).toDF(*names)

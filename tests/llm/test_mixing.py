@@ -90,3 +90,18 @@ def test_repeated_missing_and_no_rows(spark):
     assert mixing.mixed_documents(docs.limit(0)).columns == docs.columns
     blank = spark.createDataFrame([(1, "", "s"), (2, None, "t")], "doc_id long, text string, source string")
     assert [r.asDict()["__mix"].taken for r in mixing.allocate(blank).collect()] == [0, 0]
+
+
+def test_any_column_names(spark):
+    """Columns named like the operator's own, and names with dots and marks, come back as they are."""
+    odd = ["__size", "__no", "__key", "__mix", "__shard", "__at", "__piece", "__part", "c0", "c1", "a.b", "x y"]
+    docs = spark.createDataFrame([(k, f"w{k} " * 50, f"s{k % 3}", 250, *range(len(odd))) for k in range(60)],
+                                 ["doc_id", "text", "source", "n_chars", *odd])
+    out = mixing.mixed_documents(docs)
+    assert out.columns == docs.columns
+    got = out.collect()
+    assert got and all(tuple(r)[4:] == tuple(range(len(odd))) for r in got)
+    plain = mixing.mixed_documents(docs.select("doc_id", "text", "source", "n_chars")).collect()
+    assert sorted(map(tuple, plain)) == sorted(tuple(r)[:4] for r in got)
+    mix = mixing.allocate(docs, mix_col="mixed")
+    assert mix.columns == [*docs.columns, "mixed"] and mix.count() == 60
