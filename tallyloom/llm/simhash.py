@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import ascii_words, column, frugal, materialise
+from .shared import ascii_words, column, frugal, materialise, plain_names
 
 LOW_BITS = 0x5555555555555555
 
@@ -140,10 +140,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     Of rows that repeat that id, the least by a hash of the text stays.  Rows
     without an id belong to no group and stay as they are.
     """
-    named = docs.where(F.col(id_col).isNotNull())
+    rows, (id_col, text_col) = plain_names(docs, id_col, text_col)
+    named = rows.where(F.col(id_col).isNotNull())
     chosen = (near_duplicates(named, id_col, text_col, **options)
               .where("id = component_id").select(F.col("id").alias("__kept")).distinct())
     order = Window.partitionBy(id_col).orderBy(F.xxhash64(text_col))
     kept = (named.join(chosen, named[id_col] == chosen["__kept"], "left_semi")
             .withColumn("__n", F.row_number().over(order)).where("__n = 1").drop("__n"))
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    return kept.unionByName(rows.where(F.col(id_col).isNull())).toDF(*docs.columns)

@@ -100,3 +100,11 @@ def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.keep_one(docs).columns == ["doc_id", "text"]
+
+
+def test_any_column_names(spark):
+    odd = ["__n", "__kept", "id", "fingerprint", "component_id", "c0", "root", "a.b"]
+    docs = spark.createDataFrame([(k, "one two three four" if k % 2 else f"t{k} u v", *range(len(odd))) for k in range(8)], ["doc_id", "text", *odd])
+    got = simhash.keep_one(docs)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect())) == sorted(tuple(r) for r in docs.collect() if r.doc_id in (0, 1, 2, 4, 6))
