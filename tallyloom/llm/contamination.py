@@ -17,8 +17,11 @@ word by word in a tree; the others go the way below.
    keep two walks together, and after an edit they meet again, so edit distance
    becomes Hamming distance.  Each repetition has a walk of its own and samples
    a few positions; windows and items that agree on the sample are candidates.
-3. The number of repetitions is the least that finds ``recall`` of copies of the
-   items themselves at the largest edit distance allowed.
+3. Items are worked in bands of like length.  A band's number of repetitions is the
+   least that finds ``recall`` of copies of its own items at the largest edit
+   distance allowed, with the most positions sampled that come to it in
+   ``MOST_REPEATS``.  A band that none brings there takes as candidates all items
+   of a window's length that have one of their rarest words in it, which loses none.
 4. Every candidate is verified exactly, by the edit distance to the best run
    that starts at the window's first word.
 
@@ -39,7 +42,7 @@ from pyspark.sql import functions as F
 from .shared import batches, column, frugal, materialise
 
 SIMILARITY, MIN_WORDS = 0.8, 5
-RECALL, SAMPLED, MOST_REPEATS = 0.98, 3, 400
+RECALL, SAMPLED, MOST_REPEATS = 0.98, (3, 2, 1), 120
 BLOCK_WORDS, CHUNK_WORDS = 200_000, 400_000
 FOREIGN, GAP = 0, -1
 # Thai, Lao, Burmese, Khmer, Japanese and Chinese, written without spaces.
@@ -62,13 +65,15 @@ def edits_allowed(m: np.ndarray | int, similarity: float):
 
 
 class ItemIndex:
-    """The items of a block: their words as numbers, and per repetition their sampled walks."""
+    """Items of like length: their words as numbers, and per repetition their sampled walks.
 
-    def __init__(self, items: list[tuple[int, list[str]]], similarity: float = SIMILARITY,
+    ``known`` numbers all words of the block that the items are from.
+    """
+
+    def __init__(self, items: list[tuple[int, list[str]]], known: dict[str, int], similarity: float = SIMILARITY,
                  recall: float = RECALL, seed: int = 42):
         self.ids = [i for i, _ in items]
-        self.known: dict[str, int] = {}
-        self.items = [np.array([self.known.setdefault(w, len(self.known) + 1) for w in ws]) for _, ws in items]
+        self.items = [np.array([known[w] for w in ws]) for _, ws in items]
         self.size = np.array([len(x) for x in self.items], np.int64)
         self.edits = edits_allowed(self.size, similarity)
         self.lengths = np.unique(self.size)
@@ -76,28 +81,39 @@ class ItemIndex:
         self.longest = int(self.lengths[-1])
         self.steps = 2 * self.longest  # a walk passes the end of its window after about so many
         self.gap = int(self.length_edits.max()) + 1  # no window reaches over it with so few edits
-        self.foreign = np.ones((len(self.lengths), len(self.known) + 2), bool)  # by word + 1: GAP, FOREIGN, words
+        self.words = len(known) + 2
+        self.foreign = np.ones((len(self.lengths), self.words), bool)  # by word + 1: GAP, FOREIGN, words
         self.rare = ~self.foreign
-        held_by = np.bincount(np.concatenate([np.unique(x) for x in self.items]), minlength=len(self.known) + 1)
-        letters = np.array([0, *map(len, self.known)])
-        for x, k in zip(self.items, np.searchsorted(self.lengths, self.size), strict=True):
+        held_by = np.bincount(np.concatenate([np.unique(x) for x in self.items]), minlength=len(known) + 1)
+        letters = np.array([0, *map(len, known)])
+        own = np.searchsorted(self.lengths, self.size)
+        held = []
+        for item, (x, k) in enumerate(zip(self.items, own, strict=True)):
             self.foreign[k, x + 1] = False
-            rarest = np.lexsort((-letters[x], held_by[x]))[:self.length_edits[k] + 1]
-            self.rare[k, x[rarest] + 1] = True
+            rarest = x[np.lexsort((-letters[x], held_by[x]))[:self.length_edits[k] + 1]]
+            self.rare[k, rarest + 1] = True
+            held += [(k * self.words + w, item) for w in np.unique(rarest).tolist()]
+        self.held = np.array(sorted(held), np.int64)  # (length and rare word, item)
         rng = np.random.default_rng(seed)
         self.factor = rng.integers(1, 1 << 62, (MOST_REPEATS, self.steps), dtype=np.int64).astype(np.uint64) | np.uint64(1)
-        self.sample = rng.random((MOST_REPEATS, SAMPLED))
-        self.mix = rng.integers(1, 1 << 62, SAMPLED + 1, dtype=np.int64).astype(np.uint64) | np.uint64(1)
-        flat, first = _lay_out(self.items, self.longest, self.steps)
-        own = np.searchsorted(self.lengths, self.size)
-        self.tables = []
-        for r in range(MOST_REPEATS):
-            keys = self.keys(flat, first, np.arange(len(first)), own, r)
+        self.sample = rng.random((MOST_REPEATS, max(SAMPLED)))
+        self.mix = rng.integers(1, 1 << 62, max(SAMPLED) + 1, dtype=np.int64).astype(np.uint64) | np.uint64(1)
+        self.flat, self.first = _lay_out(self.items, self.longest, self.steps)
+        self.own = own
+        copies = self._copies(rng)
+        self.repeats = 0  # without any the rare words tell the candidates
+        for self.sampled in SAMPLED:
+            self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+            self.repeats = self._repeats_for(recall, *copies)
+            if self.repeats:
+                break
+
+    def _table(self, r: int) -> tuple[np.ndarray, np.ndarray]:
+        while len(self.tables) <= r:
+            keys = self.keys(self.flat, self.first, np.arange(len(self.first)), self.own, len(self.tables))
             order = np.argsort(keys, kind="stable")
             self.tables.append((keys[order], order))
-        self.repeats = MOST_REPEATS
-        self.repeats = self._repeats_for(recall, rng)
-        del self.tables[self.repeats:]
+        return self.tables[r]
 
     def keys(self, flat: np.ndarray, starts: np.ndarray, at: np.ndarray, length: np.ndarray, r: int) -> np.ndarray:
         """Per pair (starts[at], lengths[length]) a hash of the sampled symbols of repetition ``r``."""
@@ -110,8 +126,8 @@ class ItemIndex:
             moved[j] = here - starts
             here += ((s + 2).astype(np.uint64) * self.factor[r, j] >> np.uint64(61)).astype(np.int64) & 1
         m = self.lengths[length]
-        key = m.astype(np.uint64) * self.mix[SAMPLED]
-        for k in range(SAMPLED):
+        key = m.astype(np.uint64) * self.mix[self.sampled]
+        for k in range(self.sampled):
             step = (self.sample[r, k] * 2 * m).astype(np.int64)
             s = np.where(moved[step, at] < m, symbols[step, at], -2)
             key = (key ^ (s + 3).astype(np.uint64)) * self.mix[k]
@@ -120,23 +136,33 @@ class ItemIndex:
 
     def candidates(self, flat: np.ndarray, starts: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Distinct (index into starts, item) that agree with an item in one repetition at least."""
+        if not self.repeats:
+            return self._by_rare_words(flat, starts, at, length)
         found = [np.zeros((0, 2), np.int64)]
         for r in range(self.repeats):
             keys = self.keys(flat, starts, at, length, r)
             table, order = self.tables[r]
-            low, high = np.searchsorted(table, keys), np.searchsorted(table, keys, side="right")
-            hit = np.flatnonzero(high > low)
-            n = (high - low)[hit]
-            rows = np.repeat(hit, n)
-            offset = np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
-            found.append(np.stack([at[rows], order[low[rows] + offset]], 1))
+            rows, place = _expanded(table, keys)
+            found.append(np.stack([at[rows], order[place]], 1))
+        return np.unique(np.concatenate(found), axis=0)
+
+    def _by_rare_words(self, flat: np.ndarray, starts: np.ndarray, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        found = [np.zeros((0, 2), np.int64)]
+        for k in np.unique(length):
+            rows = np.flatnonzero(length == k)
+            reach = np.arange(self.lengths[k] + self.length_edits[k])
+            for part in np.array_split(rows, -(-len(rows) // 5_000)):
+                text = flat[np.minimum(starts[at[part]][:, None] + reach, len(flat) - 1)]
+                row, place = np.nonzero(self.rare[k].take(text + 1))
+                hit, held = _expanded(self.held[:, 0], k * self.words + text[row, place])
+                found.append(np.unique(np.stack([at[part[row[hit]]], self.held[held, 1]], 1), axis=0))
         return np.unique(np.concatenate(found), axis=0)
 
-    def _repeats_for(self, recall: float, rng: np.random.Generator) -> int:
-        """Fewest repetitions that find ``recall`` of items copied with as many random edits as allowed."""
+    def _copies(self, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Items copied with as many random edits as allowed, laid out: (words, places of their first kept word, owners)."""
         chosen = rng.permutation(len(self.items))[:200]
         copies, owner = [], []
-        for i in np.repeat(chosen, 3):
+        for i in np.repeat(chosen, max(3, -(-60 // len(chosen)))):
             words = list(self.items[i])
             for _ in range(int(self.edits[i])):
                 p, kind = int(rng.integers(len(words))), int(rng.integers(3))
@@ -149,20 +175,22 @@ class ItemIndex:
             copies.append(np.array(words))
             owner.append(i)
         flat, first = _lay_out(copies, self.longest, self.steps)
-        owner = np.array(owner)
         # a run that begins with an edit is found from its first kept word on
         first = first + np.array([int(np.argmax(c != FOREIGN)) for c in copies])
-        length = np.searchsorted(self.lengths, self.size[owner])
+        return flat, first, np.array(owner)
+
+    def _repeats_for(self, recall: float, flat: np.ndarray, first: np.ndarray, owner: np.ndarray) -> int:
+        """Fewest repetitions that find ``recall`` of the copies; 0 if ``MOST_REPEATS`` do not."""
         found = np.zeros(len(owner), bool)
         for r in range(MOST_REPEATS):
-            table, order = self.tables[r]
-            keys = self.keys(flat, first, np.arange(len(first)), length, r)
+            table, order = self._table(r)
+            keys = self.keys(flat, first, np.arange(len(first)), self.own[owner], r)
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             found |= table[rank[owner]] == keys
             if found.mean() >= recall:
                 return r + 1
-        return MOST_REPEATS
+        return 0
 
     def windows(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(start, index into lengths) of every window with no more foreign words than edits allowed."""
@@ -202,11 +230,8 @@ class ItemIndex:
                 out[part] = np.where(best <= most, best, 1 << 20)
         return out
 
-    def find(self, texts: list[list[str]]) -> list[tuple[int, int, int, int]]:
+    def find(self, flat: np.ndarray, first: np.ndarray) -> list[tuple[int, int, int, int]]:
         """(text, item, edits, first word): per text and item the fewest edits, the first of equals."""
-        get = self.known.get
-        flat, first = _lay_out([np.array([get(w, FOREIGN) for w in ws], np.int64) for ws in texts],
-                               self.gap, self.longest + self.steps)
         starts, which = self.windows(flat)
         if not len(starts):
             return []
@@ -272,11 +297,36 @@ class BlockIndex:
                  min_words: int = MIN_WORDS):
         exact = [x for x in items if len(x[1]) < min_words or not edits_allowed(len(x[1]), similarity)]
         edited = [x for x in items if len(x[1]) >= min_words and edits_allowed(len(x[1]), similarity)]
-        self.parts = ([ExactItems(exact)] if exact else []) + ([ItemIndex(edited, similarity, recall)] if edited else [])
-        self.gap = max(getattr(p, "gap", 1) for p in self.parts)
+        self.exact = ExactItems(exact) if exact else None
+        self.known: dict[str, int] = {}
+        for _, words in edited:
+            for w in words:
+                self.known.setdefault(w, len(self.known) + 1)
+        bands: dict[int, list] = {}  # by length: 5 to 9 words, 10 to 19, 20 to 39 and so on
+        for x in edited:
+            bands.setdefault((len(x[1]) // 5).bit_length(), []).append(x)
+        self.bands = [ItemIndex(bands[k], self.known, similarity, recall) for k in sorted(bands)]
+        self.gap = max([b.gap for b in self.bands], default=1)
+        self.tail = max([b.longest + b.steps for b in self.bands], default=1)
 
     def find(self, texts: list[list[str]]) -> list[tuple[int, int, int, int]]:
-        return [row for p in self.parts for row in p.find(texts)]
+        """(text, item, edits, first word) of every item in every text."""
+        rows = self.exact.find(texts) if self.exact else []
+        if self.bands:
+            get = self.known.get
+            flat, first = _lay_out([np.array([get(w, FOREIGN) for w in ws], np.int64) for ws in texts], self.gap, self.tail)
+            for band in self.bands:
+                rows += band.find(flat, first)
+        return rows
+
+
+def _expanded(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(index into keys, index into the sorted table) of all that are equal."""
+    low, high = np.searchsorted(table, keys), np.searchsorted(table, keys, side="right")
+    hit = np.flatnonzero(high > low)
+    n = (high - low)[hit]
+    rows = np.repeat(hit, n)
+    return rows, low[rows] + np.arange(len(rows)) - np.repeat(np.cumsum(n) - n, n)
 
 
 def _lay_out(texts: list[np.ndarray], gap: int, tail: int) -> tuple[np.ndarray, np.ndarray]:

@@ -112,3 +112,50 @@ def test_short_items_against_a_plain_search():
     want = {(t, i): min(k for k in range(len(ws)) if ws[k:k + len(item)] == item) for t, ws in enumerate(texts) for i, item in items
             if any(ws[k:k + len(item)] == item for k in range(len(ws)))}
     assert {(t, i): w for t, i, _, w in cn.ExactItems(items).find(texts)} == want
+
+
+def recall_of(lengths, words, copies=60, seed=9, **options):
+    """(share of copies found by length, copies at the largest edit distance, hidden among other words)."""
+    rng = random.Random(seed)
+    vocabulary = [f"v{k}" for k in range(3000)] + ["the", "of", "and"] * 300
+    items, key = [], 0
+    for m in lengths:
+        for _ in range(words):
+            items.append((key, [rng.choice(vocabulary) for _ in range(m)]))
+            key += 1
+    index = cn.BlockIndex(items, **options)
+    texts, owner = [], []
+    for k in rng.choices(range(len(items)), k=copies * len(lengths)):
+        item = items[k][1]
+        copy = edited(item, int(cn.edits_allowed(len(item), cn.SIMILARITY)), rng)
+        texts.append([rng.choice(vocabulary) for _ in range(30)] + copy + [rng.choice(vocabulary) for _ in range(30)])
+        owner.append(k)
+    found = {(t, i) for t, i, _, _ in index.find(texts)}
+    told = {m: [(t, k) in found for t, k in enumerate(owner) if len(items[k][1]) == m] for m in lengths}
+    return index, {m: sum(x) / len(x) for m, x in told.items() if x}
+
+
+def test_recall_by_length():
+    """Few long items among many short ones: every length is found, not their mean."""
+    rng = random.Random(2)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    items = [(k, [rng.choice(vocabulary) for _ in range(m)]) for k, m in enumerate([20] * 150 + [16, 30, 60, 100, 200, 200, 300, 400, 400])]
+    index = cn.BlockIndex(items)
+    for k in [0, 1, *range(150, len(items))]:
+        item = items[k][1]
+        texts = [edited(item, int(cn.edits_allowed(len(item), cn.SIMILARITY)), rng) for _ in range(40)]
+        found = {t for t, i, _, _ in index.find(texts) if i == k}
+        assert len(found) >= 36, (len(item), len(found))
+
+
+def test_recall_of_every_length():
+    index, recall = recall_of([5, 8, 12, 16, 25, 40, 70, 120, 200], 12)
+    assert min(recall.values()) >= 0.9, recall
+    assert all(b.repeats for b in index.bands)
+
+
+def test_a_band_beyond_the_repetitions_is_searched_by_rare_words(monkeypatch):
+    monkeypatch.setattr(cn, "MOST_REPEATS", 2)
+    index, recall = recall_of([16, 60, 200], 10)
+    assert not any(b.repeats for b in index.bands)
+    assert set(recall.values()) == {1.0}
