@@ -51,6 +51,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "section summary table tbody td tfoot th thead tr ul".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
+ENDED = frozenset().union(*CLOSES.values())
 SCOPES = frozenset("ul ol dl table article section div main body td th li blockquote aside nav header footer form".split())
 # Markup that is not the article, by element, role, and word of a class or id.
 ASIDE_TAGS = frozenset("head nav footer aside form button select menu dialog".split()) | RAW
@@ -76,22 +77,28 @@ _words = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 @dataclass
 class Block:
-    path: str
+    path: int  # hash of the elements that it is in, the same on every page
     text: str
     linked: int  # characters inside links
     aside: bool
     region: int  # 2 inside an article, 1 inside main, else 0
     doubt: int = 0  # number of the element, inside an article, whose label only partly tells that it is none
+    node: int = 0  # the element that it is in, among the page's
 
 
 @dataclass
 class Page:
+    """Elements with the same labels from the root down are one node; a node's number is above its parent's."""
+
     tokens: list[int] = field(default_factory=list)  # elements and blocks in page order
     places: list[int] = field(default_factory=list)  # where each token stands
     blocks: list[Block] = field(default_factory=list)
+    parents: list[int] = field(default_factory=lambda: [0])
+    paths: list[int | str] = field(default_factory=lambda: [""])  # hash of the labels from the root down
+    titles: list[bool] = field(default_factory=lambda: [False])  # in an h1
 
 
-def token(kind: str, path: str, text: str = "") -> int:
+def token(kind: str, path: int | str, text: str = "") -> int:
     return xxhash.xxh64_intdigest(f"{kind}\0{path}\0{text}") - (1 << 63)
 
 
@@ -121,7 +128,10 @@ def _is_aside(name: str, attributes: dict[str, str], in_article: bool) -> bool |
 def parse(html: str | None) -> Page:
     """Blocks and tokens of a page; missing end tags are made up for, stray ones ignored."""
     html, page = html or "", Page()
-    stack: list[tuple] = [("", "", False, 0, 0)]  # name, path, aside, region, doubt
+    stack: list[tuple] = [("", 0, False, 0, 0)]  # name, node, aside, region, doubt
+    opened: Counter = Counter()  # names on the stack
+    marks: list[int] = []  # where on it the elements are that a start tag can end or that keep it from doing so
+    nodes: dict[tuple[int, str], int] = {}
     doubts = 0
     held: list[str] = []
     linked = links = 0
@@ -131,12 +141,19 @@ def parse(html: str | None) -> Page:
         text = " ".join(unescape("".join(held)).split())
         held.clear()
         if text:
-            _, path, aside, region, doubt = stack[-1]
-            page.blocks.append(Block(path, text, linked, aside, region, doubt))
+            _, node, aside, region, doubt = stack[-1]
+            path = page.paths[node]
+            page.blocks.append(Block(path, text, linked, aside, region, doubt, node))
             page.tokens.append(token("text", path, text))
             page.places.append(token("place", path if aside or not region else "", f"text {region}"))
         linked = 0
 
+    def close(depth: int) -> None:
+        opened.subtract(s[0] for s in stack[depth:])
+        del stack[depth:]
+        while marks and marks[-1] >= depth:
+            marks.pop()
+
     at, end = 0, len(html)
     while at < end:
         m = _tag.search(html, at)
@@ -153,13 +170,15 @@ def parse(html: str | None) -> Page:
             continue
         closing, raw = m.group(1) or m.group(4), m.group(3) or m.group(6) or ""
         if closing:
-            if any(s[0] == name for s in stack):
+            if opened[name]:
                 if name in BLOCKS:
                     flush()
                 if name == "a":
                     links = 0
-                while stack.pop()[0] != name:
-                    pass
+                depth = len(stack) - 1
+                while stack[depth][0] != name:
+                    depth -= 1
+                close(depth)
             elif name == "p":
                 flush()
             continue
@@ -169,16 +188,22 @@ def parse(html: str | None) -> Page:
         if name in BLOCKS:
             flush()
             shut = CLOSES.get(name, {"p"}) | ({"p"} if name != "option" else set())
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in reversed(marks):
                 if stack[depth][0] in shut:
-                    del stack[depth:]
+                    close(depth)
                     break
                 if stack[depth][0] in SCOPES:
                     break
         attributes = {k.lower(): (a or b or c) for k, a, b, c in _attribute.findall(raw)} if raw.strip(" /") else {}
-        _, path, aside, region, doubt = stack[-1]
-        label = (attributes.get("class") or attributes.get("id") or "").split()
-        path = f"{path}/{name}" + (f".{label[0]}" if label else "")
+        _, parent, aside, region, doubt = stack[-1]
+        first = (attributes.get("class") or attributes.get("id") or "").split()
+        label = name + (f".{first[0]}" if first else "")
+        node = nodes.get((parent, label))
+        if node is None:
+            node = nodes[parent, label] = len(page.parents)
+            page.parents.append(parent)
+            page.paths.append(xxhash.xxh64_intdigest(f"{page.paths[parent]}/{label}"))
+            page.titles.append(name == "h1" or page.titles[parent])
         told = _is_aside(name, attributes, region == 2)
         if told is None and not doubt:
             doubts += 1
@@ -187,12 +212,12 @@ def parse(html: str | None) -> Page:
         if not aside:
             region = 2 if name == "article" else max(region, 1 if name == "main" or attributes.get("role") == "main" else 0)
         if name in BLOCKS:
-            page.tokens.append(token("element", path))
-            page.places.append(token("place", path.rpartition("/")[0], "element"))
+            page.tokens.append(token("element", page.paths[node]))
+            page.places.append(token("place", page.paths[parent], "element"))
         if name in SPACED:
             held.append(" ")
         if name in RAW or name == "noscript" and region != 2:
-            if raw.endswith("/") and any(s[0] in ("svg", "math") for s in stack):
+            if raw.endswith("/") and (opened["svg"] or opened["math"]):
                 continue
             shut = re.compile(rf"</{name}\b[^>]*>", re.IGNORECASE).search(html, at)
             at = shut.end() if shut else end
@@ -201,7 +226,10 @@ def parse(html: str | None) -> Page:
             continue
         if name == "a":
             links = 1
-        stack.append((name, path, aside, region, doubt))
+        if name in SCOPES or name in ENDED:
+            marks.append(len(stack))
+        opened[name] += 1
+        stack.append((name, node, aside, region, doubt))
     flush()
     return page
 
@@ -217,41 +245,38 @@ def article_blocks(page: Page, template: set[int]) -> list[str]:
     if not blocks:
         return []
     own: Counter = Counter()
-    for b in blocks:
-        own[_slot(b)] += len(b.text) - min(b.linked, len(b.text))
+    slot = [page.parents[b.node] for b in blocks]
+    for b, k in zip(blocks, slot, strict=True):
+        own[k] += len(b.text) - min(b.linked, len(b.text))
     enough = max(own.values()) * ENOUGH
     for region in (2, 1):  # the markup bounds the article where it agrees with the slots, or there is no template
-        marked = [b for b in blocks if b.region >= region]
-        if marked and (not template or max(own[_slot(b)] for b in marked) >= enough):
-            return [b.text for b in marked]
+        marked = [(b, k) for b, k in zip(blocks, slot, strict=True) if b.region >= region]
+        if marked and (not template or max(own[k] for _, k in marked) >= enough):
+            return [b.text for b, _ in marked]
     linked.clear()
-    for b in blocks:
-        linked[_slot(b)] += min(b.linked, len(b.text))
-    region = _least_container([p for p in own if own[p] >= enough and own[p]])
-    inside = [b.path == region or b.path.startswith(region + "/") for b in blocks]
+    for b, k in zip(blocks, slot, strict=True):
+        linked[k] += min(b.linked, len(b.text))
+    region = _least_container([k for k in own if own[k] >= enough and own[k]], page.parents)
+    held = [region == 0]
+    for node in range(1, len(page.parents)):
+        held.append(node == region or held[page.parents[node]])
+    inside = [held[b.node] for b in blocks]
     if template:  # what is left outside is no boilerplate; lists of links are menus
-        return [b.text for b, near in zip(blocks, inside, strict=True) if near or own[_slot(b)] > linked[_slot(b)]]
-    titled = any(near and "h1" in _names(b.path) for b, near in zip(blocks, inside, strict=True))
-    return [b.text for b, near in zip(blocks, inside, strict=True) if near or not titled and "h1" in _names(b.path)]
-
-
-def _least_container(paths: list[str]) -> str:
-    """Longest path that all ``paths`` lie in; empty for none."""
-    split = [p.split("/") for p in paths] or [[""]]
-    shared = 0
-    for names in zip(*split, strict=False):
-        if len(set(names)) > 1:
-            break
-        shared += 1
-    return "/".join(split[0][:shared])
-
-
-def _names(path: str) -> set[str]:
-    return {name.partition(".")[0] for name in path.split("/")}
-
-
-def _slot(b: Block) -> str:
-    return b.path.rpartition("/")[0]
+        return [b.text for b, near, k in zip(blocks, inside, slot, strict=True) if near or own[k] > linked[k]]
+    titled = any(near and page.titles[b.node] for b, near in zip(blocks, inside, strict=True))
+    return [b.text for b, near in zip(blocks, inside, strict=True) if near or not titled and page.titles[b.node]]
+
+
+def _least_container(nodes: list[int], parents: list[int]) -> int:
+    """The deepest node that all ``nodes`` are in; the root for none."""
+    below = [0] * len(parents)
+    for node in nodes:
+        below[node] = 1
+    for node in range(len(parents) - 1, 0, -1) if nodes else ():
+        if below[node] == len(nodes):
+            return node  # the first from behind that holds all is the deepest: its ancestors come before it
+        below[parents[node]] += below[node]
+    return 0
 
 
 def host_of(url: Column) -> Column:

@@ -1,5 +1,7 @@
 """Articles of pages: markup rules, templates per host, edge rows."""
 
+from pyspark.sql import functions as F
+
 from tallyloom.llm import webpages as w
 
 
@@ -131,3 +133,75 @@ def test_text_inside_an_article_stays():
             "<div class='read-related-more'><a href=x>Other page</a></div><div class='comments-list'><p>first!</p></div></article></body>")
     assert text_of(html) == ["Let x = 2 hold".replace(" = ", "="), "Related work", "Others did.", "A 12 EUR share", "Red", "Good.",
                              "Note", "Kept", "Axis Fallback"]
+
+
+def plain_template(htmls, least_pages=5, least_tokens=3, share=0.5):
+    """The template's tokens by their definition: whole occurrence vectors, every pair of spans, every page's order."""
+    contents = {}
+    for h in htmls:
+        page = w.parse(h)
+        own = tuple(b.text for b in page.blocks if not b.aside)
+        contents[own] = min(contents.get(own, (page.tokens, page.places)), (page.tokens, page.places))
+    pages = list(contents.values())
+    vector, stands = {}, {}
+    for k, (tokens, places) in enumerate(pages):
+        for p in set(places):
+            stands[p] = stands.get(p, 0) + 1
+        for t, p in zip(tokens, places):
+            at = vector.setdefault((t, p), {})
+            at[k] = at.get(k, 0) + 1
+    classes = {}
+    for (t, p), v in vector.items():
+        if len(v) >= least_pages and len(v) >= stands[p] * share:
+            classes.setdefault(tuple(sorted(v.items())), set()).add(t)
+    classes = {v: ts for v, ts in classes.items() if len(ts) >= least_tokens}
+    of = {t: v for v, ts in classes.items() for t in ts}
+    bad, orders = set(), {}
+    for tokens, _ in pages:
+        at = {}
+        for i, t in enumerate(tokens):
+            if t in of:
+                at.setdefault(of[t], []).append(i)
+        kept = []
+        for v in sorted(at, key=lambda v: (at[v][0], -at[v][-1])):
+            a, b = at[v][0], at[v][-1]
+            if any(c <= a <= d < b for c, d in kept):
+                bad.add(v)
+            else:
+                kept.append((a, b))
+            run = [tokens[i] for i in at[v]]
+            once = run[:len(set(run))]
+            if run != once * (len(run) // len(once)) or orders.setdefault(v, once) != once:
+                bad.add(v)
+    return {t for v, ts in classes.items() if v not in bad for t in ts}
+
+
+def test_templates_equal_the_plain_deduction(spark):
+    import random
+
+    rng, rows, by_host = random.Random(12), [], {}
+    parts = ["<nav><a>Home</a><a>News</a></nav>", "<div class=top><p>Welcome</p><p>to us</p></div>", "<ul><li>one<li>two<li>three</ul>",
+             "<div><p>Same line</p></div>", "<footer><p>Legal</p><p>Imprint</p><p>Contact</p></footer>", "<section><p>A</p><p>B</p></section>"]
+    for h in range(8):
+        for _ in range(rng.randrange(3, 14)):
+            body = [p for p in parts if rng.random() < 0.8]
+            rng.shuffle(body) if h % 3 == 0 else None
+            body.insert(rng.randrange(len(body) + 1), f"<article><p>{'own ' * rng.randrange(3)}{rng.randrange(9)}</p><p>Same line</p></article>")
+            rows.append((len(rows), f"http://h{h}.x/{len(rows)}", "<body>" + "".join(body)))
+            by_host.setdefault(f"h{h}.x", []).append(rows[-1][2])
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.host: set(r.tokens) for r in w.deduce_templates(pages.withColumn("host", w.host_of(F.col("url")))).collect()}
+    want = {h: t for h, p in by_host.items() if (t := plain_template(p))}
+    assert got == want and len(want) > 3
+
+
+def test_deep_markup_takes_linear_memory():
+    import time
+    import tracemalloc
+
+    tracemalloc.start()
+    began = time.time()
+    page = w.parse("<article>" + "<font>" * 200_000 + "<p>x<hr>" * 200 + "</i>" * 100_000)
+    assert w.article_blocks(page, set()) == ["x"] * 200
+    assert tracemalloc.get_traced_memory()[1] < 500 << 20 and time.time() - began < 60
+    tracemalloc.stop()
