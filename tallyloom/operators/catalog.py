@@ -217,6 +217,27 @@ def extract_read_tables(routines: DataFrame, datasets: DataFrame, name_col: str
     return found.join(known, "dataset", "left_semi").select(name_col, "dataset", "table")
 
 
+def extract_edges(routines: DataFrame, datasets: DataFrame, name_col: str = "name", ddl_col: str = "ddl",
+                  dataset_col: str = "dataset") -> tuple[DataFrame, DataFrame]:
+    """(targets (name, src), edges (src, dst)): what each routine writes, and what it reads for it.
+
+    The same names as ``extract_write_target`` and ``extract_read_tables`` give,
+    joined by a dot, from one pass over the text: comments are taken out once, and
+    nothing is joined by routine.
+    """
+    full = lambda x: F.concat_ws(".", *_dataset_and_table(x))
+    text = routines.select(name_col, _without_comments(ddl_col).alias("_tl_text"))
+    written = F.coalesce(*[regex_or_null("_tl_text", pattern) for pattern in _WRITES])
+    named = text.select(name_col, _name_parts(written).alias("_tl_parts"),
+                        F.regexp_extract_all("_tl_text", F.lit(_READS), F.lit(1)).alias("_tl_reads"))
+    named = named.filter(F.size("_tl_parts") >= 2).select(name_col, full(F.col("_tl_parts")).alias("src"), "_tl_reads")
+    reads = named.select("src", F.explode(F.array_distinct("_tl_reads")).alias("_tl_name")).select(
+        "src", _name_parts(F.col("_tl_name")).alias("_tl_parts"))
+    reads = reads.select("src", _dataset_and_table(F.col("_tl_parts"))[0].alias("dataset"), full(F.col("_tl_parts")).alias("dst"))
+    known = datasets.select(F.col(dataset_col).alias("dataset")).distinct()
+    return named.select(name_col, "src"), reads.join(known, "dataset", "left_semi").select("src", "dst").distinct()
+
+
 # One label of an option text: two quoted values in a STRUCT.
 _LABEL = r'STRUCT\(\s*"([^"]+)"\s*,\s*"([^"]*)"\s*\)'
 

@@ -106,25 +106,28 @@ def invoice_tax(lines: DataFrame, invoice: str = "invoice", dist: str = "dist",
     and taxes meet in one aggregate per (invoice, key); nothing is joined per line.
     """
     is_tax = F.col(kind) == tax_kind
-    hit = F.col("_key").isNotNull() & (F.col("_items") > 0) & F.col("_tax").isNotNull()
-    measures = [F.count(F.when(~is_tax, 1)).alias("_items"), F.sum(F.when(is_tax, F.col(amount))).alias("_tax")]
-    # per invoice: the tax that found an item, and whether some of it found more than one
-    found = lambda x: [F.sum(F.when(hit, F.col("_tax"))).alias(f"_tax_{x}"),
-                       F.max(hit & (F.col("_items") > 1)).alias(f"_shared_{x}")]
-    by_dist = lines.groupBy(invoice, F.when(is_tax, F.col(applies_to)).otherwise(F.col(dist)).alias("_key")).agg(
-        *measures, F.sum(F.when(~is_tax, F.col(amount))).alias("_net"),
+    # every line under both of its keys: one aggregate by (invoice, way, key) and one by invoice serve both ways
+    ways = F.explode(F.array(
+        F.struct(F.lit("d").alias("way"), F.when(is_tax, F.col(applies_to)).otherwise(F.col(dist)).alias("key")),
+        F.struct(F.lit("r").alias("way"), F.col(receipt).alias("key"))))
+    per_key = lines.select(invoice, kind, amount, posted, ways.alias("_w")).groupBy(
+        invoice, F.col("_w.way").alias("_way"), F.col("_w.key").alias("_key")).agg(
+        F.count(F.when(~is_tax, 1)).alias("_items"), F.sum(F.when(is_tax, F.col(amount))).alias("_tax"),
+        F.sum(F.when(~is_tax, F.col(amount))).alias("_net"),
         F.count(F.when(~is_tax & (F.col(posted) == "Y"), 1)).alias("_y"),
         F.count(F.when(~is_tax & (F.col(posted) == "N"), 1)).alias("_n"))
-    agg = by_dist.groupBy(invoice).agg(
-        F.sum("_net").alias("net"), *found("d"), F.sum("_items").alias("_items"), F.sum("_y").alias("_y"),
-        F.sum("_n").alias("_n")).filter(F.col("_items") > 0)
-    by_receipt = lines.groupBy(invoice, F.col(receipt).alias("_key")).agg(*measures).groupBy(
-        F.col(invoice).alias("_i")).agg(*found("r"))
-    j = agg.join(by_receipt, F.col(invoice) == F.col("_i"), "left")
+    hit = F.col("_key").isNotNull() & (F.col("_items") > 0) & F.col("_tax").isNotNull()
+    by_dist = F.col("_way") == "d"
+    # per invoice: the tax that found an item, and whether some of it found more than one
+    found = lambda x: [F.sum(F.when(hit & (F.col("_way") == x), F.col("_tax"))).alias(f"_tax_{x}"),
+                       F.max(hit & (F.col("_way") == x) & (F.col("_items") > 1)).alias(f"_shared_{x}")]
+    j = per_key.groupBy(invoice).agg(
+        *[F.sum(F.when(by_dist, F.col(c))).alias(o) for c, o in (("_net", "net"), ("_items", "_items"), ("_y", "_y"), ("_n", "_n"))],
+        *found("d"), *found("r")).filter(F.col("_items") > 0)
     shared = F.when(F.col("_tax_d").isNotNull(), F.col("_shared_d")).otherwise(F.col("_shared_r"))
     by = F.when(F.col("_tax_d").isNotNull(), F.lit("distribution")).otherwise(F.lit("receipt"))
     text = F.concat(F.lit("items share a "), by, F.lit(" that tax applies to, invoice "), F.col(invoice).cast("string"))
-    kind_of_sum = agg.schema["net"].dataType
+    kind_of_sum = j.schema["net"].dataType
     zero = F.lit(0).cast(lines.schema[amount].dataType)
     tax = F.when(shared, F.raise_error(text).cast(kind_of_sum)).otherwise(F.coalesce("_tax_d", "_tax_r", zero))
     status = F.when(F.col("_y") == F.col("_items"), POSTED_ALL).when(F.col("_n") == F.col("_items"), POSTED_NONE) \

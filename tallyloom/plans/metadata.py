@@ -17,6 +17,7 @@ from ..functions.predicates import in_range, live
 from ..operators.catalog import (
     column_profile,
     data_dictionary,
+    extract_edges,
     extract_read_tables,
     extract_write_target,
     latest_of_kinds,
@@ -79,11 +80,7 @@ def q_routine_reads(spark, sf_dir):
 
 def _lineage(spark, t):
     """(tables, detail): marts, and their raw ancestors through the routines' own text."""
-    routines = _routines(t)
-    target = extract_write_target(routines).select("name", F.concat_ws(".", "dataset", "table").alias("src"))
-    reads = extract_read_tables(routines, literal_rows(spark, _DATASETS, "dataset string")).select(
-        "name", F.concat_ws(".", "dataset", "table").alias("dst"))
-    edges = target.join(reads, "name").select("src", "dst")
+    target, edges = extract_edges(_routines(t), literal_rows(spark, _DATASETS, "dataset string"))
     tables = target.filter(F.col("src").startswith("MART.")).select(F.col("src").alias("start"))
     orders = t.orders.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey"), "o_custkey")
     fresh = orders.groupBy(_text("RAW.ORDERS_", F.col("c_nationkey")).alias("table")).agg(F.max("o_orderdate").alias("modified"))

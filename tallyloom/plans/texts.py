@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.json import joined_texts, json_fields, json_kind, name_uuid, struct_text
 from ..functions.money import cents, money
-from ..operators.catalog import extract_read_tables, extract_write_target
+from ..operators.catalog import extract_edges
 from ..operators.conform import indexed_keyword_match
 from ..operators.graph import build_levels, mutual_groups
 from ..sources.tables import Tables, literal_rows
@@ -93,10 +93,8 @@ def q_build_order(spark, sf_dir):
         name(key).alias("name"), F.concat_ws("", F.lit("CREATE OR REPLACE TABLE "), name(key), F.lit(" AS SELECT 1 AS x"),
                                              F.when(key > 0, F.concat(F.lit(" FROM "), name(F.floor(key / 2)))),
                                              F.when(F.col("_back"), F.concat(F.lit(" JOIN "), name(key * 2 + 1)))).alias("ddl"))
-    target = extract_write_target(routines).select("name", F.concat_ws(".", "dataset", "table").alias("src"))
-    reads = extract_read_tables(routines, literal_rows(spark, [("MART",)], "dataset string")).select(
-        "name", F.concat_ws(".", "dataset", "table").alias("dst"))
-    edges = target.join(reads, "name").select("src", "dst").checkpoint(eager=True)
+    target, edges = extract_edges(routines, literal_rows(spark, [("MART",)], "dataset string"))
+    edges = edges.checkpoint(eager=True)
     levels = build_levels(edges).checkpoint(eager=True)
     stuck = levels.filter("level is null").select("node")  # only they can be in a circle
     inner = edges.join(stuck.withColumnRenamed("node", "src"), "src", "left_semi").join(

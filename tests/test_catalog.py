@@ -178,3 +178,19 @@ def test_latest_of_kinds(spark):
         "res", "ins.who", F.col("job.who").alias("job"), "best.kind", F.col("best.who").alias("creator"), "n_events")
     assert rows(got) == sorted([("t", "b", "late", "ins", "b", 4), ("u", None, "job", "job", "job", 1), ("v", None, None, None, None, 0),
                                 ("w", None, None, None, None, 0), (None, "x", None, "ins", "x", 1)], key=repr)
+
+
+def test_edges_are_those_of_targets_and_reads(spark):
+    from tallyloom.operators.catalog import extract_edges
+
+    r = spark.createDataFrame([
+        ("a", "CREATE OR REPLACE TABLE `p.MART.A` AS SELECT * FROM RAW.X x JOIN `RAW`.`Y` y ON 1=1 -- JOIN RAW.Z\nJOIN p.RAW.X again"),
+        ("b", "MERGE INTO STAGE.B USING (SELECT * FROM tmp JOIN MART.A) s"), ("c", "SELECT 1 FROM RAW.X"), ("d", None),
+        ("e", "CREATE TABLE E AS SELECT * FROM RAW.X"), ("f", "INSERT INTO STAGE.B SELECT * FROM RAW.Q JOIN OTHER.T")], "name string, ddl string")
+    known = spark.createDataFrame([("RAW",), ("MART",), ("RAW",)], "dataset string")
+    targets, edges = extract_edges(r, known)
+    two_part = extract_write_target(r).filter("dataset is not null").select("name", F.concat_ws(".", "dataset", "table").alias("src"))
+    reads = extract_read_tables(r, known).select("name", F.concat_ws(".", "dataset", "table").alias("dst"))
+    assert rows(targets) == rows(two_part)
+    assert rows(edges) == rows(two_part.join(reads, "name").select("src", "dst").distinct())
+    assert rows(edges) == [("MART.A", "RAW.X"), ("MART.A", "RAW.Y"), ("STAGE.B", "MART.A"), ("STAGE.B", "RAW.Q")]
