@@ -11,10 +11,11 @@ Two unit vectors have cosine >= t just when they lie within eps = sqrt(2 - 2 t).
 3. Pairs of sequence intervals are split again and again, eight ways a side,
    from the whole sequence down to blocks; pairs of intervals farther apart than
    eps are dropped together with all that lies in them.
-4. A task joins two blocks: sub-intervals that are provably distant are skipped,
-   the rest multiplied in single precision with a margin, and what may link is
-   computed again in double precision.  It returns counts and a spanning forest,
-   never all pairs.
+4. A task joins the blocks of a tile, up to ``TILE`` by ``TILE`` pairs of them, which
+   travel to it once each.  Per pair, sub-intervals that are provably distant are
+   skipped, the rest multiplied in single precision with a margin, and what may
+   link is computed again in double precision.  It returns counts and a spanning
+   forest, never all pairs.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ from .shared import batches, frugal, materialise
 
 COSINE = 0.9
 AXES, BLOCK, INNER, FAN = 8, 4096, 512, 8
+TILE, TILES = 8, 32  # blocks on a side of a tile; fewer where there would be under ``TILES`` tiles on a side
 MARGIN = 1e-4  # single precision is off by less for unit vectors
 
 
@@ -243,30 +245,35 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     blocks = grid_blocks(groups, kind, dim, lead, eps)
     pairs = near_blocks(blocks.select("block", "low", "high"), eps)
     out = pa.schema([("key", pa.binary()), ("links", pa.int64()), ("root", pa.binary())])
-
-    def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            for row in part.to_pylist():
-                na, nb = np.frombuffer(row["counts_a"], "<i8"), np.frombuffer(row["counts_b"], "<i8")
-                a = _unit(row["vectors_a"], kind, dim)
-                same = row["a"] == row["b"]
-                b = a if same else _unit(row["vectors_b"], kind, dim)
-                links_a, links_b, label = join_blocks(a, b, na, nb, same, lead, cosine)
-                raw = row["keys_a"] if same else row["keys_a"] + row["keys_b"]
-                links = links_a + links_b if same else np.concatenate([links_a, links_b])
-                at = np.flatnonzero(links)
-                name = lambda k, raw=raw: raw[16 * k:16 * k + 16]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([name(k) for k in at], pa.binary()), pa.array(links[at], pa.int64()),
-                    pa.array([name(label[k]) for k in at], pa.binary())], schema=out)
-
-    side = lambda x: blocks.select(F.col("block").cast("long").alias(x), F.col("keys").alias(f"keys_{x}"),
-                                   F.col("counts").alias(f"counts_{x}"), F.col("vectors").alias(f"vectors_{x}"))
-    # a task holds a pair at a time; pairs are dealt out evenly, their blocks travel with them
-    paired = pairs.join(side("a"), "a").join(side("b"), "b").select(
-        "a", "b", "keys_a", "counts_a", "vectors_a", "keys_b", "counts_b",
-        F.when(F.col("a") != F.col("b"), F.col("vectors_b")).alias("vectors_b"))
-    found = materialise(paired.mapInArrow(frugal(run), "key binary, links long, root binary"), "vector-links")
+    tile = max(1, min(TILE, blocks.count() // TILES))
+
+    def join_tile(pairs: pa.Table, held: pa.Table) -> pa.Table:
+        rows = {r["block"]: r for r in held.to_pylist()}
+        units: dict[int, np.ndarray] = {}
+        found = []
+        for _, _, i, j in sorted(zip(*(c.to_pylist() for c in pairs.columns), strict=True)):
+            for k in (i, j):
+                if k not in units:
+                    units[k] = _unit(rows[k]["vectors"], kind, dim)
+            same = i == j
+            links_a, links_b, label = join_blocks(
+                units[i], units[j], *(np.frombuffer(rows[k]["counts"], "<i8") for k in (i, j)), same, lead, cosine)
+            raw = rows[i]["keys"] if same else rows[i]["keys"] + rows[j]["keys"]
+            links = links_a + links_b if same else np.concatenate([links_a, links_b])
+            at = np.flatnonzero(links)
+            name = lambda k, raw=raw: raw[16 * k:16 * k + 16]
+            found.append(pa.table([pa.array([name(k) for k in at], pa.binary()), pa.array(links[at], pa.int64()),
+                                   pa.array([name(label[k]) for k in at], pa.binary())], schema=out))
+        return pa.concat_tables(found) if found else out.empty_table()
+
+    own = [F.floor(F.col(x) / tile).alias(f"tile_{x}") for x in ("a", "b")]
+    tiled = pairs.select(*own, "a", "b")
+    sent = (tiled.select("tile_a", "tile_b", F.explode(F.array("a", "b")).alias("block")).distinct()
+            .join(blocks.select(F.col("block").cast("long").alias("block"), "keys", "counts", "vectors"), "block"))
+    keys = ["tile_a", "tile_b"]
+    sent = sent.toDF(*sent.columns)  # columns of its own: both sides of the cogroup come from ``pairs``
+    found = tiled.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(join_tile, "key binary, links long, root binary")
+    found = materialise(found, "vector-links")
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     roots = connected_components(found, "key", "root").select(F.col("node").alias("key"), "root")
     named = groups.select("key", "least", "n").join(counts, "key", "left").join(roots, "key", "left").withColumn(

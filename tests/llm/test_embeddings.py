@@ -32,9 +32,10 @@ def by_all_pairs(rows, cosine=0.9):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("blocks", [(4096, 512), (16, 4)])
+@pytest.mark.parametrize("blocks", [(4096, 512, 32), (16, 4, 32), (8, 4, 2)])  # tiles of one, and of several blocks a side
 def test_against_all_pairs(spark, monkeypatch, blocks):
     monkeypatch.setattr(embeddings.grid_blocks, "__defaults__", (blocks[0],))
+    monkeypatch.setattr(embeddings, "TILES", blocks[2])
     rng = np.random.default_rng(4)
     centres = rng.normal(size=(12, 6))
     rows = [(int(i) * 5, (centres[i % 12] * rng.uniform(0.2, 3) + rng.normal(size=6) * rng.choice([0, 0.1, 0.4])).tolist())
