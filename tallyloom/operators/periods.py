@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date
 from ..sources.tables import literal_rows
-from .ledger import MEASURES
+from .ledger import MEASURES, nonzero
 
 BIN_DAYS = 32
 
@@ -153,3 +153,36 @@ def period_balances_any(lines: DataFrame, periods: DataFrame, group: Sequence[st
              "movement": net(2) - net(1), "closing": net(2) - net(0)}
     return found.filter(F.col("_tl_n2") > F.col("_tl_n0")).select(
         *group, period_col, *[F.round(exact[m], 2).alias(m) for m in MEASURES])
+
+
+def balances_any_with_history(current: DataFrame, history: DataFrame, periods: DataFrame, group: Sequence[str], date_col: str,
+                              debit_col: str, credit_col: str, as_of, year_start, restart: Column | None = None,
+                              period_col: str = "period") -> DataFrame:
+    """Balances of all periods from this fiscal year's movements and the frozen balances of closed ones.
+
+    * ``history``: stored balances (group, period, measures) of the periods that
+      ended before ``year_start``, as ``period_balances_any`` gave them; never
+      recomputed.  The last of them must reach up to ``year_start``.
+    * carry: each accumulating group's closing of the last closed period, put into
+      every period of this year that ended by ``as_of``.
+    * ``current``: movements from ``year_start`` on; earlier ones are ignored, and
+      so are those in closed periods.
+    The three are united, summed per (group, period), and zero rows are dropped.
+    """
+    group, cut = list(group), F.lit(as_date(year_start))
+    restarting = restart if restart is not None else F.lit(False)
+    closed = periods.filter(F.col("end") < cut)
+    ours = periods.filter((F.col("start") >= cut) & (F.col("end") <= F.lit(as_date(as_of))))
+    last = closed.agg(F.max_by(period_col, F.struct("end", F.col(period_col))).alias("p"), F.max("end").alias("e")).first()
+    if last.e is not None and last.e + dt.timedelta(days=1) != as_date(year_start):
+        raise ValueError(f"the last closed period ends on {last.e}, not the day before {year_start}")
+    names = [r[0] for r in ours.select(period_col).collect()]  # the periods of one year
+    history = history.select(*group, period_col, *MEASURES).join(closed.select(period_col), period_col, "left_semi")
+    moved = period_balances_any(current, ours.withColumn("year_start", cut), group, date_col, debit_col, credit_col, as_of,
+                                F.lit(True), year_start, period_col)
+    zero = F.lit(0).cast(history.schema["debit"].dataType)
+    carry = history.filter((F.col(period_col) == F.lit(last.p)) & ~F.coalesce(restarting, F.lit(False))).select(
+        *group, F.explode(F.array(*map(F.lit, names)) if names else F.array().cast("array<string>")).alias(period_col),
+        F.col("closing").alias("opening"), zero.alias("debit"), zero.alias("credit"), zero.alias("movement"), "closing")
+    united = history.unionByName(carry).unionByName(moved)
+    return nonzero(united.groupBy(*group, period_col).agg(*[F.sum(m).alias(m) for m in MEASURES]))

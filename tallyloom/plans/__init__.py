@@ -41,6 +41,7 @@ def load_all() -> None:
         metadata,
         opportunity,
         property,
+        storage,
         targets,
         texts,
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.money import money
 from ..operators.ledger import MEASURES, balances_with_history, period_balances, split_history
-from ..operators.periods import PERIOD_SCHEMA, period_balances_any, week_period_rows
+from ..operators.periods import PERIOD_SCHEMA, balances_any_with_history, period_balances_any, week_period_rows
 from ..sources.tables import Tables, literal_rows
 from . import AS_OF_ORDERS, query
 
@@ -133,7 +133,7 @@ FLOOR = "1996-02-05"
 _PERIOD_VALUES = ", ".join(f"('{n}', DATE '{s}', DATE '{e}', DATE '{y}')" for n, s, e, y in FISCAL_PERIODS)
 
 
-@query("period_balances_any", sql=f"""
+_ANY_SQL = f"""
 WITH mv AS (SELECT c.c_nationkey, o.o_orderstatus, CAST(o.o_orderdate AS DATE) AS d,
                    CAST(o.o_totalprice AS DECIMAL(18,2)) AS debit,
                    CASE WHEN o.o_orderstatus = 'F' THEN CAST(o.o_totalprice AS DECIMAL(18,2)) ELSE 0 END AS credit
@@ -149,7 +149,10 @@ SELECT c_nationkey, o_orderstatus, period,
        CAST(SUM(debit - credit) AS DOUBLE) AS closing
 FROM mv JOIN p ON mv.d <= p.pe AND (o_orderstatus <> 'P' OR mv.d >= p.ys)
 GROUP BY c_nationkey, o_orderstatus, period
-""")
+"""
+
+
+@query("period_balances_any", sql=_ANY_SQL)
 def q_period_balances_any(spark, sf_dir):
     """Balances per nation and status over 4-4-5 fiscal periods with adjustment days; P orders restart each fiscal year."""
     t = Tables(spark, sf_dir)
@@ -157,3 +160,24 @@ def q_period_balances_any(spark, sf_dir):
     bal = period_balances_any(_accounts(t.orders, t.customer), periods, ["c_nationkey", "o_orderstatus"], "d", "debit", "credit",
                               AS_OF_ORDERS, F.col("o_orderstatus") == "P", FLOOR)
     return bal.select("c_nationkey", "o_orderstatus", "period", *[F.col(m).cast("double").alias(m) for m in MEASURES])
+
+
+_FISCAL_START = "2001-01-29"  # of the year that AS_OF_ORDERS is in
+
+
+@query("balances_any_with_history", sql=f"""
+SELECT * FROM ({_ANY_SQL}) WHERE opening <> 0 OR debit <> 0 OR credit <> 0 OR movement <> 0 OR closing <> 0
+""")
+def q_balances_any_with_history(spark, sf_dir):
+    """Closed fiscal years frozen once, this fiscal year's orders added to them; zero rows dropped."""
+    t = Tables(spark, sf_dir)
+    group, restart = ["c_nationkey", "o_orderstatus"], F.col("o_orderstatus") == "P"
+    start = dt.date.fromisoformat(_FISCAL_START)
+    periods = literal_rows(spark, [p for p in FISCAL_PERIODS if p[1] >= dt.date.fromisoformat(FLOOR)], PERIOD_SCHEMA)
+    closed, current = (t.orders.filter(F.col("o_orderdate") < F.lit(start)), t.orders.filter(F.col("o_orderdate") >= F.lit(start)))
+    # what the year-end run stored; the checkpoint stands for that table
+    history = period_balances_any(_accounts(closed, t.customer), periods, group, "d", "debit", "credit",
+                                  start - dt.timedelta(days=1), restart, FLOOR).checkpoint(eager=True)
+    bal = balances_any_with_history(_accounts(current, t.customer), history, periods, group, "d", "debit", "credit",
+                                    AS_OF_ORDERS, start, restart)
+    return bal.select(*group, "period", *[F.col(m).cast("double").alias(m) for m in MEASURES])

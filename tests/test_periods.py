@@ -5,7 +5,14 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators.periods import interval_join, period_balances_any, week_period_rows, week_periods
+from tallyloom.operators.ledger import nonzero
+from tallyloom.operators.periods import (
+    balances_any_with_history,
+    interval_join,
+    period_balances_any,
+    week_period_rows,
+    week_periods,
+)
 
 from conftest import rows
 
@@ -83,3 +90,17 @@ def test_interval_join(spark, bin_days):
     want = [(k, n) for k in range(40) for n, s, e in spans if e and s <= D(2020, 1, 1) + dt.timedelta(days=3 * k) <= e]
     assert rows(got, "k", "name") == sorted(want, key=repr)
     assert got.columns == ["k", "at", "name", "s", "e"]
+
+
+def test_history_and_current_equal_the_whole(spark):
+    periods = week_period_rows("2020-02-03", 2, adjustment=True)
+    cut, as_of = periods[13][1], D(2021, 11, 1)
+    table, lines = spark.createDataFrame(periods, PERIODS), spark.createDataFrame(random_lines(11), LINES)
+    args, restart = (["account"], "d", "debit", "credit"), F.col("account").startswith("4")
+    whole = nonzero(period_balances_any(lines, table, *args, as_of, restart))
+    history = period_balances_any(lines, table, *args, cut - dt.timedelta(days=1), restart)
+    for current in (lines.filter(F.col("d") >= F.lit(cut)), lines):  # movements of closed years are not counted twice
+        assert rows(balances_any_with_history(current, history, table, *args, as_of, cut, restart)) == rows(whole.select(
+            "account", "period", "opening", "debit", "credit", "movement", "closing"))
+    with pytest.raises(ValueError, match="last closed period"):
+        balances_any_with_history(lines, history, table, *args, as_of, cut + dt.timedelta(days=2), restart)
