@@ -5,20 +5,25 @@ Tokens are words (A-Z lower-cased, split at ASCII white space) and one end per t
 1. Words of all training texts are counted.  The most frequent ones, at most
    ``KNOWN_WORDS``, go to the tasks as a table; all others are looked up by a join.
 2. The ``HEAD_WORDS`` most frequent words are classes of their own, all others fall
-   into ``TAIL_CLASSES`` classes by their last two bytes.  Within a class a word has
-   the share (c + 1) / (N + V + 1) of the class's N tokens and V words, so that all
-   words, never seen ones too, have a probability and they sum to one.
+   into tail classes by their last two bytes.  The model grows with the vocabulary:
+   one word in ``OWN_SHARE``, ``OWN_WORDS`` at most, has a vector of its own inside
+   its class, and the classes double as those words do fourfold.  The class's other
+   words are one rest there, in which a word has the share (c + 1) / (N + V + 1) of
+   the rest's N tokens and V words: all words, never seen ones too, have a
+   probability and they sum to one.
 3. The model of the classes is trained in two steps: a start on about
    ``START_TEXTS`` texts (a hash of the row chooses them; texts over
    ``START_WORDS`` words are left out of the start only), then every task goes on
    from there over all its training texts, and the tasks' parameters are averaged
-   by their tokens.  The averages are a grouped sum: its size is the model's.
-4. Every text is scored in one pass.
+   by their tokens: in blocks, at most ``GATHERED`` tasks at a time.
+4. With the classes' vectors as they are then, the words inside the classes are
+   trained the same way in another pass.
+5. Every text is scored in one pass.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,11 +32,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .logbilinear import CONTEXT, LogBilinear, train
+from .logbilinear import CONTEXT, LogBilinear, WithinClasses, train, train_within
 from .shared import arrow_rows, frugal, materialise
 
-HEAD_WORDS, TAIL_CLASSES = 960, 64
+HEAD_WORDS, TAIL_CLASSES = 512, 256
+OWN_WORDS, OWN_SHARE = 1 << 16, 24
 KNOWN_WORDS = 1 << 18
+PARAMETERS, GATHERED = 1 << 13, 256  # in a block, and its tasks added up at once
 START_TEXTS, START_WORDS, START_EPOCHS = 1000, 20_000, 2
 CHUNK_BYTES = 8 << 20
 END = ""  # no word is empty
@@ -65,7 +72,7 @@ def tokens_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, which, np.cumsum(sizes + 1 - empty)
 
 
-def tail_class(words: pa.Array) -> np.ndarray:
+def tail_class(words: pa.Array, classes: int = TAIL_CLASSES) -> np.ndarray:
     """Class of a word outside the head, by its last two bytes."""
     words = words.cast(pa.large_binary())
     offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
@@ -74,7 +81,7 @@ def tail_class(words: pa.Array) -> np.ndarray:
     size = np.diff(offsets)
     last = np.where(size > 0, data[offsets[1:] + 1], 0)
     before = np.where(size > 1, data[offsets[1:]], 0)
-    return HEAD_WORDS + ((last * 256 + before) * 2654435761 >> 16) % TAIL_CLASSES
+    return HEAD_WORDS + ((last * 256 + before) * 2654435761 >> 16) % classes
 
 
 @dataclass
@@ -87,6 +94,26 @@ class Vocabulary:
     tail_words: np.ndarray
     train_tokens: int
     train_words: int
+    own: int  # so many of the frequent words have a vector of their own, in the head or in their class
+
+    def __post_init__(self) -> None:
+        """Outcomes of the tail classes: each one's own words by falling count, then its rest."""
+        classes = len(self.tail_tokens)
+        mine = tail_class(self.words.slice(HEAD_WORDS, max(0, self.own - HEAD_WORDS)), classes) - HEAD_WORDS
+        mass = self.counts[HEAD_WORDS:HEAD_WORDS + len(mine)] + 1.0
+        self.rest = self.tail_tokens + self.tail_words + 1.0 - np.bincount(mine, weights=mass, minlength=classes)
+        of = np.concatenate([mine, np.arange(classes)])
+        order = np.argsort(of, kind="stable")
+        self.first = np.searchsorted(of[order], np.arange(classes + 1))
+        self.place = np.empty(len(order), np.int64)  # of own words by rank, then of rests by class
+        self.place[order] = np.arange(len(order))
+        self.law = np.concatenate([mass, self.rest])[order] / np.repeat(self.tail_tokens + self.tail_words + 1.0, np.diff(self.first))
+
+    def outcomes(self, classes: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(outcome, whether it is the word's own) of words of tail classes; of others without meaning."""
+        own = (rank >= HEAD_WORDS) & (rank < self.own)
+        rest = len(self.place) - len(self.rest) + np.maximum(classes - HEAD_WORDS, 0)
+        return self.place[np.where(own, rank - HEAD_WORDS, rest)], own
 
     def unigram(self) -> np.ndarray:
         head = np.zeros(HEAD_WORDS)
@@ -97,7 +124,7 @@ class Vocabulary:
     def classes(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(class, rank or -1) of each word."""
         rank = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
-        return np.where((rank >= 0) & (rank < HEAD_WORDS), rank, tail_class(words)), rank
+        return np.where((rank >= 0) & (rank < HEAD_WORDS), rank, tail_class(words, len(self.tail_tokens))), rank
 
 
 def contexts(classes: np.ndarray, ends: np.ndarray, start: int) -> np.ndarray:
@@ -140,25 +167,29 @@ def build_vocabulary(counts: DataFrame, known_words: int = KNOWN_WORDS) -> Vocab
     frequent = frequent.sort_values(["c", "word"], ascending=[False, True]).reset_index(drop=True)
     words = pa.array(frequent["word"], pa.string())
     head = set(frequent["word"][:HEAD_WORDS])
+    own = max(HEAD_WORDS, min(len(frequent), OWN_WORDS, int(totals[1]) // OWN_SHARE))
+    classes = TAIL_CLASSES
+    while own > (classes * classes) // 2:  # 256 up to 32,768 words, then 512
+        classes *= 2
     out = pa.schema([("class", pa.int32()), ("n", pa.int64()), ("v", pa.int64())])
 
     def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             mine = np.fromiter((w not in head for w in part.column(0).to_pylist()), bool, part.num_rows)
-            c, k = part.column(1).to_numpy()[mine], tail_class(part.column(0))[mine] - HEAD_WORDS
+            c, k = part.column(1).to_numpy()[mine], tail_class(part.column(0), classes)[mine] - HEAD_WORDS
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.arange(TAIL_CLASSES), pa.int32()),
-                pa.array(np.bincount(k, weights=c, minlength=TAIL_CLASSES).astype(np.int64)),
-                pa.array(np.bincount(k, minlength=TAIL_CLASSES))], schema=out)
+                pa.array(np.arange(classes), pa.int32()),
+                pa.array(np.bincount(k, weights=c, minlength=classes).astype(np.int64)),
+                pa.array(np.bincount(k, minlength=classes))], schema=out)
 
-    tail_tokens, tail_words = np.zeros(TAIL_CLASSES, np.int64), np.zeros(TAIL_CLASSES, np.int64)
+    tail_tokens, tail_words = np.zeros(classes, np.int64), np.zeros(classes, np.int64)
     for r in counts.mapInArrow(frugal(run), "class int, n long, v long").groupBy("class").agg(F.sum("n"), F.sum("v")).collect():
         tail_tokens[r[0]], tail_words[r[0]] = r[1], r[2]
-    return Vocabulary(words, frequent["c"].to_numpy(np.int64), tail_tokens, tail_words, int(totals[0] or 0), int(totals[1]))
+    return Vocabulary(words, frequent["c"].to_numpy(np.int64), tail_tokens, tail_words, int(totals[0] or 0), int(totals[1]), own)
 
 
 def train_model(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
-    """``texts`` (text, start boolean) are the training texts; all of them are trained on, see the module's step 3."""
+    """``texts`` (text, start boolean) are the training texts; all of them are trained on, see the module's steps 3 and 4."""
     sent = texts.sparkSession.sparkContext.broadcast(vocabulary)  # KNOWN_WORDS words at most
     unigram = vocabulary.unigram()
     classes = len(unigram)
@@ -180,28 +211,69 @@ def train_model(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
         tokens, ends = np.concatenate(runs), np.cumsum([len(r) for r in runs])
         model = train(model, contexts(tokens, ends, classes), tokens, unigram, epochs=START_EPOCHS)
     begun = texts.sparkSession.sparkContext.broadcast(model)
-    out = pa.schema([("at", pa.int32()), ("value", pa.float64()), ("weight", pa.float64())])
 
-    def go_on(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def classes_of(v: Vocabulary, rows: pa.RecordBatch) -> tuple:
+        words, which, ends = tokens_of(rows.column(0))
+        of, rank = v.classes(words)
+        tokens = of[which]
+        return tokens, contexts(tokens, ends, classes), which, v.outcomes(of, rank)[0]
+
+    def train_classes(slices: Iterator[pa.RecordBatch]) -> tuple[np.ndarray | None, int]:
         own, seen = begun.value, 0
-        for part in parts:
-            for rows in _text_slices(part):
-                words, which, ends = tokens_of(rows.column(0))
-                tokens = sent.value.classes(words)[0][which]
-                own = train(own, contexts(tokens, ends, classes), tokens, unigram, seed=seen % (1 << 31))
-                seen += len(tokens)
+        for rows in slices:
+            tokens, before, _, _ = classes_of(sent.value, rows)
+            own = train(own, before, tokens, unigram, seed=seen % (1 << 31))
+            seen += len(tokens)
+        return own.flat(), seen
+
+    flat = _mean_of_tasks(texts, train_classes)
+    model = model if flat is None else LogBilinear.from_flat(flat, classes)
+    model.within = WithinClasses.start(vocabulary.first, vocabulary.law)
+    whole = texts.sparkSession.sparkContext.broadcast(model)
+
+    def train_words(slices: Iterator[pa.RecordBatch]) -> tuple[np.ndarray | None, int]:
+        v, model, state, seen = sent.value, whole.value, None, 0
+        within = model.within
+        for rows in slices:
+            tokens, before, which, outcome = classes_of(v, rows)
+            tail = np.flatnonzero(tokens >= HEAD_WORDS)
+            within, state = train_within(within, model.hidden(before[tail]), tokens[tail] - HEAD_WORDS, outcome[which[tail]],
+                                         v.law, state, seen % (1 << 31))
+            seen += len(tokens)
+        return within.flat(), seen
+
+    flat = _mean_of_tasks(texts, train_words)
+    if flat is not None:
+        model.within = WithinClasses.from_flat(flat, vocabulary.first)
+    return model
+
+
+def _mean_of_tasks(texts: DataFrame, trained: Callable) -> np.ndarray | None:
+    """Parameters that ``trained`` gives from each task's texts, averaged by its tokens; None without texts."""
+    out = pa.schema([("task", pa.int64()), ("block", pa.int32()), ("data", pa.binary()), ("weight", pa.float64())])
+
+    def run(parts: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        flat, seen = trained(rows for part in parts for rows in _text_slices(part))
         if seen:
-            flat = own.flat().astype(np.float64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat)), pa.int32()), pa.array(flat * seen),
-                                              pa.array(np.full(len(flat), float(seen)))], schema=out)
+            flat = flat.astype(np.float64) * seen
+            blocks = [flat[a:a + PARAMETERS].tobytes() for a in range(0, len(flat), PARAMETERS)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([TaskContext.get().partitionId()] * len(blocks), pa.int64()), pa.array(range(len(blocks)), pa.int32()),
+                pa.array(blocks, pa.binary()), pa.array([float(seen)] * len(blocks))], schema=out)
+
+    def add(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("task")
+        total = sum(np.frombuffer(x.as_py(), np.float64) for x in rows["data"])
+        return pa.table([rows["task"][:1], rows["block"][:1], pa.array([total.tobytes()], pa.binary()),
+                         pa.array([pc.sum(rows["weight"]).as_py()], pa.float64())], schema=out)
 
-    mean = (texts.select("text").mapInArrow(frugal(go_on), "at int, value double, weight double")
-            .groupBy("at").agg((F.sum("value") / F.sum("weight")).alias("value")).toPandas())
-    if not len(mean):
-        return model
-    flat = np.zeros(len(mean))
-    flat[mean["at"].to_numpy()] = mean["value"].to_numpy()
-    return LogBilinear.from_flat(flat, classes)
+    schema = "task long, block int, data binary, weight double"
+    sums = texts.select("text").mapInArrow(frugal(run), schema)
+    sums = sums.groupBy("block", F.floor(F.col("task") / GATHERED)).applyInArrow(add, schema).groupBy("block").applyInArrow(add, schema)
+    sums = sorted((r.block, r.data, r.weight) for r in sums.collect())  # as many bytes as the model has
+    return np.concatenate([np.frombuffer(d, np.float64) / w for _, d, w in sums]) if sums else None
 
 
 def score_texts(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, model: LogBilinear) -> DataFrame:
@@ -222,16 +294,20 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, mode
         v, model = sent.value, sent_model.value
         number = TaskContext.get().partitionId() << 40
         log_of = np.log10(v.counts + 1.0)
-        tail_size = np.concatenate([np.zeros(HEAD_WORDS), np.log10(v.tail_tokens + v.tail_words + 1.0)])
+        rest_size = np.concatenate([np.zeros(HEAD_WORDS), np.log10(v.rest)])
         for part in parts:
             for rows in _text_slices(part):
                 words, which, ends = tokens_of(rows.column(1))
                 of, rank = v.classes(words)
                 common = rank >= 0
                 log_c = np.where(common, log_of[rank] if len(log_of) else 0.0, 0.0)
-                in_class = np.where(of >= HEAD_WORDS, log_c - tail_size[of], 0.0)
+                outcome, own = v.outcomes(of, rank)
+                in_rest = np.where((of >= HEAD_WORDS) & ~own, log_c - rest_size[of], 0.0)
                 tokens = of[which]
-                lm = model.log_probabilities(contexts(tokens, ends, len(model.bias)), tokens) / np.log(10) + in_class[which]
+                before, tail = contexts(tokens, ends, len(model.bias)), np.flatnonzero(tokens >= HEAD_WORDS)
+                lm = model.log_probabilities(before, tokens)
+                lm[tail] += model.within.log_shares(model.hidden(before[tail]), tokens[tail] - HEAD_WORDS, outcome[which[tail]])
+                lm = lm / np.log(10) + in_rest[which]
                 first = np.concatenate([[0], ends[:-1]])
                 total = lambda x: np.add.reduceat(x, first)  # noqa: B023, E731  every text has its end token
                 ids = number + np.arange(rows.num_rows)

@@ -97,3 +97,53 @@ def test_no_training_texts_and_no_rows(spark):
     got = lm.score_documents(docs, F.lit(False)).collect()
     assert [(r.n_known, r.train_tokens) for r in got] == [(0, 0)] * 3 and sorted(r.n_tokens for r in got) == [1, 3, 3]
     assert lm.score_documents(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_words_of_a_class_sum_to_one(spark, monkeypatch):
+    """Own words, the rest's words and one unseen word of every class, in every context."""
+    monkeypatch.setattr(lm, "OWN_SHARE", 2)
+    rng = random.Random(6)
+    texts = spark.createDataFrame([(" ".join(f"{'ab'[i % 2]}{int(rng.expovariate(0.002))}" for _ in range(60)),) for i in range(300)], "text string")
+    counts = lm.count_words(texts).checkpoint()
+    v = lm.build_vocabulary(counts)
+    model = lm.train_model(texts.withColumn("start", F.lit(True)), v)
+    assert v.own > 800 and np.abs(model.within.target).max() > 0
+    hidden = model.hidden(np.array([[len(model.bias)] * 2, [0, 3]]))
+    words = pa.array([r.word for r in counts.collect()], pa.string())
+    c = np.array([r.c for r in counts.collect()])
+    of, rank = v.classes(words)
+    outcome, own = v.outcomes(of, rank)
+    for k in set(of[of >= lm.HEAD_WORDS].tolist()):
+        at = np.flatnonzero(of == k)
+        for h in hidden:
+            n = len(at)
+            share = np.exp(model.within.log_shares(np.repeat(h[None], n, 0), np.full(n, k - lm.HEAD_WORDS), outcome[at])).astype(float)
+            share[~own[at]] *= (c[at][~own[at]] + 1) / v.rest[k - lm.HEAD_WORDS]
+            rest = v.place[len(v.place) - len(v.rest) + k - lm.HEAD_WORDS]
+            unseen = np.exp(model.within.log_shares(h[None], np.array([k - lm.HEAD_WORDS]), np.array([rest])))[0] / v.rest[k - lm.HEAD_WORDS]
+            assert share.sum() + unseen == pytest.approx(1, abs=1e-5)
+
+
+def test_own_words_learn_from_contexts():
+    rng = np.random.default_rng(1)
+    hidden = rng.choice([-1.0, 1.0], (20_000, 1)) * np.eye(1, lm.train_within.__globals__["DIM"])
+    hidden = hidden.astype(np.float32)
+    first, law = np.array([0, 2, 5]), np.array([0.5, 0.5, 0.4, 0.3, 0.3])
+    klass = rng.integers(0, 2, 20_000)
+    outcome = np.where(klass == 0, (hidden[:, 0] > 0).astype(int), 2 + rng.choice(3, 20_000, p=[0.4, 0.3, 0.3]))
+    start = lm.WithinClasses.start(first, law)
+    model, seen = lm.train_within(start, hidden, klass, outcome, law)
+    told = model.log_shares(hidden, klass, outcome)
+    assert told[klass == 0].mean() > np.log(0.5) + 0.3  # the context tells the word
+    assert abs(told[klass == 1].mean() - start.log_shares(hidden, klass, outcome)[klass == 1].mean()) < 0.05  # here it does not
+    again, _ = lm.train_within(start, hidden, klass, outcome, law)
+    assert (again.flat() == model.flat()).all() and (lm.WithinClasses.from_flat(model.flat(), first).flat() == model.flat()).all()
+
+
+def test_the_model_grows_with_the_vocabulary(spark):
+    for n, own, classes in ((3000, lm.HEAD_WORDS, 256), (60_000, 60_000 // lm.OWN_SHARE, 256)):
+        counts = spark.range(n).select(F.concat(F.lit("w"), F.col("id")).alias("word"), (F.lit(n) - F.col("id")).alias("c"))
+        v = lm.build_vocabulary(counts)
+        assert (v.own, len(v.tail_tokens), len(v.law)) == (own, classes, own - lm.HEAD_WORDS + classes)
+        for k in range(classes):
+            assert v.law[v.first[k]:v.first[k + 1]].sum() == pytest.approx(1)
