@@ -90,17 +90,23 @@ def fallback_chain(df: DataFrame, chain: Sequence[tuple], out: str, default=None
     ``chain`` holds ``(name, lookup_df, left_key, right_key, value)``, where
     ``value`` is a column name or a Column (a struct carries several fields at
     once); each lookup is reduced to one value per key (``max``) so it cannot
-    multiply rows, then left-joined.  ``source_col`` names which link supplied
-    the value.
+    multiply rows.  Lookups by the same ``left_key`` are put together first, where
+    their aggregates already lie by key, so ``df`` is joined (and at scale shuffled)
+    once per key column and not once per link.  ``source_col`` names which link
+    supplied the value.
     """
-    values, names = [], []
+    values, names, by_key = [], [], {}
     for i, (name, lookup, left_key, right_key, value_col) in enumerate(chain):
         v = f"_tl_fb{i}"
         value = F.col(value_col) if isinstance(value_col, str) else value_col
-        lk = lookup.groupBy(F.col(right_key).alias(f"{v}_k")).agg(F.max(value).alias(v))
-        df = df.join(lk, F.col(left_key) == F.col(f"{v}_k"), "left").drop(f"{v}_k")
+        key = f"_tl_k_{left_key}"
+        lk = lookup.filter(F.col(right_key).isNotNull()).groupBy(F.col(right_key).alias(key)).agg(F.max(value).alias(v))
+        by_key[left_key] = by_key[left_key].join(lk, key, "full_outer") if left_key in by_key else lk
         values.append(v)
         names.append(name)
+    for left_key, lk in by_key.items():
+        key = f"_tl_k_{left_key}"
+        df = df.join(lk, F.col(left_key) == F.col(key), "left").drop(key)
     out_df = df.withColumn(out, fallback(*values, default=default))
     if source_col:
         src = None

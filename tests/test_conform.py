@@ -105,3 +105,18 @@ def test_indexed_keyword_match_with_a_long_list(spark):
         F.lit("tbl_"), F.substring(F.sha2((F.col("id") * 50).cast("string"), 256), 1, 12), F.lit("_x")).alias("t"))
     got = indexed_keyword_match(df, kw, "id", "t", "pre")
     assert rows(got.select("id", "module"), "id", "module") == sorted([(k, f"m{50 * k}") for k in range(2000)], key=repr)
+
+
+def test_links_by_one_key_join_the_fact_once(spark):
+    from tallyloom.operators.lookup import fallback_chain
+
+    df = spark.createDataFrame([(k, k % 3, None if k == 5 else k) for k in range(8)], "id int, a int, b int")
+    look = lambda ks, tag: spark.createDataFrame([(k, f"{tag}{k}") for k in ks] + [(None, tag)], "k int, v string")
+    chain = [("one", look([0], "x"), "a", "k", "v"), ("two", look([4, 5], "y"), "b", "k", "v"), ("three", look([0, 1, 1], "z"), "a", "k", "v"),
+             ("four", look([2, 6], "w"), "b", "k", "v")]
+    out = fallback_chain(df, chain, "got", default="-", source_col="src")
+    assert rows(out, "id", "got", "src") == [(0, "x0", "one"), (1, "z1", "three"), (2, "w2", "four"), (3, "x0", "one"), (4, "y4", "two"),
+                                             (5, "-", "NONE"), (6, "x0", "one"), (7, "z1", "three")]
+    assert out.columns == ["id", "a", "b", "got", "src"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 2 and plan.count("Join FullOuter") == 2
