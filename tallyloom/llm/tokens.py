@@ -18,10 +18,12 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -229,6 +231,45 @@ def count_ids(tokens: DataFrame) -> DataFrame:
             .groupBy("token").agg(F.sum("n").alias("n")))
 
 
+@dataclass
+class Ranges:
+    """Ascending parts: ids up to each of ``cuts``; a part of one id with too many rows is split by their hash."""
+
+    cuts: np.ndarray
+    own_nulls: bool  # rows without id have the first range to themselves, else they share it
+    first: np.ndarray  # part where each range begins, and the number of parts
+
+    @property
+    def parts(self) -> int:
+        return int(self.first[-1])
+
+    def part(self, doc: int | None, bits: bytes) -> int:
+        k = 0 if doc is None else int(np.searchsorted(self.cuts, doc, side="right")) + self.own_nulls
+        width = int(self.first[k + 1] - self.first[k])
+        if width == 1:
+            return int(self.first[k])
+        # rows of an id are ordered by Spark's signed hash of their bits
+        return int(self.first[k]) + ((xxhash.xxh64_intdigest(bits, 42) ^ (1 << 63)) * width >> 64)
+
+
+def _ranges(tokens: DataFrame, range_bytes: int | None = None) -> Ranges:
+    """Ranges of about ``RANGE_BYTES`` of plain ids; the lists are as long as there are parts."""
+    most = range_bytes or RANGE_BYTES
+    size = int(tokens.agg(F.sum(F.length("ids"))).first()[0] or 0)
+    parts = max(1, -(-size // most))
+    if parts == 1:
+        return Ranges(np.zeros(0, np.int64), False, np.array([0, 1]))
+    cuts = {min(int(c), (1 << 63) - 1) for c in tokens.approxQuantile("id", [k / parts for k in range(1, parts)], 0.1 / parts)}
+    hot = {r.id: -(-r.b // most) for r in
+           tokens.groupBy("id").agg(F.sum(F.length("ids")).alias("b")).where(F.col("b") > most).collect()}
+    cuts |= {c for i in hot if i is not None for c in (i, i + 1) if c < 1 << 63}
+    ordered, nulls = np.array(sorted(cuts), np.int64), None in hot
+    width = np.ones(len(ordered) + 1 + nulls, np.int64)
+    for i, n in hot.items():
+        width[0 if i is None else int(np.searchsorted(ordered, i, side="right")) + nulls] = n
+    return Ranges(ordered, nulls, np.concatenate([[0], np.cumsum(width)]))
+
+
 def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
                       block_tokens: int = BLOCK_TOKENS) -> str:
     """Write ``tokens`` (id, ids) as Huffman-coded blocks under ``path``, ids ascending, nulls first; returns ``path``.
@@ -241,10 +282,7 @@ def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
     table = count_ids(tokens).orderBy("token").toPandas()
     symbols = table["token"].to_numpy(np.int64)
     lengths = code_lengths(table["n"].to_numpy(np.int64))
-    size = int(tokens.agg(F.sum(F.length("ids"))).first()[0] or 0)
-    parts = max(1, -(-size // RANGE_BYTES))
-    cuts = np.array(tokens.approxQuantile("id", [k / parts for k in range(1, parts)], 0.1 / parts)
-                    if parts > 1 else [], np.float64)
+    ranges = _ranges(tokens)
     coded_schema = pa.schema([("part", pa.int32()), ("id", pa.int64()), ("n", pa.int64()),
                               ("marks", pa.binary()), ("bits", pa.binary())])
 
@@ -258,8 +296,7 @@ def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
                 for at in range(0, len(docs), 128):
                     for doc, run, (marks, bits) in zip(docs[at:at + 128], ids[at:at + 128],
                                                        code.encode(ids[at:at + 128]), strict=True):
-                        to = 0 if doc is None else int(np.searchsorted(cuts, doc, side="right"))
-                        yield to, doc, len(run), marks, bits
+                        yield ranges.part(doc, bits), doc, len(run), marks, bits
 
         yield from batches(coded(), coded_schema, 512)
 
@@ -283,7 +320,7 @@ def write_token_files(spark: SparkSession, tokens: DataFrame, path: str,
         yield from batches(blocks(), block_schema, 16)
 
     (tokens.select("id", "width", "ids").mapInArrow(frugal(encode), "part int, id long, n long, marks binary, bits binary")
-     .repartitionById(parts, F.col("part")).sortWithinPartitions("part", "id", F.xxhash64("bits"))
+     .repartitionById(ranges.parts, F.col("part")).sortWithinPartitions("part", "id", F.xxhash64("bits"))
      .mapInArrow(frugal(assemble), "part int, block long, first_id long, n_tokens long, data binary")
      .write.option("compression", "none").parquet(f"{path}/blocks"))
     # the code comes last: a folder without it is a write that did not end

@@ -113,3 +113,22 @@ def test_files_are_read_by_their_path_alone(spark, tmp_path):
             f"print('GOT', sorted(map(tuple, tokens.read_token_files(s, {path!r}).collect())))")
     said = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT, timeout=300).stdout
     assert said.split("GOT ")[1].strip() == str(expected(rows))
+
+
+@pytest.mark.parametrize("hot", [7, None, (1 << 63) - 1])
+def test_many_rows_of_one_id_are_many_parts(spark, tmp_path, monkeypatch, hot):
+    monkeypatch.setattr(tokens, "RANGE_BYTES", 400)
+    rows = [(k, f"text {k} with some words") for k in range(0, 90, 3)] + [(hot, f"copy {k % 40} of words {k % 7}") for k in range(300)]
+    ids = tokens.token_ids(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), PATH).checkpoint()
+    path = tokens.write_token_files(spark, ids, str(tmp_path / "files"))
+    held = {}
+    for part, block, data in spark.read.parquet(f"{path}/blocks").select("part", "block", "data").collect():
+        for doc in tokens.unpack_block(data, tokens.Code(*tokens.read_code(spark, path)))[0]:
+            held.setdefault(doc, set()).add(part)
+    assert len(held[hot]) > 5 and all(len(v) == 1 for k, v in held.items() if k != hot)
+    got = sorted(map(tuple, tokens.read_token_files(spark, path).collect()), key=lambda r: r[1])
+    assert [r[1] for r in got] == [0, *np.cumsum([r[2] for r in got])[:-1]]  # no gap between the rows
+    order = [(-1 if r[0] is None else r[0] + 1) for r in got]
+    assert order == sorted(order)
+    plain = lambda rows: sorted(((d, n, c) for d, _, n, c in rows), key=str)
+    assert plain(got) == plain(expected([(d, t) for d, t in rows])) if hot is not None else len(got) == len(rows)
