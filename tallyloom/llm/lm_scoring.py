@@ -36,7 +36,7 @@ from .logbilinear import CONTEXT, LogBilinear, WithinClasses, train, train_withi
 from .shared import arrow_rows, frugal, materialise
 
 HEAD_WORDS, TAIL_CLASSES = 512, 256
-OWN_WORDS, OWN_SHARE = 1 << 16, 24
+OWN_WORDS, OWN_SHARE = 1 << 15, 24
 KNOWN_WORDS = 1 << 18
 PARAMETERS, GATHERED = 1 << 13, 256  # in a block, and its tasks added up at once
 START_TEXTS, START_WORDS, START_EPOCHS = 1000, 20_000, 2
@@ -169,7 +169,7 @@ def build_vocabulary(counts: DataFrame, known_words: int = KNOWN_WORDS) -> Vocab
     head = set(frequent["word"][:HEAD_WORDS])
     own = max(HEAD_WORDS, min(len(frequent), OWN_WORDS, int(totals[1]) // OWN_SHARE))
     classes = TAIL_CLASSES
-    while own > (classes * classes) // 2:  # 256 up to 32,768 words, then 512
+    while own > classes * classes // 2:  # were OWN_WORDS higher: 512 from 32,769 words on
         classes *= 2
     out = pa.schema([("class", pa.int32()), ("n", pa.int64()), ("v", pa.int64())])
 
@@ -306,7 +306,8 @@ def score_texts(docs: DataFrame, vocabulary: Vocabulary, counts: DataFrame, mode
                 tokens = of[which]
                 before, tail = contexts(tokens, ends, len(model.bias)), np.flatnonzero(tokens >= HEAD_WORDS)
                 lm = model.log_probabilities(before, tokens)
-                lm[tail] += model.within.log_shares(model.hidden(before[tail]), tokens[tail] - HEAD_WORDS, outcome[which[tail]])
+                hidden, at_context = model.distinct(before[tail])
+                lm[tail] += model.within.log_shares(hidden, tokens[tail] - HEAD_WORDS, outcome[which[tail]], at_context)
                 lm = lm / np.log(10) + in_rest[which]
                 first = np.concatenate([[0], ends[:-1]])
                 total = lambda x: np.add.reduceat(x, first)  # noqa: B023, E731  every text has its end token

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 
 DIM, CONTEXT, NOISE, BATCH = 16, 2, 32, 4096
-OWN_NOISE, OWN_BATCH, OWN_RATE, OWN_BIAS_RATE = 64, 256, 0.3, 0.03
+OWN_NOISE, OWN_BATCH, OWN_RATE, OWN_BIAS_RATE = 64, 512, 0.3, 0.03
 SIZE = np.float32(1 / 64)  # gradients per 64 tokens
 
 
@@ -45,6 +45,11 @@ class LogBilinear:
         """Predicted vectors after the contexts ``before`` (n, CONTEXT)."""
         return self.context[before[:, 0]] * self.position[0] + self.context[before[:, 1]] * self.position[1]
 
+    def distinct(self, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(predicted vectors of the different contexts, which of them is each row's)."""
+        code, which = np.unique(before[:, 0].astype(np.int64) * len(self.context) + before[:, 1], return_inverse=True)
+        return self.hidden(np.stack(np.divmod(code, len(self.context)), 1)), which
+
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in (self.context, self.position, self.target, self.bias)])
 
@@ -60,12 +65,9 @@ class LogBilinear:
 
     def log_probabilities(self, before: np.ndarray, token: np.ndarray, chunk: int = 4096) -> np.ndarray:
         """Natural log of P(token | before), normalised; ``before`` is (n, CONTEXT), nearest first."""
-        code = before[:, 0].astype(np.int64) * len(self.context) + before[:, 1]
-        unique, which = np.unique(code, return_inverse=True)
-        one, two = np.divmod(unique, len(self.context))
-        hidden = self.hidden(np.stack([one, two], 1))
-        total = np.empty(len(unique), np.float32)
-        for at in range(0, len(unique), chunk):
+        hidden, which = self.distinct(before)
+        total = np.empty(len(hidden), np.float32)
+        for at in range(0, len(hidden), chunk):
             scores = hidden[at:at + chunk] @ self.target.T
             scores += self.bias
             top = scores.max(1, keepdims=True)
@@ -147,17 +149,30 @@ class WithinClasses:
         n = int(first[-1])
         return cls(first, flat[:n * DIM].reshape(n, DIM).astype(np.float32), flat[n * DIM:].astype(np.float32))
 
-    def log_shares(self, hidden: np.ndarray, klass: np.ndarray, outcome: np.ndarray, chunk: int = 512) -> np.ndarray:
-        """Natural log of P(outcome | class, context), normalised over the class's outcomes."""
-        out = np.empty(len(klass), np.float32)
-        for k, rows in _by_class(klass, len(self.first) - 1, chunk):
+    def log_shares(self, hidden: np.ndarray, klass: np.ndarray, outcome: np.ndarray, which: np.ndarray | None = None,
+                   chunk: int = 512) -> np.ndarray:
+        """Natural log of P(outcome | class, context), normalised over the class's outcomes.
+
+        ``which`` says whose vector of ``hidden`` is each row's (else they stand row by
+        row); a vector's normaliser of a class is computed once.
+        """
+        which = np.arange(len(klass)) if which is None else which
+        pairs, place = np.unique(klass.astype(np.int64) * len(hidden) + which, return_inverse=True)
+        of, at = np.divmod(pairs, len(hidden)) if len(hidden) else (pairs, pairs)
+        total = np.empty(len(pairs), np.float32)
+        for k, rows in _by_class(of, len(self.first) - 1, chunk):
             a, b = self.first[k], self.first[k + 1]
-            scores = hidden[rows] @ self.target[a:b].T
+            scores = hidden[at[rows]] @ self.target[a:b].T
             scores += self.bias[a:b]
-            scores -= scores.max(1, keepdims=True)
-            own = scores[np.arange(len(rows)), outcome[rows] - a]
+            top = scores.max(1, keepdims=True)
+            scores -= top
             np.exp(scores, out=scores)
-            out[rows] = own - np.log(scores.sum(1))
+            total[rows] = np.log(scores.sum(1)) + top[:, 0]
+        out = np.empty(len(klass), np.float32)
+        for a in range(0, len(klass), 1 << 18):
+            part = slice(a, a + (1 << 18))
+            out[part] = (np.einsum("nd,nd->n", hidden[which[part]], self.target[outcome[part]]) + self.bias[outcome[part]]
+                         - total[place[part]])
         return out
 
 
