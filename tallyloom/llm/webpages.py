@@ -149,8 +149,8 @@ def parse(html: str | None) -> Page:
         linked = 0
 
     def close(depth: int) -> None:
-        opened.subtract(s[0] for s in stack[depth:])
-        del stack[depth:]
+        while len(stack) > depth:
+            opened[stack.pop()[0]] -= 1
         while marks and marks[-1] >= depth:
             marks.pop()
 
