@@ -37,13 +37,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import frugal, materialise, string_hashes, text_slices
+from .shared import arrow_rows, frugal, materialise, string_hashes, text_slices
 
 TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
 UNIT = 1_000_000_000  # proportions are counted in parts of it
 TOP = 200
-SLICE_BYTES = 16 << 20  # of text counted at once
-HELD = 2_000_000  # entries put together at once
+SLICE_BYTES = 8 << 20  # of text counted at once
+HELD = 1_000_000  # entries put together at once
 TERMS = 4096  # of a language in one block
 SOURCES = 256  # of a language on one side of a block
 NO_DOC = np.iinfo(np.int64).max
@@ -268,7 +268,8 @@ def divergence(docs: DataFrame, min_docs: int = 3, top: int = TOP, unit: int = U
     the ``top`` terms that the source has and uses more than its language.
     """
     groups = docs.select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
-    counts = materialise(term_counts(docs, min_docs), "term-counts")
+    with arrow_rows(docs.sparkSession, 2500):
+        counts = materialise(term_counts(docs, min_docs), "term-counts")
     langs = counts.where("first").groupBy("lang").agg(F.sum("lang_n").alias("lang_total"), F.count("*").alias("v"))
     totals = counts.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     stats = (groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
