@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm import contamination, mixing, simhash, tokens, toxicity
 from tallyloom.llm.queries import tokenizer_path
-from tallyloom.llm.shared import crc_mod, materialise, read
+from tallyloom.llm.shared import arrow_rows, crc_mod, materialise, read
+
+BATCH_ROWS = 2500  # whole texts that travel to a Python worker at once
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,6 +53,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with arrow_rows(spark, BATCH_ROWS):
+        for name, stage in STAGES:
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

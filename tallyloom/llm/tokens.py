@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .huffman import INTERVAL, Code, code_lengths
 from .shared import arrow_rows, batches, column, frugal, materialise, shared_path, string_hashes, text_slices
 
-PIECES = 2_500_000  # words that a worker remembers before it starts anew
+PIECES = 1_500_000  # words that a worker remembers before it starts anew
 CHUNK_BYTES = 8 << 20  # of text encoded at once
 END_ID = 2
 BLOCK_TOKENS = 1 << 18
