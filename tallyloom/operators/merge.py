@@ -30,15 +30,27 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
 
 
 def pruned(target: DataFrame, parts: list, partition_by: Sequence[str]) -> DataFrame:
-    """The rows of the listed partitions (rows of partition values): a literal filter, so the others' files are not listed."""
-    def one(row) -> Column:
-        return reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(row[p])) for p in partition_by])
+    """The rows of the listed partitions (rows of partition values): a literal filter, so the others' files are not listed.
 
+    All partitions that share their first columns' values are one IN list, and the
+    lists are put together two by two, so a long list makes no deep expression.
+    """
     if not parts:
         return target.filter(F.lit(False))
-    if len(partition_by) == 1 and all(r[0] is not None for r in parts):
-        return target.filter(F.col(partition_by[0]).isin([r[0] for r in parts]))
-    return target.filter(reduce(lambda a, b: a | b, map(one, parts)))
+    *leading, last = partition_by
+    groups: dict[tuple, list] = {}
+    for r in parts:
+        groups.setdefault(tuple(r[p] for p in leading), []).append(r[last])
+    conds = []
+    for values, lasts in groups.items():
+        some = [v for v in lasts if v is not None]
+        cond = F.col(last).isin(some) if some else F.lit(False)
+        if len(some) < len(lasts):
+            cond = cond | F.col(last).isNull()
+        conds.append(reduce(lambda a, b: a & b, [F.col(p).eqNullSafe(F.lit(v)) for p, v in zip(leading, values)] + [cond]))
+    while len(conds) > 1:
+        conds = [a | b for a, b in zip(conds[::2], conds[1::2])] + conds[len(conds) // 2 * 2:]
+    return target.filter(conds[0])
 
 
 def touched_partitions(target: DataFrame | None, source: DataFrame, keys: Sequence[str],

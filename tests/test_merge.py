@@ -96,3 +96,17 @@ def test_stable_keys_of_nothing(spark, tmp_path):
     none = spark.createDataFrame([], "code string")
     assert stable_keys(spark, path, none, ["code"]).collect() == []
     assert rows(stable_keys(spark, path, spark.createDataFrame([("q",)], "code string"), ["code"]), "code", "id") == [("q", 1)]
+
+
+def test_pruning_by_several_columns_and_many_partitions(spark):
+    df = spark.createDataFrame([(k, k % 47 if k % 41 else None, f"m{k % 61}" if k % 7 else None) for k in range(3000)], "k int, a int, b string")
+    parts = df.filter("k % 2 = 0").select("a", "b").distinct().collect()
+    assert len(parts) > 500
+    want = {tuple(p) for p in parts}
+    got = pruned(df, parts, ["a", "b"])
+    assert {r.k for r in got.collect()} == {r.k for r in df.collect() if (r.a, r.b) in want}
+    one = pruned(df, [p for p in parts if p.a is None][:1], ["a", "b"]).collect()
+    assert one and all(r.a is None for r in one)
+    assert pruned(df, [], ["a", "b"]).count() == 0
+    nulls = df.filter("a is null or a = 3").select("a").distinct().collect()
+    assert {r.a for r in pruned(df, nulls, ["a"]).collect()} == {None, 3}
