@@ -83,13 +83,20 @@ def indexed_keyword_match(df: DataFrame, keywords: DataFrame, key: str, text_col
     whose rarest part it holds, and ``contains`` decides.  A part that many texts
     share files a keyword only if the keyword has no rarer one.  The empty keyword
     is in every text of its prefix.
+
+    A text is searched once, however many rows have it, and of a keyword's modules
+    only the first can win.  Texts cut into parts are many times larger than the
+    planner takes them for, so no join may send them, or what came of them, whole to
+    the driver: all are merge joins.
     """
     kw = keywords.select(F.col(kw_prefix_col).alias("_tl_prefix"), F.col(module_col).alias("_tl_module"),
-                         F.explode(words_col).alias("_tl_word")).filter(F.col("_tl_word").isNotNull()).withColumn(
-        "_tl_lower", F.lower("_tl_word")).checkpoint(eager=True)
+                         F.explode(words_col).alias("_tl_word")).filter(F.col("_tl_word").isNotNull())
+    kw = kw.groupBy("_tl_prefix", "_tl_word").agg(F.min(F.struct("_tl_module")).alias("_tl_first")).select(
+        "_tl_prefix", "_tl_word", "_tl_first._tl_module", F.lower("_tl_word").alias("_tl_lower")).checkpoint(eager=True)
     sizes = [r[0] for r in kw.select(F.least(F.length("_tl_lower"), F.lit(n)).alias("s")).distinct().collect()]  # n + 1 at most
-    texts = df.select(key, F.col(prefix_col).alias("_tl_prefix"), F.lower(F.col(text_col)).alias("_tl_text")).filter(
-        F.col("_tl_prefix").isNotNull() & F.col("_tl_text").isNotNull())
+    rows = df.select(key, F.col(prefix_col).alias("_tl_prefix"), F.lower(F.col(text_col)).alias("_tl_text")).filter(
+        F.col(key).isNotNull() & F.col("_tl_prefix").isNotNull() & F.col("_tl_text").isNotNull())
+    texts = rows.select("_tl_prefix", "_tl_text").distinct()
 
     def parts(text: str, size: int) -> Column:
         places = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
@@ -97,21 +104,20 @@ def indexed_keyword_match(df: DataFrame, keywords: DataFrame, key: str, text_col
         return F.array_distinct(every)
 
     grams = F.flatten(F.array(*[parts("_tl_text", s) for s in sizes])) if sizes else F.array().cast("array<string>")
-    filed = texts.select(key, "_tl_prefix", "_tl_text", F.explode(grams).alias("_tl_part"))
+    filed = texts.select("_tl_prefix", "_tl_text", F.explode(grams).alias("_tl_part"))
     own = F.when(F.length("_tl_lower") < n, F.array("_tl_lower")).otherwise(parts("_tl_lower", n))
     candidates = kw.withColumn("_tl_part", F.explode(own))
-    wanted = candidates.select("_tl_prefix", "_tl_part").distinct()
-    common = filed.join(wanted, ["_tl_prefix", "_tl_part"], "left_semi").groupBy("_tl_prefix", "_tl_part").agg(
-        F.count(F.lit(1)).alias("_tl_n"))
+    common = filed.groupBy("_tl_prefix", "_tl_part").agg(F.count(F.lit(1)).alias("_tl_n"))
     # a keyword with a part that no text has is in none
-    rarest = candidates.join(common, ["_tl_prefix", "_tl_part"], "left").groupBy("_tl_prefix", "_tl_word", "_tl_module").agg(
+    rarest = candidates.hint("merge").join(common, ["_tl_prefix", "_tl_part"], "left").groupBy("_tl_prefix", "_tl_word", "_tl_module").agg(
         F.min(F.struct(F.coalesce("_tl_n", F.lit(0)).alias("n"), F.col("_tl_part").alias("part"))).alias("_tl_file"))
     index = rarest.filter("_tl_file.n > 0").select(
         "_tl_prefix", "_tl_word", "_tl_module", F.col("_tl_file.part").alias("_tl_part"))
-    cand = filed.join(index, ["_tl_prefix", "_tl_part"]).filter(F.col("_tl_text").contains(F.lower("_tl_word")))
-    best = cand.groupBy(key).agg(F.min(F.struct(
-        (-F.length("_tl_word")).alias("neg_len"), F.col("_tl_word").alias("word"),
-        F.col("_tl_module").alias("module"))).alias("_tl_best"))
-    out = df.join(best, key, "left")
+    cand = filed.hint("merge").join(index, ["_tl_prefix", "_tl_part"]).filter(F.col("_tl_text").contains(F.lower("_tl_word")))
+    first = F.min(F.struct((-F.length("_tl_word")).alias("neg_len"), F.col("_tl_word").alias("word"),
+                           F.col("_tl_module").alias("module"))).alias("_tl_best")
+    found = cand.groupBy("_tl_prefix", "_tl_text").agg(first)
+    best = rows.hint("merge").join(found, ["_tl_prefix", "_tl_text"]).groupBy(key).agg(F.min("_tl_best").alias("_tl_best"))
+    out = df.hint("merge").join(best, key, "left")
     return out.withColumn(module_col, F.coalesce(F.col("_tl_best.module"), F.lit(unknown))) \
         .withColumn("keyword", F.col("_tl_best.word")).drop("_tl_best")

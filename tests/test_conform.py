@@ -107,6 +107,20 @@ def test_indexed_keyword_match_with_a_long_list(spark):
     assert rows(got.select("id", "module"), "id", "module") == sorted([(k, f"m{50 * k}") for k in range(2000)], key=repr)
 
 
+def test_indexed_keyword_match_broadcasts_no_text(spark, tmp_path):
+    """Texts cut into parts look small to the planner: none may travel through the driver."""
+    from pyspark.sql import functions as F
+
+    from tallyloom.operators.conform import indexed_keyword_match
+
+    spark.range(400).select("id", F.concat(F.lit("name "), F.col("id")).alias("t"), F.lit("p").alias("pre")).write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    kw = df.select(F.col("pre").alias("prefix"), F.concat(F.lit("m"), F.col("id") % 7).alias("module"), F.array("t").alias("words"))
+    got = indexed_keyword_match(df, kw, "id", "t", "pre")
+    assert "Broadcast" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rows(got, "id", "module") == sorted([(k, f"m{k % 7}") for k in range(400)], key=repr)
+
+
 def test_links_by_one_key_join_the_fact_once(spark):
     from tallyloom.operators.lookup import fallback_chain
 
