@@ -84,3 +84,38 @@ def test_odd_labels_and_no_rows(spark):
     assert sorted(zip(got["id"], got["label"], strict=True)) == [(1, 1), (1, 1), (2, 0)]
     model = tx.fit(docs.limit(0), labels.limit(0), F.lit(True))
     assert docs.select(tx.scorer(spark, model)("text").alias("s")).where("s between 0 and 1").count() == 4
+
+
+def test_every_labelled_row_and_whole_text_teaches(spark):
+    docs = spark.range(7000).selectExpr("id as doc_id", "concat('word', id % 50) as text").union(
+        spark.createDataFrame([(7000, "long " * 25_000)], "doc_id long, text string"))
+    rows = tx.labelled_words(docs, docs.selectExpr("doc_id", "cast(doc_id % 4 = 0 as int) as toxic"), F.lit(True))
+    assert list(rows["id"]) == list(range(7001)) and rows["n"].max() == 25_000
+
+
+def test_shards_come_to_one_model(spark):
+    rows = corpus(1200)
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    fold = crc_mod(F.col("doc_id"), 5)
+    used = tx.labelled_words(docs, labels, fold != 0)
+    train = set(used["id"][~used["held"]])
+    ids = tx.WordIds()
+    here = tx.train([tx.split_ids(ids(t))[0] for i, t, _ in rows if i in train], np.array([y for i, _, y in rows if i in train]))
+    one = tx.fit(docs, labels, fold != 0)
+    assert np.allclose(one.embedding, here.embedding) and np.allclose(one.out, here.out) and one.out_bias == here.out_bias
+    many, again = (tx.fit(docs, labels, fold != 0, shard_rows=200) for _ in range(2))
+    assert (many.embedding == again.embedding).all() and (many.thresholds == again.thresholds).all()
+    assert not np.allclose(many.embedding, one.embedding)
+    got = docs.where(fold == 0).select("doc_id", tx.scorer(spark, many)("text").alias("s")).collect()
+    truth = {i: y for i, _, y in rows}
+    assert np.mean([(r.s >= 0.5) == truth[r.doc_id] for r in got]) > 0.95
+
+
+def test_long_texts_are_read_in_stretches(monkeypatch):
+    rows = corpus(60)
+    ids = tx.WordIds()
+    texts, y = [tx.split_ids(ids(t))[0] for _, t, _ in rows], np.array([y for _, _, y in rows])
+    whole = tx.train(texts, y, epochs=2)
+    monkeypatch.setattr(tx, "CHUNK_WORDS", 10)
+    assert np.allclose(tx.train(texts, y, epochs=2).embedding, whole.embedding)
