@@ -21,16 +21,19 @@ def build_levels(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFr
 
     Peeling: a round takes the tables whose reads all have a level, one level a
     round.  Tables in a circle, or behind one, never come up and have level NULL.
+    Each level is written on its own: a union of unwritten levels would run the
+    joins of all of them in one task, whose memory grows with the depth.
     """
     e = _edges(edges, src, dst).filter("src <> dst").checkpoint(eager=True)
     nodes = _edges(edges, src, dst).select(F.explode(F.array("src", "dst")).alias("node")).distinct()
-    last = nodes.join(e.select(F.col("src").alias("node")), "node", "left_anti")
+    last = nodes.join(e.select(F.col("src").alias("node")), "node", "left_anti").checkpoint(eager=True)
     done, rest, n, level = last.withColumn("level", F.lit(0).cast("long")), e, e.count(), 0
     while n:
         level += 1
         # edges to what came up last are settled; a table with no edge left comes up next
         left = rest.join(last.select(F.col("node").alias("dst")), "dst", "left_anti").checkpoint(eager=True)
-        last = rest.select(F.col("src").alias("node")).distinct().join(left.select(F.col("src").alias("node")), "node", "left_anti")
+        last = rest.select(F.col("src").alias("node")).distinct().join(
+            left.select(F.col("src").alias("node")), "node", "left_anti").checkpoint(eager=True)
         done = done.unionByName(last.withColumn("level", F.lit(level).cast("long")))
         rest, n, before = left, left.count(), n
         if n == before:

@@ -62,3 +62,10 @@ def test_levels_and_groups(spark, name):
     edges = spark.createDataFrame(CASES[name] + [(None, "a")], SCHEMA)
     assert rows(build_levels(edges), "node", "level") == brute_levels(CASES[name])
     assert rows(mutual_groups(edges), "node", "group") == brute_groups(CASES[name])
+
+
+def test_levels_leave_no_join_behind(spark):
+    """Every level is written: a union of unwritten ones would run the joins of all levels in one task."""
+    deep = spark.createDataFrame(CASES["chain"] + CASES["eight"], SCHEMA)
+    plan = build_levels(deep)._jdf.queryExecution().executedPlan().toString()
+    assert "Union" in plan and "Join" not in plan
